@@ -25,7 +25,7 @@ from larder.functions.money import tiered_pay
 from larder.operators import merge, paging, quality
 from larder.plans import dimensions, facts, marts
 from larder.schemas import TABLES
-from larder.session import shared_folder
+from larder.session import pin, shared_folder
 from larder.sources import readers, state
 from larder.sources.store import Store
 from larder.streaming.increments import landing_stream, stream_upsert
@@ -462,9 +462,9 @@ def fact_product_sales_matched(spark, sf_dir):
 
 
 def _unique_sales(rows: DataFrame) -> DataFrame:
-    key = list(TABLES["dds.fct_product_sales"].key)
-    folded = merge.single_per_key(typed(rows, "dds.fct_product_sales"), key)
-    return folded.filter("copies = 1").drop("copies")
+    batch = pin(typed(rows, "dds.fct_product_sales"))
+    good, _ = merge.split_conflicts(batch, list(TABLES["dds.fct_product_sales"].key))
+    return good
 
 
 @query(f"""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators.numbering import number_rows
+from larder.session import pin
 
 
 def last_per_key(batch: DataFrame, key: list[str], order: list[str | Column]) -> DataFrame:
@@ -26,22 +27,26 @@ def copies_per_key(batch: DataFrame, key: list[str]) -> DataFrame:
     return batch.groupBy(*key).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
-def single_per_key(batch: DataFrame, key: list[str], distinct: bool = False) -> DataFrame:
-    """Rows folded to one per key with ``copies``, the number of rows in conflict.
+def split_conflicts(
+    batch: DataFrame, key: list[str], distinct: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Rows fit for a set-based upsert, and the rows of keys that are in conflict.
 
-    A set-based upsert must not meet a key twice: ``copies`` above 1 marks such
-    keys.  With ``distinct``, rows equal in all columns count as one row, so
-    whole-row DISTINCT and the conflict check share one shuffle by key.
+    A set-based upsert must not meet a key twice.  With ``distinct``, rows
+    equal in all columns count as one.  Keys are counted by themselves, so rows
+    of keys that occur once are not shuffled for this; pass a pinned frame,
+    because it is read several times.
     """
-    rest = [name for name in batch.columns if name not in key]
-    row = F.struct(*rest)
-    folded = batch.groupBy(*key).agg(
-        F.count("*").alias("_rows"), F.min(row).alias("_low"), F.max(row).alias("_high")
-    )
-    copies = F.col("_rows")
-    if distinct:
-        copies = F.when(F.col("_low").eqNullSafe(F.col("_high")), F.lit(1)).otherwise(copies)
-    return folded.select(*key, "_low.*", copies.alias("copies")).select(*batch.columns, "copies")
+    repeated = copies_per_key(batch, key).select(*key)
+    single = batch.join(repeated, key, "left_anti").select(*batch.columns)
+    several = batch.join(repeated, key, "left_semi").select(*batch.columns)
+    if not distinct:
+        return single, several
+    several = several.distinct()
+    differing = copies_per_key(several, key).select(*key)
+    equal = several.join(differing, key, "left_anti").select(*batch.columns)
+    conflicts = several.join(differing, key, "left_semi").select(*batch.columns)
+    return single.unionByName(equal), conflicts
 
 
 def with_surrogate(
@@ -57,24 +62,27 @@ def with_surrogate(
     if not given.  ``incoming`` has one row per key and no surrogate column.
     """
     columns = [surrogate, *incoming.columns]
-    # Narrow to the matching keys first: a small batch is broadcast here and
-    # the table is scanned for two columns without a shuffle.
-    known_ids = current.select(*key, surrogate).join(incoming.select(*key), key, "left_semi")
-    matched = incoming.join(known_ids, key, "left")
-    known = matched.filter(F.col(surrogate).isNotNull())
-    fresh = matched.filter(F.col(surrogate).isNull()).drop(surrogate)
+    # The table is scanned for two columns, without a shuffle if the incoming
+    # keys are few; the matches are never more than the incoming rows.
+    ids = pin(current.select(*key, surrogate).join(incoming.select(*key), key, "left_semi"))
+    known = incoming.join(ids, key)
+    fresh = incoming.join(ids, key, "left_anti").select(*incoming.columns)
     if start is None:
         start = current.agg(F.max(surrogate)).first()[0] or 0
     numbered = number_rows(fresh, list(key), start=start, into=surrogate)
     return known.select(*columns).unionByName(numbered.select(*columns))
 
 
-def merge_rows(current: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
+def merge_rows(
+    current: DataFrame, incoming: DataFrame, key: list[str], keys: DataFrame | None = None
+) -> DataFrame:
     """Rows of ``current`` without a match in ``incoming``, plus all of ``incoming``.
 
-    Both have one row per key and the same columns.
+    Both have one row per key and the same columns.  ``keys`` may give the
+    incoming keys in a form that is cheaper to read.
     """
-    kept = current.join(incoming.select(*key), key, "left_anti")
+    keys = incoming if keys is None else keys
+    kept = current.join(keys.select(*key), key, "left_anti")
     return kept.select(*current.columns).unionByName(incoming.select(*current.columns))
 
 

@@ -19,31 +19,25 @@ def number_rows(
 ) -> DataFrame:
     """Number rows ``start + 1, start + 2, ...`` in ``order`` (must be unique).
 
-    Rows are range partitioned and sorted, then pinned: the bounds come from a
-    sample, so without the pin a recomputed partition could hold other rows
-    than the ones that were counted.  A row's number is its position within
-    its partition plus the size of the partitions before it; only those sizes,
-    one per partition, reach the driver.
+    Rows are range partitioned, sorted and written to the shared folder with
+    their partition and their position in it.  Written, they stay the rows that
+    were counted; the range bounds come from a sample and may fall differently
+    when computed again.  A row's number is its position plus the size of the
+    partitions before it, and only those sizes, one per partition, reach the
+    driver.
     """
     ordered = [F.col(item) if isinstance(item, str) else item for item in order]
-    fixed = pin(df.repartitionByRange(*ordered).sortWithinPartitions(*ordered))
-    spot = F.monotonically_increasing_id()
-    placed = fixed.withColumn("_spot", spot)
+    ranged = df.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
+    placed = pin(ranged.withColumn("_spot", F.monotonically_increasing_id()))
     part = F.shiftright("_spot", _POSITION_BITS).cast("int")
-
-    sizes = {
-        row["_part"]: row["n"]
-        for row in placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).collect()
-    }
-    parts = sorted(sizes)
-    before = [0, *accumulate(sizes[p] for p in parts)][: len(parts)]
     position = F.col("_spot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    if len(parts) <= 1:
-        return placed.withColumn(into, position + F.lit(start + 1)).drop("_spot")
 
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part")
+    counted = sizes.collect()
+    starts = accumulate((row["n"] for row in counted), initial=start + 1)
     # One row per partition, so the size of the broadcast is known.
     offsets = df.sparkSession.createDataFrame(
-        [(p, start + 1 + offset) for p, offset in zip(parts, before)],
+        [(row["_part"], first) for row, first in zip(counted, starts)],
         "_part int, _offset bigint",
     )
     return (

@@ -163,7 +163,11 @@ class Run:
         )
 
     def everything(self) -> list[LoadResult]:
-        return [*self.stage(), *[self.load(load) for load in (*DIMENSIONS_AND_FACTS, *MARTS)]]
+        """All loads in order; their row counts are kept in the store."""
+        results = self.stage()
+        results += [self.load(load) for load in (*DIMENSIONS_AND_FACTS, *MARTS)]
+        self.store.record(results, self.settings.load_ts)
+        return results
 
 
 DIMENSIONS_AND_FACTS = (

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,11 +59,35 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Frames pinned inside are removed at the end; use where all work is done inside."""
+    folder = f"{shared_folder(spark)}/pinned/{uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        delete_folder(spark, folder)
+
+
 def pin(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared folder.
+    """Compute ``df`` once and read it back from a table in the shared folder.
 
-    Used where a frame is read several times, or where recomputing after the
-    loss of an executor could give another row order.
+    Used where a frame is read several times.  It survives the loss of
+    executors, can be read column by column, and its size on disk tells the
+    planner whether a side is small enough to broadcast.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    folder = _scratch.get() or f"{shared_folder(spark)}/pinned"
+    path = f"{folder}/{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -10,21 +10,28 @@ One writer per table at a time.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import merge, quality
 from larder.schemas import TABLES, Table
-from larder.session import pin
+from larder.session import pin, scratch
 
-_COMMIT = "version bigint, buckets map<bigint,bigint>, max_id bigint"
+_COMMIT = "version bigint, hashed int, buckets map<bigint,bigint>, max_id bigint"
 
 
 @dataclass(frozen=True)
 class Commit:
+    """What a version consists of: the version folder of every filled bucket.
+
+    ``hashed`` is the number of hash buckets the table was created with,
+    ``max_id`` the highest surrogate key handed out.
+    """
+
     version: int
+    hashed: int
     buckets: dict[int, int]
     max_id: int
 
@@ -54,10 +61,13 @@ class Store:
     def _version_path(self, table: Table, version: int) -> str:
         return f"{self.root}/data/{table.name}/version={version}"
 
-    def bucket_of(self, table: Table) -> Column:
+    def _rejected_path(self, table: Table, version: int) -> str:
+        return f"{self.root}/rejected/{table.name}/version={version}"
+
+    def _bucket_of(self, table: Table, commit: Commit) -> Column:
         if table.span:
             return F.floor(F.col(table.key[0]) / F.lit(table.span)).cast("bigint")
-        return F.pmod(F.xxhash64(*table.key), F.lit(self.buckets)).cast("bigint")
+        return F.pmod(F.xxhash64(*table.key), F.lit(commit.hashed)).cast("bigint")
 
     # -- commits --------------------------------------------------------------
 
@@ -66,7 +76,7 @@ class Store:
         for name in tables:
             table = TABLES[name]
             version = self.last_commit(table).version + 1 if self.exists(table) else 0
-            self._commit(table, Commit(version, {}, 0))
+            self._commit(table, Commit(version, self.buckets, {}, 0))
 
     def exists(self, table: Table) -> bool:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self._commits_path(table))
@@ -75,11 +85,10 @@ class Store:
     def last_commit(self, table: Table) -> Commit:
         commits = self.spark.read.schema(_COMMIT).parquet(self._commits_path(table))
         row = commits.orderBy(F.desc("version")).first()
-        return Commit(row["version"], dict(row["buckets"]), row["max_id"])
+        return Commit(row["version"], row["hashed"], dict(row["buckets"]), row["max_id"])
 
     def _commit(self, table: Table, commit: Commit) -> None:
-        row = [(commit.version, commit.buckets, commit.max_id)]
-        frame = self.spark.createDataFrame(row, _COMMIT).coalesce(1)
+        frame = self.spark.createDataFrame([astuple(commit)], _COMMIT).coalesce(1)
         frame.write.mode("append").parquet(self._commits_path(table))
 
     # -- reading --------------------------------------------------------------
@@ -101,7 +110,7 @@ class Store:
         """Rows the rules kept out of one version, with the reasons."""
         table = TABLES[name]
         version = self.last_commit(table).version if version is None else version
-        return self.spark.read.parquet(f"{self.root}/rejected/{name}/version={version}")
+        return self.spark.read.parquet(self._rejected_path(table, version))
 
     # -- writing --------------------------------------------------------------
 
@@ -122,64 +131,64 @@ class Store:
         dropped.
         """
         table = TABLES[name]
+        with scratch(self.spark):
+            return self._upsert(table, batch, order, distinct, on_fail, bounds)
+
+    def _upsert(self, table, batch, order, distinct, on_fail, bounds) -> LoadResult:
         key = list(table.key)
+        commit = self.last_commit(table)
+        version = commit.version + 1
         seen = Observation()
-        received = batch.observe(seen, F.count("*").alias("rows"))
-
+        rows = batch.observe(seen, F.count("*").alias("rows"))
         if order:
-            folded = merge.last_per_key(received, key, order)
-            folded = folded.select(*table.payload, F.lit(1).cast("bigint").alias("copies"))
-        else:
-            folded = merge.single_per_key(received.select(*table.payload), key, distinct)
-        conflict = F.when(
-            F.col("copies") > 1, F.array(F.lit(f"duplicate key: {', '.join(key)}"))
-        ).otherwise(F.array().cast("array<string>"))
-        flagged = pin(
-            quality.flag_rows(folded, table, bounds)
-            .withColumn(quality.REASONS, F.concat(quality.REASONS, conflict))
-            .drop("copies")
-            .withColumn("bucket", self.bucket_of(table))
-        )
+            rows = merge.last_per_key(rows, key, order)
+        checked = quality.flag_rows(rows.select(*table.payload), table, bounds)
+        flagged = pin(checked.withColumn("bucket", self._bucket_of(table, commit)))
+
         good, rejected = quality.split(flagged)
+        if not order:
+            good, conflicts = merge.split_conflicts(good, key, distinct)
+            reason = F.array(F.lit(f"duplicate key: {', '.join(key)}"))
+            rejected = rejected.unionByName(conflicts.withColumn(quality.REASONS, reason))
+            good, rejected = pin(good), pin(rejected)
         if on_fail == "abort":
-            quality.refuse(rejected.drop("bucket"), name)
+            quality.refuse(rejected, table.name)
 
-        commit = self.last_commit(table)
-        version = commit.version + 1
         counts = good.groupBy("bucket").agg(F.count("*").alias("n")).collect()  # one per bucket
         touched = {row["bucket"] for row in counts}
-        loaded = sum(row["n"] for row in counts)
         refused = rejected.count()
         if refused:
             rejected.drop("bucket").write.mode("overwrite").parquet(
-                f"{self.root}/rejected/{name}/version={version}"
+                self._rejected_path(table, version)
             )
+        max_id = commit.max_id
         if touched:
             max_id = self._rewrite(table, good.drop("bucket"), touched, commit, version)
+        if touched or refused:
             buckets = {**commit.buckets, **{bucket: version for bucket in touched}}
-            self._commit(table, Commit(version, buckets, max_id))
-        elif refused:
-            self._commit(table, Commit(version, commit.buckets, commit.max_id))
-        return LoadResult(name, seen.get["rows"], refused, loaded)
+            self._commit(table, replace(commit, version=version, buckets=buckets, max_id=max_id))
+        loaded = sum(row["n"] for row in counts)
+        return LoadResult(table.name, seen.get["rows"], refused, loaded)
 
     def _rewrite(
-        self, table: Table, incoming: DataFrame, touched: set[int], commit: Commit, version: int
+        self, table: Table, good: DataFrame, touched: set[int], commit: Commit, version: int
     ) -> int:
+        """Write the touched buckets anew and return the highest surrogate key."""
         key = list(table.key)
         stored = touched & set(commit.buckets)
         current = self.read(table.name, only=stored)
+        incoming = good
         if table.surrogate:
             incoming = merge.with_surrogate(
-                incoming, current, key, table.surrogate, start=commit.max_id
+                good, current, key, table.surrogate, start=commit.max_id
             )
-        rows = merge.merge_rows(current, incoming, key) if stored else incoming
-        rows = rows.select(*table.columns)
-
+        rows = merge.merge_rows(current, incoming, key, keys=good) if stored else incoming
         written = Observation()
         number = F.col(table.surrogate) if table.surrogate else F.lit(None).cast("bigint")
         (
-            rows.observe(written, F.max(number).alias("max_id"))
-            .withColumn("bucket", self.bucket_of(table))
+            rows.select(*table.columns)
+            .observe(written, F.max(number).alias("max_id"))
+            .withColumn("bucket", self._bucket_of(table, commit))
             # One bucket per task, large buckets split by their measured size.
             .hint("rebalance", "bucket")
             .write.mode("overwrite")
@@ -187,3 +196,14 @@ class Store:
             .parquet(self._version_path(table, version))
         )
         return max(commit.max_id, written.get["max_id"] or 0)
+
+    def record(self, results: Iterable[LoadResult], load_ts: str) -> None:
+        """Append the row counts of a run to the list of loads."""
+        rows = [(r.table, r.received, r.rejected, r.loaded) for r in results]
+        frame = self.spark.createDataFrame(
+            rows, "table string, received bigint, rejected bigint, loaded bigint"
+        ).withColumn("load_ts", F.lit(load_ts).cast("timestamp_ntz"))
+        frame.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
+
+    def loads(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/loads")
