@@ -67,6 +67,8 @@ def with_surrogate(
     ids = pin(current.select(*key, surrogate).join(incoming.select(*key), key, "left_semi"))
     known = incoming.join(ids, key)
     fresh = incoming.join(ids, key, "left_anti").select(*incoming.columns)
+    if fresh.isEmpty():
+        return known.select(*columns)
     if start is None:
         start = current.agg(F.max(surrogate)).first()[0] or 0
     numbered = number_rows(fresh, list(key), start=start, into=surrogate)

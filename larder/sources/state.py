@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ class LoadState:
     def __init__(self, store: Store, table: str = "stg.srv_wf_settings"):
         self.store = store
         self.table = table
+        self._one_writer = Lock()
 
     def get(self, workflow: str, kind: str) -> int | str:
         row = settings_value(self.store.read(self.table), workflow, kind).first()
@@ -45,10 +47,11 @@ class LoadState:
         if value is None:
             return
         settings = json.dumps({kind: value}, sort_keys=True, ensure_ascii=False)
-        row = self.store.spark.createDataFrame(
-            [(workflow, settings)], "workflow_key string, workflow_settings string"
+        row = self.store.spark.range(1).select(
+            F.lit(workflow).alias("workflow_key"), F.lit(settings).alias("workflow_settings")
         )
-        self.store.upsert(self.table, row, order=["workflow_settings"])
+        with self._one_writer:
+            self.store.upsert(self.table, row, order=["workflow_settings"])
 
     def advance(self, workflow: str, kind: str, batch: DataFrame, column: str) -> None:
         """Keep the highest value of a batch."""

@@ -9,17 +9,19 @@ One writer per table at a time.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
-from dataclasses import astuple, dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import merge, quality
+from larder.operators.numbering import number_rows
 from larder.schemas import TABLES, Table
 from larder.session import pin, scratch
 
-_COMMIT = "version bigint, hashed int, buckets map<bigint,bigint>, max_id bigint"
+_COMMIT = "version bigint, hashed int, buckets string, max_id bigint"
 
 
 @dataclass(frozen=True)
@@ -78,25 +80,35 @@ class Store:
             version = self.last_commit(table).version + 1 if self.exists(table) else 0
             self._commit(table, Commit(version, self.buckets, {}, 0))
 
+    def _has(self, path: str) -> bool:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+
     def exists(self, table: Table) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._commits_path(table))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return self._has(self._commits_path(table))
 
     def last_commit(self, table: Table) -> Commit:
-        commits = self.spark.read.schema(_COMMIT).parquet(self._commits_path(table))
+        commits = self.spark.read.schema(_COMMIT).json(self._commits_path(table))
         row = commits.orderBy(F.desc("version")).first()
-        return Commit(row["version"], row["hashed"], dict(row["buckets"]), row["max_id"])
+        buckets = {int(bucket): version for bucket, version in json.loads(row["buckets"]).items()}
+        return Commit(row["version"], row["hashed"], buckets, row["max_id"])
 
     def _commit(self, table: Table, commit: Commit) -> None:
-        frame = self.spark.createDataFrame([astuple(commit)], _COMMIT).coalesce(1)
-        frame.write.mode("append").parquet(self._commits_path(table))
+        values = {**asdict(commit), "buckets": json.dumps(commit.buckets)}
+        row = self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(value).alias(name) for name, value in values.items()]
+        )
+        row.write.mode("append").json(self._commits_path(table))
 
     # -- reading --------------------------------------------------------------
 
-    def read(self, name: str, only: Iterable[int] | None = None) -> DataFrame:
-        """The current rows of a table, or those of some buckets."""
-        table = TABLES[name]
-        commit = self.last_commit(table)
+    def read(self, name: str) -> DataFrame:
+        """The current rows of a table."""
+        return self._read(TABLES[name], self.last_commit(TABLES[name]))
+
+    def _read(
+        self, table: Table, commit: Commit, only: Iterable[int] | None = None
+    ) -> DataFrame:
         wanted = set(commit.buckets) if only is None else set(only) & set(commit.buckets)
         paths = [
             f"{self._version_path(table, commit.buckets[bucket])}/bucket={bucket}"
@@ -110,7 +122,12 @@ class Store:
         """Rows the rules kept out of one version, with the reasons."""
         table = TABLES[name]
         version = self.last_commit(table).version if version is None else version
-        return self.spark.read.parquet(self._rejected_path(table, version))
+        columns = ", ".join(f"{column} {table.columns[column]}" for column in table.payload)
+        ddl = f"{columns}, {quality.REASONS} array<string>"
+        path = self._rejected_path(table, version)
+        if not self._has(path):
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).parquet(path)
 
     # -- writing --------------------------------------------------------------
 
@@ -176,12 +193,14 @@ class Store:
         """Write the touched buckets anew and return the highest surrogate key."""
         key = list(table.key)
         stored = touched & set(commit.buckets)
-        current = self.read(table.name, only=stored)
+        current = self._read(table, commit, only=stored)
         incoming = good
-        if table.surrogate:
+        if table.surrogate and stored:
             incoming = merge.with_surrogate(
                 good, current, key, table.surrogate, start=commit.max_id
             )
+        elif table.surrogate:
+            incoming = number_rows(good, key, start=commit.max_id, into=table.surrogate)
         rows = merge.merge_rows(current, incoming, key, keys=good) if stored else incoming
         written = Observation()
         number = F.col(table.surrogate) if table.surrogate else F.lit(None).cast("bigint")
