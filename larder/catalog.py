@@ -343,17 +343,17 @@ def courier_tiers(spark, sf_dir):
 
 @query(f"WITH {DIM_USERS} SELECT * FROM dm_users")
 def dim_users(spark, sf_dir):
-    return demo.dm_users(spark, sf_dir)
+    return demo.Market(spark, sf_dir).dm_users
 
 
 @query(f"WITH {DIM_RESTAURANTS} SELECT * FROM dm_restaurants")
 def dim_restaurants(spark, sf_dir):
-    return demo.dm_restaurants(spark, sf_dir)
+    return demo.Market(spark, sf_dir).dm_restaurants
 
 
 @query(f"WITH {DIM_COURIERS} SELECT * FROM dm_couriers")
 def dim_couriers(spark, sf_dir):
-    return demo.dm_couriers(spark, sf_dir)
+    return demo.Market(spark, sf_dir).dm_couriers
 
 
 @query("""
@@ -371,20 +371,20 @@ def dim_timestamps(spark, sf_dir):
         document(delivery_ts=text("ts")).alias("object_value"),
         F.col("ts").alias("update_ts"),
     )
-    rows = dimensions.timestamps(demo.staged_orders(spark, sf_dir), arrivals)
+    rows = dimensions.timestamps(demo.Market(spark, sf_dir).staged_orders, arrivals)
     return demo.numbered(rows, ["ts"])
 
 
 @query(f"WITH {DIM_RESTAURANTS}, {DIM_PRODUCTS} SELECT * FROM dm_products")
 def dim_products(spark, sf_dir):
-    return demo.dm_products(spark, sf_dir)
+    return demo.Market(spark, sf_dir).dm_products
 
 
 @query(
     f"WITH {DIM_USERS}, {DIM_RESTAURANTS}, {DIM_TIMESTAMPS}, {DIM_ORDERS} SELECT * FROM dm_orders"
 )
 def dim_orders(spark, sf_dir):
-    return demo.dm_orders(spark, sf_dir)
+    return demo.Market(spark, sf_dir).dm_orders
 
 
 _DELIVERIES = (
@@ -395,7 +395,7 @@ _DELIVERIES = (
 
 @query(f"{_DELIVERIES} SELECT * FROM dm_deliveries")
 def dim_deliveries(spark, sf_dir):
-    return demo.dm_deliveries(spark, sf_dir)
+    return demo.Market(spark, sf_dir).dm_deliveries
 
 
 @query(f"""
@@ -408,7 +408,7 @@ UNION ALL
 SELECT 'order_id', count_if(order_id IS NULL)::BIGINT FROM found_deliveries
 """)
 def unresolved_deliveries(spark, sf_dir):
-    found = demo.found_deliveries(spark, sf_dir)
+    found = demo.Market(spark, sf_dir).found_deliveries
     return quality.unresolved(found, ["timestamp_id", "courier_id", "order_id"])
 
 
@@ -433,13 +433,7 @@ JOIN dm_products p ON p.product_id = s.product_source_id
 QUALIFY count(*) OVER (PARTITION BY p.id, o.id) = 1
 """)
 def fact_product_sales(spark, sf_dir):
-    return _unique_sales(
-        facts.product_sales(
-            demo.staged_events(spark, sf_dir),
-            demo.dm_products(spark, sf_dir),
-            demo.dm_orders(spark, sf_dir),
-        )
-    )
+    return _unique_sales(demo.Market(spark, sf_dir))
 
 
 @query(f"""
@@ -451,17 +445,13 @@ JOIN dm_products p ON p.product_id = s.product_source_id AND p.restaurant_id = o
 QUALIFY count(*) OVER (PARTITION BY p.id, o.id) = 1
 """)
 def fact_product_sales_matched(spark, sf_dir):
-    return _unique_sales(
-        facts.product_sales(
-            demo.staged_events(spark, sf_dir),
-            demo.dm_products(spark, sf_dir),
-            demo.dm_orders(spark, sf_dir),
-            match_restaurant=True,
-        )
-    )
+    return _unique_sales(demo.Market(spark, sf_dir), match_restaurant=True)
 
 
-def _unique_sales(rows: DataFrame) -> DataFrame:
+def _unique_sales(market: demo.Market, match_restaurant: bool = False) -> DataFrame:
+    rows = facts.product_sales(
+        market.staged_events, market.dm_products, market.dm_orders, match_restaurant
+    )
     batch = pin(typed(rows, "dds.fct_product_sales"))
     good, _ = merge.split_conflicts(batch, list(TABLES["dds.fct_product_sales"].key))
     return good
@@ -475,10 +465,9 @@ JOIN (SELECT product_id, count(*) AS offers FROM dm_products GROUP BY 1) p
   ON p.product_id = s.product_source_id
 """)
 def fact_sales_fanout(spark, sf_dir):
-    offers = dimensions.products(
-        demo.staged_restaurants(spark, sf_dir), demo.dm_restaurants(spark, sf_dir)
-    )
-    return facts.sales_fanout(demo.staged_events(spark, sf_dir), offers)
+    market = demo.Market(spark, sf_dir)
+    offers = dimensions.products(market.staged_restaurants, market.dm_restaurants)
+    return facts.sales_fanout(market.staged_events, offers)
 
 
 @query(f"""
@@ -492,9 +481,8 @@ LEFT JOIN dm_deliveries k ON k.delivery_id = 'd' || CAST(o.o_orderkey AS VARCHAR
 WHERE o.o_orderstatus = 'F'
 """)
 def fact_deliveries(spark, sf_dir):
-    rows = facts.deliveries(
-        demo.staged_deliveries(spark, sf_dir), demo.dm_deliveries(spark, sf_dir)
-    )
+    market = demo.Market(spark, sf_dir)
+    rows = facts.deliveries(market.staged_deliveries, market.dm_deliveries)
     return typed(rows, "dds.fct_deliveries")
 
 
@@ -582,7 +570,7 @@ def document_roundtrip(spark, sf_dir):
         "cost decimal(19,5), " + schemas.ORDER + ", order_items"
         " array<struct<id string, name string, price string, quantity string>>"
     )
-    docs = parsed(demo.staged_orders(spark, sf_dir), "object_value", shape)
+    docs = parsed(demo.Market(spark, sf_dir).staged_orders, "object_value", shape)
     item = F.col("doc.order_items")[0]
     return docs.select(
         "object_id",
@@ -608,7 +596,7 @@ SELECT CAST((p_partkey + step) % {SUPPLIERS} AS VARCHAR) AS restaurant_source_id
 FROM part, range({demo.OFFERS}) AS s(step)
 """)
 def menu_items(spark, sf_dir):
-    return dimensions.menu_items(demo.staged_restaurants(spark, sf_dir))
+    return dimensions.menu_items(demo.Market(spark, sf_dir).staged_restaurants)
 
 
 @query("""
@@ -782,7 +770,7 @@ def overflow_violations(spark, sf_dir):
         quantity.alias("quantity"),
         (quantity * demo.money("l_extendedprice")).cast("decimal(25,2)").alias("total"),
     )
-    flagged = quality.flag(totals, quality.overflow_reasons({"total": "decimal(8,2)"}))
+    flagged = quality.flag(totals, quality.overflow_reasons(totals, {"total": "decimal(8,2)"}))
     _, rejected = quality.split(flagged)
     return with_reasons(rejected)
 

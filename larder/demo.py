@@ -14,6 +14,8 @@ courier, delivery       customer; closed orders
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from larder.operators.merge import last_per_key
 from larder.operators.numbering import number_rows
 from larder.plans import dimensions, staging
 from larder.schemas import TABLES
+from larder.session import pin
 
 LOAD_TS = "2024-02-01 00:00:00"
 AS_OF = "2024-06-01 00:00:00"
@@ -248,81 +251,88 @@ def source_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staged_users(spark, sf_dir) -> DataFrame:
-    return staging.user_documents(source_users(spark, sf_dir))
-
-
-def staged_restaurants(spark, sf_dir) -> DataFrame:
-    return staging.restaurant_documents(source_restaurants(spark, sf_dir))
-
-
-def staged_orders(spark, sf_dir) -> DataFrame:
-    return staging.order_documents(source_orders(spark, sf_dir))
-
-
-def staged_couriers(spark, sf_dir) -> DataFrame:
-    return staging.named_documents(source_couriers(spark, sf_dir), LOAD_TS)
-
+class Market:
+    """Staged documents and numbered dimensions of one folder of test tables.
 
-def staged_deliveries(spark, sf_dir) -> DataFrame:
-    return staging.delivery_documents(source_deliveries(spark, sf_dir), LOAD_TS)
-
-
-def staged_events(spark, sf_dir) -> DataFrame:
-    return staging.bonus_events(source_outbox(spark, sf_dir))
+    Every table is made once per instance, however many others look it up.
+    Documents that several loads read are pinned, as the staged tables they
+    stand for would be.
+    """
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.at = (spark, sf_dir)
+
+    @cached_property
+    def staged_users(self) -> DataFrame:
+        return staging.user_documents(source_users(*self.at))
+
+    @cached_property
+    def staged_restaurants(self) -> DataFrame:
+        return pin(staging.restaurant_documents(source_restaurants(*self.at)))
+
+    @cached_property
+    def staged_orders(self) -> DataFrame:
+        return pin(staging.order_documents(source_orders(*self.at)))
+
+    @cached_property
+    def staged_couriers(self) -> DataFrame:
+        return staging.named_documents(source_couriers(*self.at), LOAD_TS)
+
+    @cached_property
+    def staged_deliveries(self) -> DataFrame:
+        return pin(staging.delivery_documents(source_deliveries(*self.at), LOAD_TS))
+
+    @cached_property
+    def staged_events(self) -> DataFrame:
+        return staging.bonus_events(source_outbox(*self.at))
+
+    @cached_property
+    def dm_users(self) -> DataFrame:
+        accounts = staging.bonus_users(source_accounts(*self.at))
+        rows = dimensions.users(self.staged_users, accounts)
+        last = last_per_key(rows, ["user_id"], ["update_ts"]).drop("update_ts")
+        return numbered(last, ["user_id"])
+
+    @cached_property
+    def dm_restaurants(self) -> DataFrame:
+        return numbered(dimensions.restaurants(self.staged_restaurants), ["restaurant_id"])
+
+    @cached_property
+    def dm_couriers(self) -> DataFrame:
+        return numbered(dimensions.couriers(self.staged_couriers), ["courier_id"])
+
+    @cached_property
+    def dm_timestamps(self) -> DataFrame:
+        return numbered(dimensions.timestamps(self.staged_orders, self.staged_deliveries), ["ts"])
+
+    @cached_property
+    def dm_products(self) -> DataFrame:
+        rows = dimensions.products(self.staged_restaurants, self.dm_restaurants)
+        typed = quality.conform(rows, TABLES["dds.dm_products"].columns)
+        return numbered(typed, ["restaurant_id", "product_id"])
+
+    @cached_property
+    def dm_orders(self) -> DataFrame:
+        rows = dimensions.orders(
+            self.staged_orders, self.dm_users, self.dm_restaurants, self.dm_timestamps
+        )
+        return numbered(rows, ["order_key"])
+
+    @cached_property
+    def found_deliveries(self) -> DataFrame:
+        return pin(
+            dimensions.deliveries(
+                self.staged_deliveries, self.dm_timestamps, self.dm_couriers, self.dm_orders
+            )
+        )
 
-# -- numbered dimensions built from the staged documents -----------------------
+    @cached_property
+    def dm_deliveries(self) -> DataFrame:
+        """Deliveries with all lookups found; the rules reject the others."""
+        good, _ = quality.validate(self.found_deliveries, "dds.dm_deliveries")
+        return numbered(good, ["delivery_id"])
 
 
 def numbered(rows: DataFrame, key: list[str]) -> DataFrame:
-    return number_rows(rows, key)
-
-
-def dm_users(spark, sf_dir) -> DataFrame:
-    rows = dimensions.users(staged_users(spark, sf_dir), staging.bonus_users(source_accounts(spark, sf_dir)))
-    return numbered(last_per_key(rows, ["user_id"], ["update_ts"]).drop("update_ts"), ["user_id"])
-
-
-def dm_restaurants(spark, sf_dir) -> DataFrame:
-    return numbered(dimensions.restaurants(staged_restaurants(spark, sf_dir)), ["restaurant_id"])
-
-
-def dm_couriers(spark, sf_dir) -> DataFrame:
-    return numbered(dimensions.couriers(staged_couriers(spark, sf_dir)), ["courier_id"])
-
-
-def dm_timestamps(spark, sf_dir) -> DataFrame:
-    rows = dimensions.timestamps(staged_orders(spark, sf_dir), staged_deliveries(spark, sf_dir))
-    return numbered(rows, ["ts"])
-
-
-def dm_products(spark, sf_dir) -> DataFrame:
-    rows = dimensions.products(staged_restaurants(spark, sf_dir), dm_restaurants(spark, sf_dir))
-    typed = quality.conform(rows, TABLES["dds.dm_products"].columns)
-    return numbered(typed, ["restaurant_id", "product_id"])
-
-
-def dm_orders(spark, sf_dir) -> DataFrame:
-    rows = dimensions.orders(
-        staged_orders(spark, sf_dir),
-        dm_users(spark, sf_dir),
-        dm_restaurants(spark, sf_dir),
-        dm_timestamps(spark, sf_dir).select("id", "ts"),
-    )
-    return numbered(rows, ["order_key"])
-
-
-def found_deliveries(spark, sf_dir) -> DataFrame:
-    return dimensions.deliveries(
-        staged_deliveries(spark, sf_dir),
-        dm_timestamps(spark, sf_dir),
-        dm_couriers(spark, sf_dir),
-        dm_orders(spark, sf_dir),
-    )
-
-
-def dm_deliveries(spark, sf_dir) -> DataFrame:
-    """Deliveries with all lookups found; the rules reject the others."""
-    good, _ = quality.validate(found_deliveries(spark, sf_dir), "dds.dm_deliveries")
-    return numbered(good, ["delivery_id"])
+    """Rows with a surrogate key; pinned, since numbering reads them twice."""
+    return number_rows(pin(rows), key)

@@ -34,19 +34,23 @@ def rebuilt(array: str, **fields) -> Column:
 
 
 def parsed(df: DataFrame, column: str, schema: str, into: str = "doc") -> DataFrame:
-    """Add the document in ``column`` as a struct of the fields in ``schema``."""
-    return df.withColumn(into, F.from_json(F.col(column), schema))
+    """Add the document in ``column`` as a struct of the fields in ``schema``.
+
+    The document goes through an explode of one element: predicates on its
+    fields, such as the NOT NULL tests of later joins, then stay above it.
+    Pushed below, each of them would parse the text once more.
+    """
+    return df.select("*", F.explode(F.array(F.from_json(F.col(column), schema))).alias(into))
 
 
 def whole_number(column: Column) -> Column:
     """A number without its fraction, cut towards zero."""
-    value = column.try_cast("decimal(38,18)")
-    return F.when(value >= 0, F.floor(value)).otherwise(F.ceil(value))
+    return F.call_function("div", column.try_cast("decimal(27,9)"), F.lit(1))
 
 
 def rounded_number(column: Column) -> Column:
     """A number rounded to an integer, halves away from zero."""
-    return F.round(column.try_cast("decimal(38,10)"), 0).try_cast("int")
+    return column.try_cast("decimal(10,0)").try_cast("int")
 
 
 def moment(column: Column | str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,16 +40,30 @@ def length_reasons(lengths: Mapping[str, int]) -> list[Column]:
     ]
 
 
-def overflow_reasons(columns: Mapping[str, str]) -> list[Column]:
-    """Values that are present but do not fit the declared type."""
-    return [
-        F.when(
-            F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull(),
-            F.lit(f"overflow: {name}"),
-        )
-        for name, kind in columns.items()
-        if kind == "int" or kind.startswith("decimal")
-    ]
+def _largest(kind: str) -> tuple[Decimal, Decimal]:
+    """The values from which a number, rounded to ``kind``, no longer fits."""
+    if kind == "int":
+        half = Decimal("0.5")
+        return Decimal(-(2**31)) - half, Decimal(2**31 - 1) + half
+    precision, scale = (int(n) for n in kind.removeprefix("decimal(").rstrip(")").split(","))
+    edge = Decimal(10) ** (precision - scale) - Decimal(5).scaleb(-scale - 1)
+    return -edge, edge
+
+
+def overflow_reasons(df: DataFrame, columns: Mapping[str, str]) -> list[Column]:
+    """Numbers that do not fit the declared type, for columns that come in another type.
+
+    Compared with the type's limits: a cast that fails costs an exception per row.
+    """
+    incoming = dict(df.dtypes)
+    reasons = []
+    for name, kind in columns.items():
+        if incoming[name] == kind or not (kind == "int" or kind.startswith("decimal")):
+            continue
+        low, high = _largest(kind)
+        outside = (F.col(name) <= F.lit(low)) | (F.col(name) >= F.lit(high))
+        reasons.append(F.when(outside, F.lit(f"overflow: {name}")))
+    return reasons
 
 
 def flag(df: DataFrame, reasons: list[Column]) -> DataFrame:
@@ -74,7 +89,7 @@ def flag_rows(df: DataFrame, table: Table | str, bounds: Mapping | None = None)
     table = TABLES[table] if isinstance(table, str) else table
     kinds = {name: table.columns[name] for name in table.payload if name in df.columns}
     with_overflow = df.withColumn(
-        "_overflow", F.array_compact(F.array(*overflow_reasons(kinds)).cast("array<string>"))
+        "_overflow", F.array_compact(F.array(*overflow_reasons(df, kinds)).cast("array<string>"))
     )
     typed = conform(with_overflow, kinds)
     nulls = [
