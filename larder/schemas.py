@@ -1,4 +1,4 @@
-"""Every warehouse table: columns, key, rules and storage layout.
+"""Every warehouse table: columns, key and rules.
 
 Types are Spark DDL names.  Columns are all NOT NULL.  ``checks`` are SQL
 predicates that a row must not violate (NULL passes, as in a SQL CHECK); a
@@ -37,9 +37,6 @@ class Table:
     lengths: dict[str, int] = field(default_factory=dict)
     checks: dict[str, str] = field(default_factory=dict)
     foreign: tuple[ForeignKey, ...] = ()
-    # Rows live in hash buckets of the key, or, with ``span``, in ranges of an
-    # ascending integer key so that an increment touches the newest range only.
-    span: int | None = None
 
     @property
     def ddl(self) -> str:
@@ -107,7 +104,6 @@ _TABLES = [
         },
         key=("id",),
         surrogate=None,
-        span=1_000_000,
     ),
     _documents("stg.ordersystem_users", 2048),
     _documents("stg.ordersystem_orders", 2048),

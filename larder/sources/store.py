@@ -1,10 +1,12 @@
 """Versioned parquet tables: a batch becomes visible as a whole or not at all.
 
-Plain parquet has no MERGE.  A table is a set of buckets; an upsert rewrites
-the buckets its keys fall into under a new version folder and then appends one
-row to the table's list of commits.  Readers take the folders the last commit
-names, so a failed write is never seen and a repeated one overwrites itself.
-One writer per table at a time.
+Plain parquet has no MERGE.  A table is a set of buckets, ranges of its ``id``.
+A row keeps its id, so it stays in its bucket; new rows go to the newest ones.
+An upsert leaves out rows that are stored as they come, rewrites the buckets of
+the others under a new version folder and then appends one row to the table's
+list of commits.  Readers take the folders the last commit names, so a failed
+write is never seen and a repeated one overwrites itself.  One writer per table
+at a time.
 """
 
 from __future__ import annotations
@@ -21,39 +23,40 @@ from larder.operators.numbering import number_rows
 from larder.schemas import TABLES, Table
 from larder.session import pin, scratch
 
-_COMMIT = "version bigint, hashed int, buckets string, max_id bigint"
+_COMMIT = "version bigint, span bigint, buckets string, max_id bigint"
 
 
 @dataclass(frozen=True)
 class Commit:
     """What a version consists of: the version folder of every filled bucket.
 
-    ``hashed`` is the number of hash buckets the table was created with,
-    ``max_id`` the highest surrogate key handed out.
+    ``span`` is the range of ids of a bucket, fixed when the table is created;
+    ``max_id`` is the highest id handed out.
     """
 
     version: int
-    hashed: int
+    span: int
     buckets: dict[int, int]
     max_id: int
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Row counts of one load."""
+    """Row counts of one load; ``changed`` are the loaded rows that were new or different."""
 
     table: str
     received: int
     rejected: int
     loaded: int
+    changed: int
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 8):
-        """``buckets`` per hashed table; size it so that a bucket is about 1 GB."""
+    def __init__(self, spark: SparkSession, root: str, span: int = 1_000_000):
+        """``span`` rows make up a bucket; choose it so that a bucket has about 1 GB."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
+        self.span = span
 
     # -- layout ---------------------------------------------------------------
 
@@ -66,10 +69,9 @@ class Store:
     def _rejected_path(self, table: Table, version: int) -> str:
         return f"{self.root}/rejected/{table.name}/version={version}"
 
-    def _bucket_of(self, table: Table, commit: Commit) -> Column:
-        if table.span:
-            return F.floor(F.col(table.key[0]) / F.lit(table.span)).cast("bigint")
-        return F.pmod(F.xxhash64(*table.key), F.lit(commit.hashed)).cast("bigint")
+    @staticmethod
+    def _bucket(commit: Commit) -> Column:
+        return F.floor(F.col("id") / F.lit(commit.span)).cast("bigint")
 
     # -- commits --------------------------------------------------------------
 
@@ -78,7 +80,7 @@ class Store:
         for name in tables:
             table = TABLES[name]
             version = self.last_commit(table).version + 1 if self.exists(table) else 0
-            self._commit(table, Commit(version, self.buckets, {}, 0))
+            self._commit(table, Commit(version, self.span, {}, 0))
 
     def _has(self, path: str) -> bool:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -91,7 +93,7 @@ class Store:
         commits = self.spark.read.schema(_COMMIT).json(self._commits_path(table))
         row = commits.orderBy(F.desc("version")).first()
         buckets = {int(bucket): version for bucket, version in json.loads(row["buckets"]).items()}
-        return Commit(row["version"], row["hashed"], buckets, row["max_id"])
+        return Commit(row["version"], row["span"], buckets, row["max_id"])
 
     def _commit(self, table: Table, commit: Commit) -> None:
         values = {**asdict(commit), "buckets": json.dumps(commit.buckets)}
@@ -159,68 +161,90 @@ class Store:
         rows = batch.observe(seen, F.count("*").alias("rows"))
         if order:
             rows = merge.last_per_key(rows, key, order)
-        checked = quality.flag_rows(rows.select(*table.payload), table, bounds)
-        flagged = pin(checked.withColumn("bucket", self._bucket_of(table, commit)))
+        flagged = pin(quality.flag_rows(rows.select(*table.payload), table, bounds))
 
         good, rejected = quality.split(flagged)
         if not order:
-            good, conflicts = merge.split_conflicts(good, key, distinct)
-            reason = F.array(F.lit(f"duplicate key: {', '.join(key)}"))
-            rejected = rejected.unionByName(conflicts.withColumn(quality.REASONS, reason))
-            good, rejected = pin(good), pin(rejected)
+            good, rejected = self._without_conflicts(good, rejected, key, distinct)
         if on_fail == "abort":
             quality.refuse(rejected, table.name)
 
-        counts = good.groupBy("bucket").agg(F.count("*").alias("n")).collect()  # one per bucket
-        touched = {row["bucket"] for row in counts}
-        refused = rejected.count()
+        refused, loaded = rejected.count(), good.count()
         if refused:
-            rejected.drop("bucket").write.mode("overwrite").parquet(
-                self._rejected_path(table, version)
-            )
-        max_id = commit.max_id
-        if touched:
-            max_id = self._rewrite(table, good.drop("bucket"), touched, commit, version)
-        if touched or refused:
-            buckets = {**commit.buckets, **{bucket: version for bucket in touched}}
-            self._commit(table, replace(commit, version=version, buckets=buckets, max_id=max_id))
-        loaded = sum(row["n"] for row in counts)
-        return LoadResult(table.name, seen.get["rows"], refused, loaded)
+            rejected.write.mode("overwrite").parquet(self._rejected_path(table, version))
+        changed = 0
+        new = replace(commit, version=version)
+        if loaded:
+            new, changed = self._rewrite(table, good, commit, new)
+        if changed or refused:
+            self._commit(table, new)
+        return LoadResult(table.name, seen.get["rows"], refused, loaded, changed)
+
+    def _without_conflicts(
+        self, good: DataFrame, rejected: DataFrame, key: list[str], distinct: bool
+    ) -> tuple[DataFrame, DataFrame]:
+        repeated = pin(merge.copies_per_key(good, key))
+        if repeated.isEmpty():
+            return good, rejected
+        good, conflicts = merge.split_conflicts(good, key, distinct, repeated)
+        reason = F.array(F.lit(f"duplicate key: {', '.join(key)}"))
+        rejected = rejected.unionByName(conflicts.withColumn(quality.REASONS, reason))
+        return pin(good), pin(rejected)
 
     def _rewrite(
-        self, table: Table, good: DataFrame, touched: set[int], commit: Commit, version: int
-    ) -> int:
-        """Write the touched buckets anew and return the highest surrogate key."""
-        key = list(table.key)
-        stored = touched & set(commit.buckets)
-        current = self._read(table, commit, only=stored)
-        incoming = good
-        if table.surrogate and stored:
-            incoming = merge.with_surrogate(
-                good, current, key, table.surrogate, start=commit.max_id
-            )
-        elif table.surrogate:
-            incoming = number_rows(good, key, start=commit.max_id, into=table.surrogate)
-        rows = merge.merge_rows(current, incoming, key, keys=good) if stored else incoming
-        written = Observation()
-        number = F.col(table.surrogate) if table.surrogate else F.lit(None).cast("bigint")
+        self, table: Table, good: DataFrame, commit: Commit, new: Commit
+    ) -> tuple[Commit, int]:
+        """Write the buckets of new and changed rows; the new commit and their number."""
+        incoming = pin(
+            self._numbered(table, good, commit)
+            .select(*table.columns)
+            .withColumn("bucket", self._bucket(commit))
+        )
+        counts = incoming.groupBy("bucket").agg(
+            F.count("*").alias("n"), F.max("id").alias("max_id")
+        ).collect()  # one row per bucket
+        if not counts:
+            return new, 0
+        touched = {row["bucket"] for row in counts}
+        current = self._read(table, commit, only=touched)
+        rows = merge.merge_rows(current, incoming.drop("bucket"), ["id"])
         (
-            rows.select(*table.columns)
-            .observe(written, F.max(number).alias("max_id"))
-            .withColumn("bucket", self._bucket_of(table, commit))
+            rows.withColumn("bucket", self._bucket(commit))
             # One bucket per task, large buckets split by their measured size.
             .hint("rebalance", "bucket")
             .write.mode("overwrite")
             .partitionBy("bucket")
-            .parquet(self._version_path(table, version))
+            .parquet(self._version_path(table, new.version))
         )
-        return max(commit.max_id, written.get["max_id"] or 0)
+        buckets = {**commit.buckets, **{bucket: new.version for bucket in touched}}
+        max_id = max(commit.max_id, *[row["max_id"] for row in counts])
+        return replace(new, buckets=buckets, max_id=max_id), sum(row["n"] for row in counts)
+
+    def _numbered(self, table: Table, good: DataFrame, commit: Commit) -> DataFrame:
+        """New and changed rows with their ids."""
+        key = list(table.key)
+        if table.surrogate:
+            if not commit.buckets:
+                return number_rows(good, key, start=commit.max_id, into=table.surrogate)
+            return merge.with_surrogate(
+                good,
+                self._read(table, commit),
+                key,
+                table.surrogate,
+                start=commit.max_id,
+                only_changed=True,
+            )
+        buckets = good.select(self._bucket(commit).alias("bucket")).distinct().collect()
+        current = self._read(table, commit, only={row["bucket"] for row in buckets})
+        same = merge.match_rows(good, current, key, None).filter("not changed")
+        return good.join(same, key, "left_anti")
 
     def record(self, results: Iterable[LoadResult], load_ts: str) -> None:
         """Append the row counts of a run to the list of loads."""
-        rows = [(r.table, r.received, r.rejected, r.loaded) for r in results]
+        rows = [tuple(asdict(result).values()) for result in results]
         frame = self.spark.createDataFrame(
-            rows, "table string, received bigint, rejected bigint, loaded bigint"
+            rows,
+            "table string, received bigint, rejected bigint, loaded bigint, changed bigint",
         ).withColumn("load_ts", F.lit(load_ts).cast("timestamp_ntz"))
         frame.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
 

@@ -38,7 +38,7 @@ def rows(df, *columns):
 
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
-    store = Store(spark, str(tmp_path_factory.mktemp("warehouse")), buckets=2)
+    store = Store(spark, str(tmp_path_factory.mktemp("warehouse")), span=3)
     store.create()
     run = Run(store, sources(spark, DELIVERIES), SETTINGS)
     results = {result.table: result for result in run.everything()}

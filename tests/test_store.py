@@ -23,7 +23,7 @@ def rows(df, *columns):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    made = Store(spark, str(tmp_path), buckets=3)
+    made = Store(spark, str(tmp_path), span=10)
     made.create([USERS, EVENTS, "stg.srv_wf_settings", "stg.deliverysystem_couriers"])
     return made
 
@@ -61,27 +61,39 @@ def test_failed_write_leaves_the_old_version_and_can_be_repeated(spark, store, m
 
 
 def test_untouched_ranges_are_not_rewritten(spark, store):
-    span = TABLES[EVENTS].span
-    old = spark.createDataFrame([(1, AT, "t", "{}"), (span + 1, AT, "t", "{}")], EVENT)
+    old = spark.createDataFrame([(1, AT, "t", "{}"), (11, AT, "t", "{}")], EVENT)
     store.upsert(EVENTS, old, order=["event_ts"])
-    store.upsert(
-        EVENTS, spark.createDataFrame([(span + 2, AT, "t", "{}")], EVENT), order=["event_ts"]
-    )
-    commit = store.last_commit(TABLES[EVENTS])
-    assert commit.buckets == {0: 1, 1: 2}
+    new = spark.createDataFrame([(1, AT, "t", "{}"), (12, AT, "t", "{}")], EVENT)
+    result = store.upsert(EVENTS, new, order=["event_ts"])
+    assert (result.loaded, result.changed) == (2, 1)
+    assert store.last_commit(TABLES[EVENTS]).buckets == {0: 1, 1: 2}
     assert store.read(EVENTS).count() == 3
 
 
+def test_only_changed_rows_are_written(spark, store):
+    everyone = [(f"u{i:02d}", "1") for i in range(40)]
+    store.upsert(USERS, users(spark, *everyone))
+    assert store.last_commit(TABLES[USERS]).buckets == {0: 1, 1: 1, 2: 1, 3: 1, 4: 1}
+    assert store.upsert(USERS, users(spark, *everyone)).changed == 0
+    assert store.last_commit(TABLES[USERS]).version == 1
+    result = store.upsert(USERS, users(spark, ("u24", "2"), *everyone[25:], ("u99", "1")))
+    assert (result.loaded, result.changed) == (17, 2)
+    assert store.last_commit(TABLES[USERS]).buckets == {0: 1, 1: 1, 2: 2, 3: 1, 4: 2}
+    found = store.read(USERS)
+    assert sorted(row["id"] for row in found.collect()) == list(range(1, 42))
+    assert rows(found.filter("user_name = '2'"), "id", "user_id") == [(25, "u24")]
+
+
 def test_empty_batch_changes_nothing(spark, store):
     before = store.last_commit(TABLES[EVENTS])
     result = store.upsert(EVENTS, spark.createDataFrame([], EVENT), order=["event_ts"])
-    assert (result.received, result.rejected, result.loaded) == (0, 0, 0)
+    assert (result.received, result.rejected, result.loaded, result.changed) == (0, 0, 0, 0)
     assert store.last_commit(TABLES[EVENTS]) == before
 
 
-def test_bucket_count_stays_with_the_table(spark, store):
+def test_span_stays_with_the_table(spark, store):
     store.upsert(USERS, users(spark, *[(f"u{i}", "1") for i in range(20)]))
-    other = Store(spark, store.root, buckets=50)
+    other = Store(spark, store.root, span=7)
     other.upsert(USERS, users(spark, *[(f"u{i}", "2") for i in range(10, 30)]))
     found = other.read(USERS)
     assert found.count() == 30
