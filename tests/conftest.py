@@ -10,6 +10,8 @@ from larder.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("larder-tests", cores=8, shuffle_partitions=4)
+    session = local_session(
+        "larder-tests", cores=8, shuffle_partitions=2, settings={"spark.default.parallelism": "2"}
+    )
     yield session
     session.stop()
