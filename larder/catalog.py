@@ -15,6 +15,7 @@ from larder import demo, schemas
 from larder.functions.documents import (
     document,
     moment,
+    open_end,
     parsed,
     rounded_number,
     text,
@@ -790,6 +791,53 @@ def load_row_counts(spark, sf_dir):
 
 # -- warehouse and stream ------------------------------------------------------
 
+
+@query(f"""
+SELECT row_number() OVER (ORDER BY CAST(s_suppkey AS VARCHAR)) AS id,
+       CAST(s_suppkey AS VARCHAR) AS restaurant_id, s_name AS restaurant_name,
+       CASE WHEN s_acctbal < 0 THEN TIMESTAMP '{demo.LOAD_TS}'
+            ELSE TIMESTAMP '2024-01-01 00:00:00' END AS active_from,
+       TIMESTAMP '2099-12-31 00:00:00' AS active_to
+FROM supplier
+UNION ALL
+SELECT (SELECT count(*) FROM supplier)
+       + row_number() OVER (ORDER BY 'n' || CAST(n_nationkey AS VARCHAR)),
+       'n' || CAST(n_nationkey AS VARCHAR), n_name, TIMESTAMP '{demo.LOAD_TS}',
+       TIMESTAMP '2099-12-31 00:00:00'
+FROM nation
+""")
+def versioned_upsert(spark, sf_dir):
+    """Two set-based upserts into a fresh warehouse table.
+
+    The second brings all suppliers again, those in debt with a new start, and
+    the nations as new rows.
+    """
+    name = "dds.dm_restaurants"
+    suppliers = demo.table(spark, sf_dir, "supplier")
+    nations = demo.table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("n"), text("n_nationkey")).alias("restaurant_id"),
+        F.col("n_name").alias("restaurant_name"),
+        F.lit(demo.LOAD_TS).cast("timestamp_ntz").alias("active_from"),
+        open_end().alias("active_to"),
+    )
+
+    def restaurants(start):
+        return suppliers.select(
+            text("s_suppkey").alias("restaurant_id"),
+            F.col("s_name").alias("restaurant_name"),
+            start.cast("timestamp_ntz").alias("active_from"),
+            open_end().alias("active_to"),
+        )
+
+    first = F.lit("2024-01-01 00:00:00")
+    again = F.when(F.col("s_acctbal") < 0, F.lit(demo.LOAD_TS)).otherwise(first)
+    store = Store(spark, f"{shared_folder(spark)}/warehouse-{uuid4().hex}")
+    store.create([name])
+    store.upsert(name, restaurants(first))
+    store.upsert(name, restaurants(again).unionByName(nations))
+    return store.read(name)
+
+
 _EVENT = "id int, event_ts timestamp_ntz, event_type string, event_value string"
 
 

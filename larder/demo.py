@@ -19,7 +19,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.functions.calendar import calendar_parts
+from larder.functions.calendar import calendar_parts, second_number
 from larder.functions.documents import document, open_end, text
 from larder.operators import quality
 from larder.operators.merge import last_per_key
@@ -71,13 +71,13 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_custkey").alias("user_id"),
         F.pmod("o_orderkey", n).alias("restaurant_id"),
-        F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("timestamp_id"),
+        second_number(F.col("o_orderdate")).alias("timestamp_id"),
     )
 
 
 def timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("ts")).distinct()
-    return calendar_parts(days).withColumn("id", F.unix_seconds(F.col("ts").cast("timestamp")))
+    return calendar_parts(days).withColumn("id", second_number(F.col("ts")))
 
 
 def restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:

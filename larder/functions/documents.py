@@ -59,8 +59,14 @@ def moment(column: Column | str) -> Column:
 
 
 def to_second(column: Column) -> Column:
-    """A timestamp without its fraction of a second."""
-    return F.date_trunc("second", column).cast("timestamp_ntz")
+    """A timestamp without its fraction of a second, in any session time zone.
+
+    (date_trunc would pass through the session's zone, which has no name for
+    the hour that is skipped in spring.)
+    """
+    fraction = F.date_part(F.lit("SECOND"), column) - F.second(column)
+    zero = F.lit(0)
+    return column - F.make_dt_interval(zero, zero, zero, fraction)
 
 
 def open_end() -> Column:

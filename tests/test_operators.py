@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from larder.functions.calendar import calendar_parts, second_number
 from larder.functions.documents import document, moment, rebuilt, text, to_second, whole_number
 from larder.functions.money import PAY_TIERS, PayTier, half_away_int
 from larder.operators import merge, numbering, paging, quality
@@ -158,6 +159,24 @@ def test_moments(spark):
     assert tuple(row.first()) == (dt.datetime(2023, 3, 10, 10, 0, 7), None)
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_seconds_do_not_depend_on_the_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        # 02:30 on that day does not exist in New York.
+        frame = spark.sql("select '2023-03-12 02:30:07.999999' a").select(
+            to_second(moment("a")).alias("ts")
+        )
+        row = calendar_parts(frame).select("*", second_number(F.col("ts")).alias("n")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert row["ts"] == dt.datetime(2023, 3, 12, 2, 30, 7)
+    assert (row["year"], row["month"], row["day"], row["time"]) == (2023, 3, 12, "02:30:07")
+    assert row["date"] == dt.date(2023, 3, 12)
+    assert row["n"] == int(dt.datetime(2023, 3, 12, 2, 30, 7, tzinfo=dt.timezone.utc).timestamp())
+
+
 @pytest.mark.parametrize("value, cut, rounded", [("2.5", 2, 3), ("-2.5", -2, -3), ("4.4", 4, 4)])
 def test_number_casts(spark, value, cut, rounded):
     row = spark.range(1).select(
