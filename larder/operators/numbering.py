@@ -32,8 +32,8 @@ def number_rows(
     part = F.shiftright("_spot", _POSITION_BITS).cast("int")
     position = F.col("_spot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
 
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part")
-    counted = sizes.collect()
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
+    counted = sorted(sizes.collect())
     starts = accumulate((row["n"] for row in counted), initial=start + 1)
     # One row per partition, so the size of the broadcast is known.
     offsets = df.sparkSession.createDataFrame(
