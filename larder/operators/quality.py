@@ -22,10 +22,6 @@ def _limits(bounds: Mapping | None) -> dict:
     return {**BOUNDS, **(bounds or {})}
 
 
-def not_null_reasons(columns: list[str]) -> list[Column]:
-    return [F.when(F.col(name).isNull(), F.lit(f"null: {name}")) for name in columns]
-
-
 def check_reasons(table: Table, bounds: Mapping | None = None) -> list[Column]:
     limits = _limits(bounds)
     return [

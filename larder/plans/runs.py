@@ -64,8 +64,12 @@ class Run:
 
     # -- staging --------------------------------------------------------------
 
-    def _stage(self, target: str, batch: DataFrame, order: list[str]) -> LoadResult:
-        return self.store.upsert(target, batch, order=order, on_fail=self.settings.on_fail)
+    def _stage(
+        self, target: str, batch: DataFrame, order: list[str], watermark: str | None = None
+    ) -> LoadResult:
+        return self.store.upsert(
+            target, batch, order=order, on_fail=self.settings.on_fail, watermark=watermark
+        )
 
     def _stage_snapshot(
         self, source: str, target: str, workflow: str, make: Callable
@@ -89,16 +93,16 @@ class Run:
         workflow = "bonus_system_outbox"
         fresh = after_id(self.sources["outbox"], self.state.get(workflow, ID))
         batch = staging.bonus_events(fresh)
-        result = self._stage("stg.bonussystem_events", batch, ["event_ts", "event_value"])
-        self.state.advance(workflow, ID, fresh, "id")
+        result = self._stage("stg.bonussystem_events", batch, ["event_ts", "event_value"], "id")
+        self.state.advance(workflow, ID, result.watermark)
         return result
 
     def _stage_changed(
         self, source: str, target: str, workflow: str, make: Callable
     ) -> LoadResult:
         fresh = after_ts(self.sources[source], self.state.get(workflow, TS))
-        result = self._stage(target, make(fresh), ["update_ts", "object_value"])
-        self.state.advance(workflow, TS, fresh, "update_ts")
+        result = self._stage(target, make(fresh), ["update_ts", "object_value"], "update_ts")
+        self.state.advance(workflow, TS, result.watermark)
         return result
 
     def load_order_restaurants(self) -> LoadResult:

@@ -91,5 +91,4 @@ def delivery_documents(deliveries: DataFrame, load_ts: str) -> DataFrame:
         "tip_sum",
     )
     value = document(**{name: name for name in fields})
-    staged = _staged(deliveries, "order_id", value, F.lit(load_ts))
-    return staged
+    return _staged(deliveries, "order_id", value, F.lit(load_ts))

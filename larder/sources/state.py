@@ -53,8 +53,7 @@ class LoadState:
         with self._one_writer:
             self.store.upsert(self.table, row, order=["workflow_settings"])
 
-    def advance(self, workflow: str, kind: str, batch: DataFrame, column: str) -> None:
-        """Keep the highest value of a batch."""
-        value = batch_watermark(batch, kind, column).first()[0]
-        if value is not None:
-            self.save(workflow, kind, int(value) if kind == ID else value)
+    def advance(self, workflow: str, kind: str, watermark: str | None) -> None:
+        """Keep the watermark a load has reached (text, as in its result)."""
+        if watermark is not None:
+            self.save(workflow, kind, int(watermark) if kind == ID else watermark)

@@ -42,13 +42,18 @@ class Commit:
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Row counts of one load; ``changed`` are the loaded rows that were new or different."""
+    """Row counts of one load; ``changed`` are the loaded rows that were new or different.
+
+    ``watermark`` is the highest value of the watermark column among the rows
+    this load has read, not among what the source holds by now.
+    """
 
     table: str
     received: int
     rejected: int
     loaded: int
     changed: int
+    watermark: str | None = None
 
 
 class Store:
@@ -141,6 +146,7 @@ class Store:
         distinct: bool = False,
         on_fail: str = "quarantine",
         bounds: dict | None = None,
+        watermark: str | None = None,
     ) -> LoadResult:
         """Merge a batch into a table.
 
@@ -151,9 +157,9 @@ class Store:
         """
         table = TABLES[name]
         with scratch(self.spark):
-            return self._upsert(table, batch, order, distinct, on_fail, bounds)
+            return self._upsert(table, batch, order, distinct, on_fail, bounds, watermark)
 
-    def _upsert(self, table, batch, order, distinct, on_fail, bounds) -> LoadResult:
+    def _upsert(self, table, batch, order, distinct, on_fail, bounds, watermark) -> LoadResult:
         key = list(table.key)
         commit = self.last_commit(table)
         version = commit.version + 1
@@ -178,7 +184,10 @@ class Store:
             new, changed = self._rewrite(table, good, commit, new)
         if changed or refused:
             self._commit(table, new)
-        return LoadResult(table.name, seen.get["rows"], refused, loaded, changed)
+        highest = None
+        if watermark:
+            highest = flagged.agg(F.max(watermark).cast("string")).first()[0]
+        return LoadResult(table.name, seen.get["rows"], refused, loaded, changed, highest)
 
     def _without_conflicts(
         self, good: DataFrame, rejected: DataFrame, key: list[str], distinct: bool
@@ -244,7 +253,8 @@ class Store:
         rows = [tuple(asdict(result).values()) for result in results]
         frame = self.spark.createDataFrame(
             rows,
-            "table string, received bigint, rejected bigint, loaded bigint, changed bigint",
+            "table string, received bigint, rejected bigint, loaded bigint, changed bigint,"
+            " watermark string",
         ).withColumn("load_ts", F.lit(load_ts).cast("timestamp_ntz"))
         frame.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
 

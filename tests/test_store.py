@@ -116,10 +116,13 @@ def test_load_state(spark, store):
     state = LoadState(store)
     assert state.get("outbox", ID) == -1
     assert state.get("orders", TS) == "1900-01-01T00:00:00"
-    batch = spark.createDataFrame([(3, AT), (7, AT)], "id int, update_ts timestamp_ntz")
-    state.advance("outbox", ID, batch, "id")
-    state.advance("orders", TS, batch, "update_ts")
-    state.advance("outbox", ID, batch.filter("id > 10"), "id")
+    batch = spark.createDataFrame([(3, AT, "t", "{}"), (7, AT, "t", "{}")], EVENT)
+    loaded = store.upsert(EVENTS, batch, order=["event_ts"], watermark="id")
+    state.advance("outbox", ID, loaded.watermark)
+    state.save("orders", TS, "2024-01-01 00:00:00")
+    nothing = store.upsert(EVENTS, batch.filter("id > 10"), order=["event_ts"], watermark="id")
+    assert nothing.watermark is None
+    state.advance("outbox", ID, nothing.watermark)
     assert state.get("outbox", ID) == 7
     assert state.get("orders", TS) == "2024-01-01 00:00:00"
     kept = {row["workflow_key"]: json.loads(row["workflow_settings"])
@@ -136,6 +139,20 @@ def test_lost_state_is_harmless(spark, store):
     assert rows(store.read(EVENTS)) == before
 
 
+def test_watermark_is_that_of_the_rows_read(spark, store, tmp_path):
+    """Rows that arrive while a load is running are left to the next one."""
+    source = str(tmp_path / "outbox")
+    first = spark.createDataFrame([(1, AT, "t", "{}")], EVENT)
+    first.write.parquet(source)
+    batch = spark.read.schema(EVENT).parquet(source)
+    result = store.upsert(EVENTS, batch, order=["event_ts"], watermark="id")
+    late = spark.createDataFrame([(2, AT, "t", "{}")], EVENT)
+    late.write.mode("append").parquet(source)
+    assert result.watermark == "1"
+    fresh = spark.read.schema(EVENT).parquet(source).filter("id > 1")
+    assert store.upsert(EVENTS, fresh, order=["event_ts"], watermark="id").watermark == "2"
+
+
 def test_stream_reads_every_file_once(spark, store, tmp_path):
     landing, position = str(tmp_path / "landing"), str(tmp_path / "position")
     row = f"{EVENT}, arrival int"
