@@ -5,10 +5,11 @@ from oracle import connect, differences
 from pyspark.sql import DataFrame
 
 import __spark_entry__ as entry_file
+from larder.catalog import CATALOG
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_file.queries()
-SQL = entry_file.oracle_sql()
+QUERIES = {name: entry.run for name, entry in CATALOG.items()}
+SQL = {name: entry.sql for name, entry in CATALOG.items() if entry.sql}
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def tables():
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_file.queries()) and set(SQL) <= set(entry_file.oracle_sql())
 
 
 def test_entry(spark):
