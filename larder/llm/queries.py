@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan
+from . import decontaminate, license_scan, line_dedup
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -17,10 +17,22 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licenses(_read(spark, folder, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.report(_read(spark, folder, "documents"))
+
+
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.report(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
+    "op3_line_dedup": line_dedup.oracle(),
+    "op4_benchmark_decontamination": decontaminate.oracle(),
 }
