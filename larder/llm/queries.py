@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, license_scan, line_dedup
+from . import decontaminate, license_scan, line_dedup, suffix_dedup
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -25,14 +25,20 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.report(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.report(_read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
 }
 
 SQL: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
     "op3_line_dedup": line_dedup.oracle(),
     "op4_benchmark_decontamination": decontaminate.oracle(),
+    "op7_suffix_array_dedup": suffix_dedup.oracle(),
 }
