@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, license_scan, line_dedup, suffix_dedup
+from . import decontaminate, jaccard_join, license_scan, line_dedup, suffix_dedup
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.report(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join_components(_read(spark, folder, "documents"))
+
+
 def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.report(_read(spark, folder, "documents"))
 
@@ -33,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
 }
 
@@ -40,5 +45,6 @@ SQL: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
     "op3_line_dedup": line_dedup.oracle(),
     "op4_benchmark_decontamination": decontaminate.oracle(),
+    "op6_ngram_jaccard_join": jaccard_join.oracle(),
     "op7_suffix_array_dedup": suffix_dedup.oracle(),
 }

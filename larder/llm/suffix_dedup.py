@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from larder.session import pin
 
+from .rows import REF, with_ref
 from .textbytes import CHUNK_BYTES, MULTIPLIERS, SpanHashes, chunks, mix
 
 #: Bytes of a repeated string.
@@ -320,16 +321,6 @@ def _count(contexts: DataFrame, length: int) -> DataFrame:
     return windows.filter("weight = 1").join(repeated, ["a", "b"]).select("ref", "first", F.lit(1).cast("long").alias("n"))
 
 
-def with_refs(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and a ``ref`` that tells rows apart: the id, if it does."""
-    docs = docs.select("doc_id", "text")
-    if docs.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint"):
-        doubtful = docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL")
-        if doubtful.isEmpty():
-            return docs.withColumn("ref", F.col("doc_id").cast("long"))
-    return pin(docs.withColumn("ref", F.monotonically_increasing_id()))
-
-
 def repeated_starts(refs: DataFrame, length: int = LENGTH, gathered: int = GATHERED) -> DataFrame:
     """``ref``, ``first`` and ``n``: ranges of starts of strings that also start elsewhere."""
     gram = min(GRAM, length)
@@ -352,7 +343,7 @@ def repeated_starts(refs: DataFrame, length: int = LENGTH, gathered: int = GATHE
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gathered: int = GATHERED) -> DataFrame:
     """Per document ``doc_id``, ``n_bytes``, the removed ``spans`` of bytes (first, end) and the ``kept`` bytes."""
-    refs = with_refs(docs)
+    refs = with_ref(docs.select("doc_id", "text")).withColumnRenamed(REF, "ref")
     starts = repeated_starts(refs, length, gathered)
     ranges = starts.groupBy(F.col("ref").alias("_ref")).agg(F.collect_list(F.struct("first", "n")).alias("ranges"))
     joined = refs.join(ranges, refs["ref"] == F.col("_ref"), "left").select("doc_id", "text", "ranges")
