@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, html_text, jaccard_join, license_scan, line_dedup, suffix_dedup
+from . import chat_format, decontaminate, html_text, jaccard_join, license_scan, line_dedup, sentencepieces, suffix_dedup
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.report(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
 
 
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepieces.round_trip(_read(spark, folder, "documents"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.join_components(_read(spark, folder, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extraction": op2_html_extraction,
     "op3_line_dedup": op3_line_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op10_chat_formatting": op10_chat_formatting,
