@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from larder.session import pin
 
+from .shared import share, shared
 from .textbytes import MULTIPLIERS, WORD_PATTERN, SpanHashes, chunks, lower_table, word_spans, word_table
 
 #: Words of a phrase.
@@ -258,12 +259,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataF
 
 def _search(docs: DataFrame, phrases: Phrases, more: bool) -> DataFrame:
     """One block of phrases; adds to what earlier blocks have found."""
-    spark = docs.sparkSession
-    block = spark.sparkContext.broadcast(phrases)
+    block = share(docs.sparkSession, phrases)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        searcher = Searcher(block.value)
+        searcher = Searcher(shared(block))
         for batch in batches:
             rows: list[tuple] = []
             for _, _, data, offsets in chunks(batch.column("text"), SHARD_BYTES):
@@ -317,10 +317,10 @@ def drop_leaking(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Dat
     """The documents without any hit word, with all their columns."""
     kept = docs
     for phrases in _blocks(items, window):
-        block = docs.sparkSession.sparkContext.broadcast(phrases)
+        block = share(docs.sparkSession, phrases)
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(block.value)
+            searcher = Searcher(shared(block))
             for batch in batches:
                 clean: list[bool] = []
                 for _, _, data, offsets in chunks(batch.column("text"), SHARD_BYTES):

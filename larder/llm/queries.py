@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, decontaminate, html_text, jaccard_join, license_scan, line_dedup, sentencepieces, suffix_dedup
+from . import (
+    ann,
+    chat_format,
+    decontaminate,
+    html_text,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    quality,
+    sentencepieces,
+    suffix_dedup,
+)
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -41,6 +52,15 @@ def op7_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.report(_read(spark, folder, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(_read(spark, folder, "embeddings"))
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    return quality.judge(docs, quality.train(docs, quality.grades_of(_read(spark, folder, "labels"))))
+
+
 def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
@@ -56,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_chat_formatting": op10_chat_formatting,
 }
 

@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import share, shared
 from .textbytes import MULTIPLIERS, SpanHashes, chunks
 
 #: Path of the vocabulary that the query uses; any SentencePiece model without normalisation will do.
@@ -244,11 +245,11 @@ class Decoder:
 
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """``doc_id`` and ``ids`` of every document (``doc_id``, ``text``)."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(model))
+    vocabulary = share(docs.sparkSession, Vocabulary(model))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary.value)
+        encoder = Encoder(shared(vocabulary))
         for batch in batches:
             for row, end, data, offsets in chunks(batch.column("text")):
                 ids, bounds = encoder.texts(data, offsets)
@@ -260,11 +261,11 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """``doc_id``, ``ids`` and the ``text`` that the ids stand for; null ids are none."""
-    vocabulary = encoded.sparkSession.sparkContext.broadcast(Vocabulary(model))
+    vocabulary = share(encoded.sparkSession, Vocabulary(model))
     kind = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(vocabulary.value)
+        decoder = Decoder(shared(vocabulary))
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
