@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Lines of a window, and the characters that a window must exceed where no article is marked.
-WINDOW, THRESHOLD = 3, 80
+WINDOW, THRESHOLD = 3, 60
 
 #: Elements that start and end a line.
 BLOCKS = frozenset(

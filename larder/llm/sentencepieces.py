@@ -6,11 +6,21 @@ stands across such a place.  The distinct words of a batch are grouped by
 length (long ones padded to a common length); the words of a group advance
 together, one code point a step.  Substrings are looked up by hash among the
 sorted hashes of the pieces of their length, and a second hash confirms them.
-At every code point the best sum of scores over the pieces that end there is
-kept with a back pointer; of equal sums the longest last piece wins.  A code
-point that is no piece scores ``UNKNOWN`` below the lowest ordinary score and
-becomes the pieces of its bytes.  Scores are added as they are in the file,
-also for a file of the BPE kind, whose own merge order may cut words otherwise.
+At every code point the best of the pieces that end there is kept with a back
+pointer.
+
+* A unigram model ranks paths by the sum of scores; of equal sums the longest
+  last piece wins, and a code point that is no piece scores ``UNKNOWN`` below
+  the lowest ordinary score.
+* A BPE model allows a piece after another only if merging their letters by
+  falling score ends with just these two pieces.  Then exactly one piece can
+  end at a code point, and the path is the one that merging the whole word
+  gives.  Whether two pieces may follow each other is found by taking their
+  merges back, the latest first, for all open pairs together: no merge across
+  the border may come before the merge just taken back.
+
+Either gives the ids of the SentencePiece library.  A code point that is no
+piece becomes the pieces of its bytes.
 
 Decoding is exact: ids of byte pieces are bytes, a U+2581 of the text itself
 is encoded by its bytes.  Null and empty texts have no ids, and no ids decode
@@ -29,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import share, shared
-from .textbytes import MULTIPLIERS, SpanHashes, chunks
+from .textbytes import MULTIPLIERS, SpanHashes, chunks, mix
 
 #: Path of the vocabulary that the query uses; any SentencePiece model without normalisation will do.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -44,6 +54,9 @@ SPACE = 0x2581
 _OWN_SPACE = 0x110000  # a U+2581 of the text; above all code points, so no piece has it
 _PAD = 0x110001
 
+#: Bytes of text whose words are encoded together, each distinct word once.
+BATCH_BYTES = 4 << 20
+
 #: Up to this length words are grouped exactly, then lengths grow by a quarter.
 EXACT_LENGTHS = 24
 
@@ -71,6 +84,9 @@ class Vocabulary:
         ]
         self.byte_ids = np.full(256, -1, np.int32)
         self.surfaces: list[bytes] = [b""] * size
+        self.merges = model.trainer_spec.model_type == 2
+        if not self.merges and model.trainer_spec.model_type != 1:
+            raise ValueError(f"{path} is neither a unigram nor a BPE model")
         for k in range(size):
             if processor.is_byte(k):
                 value = int(pieces[k][1:-1], 16)
@@ -96,6 +112,129 @@ class Vocabulary:
             heads = np.zeros(1 << 16, bool)  # first 16 bits of the keys: most substrings end here
             heads[(first >> np.uint64(48)).astype(np.int64)] = True
             self.tables[n] = (first[order], second[order], ids[order], heads)
+        width = max(self.tables, default=1)
+        self.lengths = np.ones(size + 1, np.int64)  # of id -1: an unknown code point
+        self.points = np.full((size + 1, width), _PAD, np.uint32)
+        for k in plain_ids:
+            self.lengths[k] = len(pieces[k])
+            self.points[k, : len(pieces[k])] = np.frombuffer(pieces[k].encode("utf-32-le"), np.uint32)
+        # pieces that merging their own letters does not give are never the result of merging
+        self.stable = np.ones(size + 1, bool)
+
+
+class Merges:
+    """The order in which a BPE model merges."""
+
+    #: Pairs whose answer is remembered; a pair overwrites another one with the same place.
+    REMEMBERED = 1 << 20
+
+    def __init__(self, vocabulary: Vocabulary, found) -> None:
+        v = vocabulary
+        size = len(v.lengths)
+        own = np.concatenate([t[2] for t in v.tables.values()]).astype(np.int64)
+        order = own[np.argsort(-v.scores[own], kind="stable")]
+        #: Rank of the merge that makes a piece; -1 for single letters.
+        self.rank = np.full(size, -1, np.int64)
+        self.rank[order] = np.arange(len(order))
+        self.any_rank = self.rank.copy()
+        self.rank[v.lengths == 1] = -1
+        self.left, self.right = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        for n in np.unique(v.lengths[own]).tolist():
+            if n == 1:
+                continue
+            some = own[v.lengths[own] == n]
+            rows = v.points[some, :n]
+            ids = found(rows)
+            cuts = self._last_cuts(ids, len(some), n)
+            v.stable[some] = cuts > 0
+            for cut in range(1, n):
+                column = np.flatnonzero(cuts == cut)
+                self.left[some[column]], self.right[some[column]] = ids[cut][0][column], ids[n - cut][cut][column]
+        if (self.left < 0).any() or (self.right < 0).any():
+            raise ValueError("a letter of a piece is no piece")
+        # hashes of pieces that can be joined, and the sorted hashes of all pieces
+        self.raw, self.power, keys = [], [], []
+        for m in MULTIPLIERS:
+            powers = np.array([pow(m, k, 1 << 64) for k in range(v.points.shape[1] + 1)], np.uint64)
+            inside = np.arange(v.points.shape[1]) < v.lengths[:, None]
+            raw = np.where(inside, (v.points.astype(np.uint64) + np.uint64(1)) * powers[:-1], 0).sum(axis=1, dtype=np.uint64)
+            self.raw.append(raw)
+            self.power.append(powers[v.lengths])
+            keys.append(mix(raw + v.lengths.astype(np.uint64))[own])
+        at = np.argsort(keys[0])
+        self.keys, self.checks, self.joined = keys[0][at], keys[1][at], self.any_rank[own[at]]
+        self.lengths, self.widest = v.lengths, v.points.shape[1]
+        self.heads = np.zeros(1 << 18, bool)
+        self.heads[(self.keys >> np.uint64(46)).astype(np.int64)] = True
+        self.pairs, self.answers = np.full(self.REMEMBERED, -1, np.int64), np.zeros(self.REMEMBERED, bool)
+
+    def _last_cuts(self, ids: dict[int, np.ndarray], count: int, width: int) -> np.ndarray:
+        """Where the last two symbols of pieces meet if merging makes them whole, else 0."""
+        ranks = np.full((width + 1, width, count), np.iinfo(np.int64).max)
+        for n, found in ids.items():
+            if n > 1:
+                ranks[n, : width - n + 1] = np.where(found >= 0, self.any_rank[found], ranks[n, : width - n + 1])
+        ends = np.tile(np.arange(1, width + 1), (count, 1))
+        place, open_, cuts = np.arange(width), np.arange(count), np.zeros(count, np.int64)
+        while len(open_):
+            own = ends[open_]
+            after = np.where((own > 0) & (own < width), np.take_along_axis(own, np.minimum(own, width - 1), axis=1), 0)
+            rank = ranks[np.where(after > 0, after - place, 0), place, open_[:, None]]
+            best, row = rank.argmin(axis=1), np.arange(len(open_))
+            able = rank[row, best] < np.iinfo(np.int64).max
+            open_, row, best = open_[able], row[able], best[able]
+            cut, end = own[row, best], after[row, best]
+            cuts[open_] = np.where((best == 0) & (end == width), cut, 0)
+            ends[open_, cut] = 0
+            ends[open_, best] = end
+        return cuts
+
+    def across(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the piece that two pieces make, or the largest number."""
+        none = np.iinfo(np.int64).max
+        length = (self.lengths[left] + self.lengths[right]).astype(np.uint64)
+        hashes = mix(self.raw[0][left] + self.power[0][left] * self.raw[0][right] + length)
+        out = np.full(len(left), none)
+        near = np.flatnonzero(self.heads[(hashes >> np.uint64(46)).astype(np.int64)])
+        if len(near):
+            slot = np.searchsorted(self.keys, hashes[near])
+            slot[slot == len(self.keys)] = 0
+            same = self.keys[slot] == hashes[near]
+            near, slot = near[same], slot[same]
+            check = mix(self.raw[1][left[near]] + self.power[1][left[near]] * self.raw[1][right[near]] + length[near])
+            same = self.checks[slot] == check
+            out[near[same]] = self.joined[slot[same]]
+        return out
+
+    def _answer(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        good, open_ = np.zeros(len(left), bool), np.arange(len(left))
+        limit = np.full(len(left), np.iinfo(np.int64).max)
+        while len(open_):
+            early = self.across(left, right) < limit
+            whole = ~early & (self.rank[left] < 0) & (self.rank[right] < 0)
+            good[open_[whole]] = True
+            on = ~early & ~whole
+            open_, left, right = open_[on], left[on], right[on]
+            # of equal merges the left one comes first
+            from_left = self.rank[left] > self.rank[right]
+            limit = np.where(from_left, self.rank[left], self.rank[right] + 1)
+            left, right = np.where(from_left, self.right[left], left), np.where(from_left, right, self.left[right])
+        return good
+
+    def may_follow(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether pieces may follow pieces; an unknown code point (-1) merges with nothing."""
+        out = np.ones(len(before), bool)
+        known = np.flatnonzero((before >= 0) & (piece >= 0))
+        left, right = before[known], piece[known]
+        pairs = left * len(self.lengths) + right
+        place = (mix(pairs.view(np.uint64)) & np.uint64(self.REMEMBERED - 1)).astype(np.int64)
+        answer = self.answers[place]
+        new = np.flatnonzero(self.pairs[place] != pairs)
+        if len(new):
+            answer[new] = self._answer(left[new], right[new])
+            self.answers[place[new]], self.pairs[place[new]] = answer[new], pairs[new]
+        out[known] = answer
+        return out
 
 
 class Encoder:
@@ -103,40 +242,76 @@ class Encoder:
         self.vocabulary = vocabulary
         self.hashes = [SpanHashes(m) for m in MULTIPLIERS]
         self.word_hashes = [SpanHashes(m) for m in MULTIPLIERS]
+        self.merges = Merges(vocabulary, self.found) if vocabulary.merges else None
 
-    def group(self, words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Viterbi over words as rows of code points: word, place and id (-1: unknown) of every piece."""
-        v = self.vocabulary
+    def found(self, words: np.ndarray) -> dict[int, np.ndarray]:
+        """By length: the id of the piece at every place (row) of every word (column), or -1."""
         count, width = words.shape
-        first, second = (h.load(words.ravel()) for h in self.hashes)
-        base = np.arange(count) * width
-        ids = {1: np.full((width, count), -1, np.int32)}  # by length: the piece at every place of every word
-        for n, (keys, checks, piece_ids, heads) in v.tables.items():
-            if n > width:
-                break
-            starts = (np.arange(width - n + 1)[:, None] + base).ravel()
-            hashes = first.of(starts, starts + n)
+        second = self.hashes[1].load(words.ravel())
+        columns = words.T.astype(np.uint64) + np.uint64(1)
+        sums, power = np.zeros((width + 1, count), np.uint64), 1
+        ids = {1: np.full((width, count), -1, np.int32)}
+        for n in range(1, min(width, max(self.vocabulary.tables)) + 1):
+            # the hash of a substring from that of the one without its last code point
+            sums = sums[:-1] + columns[n - 1 :] * np.uint64(power)
+            power = power * MULTIPLIERS[0] % (1 << 64)
+            if n not in self.vocabulary.tables:
+                continue
+            keys, checks, piece_ids, heads = self.vocabulary.tables[n]
+            hashes = mix(sums.ravel() + np.uint64(n))
             hit = np.flatnonzero(heads[(hashes >> np.uint64(48)).astype(np.int64)])
             slot = np.searchsorted(keys, hashes[hit])
             slot[slot == len(keys)] = 0
             same = keys[slot] == hashes[hit]
             hit, slot = hit[same], slot[same]
-            same = checks[slot] == second.of(starts[hit], starts[hit] + n)
-            found = np.full(len(starts), -1, np.int32)
+            start = hit % count * width + hit // count
+            same = checks[slot] == second.of(start, start + n)
+            found = np.full(sums.size, -1, np.int32)
             found[hit[same]] = piece_ids[slot[same]]
             ids[n] = found.reshape(-1, count)
-        best = np.full((width + 1, count), -np.inf)
-        best[0] = 0.0
+        return ids
+
+    def follow(self, ids: dict[int, np.ndarray], back: np.ndarray, last: np.ndarray) -> None:
+        """Fill back pointers and pieces for a BPE model: of the pieces that end at a place, the one that may follow."""
+        v = self.vocabulary
+        sizes = sorted(ids, reverse=True)
+        for end in range(1, len(back)):
+            usable = [n for n in sizes if n <= end]
+            pieces = np.stack([ids[n][end - n] for n in usable])
+            able = (pieces >= 0) & v.stable[pieces]
+            able[-1] = True  # a single code point, known or not
+            open_ = np.arange(pieces.shape[1])
+            while len(open_):
+                choice = able[:, open_].argmax(axis=0)  # the longest not refused yet
+                piece = pieces[choice, open_].astype(np.int64)
+                n = np.array(usable)[choice]
+                start = end - n
+                good = (start == 0) | self.merges.may_follow(last[start, open_].astype(np.int64), piece)
+                good |= n == 1
+                back[end, open_[good]], last[end, open_[good]] = n[good], piece[good]
+                able[choice, open_] = False
+                open_ = open_[~good]
+
+    def group(self, words: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Viterbi over words as rows of code points: word, place and id (-1: unknown) of every piece."""
+        v = self.vocabulary
+        count, width = words.shape
+        ids = self.found(words)
         back = np.zeros((width + 1, count), np.int32)
         last = np.full((width + 1, count), -1, np.int32)
-        for end in range(1, width + 1):
-            for n in sorted((n for n in ids if n <= end), reverse=True):
-                piece = ids[n][end - n]
-                total = best[end - n] + (v.single_scores if n == 1 else v.piece_scores)[piece]
-                better = total > best[end]
-                np.copyto(best[end], total, where=better)
-                np.copyto(back[end], n, where=better)
-                np.copyto(last[end], piece, where=better)
+        if v.merges:
+            self.follow(ids, back, last)
+        else:
+            best = np.full((width + 1, count), -np.inf)
+            best[0] = 0.0
+            for end in range(1, width + 1):
+                for n in sorted((n for n in ids if n <= end), reverse=True):
+                    piece = ids[n][end - n]
+                    total = best[end - n] + (v.single_scores if n == 1 else v.piece_scores)[piece]
+                    better = total > best[end]
+                    np.copyto(best[end], total, where=better)
+                    np.copyto(back[end], n, where=better)
+                    np.copyto(last[end], piece, where=better)
         at, open_ = lengths.copy(), np.arange(count)
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(open_):
@@ -251,7 +426,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared(vocabulary))
         for batch in batches:
-            for row, end, data, offsets in chunks(batch.column("text")):
+            for row, end, data, offsets in chunks(batch.column("text"), BATCH_BYTES):
                 ids, bounds = encoder.texts(data, offsets)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, end - row), lists], names=["doc_id", "ids"])
