@@ -292,29 +292,29 @@ def oracle(phrases: dict[str, str] | None = None, templates: dict[str, str] | No
     places = []
     for phrase, label in phrases.items():
         same = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(words_of(phrase)))
-        places.append(f"SELECT doc_id, i - 1 AS place, '{label}' AS label FROM spread WHERE {same}")
+        places.append(f"SELECT copy, i - 1 AS place, '{label}' AS label FROM spread WHERE {same}")
     accepted = " UNION ALL ".join(
-        f"SELECT doc_id, '{label}' AS label FROM words WHERE regexp_matches(line, ' {pattern(parse(text))}')"
+        f"SELECT copy, '{label}' AS label FROM words WHERE regexp_matches(line, ' {pattern(parse(text))}')"
         for label, text in templates.items()
     )
     return f"""
     WITH words AS (
-      SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS line FROM (
-        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{WORD_PATTERN}') AS w
+      SELECT copy, doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS line FROM (
+        SELECT row_number() OVER () AS copy, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '{WORD_PATTERN}') AS w
         FROM documents)),
-    spread AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE contains(line, ' license ')),
+    spread AS (SELECT copy, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE contains(line, ' license ')),
     places AS ({" UNION ALL ".join(places)}),
     base AS (
-      SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word,
+      SELECT copy, count(*) AS n, min(place) AS first_word, max(place) AS last_word,
              string_agg(DISTINCT label, ',' ORDER BY label) AS labels
-      FROM places GROUP BY doc_id),
+      FROM places GROUP BY copy),
     accepted AS ({accepted}),
     named AS (
-      SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
-      FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM accepted) GROUP BY doc_id)
+      SELECT copy, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+      FROM (SELECT copy, label FROM places UNION SELECT copy, label FROM accepted) GROUP BY copy)
     SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base,
            CAST(b.first_word AS BIGINT) AS first_word, CAST(b.last_word AS BIGINT) AS last_word,
            coalesce(b.labels, '') AS base_labels, coalesce(n.labels, '') AS labels,
-           CASE WHEN d.doc_id IN (SELECT doc_id FROM accepted) THEN 1.0 WHEN b.n > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
-    FROM words d LEFT JOIN base b USING (doc_id) LEFT JOIN named n USING (doc_id)
+           CASE WHEN d.copy IN (SELECT copy FROM accepted) THEN 1.0 WHEN b.n > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+    FROM words d LEFT JOIN base b USING (copy) LEFT JOIN named n USING (copy)
     """
