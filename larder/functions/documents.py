@@ -43,11 +43,25 @@ def parsed(df: DataFrame, column: str, schema: str, into: str = "doc") -> DataFr
     return df.select("*", F.explode(F.array(F.from_json(F.col(column), schema))).alias(into))
 
 
+def documents_with(df: DataFrame, key: str, value: str, reason: str | Column) -> DataFrame:
+    """Documents that give no rows, with the reason; see ``quality.DOCUMENT``."""
+    found = F.lit(reason) if isinstance(reason, str) else reason
+    return df.select(text(key).alias("source_key"), F.col(value).alias("document"), F.array(found).alias("reasons"))
+
+
 def whole_number(column: Column) -> Column:
     """A number without its fraction, cut towards zero."""
     return F.call_function("div", column.try_cast("decimal(27,9)"), F.lit(1))
 
 
+def given_whole_number(column: Column) -> Column:
+    """A whole number out of a JSON value kept as variant: a number is cut, quoted text must be whole (else NULL)."""
+    plain = column.cast("string")
+    quoted = F.schema_of_variant(column) == "STRING"
+    whole = plain.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    return F.when(~quoted | whole, whole_number(plain))
+
+
 def rounded_number(column: Column) -> Column:
     """A number rounded to an integer, halves away from zero."""
     return column.try_cast("decimal(10,0)").try_cast("int")

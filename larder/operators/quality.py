@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,9 @@ from larder.schemas import BOUNDS, TABLES, ForeignKey, Table
 
 REASONS = "reasons"
 
+#: A source document that gave no rows: its key and its text.
+DOCUMENT = "source_key string, document string"
+
 
 class RejectedRows(ValueError):
     """Raised in ``abort`` mode when a batch has rows that break a rule."""
@@ -36,6 +39,14 @@ def length_reasons(lengths: Mapping[str, int]) -> list[Column]:
     ]
 
 
+def json_reasons(columns: Iterable[str]) -> list[Column]:
+    """Text that is no JSON, in columns that hold documents."""
+    return [
+        F.when(F.col(name).isNotNull() & F.try_parse_json(F.col(name)).isNull(), F.lit(f"json: {name}"))
+        for name in columns
+    ]
+
+
 def _largest(kind: str) -> tuple[Decimal, Decimal]:
     """The values from which a number, rounded to ``kind``, no longer fits."""
     if kind == "int":
@@ -77,7 +88,7 @@ def conform(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 
 def flag_rows(df: DataFrame, table: Table | str, bounds: Mapping | None = None) -> DataFrame:
-    """Row rules of a table: NOT NULL, CHECK, length and overflow, in one projection.
+    """Row rules of a table: NOT NULL, CHECK, length, JSON and overflow, in one projection.
 
     Overflow is judged on the values as they come, the other rules after the
     casts, as a database does.
@@ -95,7 +106,8 @@ def flag_rows(df: DataFrame, table: Table | str, bounds: Mapping | None = None)
         )
         for name in kinds
     ]
-    found = flag(typed, nulls + check_reasons(table, bounds) + length_reasons(table.lengths))
+    rules = nulls + check_reasons(table, bounds) + length_reasons(table.lengths)
+    found = flag(typed, rules + json_reasons(name for name in table.json if name in kinds))
     return found.withColumn(REASONS, F.concat("_overflow", REASONS)).drop("_overflow")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larder import schemas
 from larder.functions.calendar import calendar_parts
-from larder.functions.documents import moment, open_end, parsed, text, to_second
+from larder.functions.documents import documents_with, moment, open_end, parsed, text, to_second
 from larder.operators.lookup import resolve
 from larder.sources.readers import FIRST_ID, after_id, after_ts
 
@@ -79,6 +79,18 @@ def menu_items(staged: DataFrame) -> DataFrame:
     )
 
 
+def broken_menus(staged: DataFrame) -> DataFrame:
+    """Restaurants whose document has no menu; an empty menu is one."""
+    docs = parsed(after_ts(staged), "object_value", schemas.MENU)
+    return documents_with(docs.filter("doc.menu IS NULL"), "object_id", "object_value", "array: menu")
+
+
+def broken_orders(staged: DataFrame) -> DataFrame:
+    """Orders without a readable moment."""
+    docs = parsed(after_ts(staged), "object_value", schemas.ORDER)
+    return documents_with(docs.filter(moment("doc.date").isNull()), "object_id", "object_value", "time: date")
+
+
 def products(staged: DataFrame, dm_restaurants: DataFrame) -> DataFrame:
     """Menu entries with the key of their restaurant; unknown restaurants drop out."""
     return resolve(

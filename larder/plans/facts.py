@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder import schemas
-from larder.functions.documents import parsed, rounded_number, whole_number
+from larder.functions.documents import documents_with, given_whole_number, parsed, rounded_number
 from larder.operators.lookup import resolve
 from larder.sources.readers import after_ts
 
@@ -19,7 +19,7 @@ def payments(events: DataFrame) -> DataFrame:
     """One row per product payment of the bonus transactions."""
     chosen = after_ts(events, column="event_ts").filter(F.col("event_type") == PAYMENT_EVENT)
     docs = parsed(chosen, "event_value", schemas.PAYMENTS)
-    lines = docs.select(
+    lines = docs.filter("doc.order_id IS NOT NULL").select(
         F.col("doc.order_id").alias("order_source_id"),
         F.explode("doc.product_payments").alias("line"),
     )
@@ -29,10 +29,19 @@ def payments(events: DataFrame) -> DataFrame:
         F.col("line.price").try_cast("decimal(19,5)").alias("price"),
         rounded_number(F.col("line.quantity")).alias("count"),
         F.col("line.bonus_payment").try_cast("decimal(19,5)").alias("bonus_payment"),
-        whole_number(F.col("line.bonus_grant")).cast("decimal(19,5)").alias("bonus_grant"),
+        given_whole_number(F.col("line.bonus_grant")).cast("decimal(19,5)").alias("bonus_grant"),
     )
 
 
+def broken_payments(events: DataFrame) -> DataFrame:
+    """Bonus transactions without an order or without a list of payments; an empty list is one."""
+    chosen = after_ts(events, column="event_ts").filter(F.col("event_type") == PAYMENT_EVENT)
+    docs = parsed(chosen, "event_value", schemas.PAYMENTS)
+    reason = F.when(F.col("doc.product_payments").isNull(), "array: product_payments").otherwise("null: order_id")
+    lacking = docs.filter("doc.product_payments IS NULL OR doc.order_id IS NULL")
+    return documents_with(lacking, "id", "event_value", reason)
+
+
 def product_sales(
     events: DataFrame,
     dm_products: DataFrame,

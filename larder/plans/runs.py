@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.functions.documents import moment
+from larder.functions.documents import documents_with, moment
 from larder.plans import dimensions, facts, marts, staging
 from larder.sources.readers import after_id, after_ts, lookback
 from larder.sources.state import ID, TS, LoadState
@@ -24,6 +24,8 @@ class RunSettings:
 
     ``bounds`` overrides limits of the table rules, ``on_fail`` is ``abort`` to
     refuse a batch with a broken rule instead of setting its rows aside.
+    ``days`` is how far back deliveries are asked for: whole days before the
+    run date, ``None`` for all, as after a pause or for a first load.
     """
 
     load_ts: str
@@ -32,16 +34,22 @@ class RunSettings:
     on_fail: str = "quarantine"
     match_restaurant: bool = False
     bounds: Mapping = field(default_factory=dict)
+    days: int | None = 7
 
 
 @dataclass(frozen=True)
 class Load:
-    """A batch for one table and how it is merged."""
+    """A batch for one table and how it is merged.
+
+    ``broken`` are the documents that the batch has no rows of although they
+    should give some.
+    """
 
     target: str
     build: Callable[["Run"], DataFrame]
     order: tuple[str, ...] | None = None
     distinct: bool = False
+    broken: Callable[["Run"], DataFrame] | None = None
 
 
 class Run:
@@ -93,7 +101,8 @@ class Run:
         workflow = "bonus_system_outbox"
         fresh = after_id(self.sources["outbox"], self.state.get(workflow, ID))
         batch = staging.bonus_events(fresh)
-        result = self._stage("stg.bonussystem_events", batch, ["event_ts", "event_value"], "id")
+        order = ["event_ts", "event_value", "event_type"]
+        result = self._stage("stg.bonussystem_events", batch, order, "id")
         self.state.advance(workflow, ID, result.watermark)
         return result
 
@@ -132,16 +141,30 @@ class Run:
         return self._stage("stg.deliverysystem_couriers", batch, ["object_value"])
 
     def load_api_deliveries(self) -> LoadResult:
-        """Deliveries of the last seven days; the latest one of an order wins."""
+        """Deliveries of the last days (see ``RunSettings.days``); the latest one of an order wins.
+
+        A delivery without a readable time is set aside, one outside of the
+        days is counted as skipped.
+        """
         rows = self.sources["api_deliveries"].withColumn("_at", moment("delivery_ts"))
-        recent = lookback(rows, "_at", self.settings.run_date)
+        unread = staging.delivery_documents(rows.filter("_at IS NULL"), self.settings.load_ts)
+        recent = rows.filter("_at IS NOT NULL")
+        skipped = 0
+        if self.settings.days is not None:
+            chosen = lookback(recent, "_at", self.settings.run_date, self.settings.days)
+            skipped, recent = recent.count() - chosen.count(), chosen
         batch = staging.delivery_documents(recent, self.settings.load_ts)
         ordered = batch.withColumn(
             "delivery_ts", moment(F.get_json_object("object_value", "$.delivery_ts"))
         ).withColumn("delivery_id", F.get_json_object("object_value", "$.delivery_id"))
-        return self._stage(
-            "stg.deliverysystem_deliveries", ordered, ["delivery_ts", "delivery_id"]
+        result = self.store.upsert(
+            "stg.deliverysystem_deliveries",
+            ordered,
+            order=["delivery_ts", "delivery_id"],
+            on_fail=self.settings.on_fail,
+            broken=documents_with(unread, "object_id", "object_value", "time: delivery_ts"),
         )
+        return replace(result, received=result.received + skipped, skipped=skipped)
 
     def stage(self) -> list[LoadResult]:
         """The three source systems side by side, the loads of each in turn."""
@@ -161,6 +184,8 @@ class Run:
             distinct=load.distinct,
             on_fail=self.settings.on_fail,
             bounds=dict(self.settings.bounds),
+            broken=load.broken(self) if load.broken else None,
+            foreign=False,  # the keys come from lookups in the parents
         )
 
     def everything(self) -> list[LoadResult]:
@@ -218,6 +243,7 @@ _LOADS = (
         lambda run: dimensions.products(
             run.table("stg.ordersystem_restaurants"), run.table("dds.dm_restaurants")
         ),
+        broken=lambda run: dimensions.broken_menus(run.table("stg.ordersystem_restaurants")),
     ),
     Load(
         "dds.dm_orders",
@@ -228,6 +254,7 @@ _LOADS = (
             run.table("dds.dm_timestamps"),
         ),
         distinct=True,
+        broken=lambda run: dimensions.broken_orders(run.table("stg.ordersystem_orders")),
     ),
     Load(
         "dds.dm_deliveries",
@@ -246,6 +273,7 @@ _LOADS = (
             run.table("dds.dm_orders"),
             run.settings.match_restaurant,
         ),
+        broken=lambda run: facts.broken_payments(run.table("stg.bonussystem_events")),
     ),
     Load(
         "dds.fct_deliveries",

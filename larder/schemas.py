@@ -37,6 +37,7 @@ class Table:
     lengths: dict[str, int] = field(default_factory=dict)
     checks: dict[str, str] = field(default_factory=dict)
     foreign: tuple[ForeignKey, ...] = ()
+    json: tuple[str, ...] = ()
 
     @property
     def ddl(self) -> str:
@@ -63,6 +64,7 @@ def _documents(name: str, id_length: int | None) -> Table:
         },
         key=("object_id",),
         lengths={"object_id": id_length} if id_length else {},
+        json=("object_value",),
     )
 
 
@@ -71,6 +73,7 @@ def _load_state(name: str) -> Table:
         name,
         {"id": "bigint", "workflow_key": "string", "workflow_settings": "string"},
         key=("workflow_key",),
+        json=("workflow_settings",),
     )
 
 
@@ -104,6 +107,7 @@ _TABLES = [
         },
         key=("id",),
         surrogate=None,
+        json=("event_value",),
     ),
     _documents("stg.ordersystem_users", 2048),
     _documents("stg.ordersystem_orders", 2048),
@@ -328,5 +332,5 @@ DELIVERY = (
 )
 PAYMENTS = (
     "order_id string, product_payments array<struct<product_id string, price string,"
-    " quantity string, bonus_payment string, bonus_grant string>>"
+    " quantity string, bonus_payment string, bonus_grant variant>>"
 )

@@ -2,18 +2,24 @@
 
 Plain parquet has no MERGE.  A table is a set of buckets, ranges of its ``id``.
 A row keeps its id, so it stays in its bucket; new rows go to the newest ones.
-An upsert leaves out rows that are stored as they come, rewrites the buckets of
-the others under a new version folder and then appends one row to the table's
-list of commits.  Readers take the folders the last commit names, so a failed
-write is never seen and a repeated one overwrites itself.  One writer per table
-at a time.
+Beside the rows there is a narrow index of key, id and hash of the row, laid
+out by hash of the key: a batch is matched with the index parts of its keys
+alone, whatever the size of the table and the width of its rows.
+
+An upsert leaves out rows that are stored as they come, rewrites the buckets
+and index parts of the others under a new folder and then writes one small file
+named by the version.  Readers take the folders that the highest version names,
+so a failed write is never seen.  Folders that neither of the last two versions
+names are removed.  A second writer finds the file of its version there and is
+refused.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterable
-from dataclasses import asdict, dataclass, replace
+from dataclasses import asdict, dataclass, field, replace
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,31 +27,43 @@ from pyspark.sql import functions as F
 from larder.operators import merge, quality
 from larder.operators.numbering import number_rows
 from larder.schemas import TABLES, Table
-from larder.session import pin, scratch
+from larder.session import delete_folder, pin, scratch
 
-_COMMIT = "version bigint, span bigint, buckets string, max_id bigint"
+HASH, STAMP = "row_hash", "update_ts"
+
+
+class SecondWriter(RuntimeError):
+    """Raised when another writer has committed the version that a load was about to commit."""
 
 
 @dataclass(frozen=True)
 class Commit:
-    """What a version consists of: the version folder of every filled bucket.
+    """What a version consists of: the version that wrote every filled bucket and index part.
 
-    ``span`` is the range of ids of a bucket, fixed when the table is created;
-    ``max_id`` is the highest id handed out.
+    ``span`` is the range of ids of a bucket and ``parts`` the number of index
+    parts, both fixed when the table is created; ``max_id`` is the highest id
+    handed out, ``folders`` the folder of every version that is referred to.
     """
 
     version: int
     span: int
     buckets: dict[int, int]
     max_id: int
+    parts: int = 1
+    keys: dict[int, int] = field(default_factory=dict)
+    folders: dict[int, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """Row counts of one load; ``changed`` are the loaded rows that were new or different.
-
-    ``watermark`` is the highest value of the watermark column among the rows
-    this load has read, not among what the source holds by now.
+    """Row counts of one load: received = rejected + loaded + superseded.
+
+    ``superseded`` rows gave way to a later row of their key, in the batch or
+    in the table, or are one of several equal rows; ``changed`` are the loaded
+    rows that were new or different; ``skipped`` rows the source gave lie
+    outside of what the load asks for.  ``watermark`` is the highest value of
+    the watermark column among the rows this load has read, not among what the
+    source holds by now.
     """
 
     table: str
@@ -54,30 +72,57 @@ class LoadResult:
     loaded: int
     changed: int
     watermark: str | None = None
+    superseded: int = 0
+    skipped: int = 0
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, span: int = 1_000_000):
-        """``span`` rows make up a bucket; choose it so that a bucket has about 1 GB."""
+    def __init__(self, spark: SparkSession, root: str, span: int = 1_000_000, parts: int = 16):
+        """``span`` rows make up a bucket, choose it so that a bucket has about 1 GB; ``parts`` likewise for the index."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.span = span
+        self.parts = parts
 
     # -- layout ---------------------------------------------------------------
 
     def _commits_path(self, table: Table) -> str:
         return f"{self.root}/commits/{table.name}"
 
-    def _version_path(self, table: Table, version: int) -> str:
-        return f"{self.root}/data/{table.name}/version={version}"
+    def _data_path(self, table: Table) -> str:
+        return f"{self.root}/data/{table.name}"
 
-    def _rejected_path(self, table: Table, version: int) -> str:
-        return f"{self.root}/rejected/{table.name}/version={version}"
+    def _rejected_path(self, table: Table, version: int, kind: str = "rejected") -> str:
+        return f"{self.root}/{kind}/{table.name}/version={version}"
 
     @staticmethod
     def _bucket(commit: Commit) -> Column:
         return F.floor(F.col("id") / F.lit(commit.span)).cast("bigint")
 
+    @staticmethod
+    def _part(table: Table, commit: Commit) -> Column:
+        return F.pmod(F.xxhash64(*table.key), F.lit(commit.parts)).cast("int")
+
+    @staticmethod
+    def _index_ddl(table: Table) -> str:
+        columns = dict.fromkeys([*table.key, "id"])
+        ddl = ", ".join(f"{name} {table.columns[name]}" for name in columns)
+        return f"{ddl}, {HASH} binary" + (f", {STAMP} timestamp_ntz" if STAMP in table.columns else "")
+
+    # -- files ----------------------------------------------------------------
+
+    def _at(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+
+    def _has(self, path: str) -> bool:
+        system, target = self._at(path)
+        return system.exists(target)
+
+    def _names(self, path: str) -> list[str]:
+        system, target = self._at(path)
+        return [found.getPath().getName() for found in system.listStatus(target)] if system.exists(target) else []
+
     # -- commits --------------------------------------------------------------
 
     def create(self, tables: Iterable[str] = tuple(TABLES)) -> None:
@@ -85,27 +130,61 @@ class Store:
         for name in tables:
             table = TABLES[name]
             version = self.last_commit(table).version + 1 if self.exists(table) else 0
-            self._commit(table, Commit(version, self.span, {}, 0))
+            self._commit(table, Commit(version, self.span, {}, 0, self.parts))
 
-    def _has(self, path: str) -> bool:
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+    def _versions(self, table: Table) -> list[int]:
+        names = self._names(self._commits_path(table))
+        return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json") and name[0] != ".")
 
     def exists(self, table: Table) -> bool:
-        return self._has(self._commits_path(table))
+        return bool(self._versions(table))
+
+    def _read_commit(self, table: Table, version: int) -> Commit:
+        system, target = self._at(f"{self._commits_path(table)}/{version:012d}.json")
+        stream = system.open(target)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        values = json.loads(text)
+        for name in ("buckets", "keys", "folders"):
+            values[name] = {int(key): value for key, value in values[name].items()}
+        return Commit(**values)
 
     def last_commit(self, table: Table) -> Commit:
-        commits = self.spark.read.schema(_COMMIT).json(self._commits_path(table))
-        row = commits.orderBy(F.desc("version")).first()
-        buckets = {int(bucket): version for bucket, version in json.loads(row["buckets"]).items()}
-        return Commit(row["version"], row["span"], buckets, row["max_id"])
+        return self._read_commit(table, self._versions(table)[-1])
 
     def _commit(self, table: Table, commit: Commit) -> None:
-        values = {**asdict(commit), "buckets": json.dumps(commit.buckets)}
-        row = self.spark.range(0, 1, 1, 1).select(
-            *[F.lit(value).alias(name) for name, value in values.items()]
-        )
-        row.write.mode("append").json(self._commits_path(table))
+        system, target = self._at(f"{self._commits_path(table)}/{commit.version:012d}.json")
+        if system.exists(target):
+            raise SecondWriter(f"{table.name}: version {commit.version} is already there")
+        stream = system.create(target, False)  # fails if another writer was faster
+        stream.write(bytearray(json.dumps(asdict(commit)).encode()))
+        stream.close()
+        self._forget(table, commit)
+
+    def _forget(self, table: Table, commit: Commit) -> None:
+        """Remove what the last two versions do not name."""
+        versions = self._versions(table)
+        kept = [commit] + [self._read_commit(table, v) for v in versions[-2:-1]]
+        folders = {folder for one in kept for folder in one.folders.values()}
+        for folder in self._names(self._data_path(table)):
+            written = int(folder.split("-")[0].removeprefix("version="))
+            if folder not in folders and written <= commit.version:
+                delete_folder(self.spark, f"{self._data_path(table)}/{folder}")
+        for version in versions[:-2]:
+            old = self._read_commit(table, version)
+            for kind in ("buckets", "keys"):
+                live = {(item, one.folders[v]) for one in kept for item, v in getattr(one, kind).items()}
+                for item, v in getattr(old, kind).items():
+                    if (item, old.folders[v]) not in live and old.folders[v] in folders:
+                        delete_folder(self.spark, self._folder(table, old, kind, item))
+            delete_folder(self.spark, f"{self._commits_path(table)}/{version:012d}.json")
+
+    def _folder(self, table: Table, commit: Commit, kind: str, item: int) -> str:
+        version = getattr(commit, kind)[item]
+        name = {"buckets": "bucket", "keys": "part"}[kind]
+        return f"{self._data_path(table)}/{commit.folders[version]}/{kind}/{name}={item}"
 
     # -- reading --------------------------------------------------------------
 
@@ -114,24 +193,30 @@ class Store:
         return self._read(TABLES[name], self.last_commit(TABLES[name]))
 
     def _read(
-        self, table: Table, commit: Commit, only: Iterable[int] | None = None
+        self, table: Table, commit: Commit, only: Iterable[int] | None = None, kind: str = "buckets"
     ) -> DataFrame:
-        wanted = set(commit.buckets) if only is None else set(only) & set(commit.buckets)
-        paths = [
-            f"{self._version_path(table, commit.buckets[bucket])}/bucket={bucket}"
-            for bucket in sorted(wanted)
-        ]
+        filled = getattr(commit, kind)
+        wanted = set(filled) if only is None else set(only) & set(filled)
+        ddl = table.ddl if kind == "buckets" else self._index_ddl(table)
+        paths = [self._folder(table, commit, kind, item) for item in sorted(wanted)]
         if not paths:
-            return self.spark.createDataFrame([], table.ddl)
-        return self.spark.read.schema(table.ddl).parquet(*paths)
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).parquet(*paths)
 
     def rejected(self, name: str, version: int | None = None) -> DataFrame:
         """Rows the rules kept out of one version, with the reasons."""
         table = TABLES[name]
-        version = self.last_commit(table).version if version is None else version
         columns = ", ".join(f"{column} {table.columns[column]}" for column in table.payload)
+        return self._rejected(table, version, columns, "rejected")
+
+    def rejected_documents(self, name: str, version: int | None = None) -> DataFrame:
+        """Source documents of one version that gave no rows, with the reasons."""
+        return self._rejected(TABLES[name], version, quality.DOCUMENT, "rejected_documents")
+
+    def _rejected(self, table: Table, version: int | None, columns: str, kind: str) -> DataFrame:
+        version = self.last_commit(table).version if version is None else version
         ddl = f"{columns}, {quality.REASONS} array<string>"
-        path = self._rejected_path(table, version)
+        path = self._rejected_path(table, version, kind)
         if not self._has(path):
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).parquet(path)
@@ -147,106 +232,170 @@ class Store:
         on_fail: str = "quarantine",
         bounds: dict | None = None,
         watermark: str | None = None,
+        broken: DataFrame | None = None,
+        newest: bool = False,
+        foreign: bool = True,
     ) -> LoadResult:
         """Merge a batch into a table.
 
         With ``order`` a key may come several times and its last row wins.
         Without, it is a set-based upsert: such keys are in conflict, except
         for equal rows if ``distinct``.  Columns only used for the order are
-        dropped.
+        dropped.  ``broken`` are documents that gave no rows
+        (:data:`quality.DOCUMENT` and reasons); they count as received and
+        rejected.  With ``newest`` a row does not replace one with a later
+        ``update_ts``.  ``foreign`` checks foreign keys; rows made by lookups
+        in the parents need no check.
         """
         table = TABLES[name]
         with scratch(self.spark):
-            return self._upsert(table, batch, order, distinct, on_fail, bounds, watermark)
+            return self._upsert(
+                table, batch, order, distinct, on_fail, bounds, watermark, broken, newest and STAMP in table.columns, foreign
+            )
 
-    def _upsert(self, table, batch, order, distinct, on_fail, bounds, watermark) -> LoadResult:
+    def _upsert(self, table, batch, order, distinct, on_fail, bounds, watermark, broken, newest, foreign) -> LoadResult:
         key = list(table.key)
         commit = self.last_commit(table)
         version = commit.version + 1
-        seen = Observation()
+        seen, judged = Observation(), Observation()
         rows = batch.observe(seen, F.count("*").alias("rows"))
         if order:
             rows = merge.last_per_key(rows, key, order)
-        flagged = pin(quality.flag_rows(rows.select(*table.payload), table, bounds))
-
+        flagged = quality.flag_rows(rows.select(*table.payload), table, bounds)
+        for link in table.foreign if foreign else ():
+            parent = TABLES[link.parent]
+            if self.exists(parent):
+                flagged = quality.flag_orphans(flagged, link, self.read(parent.name))
+        flagged = flagged.withColumn("_slot", self._part(table, commit))
+        highest = F.max(watermark).cast("string") if watermark else F.lit(None).cast("string")
+        flagged = pin(
+            flagged.observe(
+                judged,
+                F.count("*").alias("rows"),
+                F.count_if(F.size(quality.REASONS) > 0).alias("refused"),
+                highest.alias("highest"),
+                F.collect_set("_slot").alias("parts"),
+            )
+        )
+        received, found = seen.get["rows"], judged.get
         good, rejected = quality.split(flagged)
+        rejected = rejected.drop("_slot")
+        refused, loaded = found["refused"], found["rows"] - found["refused"]
         if not order:
-            good, rejected = self._without_conflicts(good, rejected, key, distinct)
+            good, rejected, refused, loaded = self._without_conflicts(good, rejected, key, distinct, refused, loaded)
         if on_fail == "abort":
             quality.refuse(rejected, table.name)
-
-        refused, loaded = rejected.count(), good.count()
         if refused:
             rejected.write.mode("overwrite").parquet(self._rejected_path(table, version))
-        changed = 0
-        new = replace(commit, version=version)
+        documents = self._set_aside(table, broken, version, on_fail)
+
+        new, changed, stale = replace(commit, version=version), 0, 0
         if loaded:
-            new, changed = self._rewrite(table, good, commit, new)
-        if changed or refused:
+            new, changed, stale = self._rewrite(table, good, commit, new, found["parts"], newest)
+        if changed or refused or documents:
             self._commit(table, new)
-        highest = None
-        if watermark:
-            highest = flagged.agg(F.max(watermark).cast("string")).first()[0]
-        return LoadResult(table.name, seen.get["rows"], refused, loaded, changed, highest)
+        superseded = received - refused - loaded + stale
+        return LoadResult(
+            table.name, received + documents, refused + documents, loaded - stale, changed, found["highest"], superseded
+        )
+
+    def _set_aside(self, table: Table, broken: DataFrame | None, version: int, on_fail: str) -> int:
+        """Keep documents that gave no rows; their number."""
+        if broken is None:
+            return 0
+        if on_fail == "abort":
+            quality.refuse(broken, table.name)
+        seen, path = Observation(), self._rejected_path(table, version, "rejected_documents")
+        broken.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").parquet(path)
+        return seen.get["rows"]
 
     def _without_conflicts(
-        self, good: DataFrame, rejected: DataFrame, key: list[str], distinct: bool
-    ) -> tuple[DataFrame, DataFrame]:
-        repeated = pin(merge.copies_per_key(good, key))
-        if repeated.isEmpty():
-            return good, rejected
+        self, good: DataFrame, rejected: DataFrame, key: list[str], distinct: bool, refused: int, loaded: int
+    ) -> tuple[DataFrame, DataFrame, int, int]:
+        seen = Observation()
+        repeated = pin(merge.copies_per_key(good, key).observe(seen, F.count("*").alias("keys")))
+        if not seen.get["keys"]:
+            return good, rejected, refused, loaded
         good, conflicts = merge.split_conflicts(good, key, distinct, repeated)
         reason = F.array(F.lit(f"duplicate key: {', '.join(key)}"))
-        rejected = rejected.unionByName(conflicts.withColumn(quality.REASONS, reason))
-        return pin(good), pin(rejected)
+        rejected = rejected.unionByName(conflicts.drop("_slot").withColumn(quality.REASONS, reason))
+        kept, bad = Observation(), Observation()
+        good = pin(good.observe(kept, F.count("*").alias("rows")))
+        rejected = pin(rejected.observe(bad, F.count("*").alias("rows")))
+        return good, rejected, bad.get["rows"], kept.get["rows"]
 
     def _rewrite(
-        self, table: Table, good: DataFrame, commit: Commit, new: Commit
-    ) -> tuple[Commit, int]:
-        """Write the buckets of new and changed rows; the new commit and their number."""
-        incoming = pin(
-            self._numbered(table, good, commit)
-            .select(*table.columns)
-            .withColumn("bucket", self._bucket(commit))
-        )
+        self, table: Table, good: DataFrame, commit: Commit, new: Commit, parts: list[int], newest: bool
+    ) -> tuple[Commit, int, int]:
+        """Write what new and changed rows touch: the new commit, their number, and that of rows older than the stored ones."""
+        rows, stale = self._numbered(table, good, commit, parts, newest)
+        if rows is None:
+            return new, 0, stale
+        incoming = pin(rows.withColumn("bucket", self._bucket(commit)))
         counts = incoming.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.max("id").alias("max_id")
+            F.count("*").alias("n"), F.max("id").alias("max_id"), F.collect_set("_slot").alias("parts")
         ).collect()  # one row per bucket
         if not counts:
-            return new, 0
+            return new, 0, stale
         touched = {row["bucket"] for row in counts}
+        touched_parts = {part for row in counts for part in row["parts"]}
+        folder = f"version={new.version}-{uuid4().hex[:8]}"
+        path = f"{self._data_path(table)}/{folder}"
         current = self._read(table, commit, only=touched)
-        rows = merge.merge_rows(current, incoming.drop("bucket"), ["id"])
-        (
-            rows.withColumn("bucket", self._bucket(commit))
-            # One bucket per task, large buckets split by their measured size.
-            .hint("rebalance", "bucket")
-            .write.mode("overwrite")
-            .partitionBy("bucket")
-            .parquet(self._version_path(table, new.version))
-        )
+        merged = merge.merge_rows(current, incoming.select(*table.columns), ["id"])
+        # One bucket per task, large buckets split by their measured size.
+        merged = merged.withColumn("bucket", self._bucket(commit)).hint("rebalance", "bucket")
+        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/buckets")
+        index = self._read(table, commit, only=touched_parts, kind="keys")
+        merged = merge.merge_rows(index, incoming.select(*index.columns), list(table.key))
+        merged = merged.withColumn("part", self._part(table, commit)).hint("rebalance", "part")
+        merged.write.mode("overwrite").partitionBy("part").parquet(f"{path}/keys")
         buckets = {**commit.buckets, **{bucket: new.version for bucket in touched}}
+        keys = {**commit.keys, **{part: new.version for part in touched_parts}}
+        used = {*buckets.values(), *keys.values()}
+        folders = {v: f for v, f in {**commit.folders, new.version: folder}.items() if v in used}
         max_id = max(commit.max_id, *[row["max_id"] for row in counts])
-        return replace(new, buckets=buckets, max_id=max_id), sum(row["n"] for row in counts)
+        new = replace(new, buckets=buckets, keys=keys, folders=folders, max_id=max_id)
+        return new, sum(row["n"] for row in counts), stale
 
-    def _numbered(self, table: Table, good: DataFrame, commit: Commit) -> DataFrame:
-        """New and changed rows with their ids."""
+    def _numbered(
+        self, table: Table, good: DataFrame, commit: Commit, parts: list[int], newest: bool
+    ) -> tuple[DataFrame | None, int]:
+        """New and changed rows with their ids and hashes, and how many rows are older than the stored ones."""
         key = list(table.key)
-        if table.surrogate:
-            if not commit.buckets:
-                return number_rows(good, key, start=commit.max_id, into=table.surrogate)
-            return merge.with_surrogate(
-                good,
-                self._read(table, commit),
-                key,
-                table.surrogate,
-                start=commit.max_id,
-                only_changed=True,
-            )
-        buckets = good.select(self._bucket(commit).alias("bucket")).distinct().collect()
-        current = self._read(table, commit, only={row["bucket"] for row in buckets})
-        same = merge.match_rows(good, current, key, None).filter("not changed")
-        return good.join(same, key, "left_anti")
+        content = F.to_json(F.struct(*table.payload), {"ignoreNullFields": "false"})
+        good = good.withColumn(HASH, F.unhex(F.sha2(content, 256)))
+        if not commit.keys:
+            if table.surrogate:
+                return number_rows(good, key, start=commit.max_id, into="id"), 0
+            return good, 0
+        index = self._read(table, commit, only=parts, kind="keys")
+        stored = [F.col("id").alias("_id"), F.col(HASH).alias("_hash")]
+        if newest:
+            stored.append(F.col(STAMP).alias("_stamp"))
+        matched = good.join(index.select(*key, *stored), key, "left")
+        late = F.coalesce(F.col("_stamp") > F.col(STAMP), F.lit(False)) if newest else F.lit(False)
+        fresh = F.col("_id").isNull()
+        state = F.when(fresh, "new").when(late, "stale").when(F.col("_hash") == F.col(HASH), "same").otherwise("changed")
+        seen = Observation()
+        matched = matched.withColumn("_state", state).observe(
+            seen, *[F.count_if(F.col("_state") == name).alias(name) for name in ("new", "stale", "changed")]
+        )
+        matched = pin(matched)
+        counts = seen.get
+        columns = [*table.columns, HASH, "_slot"]
+        found = []
+        if counts["changed"]:
+            known = matched.filter("_state = 'changed'")
+            found.append((known.withColumn("id", F.col("_id")) if table.surrogate else known).select(*columns))
+        if counts["new"]:
+            rows = matched.filter("_state = 'new'").drop("_id")
+            if table.surrogate:
+                rows = number_rows(rows, key, start=commit.max_id, into="id")
+            found.append(rows.select(*columns))
+        if not found:
+            return None, counts["stale"]
+        return (found[0] if len(found) == 1 else found[0].unionByName(found[1])), counts["stale"]
 
     def record(self, results: Iterable[LoadResult], load_ts: str) -> None:
         """Append the row counts of a run to the list of loads."""
@@ -254,7 +403,7 @@ class Store:
         frame = self.spark.createDataFrame(
             rows,
             "table string, received bigint, rejected bigint, loaded bigint, changed bigint,"
-            " watermark string",
+            " watermark string, superseded bigint, skipped bigint",
         ).withColumn("load_ts", F.lit(load_ts).cast("timestamp_ntz"))
         frame.coalesce(1).write.mode("append").parquet(f"{self.root}/loads")
 

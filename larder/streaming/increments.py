@@ -43,15 +43,19 @@ def stream_upsert(
     checkpoint: str,
     stage: Callable[[DataFrame], DataFrame] | None = None,
     on_fail: str = "quarantine",
+    newest: bool = True,
 ) -> StreamingQuery:
     """Upsert everything new into ``table`` and stop.
 
     ``checkpoint`` must lie on storage that outlives the job.  ``stage`` shapes
-    the rows of a batch into the table's columns.
+    the rows of a batch into the table's columns.  Files may arrive late: with
+    ``newest`` a row does not replace one with a later ``update_ts``, in tables
+    that have it.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        store.upsert(table, stage(batch) if stage else batch, order=order, on_fail=on_fail)
+        rows = stage(batch) if stage else batch
+        store.upsert(table, rows, order=order, on_fail=on_fail, newest=newest)
 
     return (
         stream.writeStream.foreachBatch(merge)
