@@ -51,6 +51,9 @@ BLOCK, BUCKET_ROWS = 2048, 100
 #: Cells per direction that a data set covers, for the number of directions.
 SPREAD = 5.0
 
+#: Neighbours found that a task merges before it passes them on.
+MERGED = 2_000_000
+
 #: Queries that are compared with all rows in one pass.
 EXACT_QUERIES = 1024
 
@@ -221,13 +224,27 @@ def _probes(tables: Tables, queries: DataFrame) -> DataFrame:
 
 
 def _compare(k: int):
-    """Rows in order of (bucket, part, query): the ``k`` nearest in the part of every query that visits it."""
+    """Rows in order of (bucket, part, query): of every query the ``k`` nearest in all buckets of the task that it visits."""
+
+    def merged(found: list[tuple]) -> pa.RecordBatch:
+        """One row per query and id, and no more than ``k`` per query."""
+        if not found:
+            return _found(found)
+        queries, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((scores, ids, queries))
+        queries, ids, scores = queries[order], ids[order], scores[order]
+        first = np.concatenate(([True], (queries[1:] != queries[:-1]) | (ids[1:] != ids[:-1])))
+        queries, ids, scores = queries[first], ids[first], scores[first]
+        order = np.lexsort((ids, scores, queries))
+        queries, ids, scores = queries[order], ids[order], scores[order]
+        near = np.arange(len(queries)) - np.searchsorted(queries, queries) < k
+        return _found([(queries[near], ids[near], scores[near])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows, ids = None, [], []
-        points = all_ids = None
+        points = all_ids = distinct = None
+        found: list[tuple] = []
         for batch in batches:
-            found: list[tuple] = []
             matrix, own = _matrix(batch.column("embedding")), batch.column("vec_id").to_numpy()
             keys = np.stack([batch.column(c).to_numpy() for c in ("bucket", "part")], axis=1)
             asks = batch.column("query").to_numpy()
@@ -242,13 +259,17 @@ def _compare(k: int):
                 if points is None:
                     points = np.concatenate(rows) if rows else np.zeros((0, matrix.shape[1]))
                     all_ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+                    distinct = len(np.unique(all_ids)) == len(all_ids)
                 for q in range(a, b):
                     other = np.flatnonzero(all_ids != own[q])
                     score = _distances(matrix[q], points[other])
-                    # the same id may come twice; then its rows fill more than one place
-                    near = other[_best(score, all_ids[other], k)] if len(np.unique(all_ids)) == len(all_ids) else other
-                    found.append((np.full(len(near), own[q]), all_ids[near], _distances(matrix[q], points[near])))
-            yield _found(found)
+                    # if an id comes twice, its rows fill more than one place
+                    near = _best(score, all_ids[other], k) if distinct else np.arange(len(other))
+                    found.append((np.full(len(near), own[q]), all_ids[other[near]], score[near]))
+            if sum(len(f[0]) for f in found) > MERGED:
+                yield merged(found)
+                found = []
+        yield merged(found)
 
     return run
 
