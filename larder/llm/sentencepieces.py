@@ -31,6 +31,7 @@ are ignored.  A text, however long, is encoded whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +55,8 @@ SPACE = 0x2581
 _OWN_SPACE = 0x110000  # a U+2581 of the text; above all code points, so no piece has it
 _PAD = 0x110001
 
-#: Bytes of text whose words are encoded together, each distinct word once.
-BATCH_BYTES = 4 << 20
+#: Bytes of text that are cut into words at a time, and whose words are encoded together, each distinct word once.
+CUT_BYTES, BATCH_BYTES = 1 << 20, 12 << 20
 
 #: Up to this length words are grouped exactly, then lengths grow by a quarter.
 EXACT_LENGTHS = 24
@@ -237,6 +238,18 @@ class Merges:
         return out
 
 
+@dataclass
+class Words:
+    """The distinct words of some texts: code points one word after the other, lengths, hashes; and the texts as words."""
+
+    points: np.ndarray
+    lengths: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    which: np.ndarray
+    bounds: np.ndarray
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
@@ -362,8 +375,8 @@ class Encoder:
         total = np.bincount(np.repeat(word, counts), minlength=len(starts))
         return ids, np.concatenate(([0], np.cumsum(total)))
 
-    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts, one after the other, and where each text's ids start."""
+    def cut(self, data: np.ndarray, offsets: np.ndarray) -> Words:
+        """The words of texts."""
         plain = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
         marks = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[offsets]
         filled = np.diff(marks) > 0
@@ -375,28 +388,52 @@ class Encoder:
         is_text[front] = False
         points[is_text] = np.where(plain == SPACE, _OWN_SPACE, np.where(plain == 0x20, SPACE, plain))
         points[front] = SPACE
-        if not len(points):
-            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         opens = np.zeros(len(points), bool)
         if self.vocabulary.cuts:
             gap = points == SPACE
             opens[1:] = gap[1:] & ~gap[:-1]
         opens[front] = True
         starts = np.flatnonzero(opens)
-        ends = np.append(starts[1:], len(points))
-        first, second = (h.load(points).of(starts, ends) for h in self.word_hashes)
-        order = np.lexsort((second, first))
-        new = np.ones(len(order), bool)
-        new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
-        which = np.empty(len(order), np.int64)
-        which[order] = np.cumsum(new) - 1
-        distinct = order[new]
-        ids, bounds = self.words(points, starts[distinct], (ends - starts)[distinct])
-        counts = np.diff(bounds)[which]
-        ends_ = np.cumsum(counts)
-        ids = ids[np.arange(int(ends_[-1])) + np.repeat(bounds[which] - ends_ + counts, counts)]
-        word_bounds = np.searchsorted(starts, marks + shift)
-        return ids, np.concatenate(([0], ends_))[word_bounds]
+        lengths = np.diff(np.append(starts, len(points)))
+        first, second = (h.load(points).of(starts, starts + lengths) for h in self.word_hashes)
+        distinct, which = _distinct(first, second)
+        ends = np.cumsum(lengths[distinct])
+        own = points[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[distinct] - ends + lengths[distinct], lengths[distinct])]
+        return Words(own, lengths[distinct], first[distinct], second[distinct], which, np.searchsorted(starts, marks + shift))
+
+    def encode(self, many: list[Words]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each of several batches the ids of its texts, one after the other, and where each text's begin."""
+        lengths = np.concatenate([w.lengths for w in many])
+        if not len(lengths):
+            yield from ((np.zeros(0, np.int32), np.zeros(len(w.bounds), np.int64)) for w in many)
+            return
+        points = np.concatenate([w.points for w in many])
+        starts = np.cumsum(lengths) - lengths
+        distinct, which = _distinct(np.concatenate([w.first for w in many]), np.concatenate([w.second for w in many]))
+        ids, bounds = self.words(points, starts[distinct], lengths[distinct])
+        before = 0
+        for w in many:
+            word = which[before : before + len(w.lengths)][w.which]
+            before += len(w.lengths)
+            counts = np.diff(bounds)[word]
+            ends = np.cumsum(counts)
+            total = int(ends[-1]) if len(ends) else 0
+            own = ids[np.arange(total) + np.repeat(bounds[word] - ends + counts, counts)]
+            yield own, np.concatenate(([0], ends))[w.bounds]
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, one after the other, and where each text's begin."""
+        return next(self.encode([self.cut(data, offsets)]))
+
+
+def _distinct(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of every distinct pair, and for every pair the number of its place."""
+    order = np.lexsort((second, first))
+    new = np.ones(len(order), bool)
+    new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
 
 
 class Decoder:
@@ -426,10 +463,23 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared(vocabulary))
         for batch in batches:
-            for row, end, data, offsets in chunks(batch.column("text"), BATCH_BYTES):
-                ids, bounds = encoder.texts(data, offsets)
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, end - row), lists], names=["doc_id", "ids"])
+            held: list[tuple[int, int, Words]] = []
+            size = 0
+
+            def flush(batch=batch) -> Iterator[pa.RecordBatch]:
+                for (row, end, _), (ids, bounds) in zip(held, encoder.encode([h[2] for h in held]), strict=True):
+                    lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, end - row), lists], names=["doc_id", "ids"])
+                held.clear()
+
+            for row, end, data, offsets in chunks(batch.column("text"), CUT_BYTES):
+                held.append((row, end, encoder.cut(data, offsets)))
+                size += len(data)
+                if size >= BATCH_BYTES:
+                    yield from flush()
+                    size = 0
+            if held:
+                yield from flush()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
