@@ -25,6 +25,7 @@ from larder.functions.documents import (
 from larder.functions.money import tiered_pay
 from larder.operators import merge, paging, quality
 from larder.plans import dimensions, facts, marts
+from larder.plans.runs import LOADS, Run, RunSettings
 from larder.schemas import TABLES
 from larder.session import pin, shared_folder
 from larder.sources import readers, state
@@ -425,6 +426,23 @@ _SALE_COLUMNS = (
 )
 
 
+@query(f"""
+{_SALES_CTES}
+SELECT {_SALE_COLUMNS}
+FROM payments s
+JOIN dm_orders o ON o.order_key = s.order_source_id AND o.order_status = 'CLOSED'
+JOIN dm_products p ON p.product_id = s.product_source_id
+QUALIFY count(*) OVER (PARTITION BY p.id, o.id) > 1
+""")
+def fact_product_sales_conflicts(spark, sf_dir):
+    """Sales whose order and product come several times; a load sets them aside."""
+    market = demo.Market(spark, sf_dir)
+    rows = facts.product_sales(market.staged_events, market.dm_products, market.dm_orders)
+    batch = pin(typed(rows, "dds.fct_product_sales"))
+    _, conflicts = merge.split_conflicts(batch, list(TABLES["dds.fct_product_sales"].key))
+    return conflicts
+
+
 @query(f"""
 {_SALES_CTES}
 SELECT {_SALE_COLUMNS}
@@ -548,8 +566,18 @@ SELECT p_partkey, p_name, (n - 1) // 50 AS page_no, (n - 1) % 50 + 1 AS place
 FROM (SELECT p_partkey, p_name, row_number() OVER (ORDER BY p_name, p_partkey) AS n FROM part)
 """)
 def pages_union(spark, sf_dir):
+    """Pages of parts written as JSON arrays, one file each, and united by reading the folder."""
     parts = demo.table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    return paging.pages(parts, ["p_name", "p_partkey"], 50)
+    numbered = paging.pages(parts, ["p_name", "p_partkey"], 50)
+    row = F.struct(F.col("place"), F.col("p_partkey"), F.col("p_name"), F.col("page_no"))
+    arrays = numbered.groupBy("page_no").agg(F.to_json(F.sort_array(F.collect_list(row))).alias("value"))
+    folder = f"{shared_folder(spark)}/pages-{uuid4().hex}"
+    # a page is one file: as many partitions as pages
+    pages = arrays.repartition(arrays.count() or 1, "page_no").select("page_no", "value")
+    pages.write.partitionBy("page_no").text(folder)
+    schema = "place bigint, p_partkey bigint, p_name string, page_no bigint"
+    found = readers.landed_pages(f"{folder}/*/*.txt", schema).load(spark)
+    return found.select("p_partkey", "p_name", "page_no", "place")
 
 
 # -- documents -----------------------------------------------------------------
@@ -682,7 +710,8 @@ def upsert_conflicts(spark, sf_dir):
 SELECT event_type AS workflow_key, max(event_id) AS latest_loaded_id FROM events GROUP BY 1
 """)
 def checkpoint_max_id(spark, sf_dir):
-    return _states(spark, sf_dir, state.ID, "event_id").select(
+    """Watermarks of one load per event type, as the store keeps them."""
+    return _watermarks(spark, sf_dir, state.ID, "id").select(
         "workflow_key",
         F.get_json_object("workflow_settings", "$.latest_loaded_id")
         .cast("bigint")
@@ -694,7 +723,7 @@ def checkpoint_max_id(spark, sf_dir):
 SELECT event_type AS workflow_key, max(ts) AS latest_loaded_ts FROM events GROUP BY 1
 """)
 def checkpoint_max_ts(spark, sf_dir):
-    return _states(spark, sf_dir, state.TS, "ts").select(
+    return _watermarks(spark, sf_dir, state.TS, "event_ts").select(
         "workflow_key",
         moment(F.get_json_object("workflow_settings", "$.latest_loaded_ts")).alias(
             "latest_loaded_ts"
@@ -709,7 +738,8 @@ UNION ALL SELECT 'refund', '-1'
 UNION ALL SELECT 'signup', CAST(max(event_id) AS VARCHAR) FROM events WHERE event_type = 'signup'
 """)
 def checkpoint_default(spark, sf_dir):
-    settings = _states(spark, sf_dir, state.ID, "event_id")
+    """What a load is told to start after: the stored watermark, or the default where there is none."""
+    settings = _watermarks(spark, sf_dir, state.ID, "id", ("purchase", "signup"))
     found = [
         state.settings_value(settings, workflow, state.ID)
         for workflow in ("purchase", "refund", "signup")
@@ -717,15 +747,29 @@ def checkpoint_default(spark, sf_dir):
     return reduce(DataFrame.unionByName, found)
 
 
-def _states(spark: SparkSession, sf_dir: str, kind: str, column: str) -> DataFrame:
-    """Load states as if every event type was a workflow of its own."""
-    highest = (
-        demo.table(spark, sf_dir, "events")
-        .groupBy(F.col("event_type").alias("workflow_key"))
-        .agg(F.max(column).alias("highest"))
+def _outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return demo.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("int").alias("id"),
+        F.col("ts").alias("event_ts"),
+        "event_type",
+        F.col("props").alias("event_value"),
     )
-    value = "highest" if kind == state.ID else text("highest")
-    return highest.select("workflow_key", document(**{kind: value}).alias("workflow_settings"))
+
+
+def _watermarks(
+    spark: SparkSession, sf_dir: str, kind: str, column: str, workflows: tuple[str, ...] | None = None
+) -> DataFrame:
+    """Loads of events, one workflow per type: the settings the store has afterwards."""
+    store = fresh_store(spark, ["stg.bonussystem_events", "stg.srv_wf_settings"])
+    states, outbox = state.LoadState(store), _outbox(spark, sf_dir)
+    kinds = workflows or [r[0] for r in outbox.select("event_type").distinct().collect()]  # a few types
+    for workflow in kinds:
+        own = outbox.filter(F.col("event_type") == workflow)
+        start = states.get(workflow, kind)
+        above = readers.after_id(own, start, column) if kind == state.ID else readers.after_ts(own, start, column)
+        result = store.upsert("stg.bonussystem_events", above, order=["event_ts"], watermark=column)
+        states.advance(workflow, kind, result.watermark)
+    return store.read("stg.srv_wf_settings")
 
 
 # -- quality -------------------------------------------------------------------
@@ -776,17 +820,259 @@ def overflow_violations(spark, sf_dir):
     return with_reasons(rejected)
 
 
+_STAGED = {
+    "stg.bonussystem_ranks": ("nation", "true"),
+    "stg.bonussystem_users": ("events", "true"),
+    "stg.bonussystem_events": ("events", "true"),
+    "stg.ordersystem_restaurants": ("supplier", "true"),
+    "stg.ordersystem_users": ("customer", "true"),
+    "stg.ordersystem_orders": ("orders", "true"),
+    "stg.deliverysystem_restaurants": ("supplier", "true"),
+    "stg.deliverysystem_couriers": ("customer", "true"),
+}
+
+
 @query(" UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in TEST_TABLES
-))
+    f"SELECT '{name}' AS table_name, count(*) AS received, CAST(0 AS BIGINT) AS rejected, count(*) AS loaded,"
+    f" CAST(0 AS BIGINT) AS superseded, CAST(0 AS BIGINT) AS skipped, count(*) AS stored FROM {source}"
+    for name, (source, _) in _STAGED.items()
+) + """
+UNION ALL
+SELECT 'stg.deliverysystem_deliveries', count(*), 0, count(*) FILTER (recent), 0, count(*) FILTER (NOT recent),
+       count(*) FILTER (recent)
+FROM (SELECT o_orderdate + INTERVAL 1 DAY >= TIMESTAMP '1995-01-02' AND o_orderdate + INTERVAL 1 DAY < TIMESTAMP '1995-06-01'
+             AS recent FROM orders WHERE o_orderstatus = 'F')
+""")
 def load_row_counts(spark, sf_dir):
-    counts = [
-        demo.table(spark, sf_dir, name).agg(
-            F.lit(name).alias("table_name"), F.count("*").alias("row_count")
-        )
-        for name in TEST_TABLES
+    """The nine staging loads of a run, as the store has recorded them, next to what the tables hold."""
+    run = staged_run(spark, sf_dir, run_date=dt.date(1995, 6, 1), days=150)
+    run.store.record(run.stage(), demo.LOAD_TS)
+    stored = [
+        run.table(name).agg(F.lit(name).alias("_table"), F.count("*").alias("stored"))
+        for name in (*_STAGED, "stg.deliverysystem_deliveries")
     ]
-    return reduce(DataFrame.unionByName, counts)
+    loads = run.store.loads().join(reduce(DataFrame.unionByName, stored), F.col("table") == F.col("_table"))
+    return loads.select(F.col("table").alias("table_name"), "received", "rejected", "loaded", "superseded", "skipped", "stored")
+
+
+def fresh_store(spark: SparkSession, tables: list[str] | None = None) -> Store:
+    store = Store(spark, f"{shared_folder(spark)}/warehouse-{uuid4().hex}")
+    store.create(tables) if tables else store.create()
+    return store
+
+
+def staged_run(spark: SparkSession, sf_dir: str, **settings) -> Run:
+    """A run over the test tables, with an empty warehouse."""
+    ranks = demo.table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("int").alias("id"),
+        F.col("n_name").alias("name"),
+        (F.col("n_nationkey") / 4).cast("decimal(19,5)").alias("bonus_percent"),
+        (F.col("n_regionkey") * 100).cast("decimal(19,5)").alias("min_payment_threshold"),
+    )
+    at = (spark, sf_dir)
+    sources = {
+        "ranks": ranks,
+        "users": demo.source_accounts(*at),
+        "outbox": _outbox(*at),
+        "order_users": demo.source_users(*at),
+        "order_restaurants": demo.source_restaurants(*at),
+        "orders": demo.source_orders(*at),
+        "api_restaurants": demo.table(spark, sf_dir, "supplier").select(
+            text("s_suppkey").alias("_id"), F.col("s_name").alias("name")
+        ),
+        "api_couriers": demo.source_couriers(*at),
+        "api_deliveries": demo.source_deliveries(*at),
+    }
+    chosen = {"load_ts": demo.LOAD_TS, "run_date": dt.date(2024, 2, 1), "as_of": demo.AS_OF, **settings}
+    return Run(fresh_store(spark), sources, RunSettings(**chosen))
+
+
+# -- staging loads ---------------------------------------------------------------
+
+
+@query("""
+SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name, CAST(n_nationkey / 4.0 AS DECIMAL(19,5)) AS bonus_percent,
+       CAST(n_regionkey * 100 AS DECIMAL(19,5)) AS min_payment_threshold FROM nation
+""")
+def staged_ranks(spark, sf_dir):
+    run = staged_run(spark, sf_dir)
+    run.load_ranks()
+    return run.table("stg.bonussystem_ranks")
+
+
+@query("SELECT CAST(event_id AS INTEGER) AS id, CAST(user_id AS VARCHAR) AS order_user_id FROM events")
+def staged_bonus_users(spark, sf_dir):
+    run = staged_run(spark, sf_dir)
+    run.load_bonus_users()
+    return run.table("stg.bonussystem_users")
+
+
+@query("SELECT CAST(event_id AS INTEGER) AS id, ts AS event_ts, event_type, props AS event_value FROM events")
+def staged_outbox(spark, sf_dir):
+    """Two increments: up to a watermark, and what lies above it."""
+    run = staged_run(spark, sf_dir)
+    outbox = run.sources["outbox"]
+    middle = outbox.agg((F.max("id") / 2).cast("int").alias("id")).scalar()
+    for given in (outbox.filter(F.col("id") <= middle), outbox):
+        run.sources = {**run.sources, "outbox": given}
+        run.load_outbox()
+    return run.table("stg.bonussystem_events")
+
+
+def _document_fields(run: Run, table: str, *fields: str) -> DataFrame:
+    chosen = [F.get_json_object("object_value", f"$.{field}").alias(field.replace(".", "_")) for field in fields]
+    return run.table(table).select("object_id", "update_ts", *chosen)
+
+
+@query(f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS object_id, TIMESTAMP '{demo.LOAD_TS}' AS update_ts, s_name AS name FROM supplier
+""")
+def staged_restaurants(spark, sf_dir):
+    run = staged_run(spark, sf_dir)
+    run.load_order_restaurants()
+    return _document_fields(run, "stg.ordersystem_restaurants", "name")
+
+
+@query(f"""
+SELECT CAST(c_custkey AS VARCHAR) AS object_id, TIMESTAMP '{demo.LOAD_TS}' AS update_ts, c_name AS name,
+       c_mktsegment AS login FROM customer
+""")
+def staged_users(spark, sf_dir):
+    run = staged_run(spark, sf_dir)
+    run.load_order_users()
+    return _document_fields(run, "stg.ordersystem_users", "name", "login")
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS object_id, o_orderdate AS update_ts, CAST(o_custkey AS VARCHAR) AS user_id,
+       CASE o_orderstatus WHEN 'F' THEN 'CLOSED' WHEN 'P' THEN 'CANCELLED' ELSE 'COOKING' END AS final_status
+FROM orders
+""")
+def staged_orders(spark, sf_dir):
+    """Two increments by the time of the last change."""
+    run = staged_run(spark, sf_dir)
+    orders = run.sources["orders"]
+    early = F.col("update_ts") < F.lit("1995-01-01").cast("timestamp_ntz")
+    for given in (orders.filter(early), orders):
+        run.sources = {**run.sources, "orders": given}
+        run.load_orders()
+    return _document_fields(run, "stg.ordersystem_orders", "user.id", "final_status")
+
+
+@query(f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS object_id, TIMESTAMP '{demo.LOAD_TS}' AS update_ts, s_name AS name FROM supplier
+""")
+def staged_api_restaurants(spark, sf_dir):
+    run = staged_run(spark, sf_dir)
+    run.load_api_restaurants()
+    return _document_fields(run, "stg.deliverysystem_restaurants", "name")
+
+
+@query(f"""
+SELECT CAST(c_custkey AS VARCHAR) AS object_id, TIMESTAMP '{demo.LOAD_TS}' AS update_ts, c_name AS name FROM customer
+""")
+def staged_api_couriers(spark, sf_dir):
+    run = staged_run(spark, sf_dir)
+    run.load_api_couriers()
+    return _document_fields(run, "stg.deliverysystem_couriers", "name")
+
+
+@query(f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS object_id, TIMESTAMP '{demo.LOAD_TS}' AS update_ts,
+       'd' || CAST(o_orderkey AS VARCHAR) AS delivery_id, CAST(o_custkey AS VARCHAR) AS courier_id
+FROM orders WHERE o_orderstatus = 'F'
+""")
+def staged_deliveries(spark, sf_dir):
+    """All deliveries: a first load looks back without limit."""
+    run = staged_run(spark, sf_dir, days=None)
+    run.load_api_deliveries()
+    return _document_fields(run, "stg.deliverysystem_deliveries", "delivery_id", "courier_id")
+
+
+@query("""
+SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'skipped' WHEN o_orderkey % 5 = 0 THEN 'rejected' ELSE 'loaded' END AS outcome,
+       count(*) AS deliveries
+FROM orders WHERE o_orderstatus = 'F' GROUP BY 1
+""")
+def rejected_deliveries(spark, sf_dir):
+    """Deliveries of which some have no readable time and some are older than the days asked for: none is lost."""
+    run = staged_run(spark, sf_dir)
+    key = F.col("order_id").cast("bigint")
+    time = (
+        F.when(key % 7 == 0, "2023-05-01 10:00:00")
+        .when(key % 5 == 0, F.when(key % 2 == 0, "yesterday"))
+        .otherwise("2024-01-30 12:00:00")
+    )
+    given = run.sources["api_deliveries"].withColumn("delivery_ts", time)
+    run.sources = {**run.sources, "api_deliveries": given}
+    result = run.load_api_deliveries()
+    table = "stg.deliverysystem_deliveries"
+    kept = run.table(table).select(F.lit("loaded").alias("outcome"))
+    refused = run.store.rejected_documents(table).select(F.lit("rejected").alias("outcome"))
+    skipped = spark.range(result.skipped).select(F.lit("skipped").alias("outcome"))
+    return kept.union(refused).union(skipped).groupBy("outcome").agg(F.count("*").alias("deliveries"))
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS source_key, CASE event_id % 4 WHEN 0 THEN 'json: event_value'
+       WHEN 1 THEN 'array: product_payments' ELSE 'null: order_id' END AS reason
+FROM events WHERE event_id % 8 < 3
+""")
+def rejected_documents(spark, sf_dir):
+    """Bonus transactions with a broken payload: not JSON (refused when staged), no list, no order (refused when read)."""
+    run = staged_run(spark, sf_dir)
+    line = F.struct(text("id").alias("product_id"), F.lit("1").alias("price"))
+    payload = (
+        F.when(F.col("id") % 8 == 0, F.concat(F.lit("{"), text("id")))
+        .when(F.col("id") % 8 == 1, document(order_id=text("id"), product_payments=text("id")))
+        .when(F.col("id") % 8 == 2, document(product_payments=F.array(line)))
+        .otherwise(document(order_id=text("id"), product_payments=F.array(line)))
+    )
+    outbox = run.sources["outbox"].select("id", "event_ts", F.lit(facts.PAYMENT_EVENT).alias("event_type"), payload.alias("event_value"))
+    run.sources = {**run.sources, "outbox": outbox}
+    run.load_outbox()
+    run.load(LOADS["dds.fct_product_sales"])
+    staged = run.store.rejected("stg.bonussystem_events").select(text("id").alias("source_key"), "reasons")
+    read = run.store.rejected_documents("dds.fct_product_sales").select("source_key", "reasons")
+    return staged.union(read).select("source_key", F.array_join("reasons", "; ").alias("reason"))
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS order_source_id,
+       CASE event_id % 3 WHEN 0 THEN CAST(trunc(value) AS DECIMAL(19,5)) WHEN 1 THEN CAST(event_id AS DECIMAL(19,5)) END AS bonus_grant
+FROM events
+""")
+def quoted_numbers(spark, sf_dir):
+    """Grants as JSON numbers (cut), as quoted whole numbers, and as quoted fractions, which are none (NULL, so refused)."""
+    grant = (
+        F.when(F.col("id") % 3 == 0, F.format_string("%.2f", "value"))
+        .when(F.col("id") % 3 == 1, F.concat(F.lit('"'), text("id"), F.lit('"')))
+        .otherwise(F.concat(F.lit('"'), text("id"), F.lit('.5"')))
+    )
+    events = demo.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.col("ts").alias("event_ts"), F.floor(F.col("value") * 100).alias("hundredths"), "value"
+    )
+    events = events.withColumn("value", F.col("hundredths") / 100)
+    payload = F.format_string('{"order_id": "%s", "product_payments": [{"product_id": "1", "price": "1", "bonus_grant": %s}]}', text("id"), grant)
+    rows = events.select("event_ts", F.lit(facts.PAYMENT_EVENT).alias("event_type"), payload.alias("event_value"))
+    return facts.payments(rows).select("order_source_id", "bonus_grant")
+
+
+@query("""
+SELECT doc_id, lang, n_chars FROM documents WHERE length(text) < 300
+""")
+def unicode_documents(spark, sf_dir):
+    """Texts with letters of several languages as staged names: the JSON holds them as they are."""
+    docs = demo.table(spark, sf_dir, "documents").filter(F.length("text") < 300)
+    rows = docs.select(text("doc_id").alias("_id"), F.col("text").alias("name"), "doc_id", "lang", "text")
+    run = staged_run(spark, sf_dir)
+    run.sources = {**run.sources, "api_couriers": rows.select("_id", "name")}
+    run.load_api_couriers()
+    staged = run.table("stg.deliverysystem_couriers")
+    raw = F.regexp_replace("object_value", "\\\\u[0-9a-f]{4}", "")
+    back = parsed(staged, "object_value", schemas.NAMED).filter(raw == F.col("object_value"))
+    same = back.join(rows, (F.col("object_id") == F.col("_id")) & F.col("doc.name").eqNullSafe(F.col("text")))
+    return same.select("doc_id", "lang", F.length("doc.name").cast("bigint").alias("n_chars"))
 
 
 # -- warehouse and stream ------------------------------------------------------
@@ -874,3 +1160,52 @@ def stream_increment(spark, sf_dir):
         running = stream_upsert(stream, store, name, ["arrival"], f"{folder}/stream-state")
         running.awaitTermination()
     return store.read(name)
+
+
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS object_id, ts AS update_ts, event_type AS name FROM events
+""")
+def stream_out_of_order(spark, sf_dir):
+    """Late files: rows of an earlier change come after the later ones, and do not replace them."""
+    folder = f"{shared_folder(spark)}/stream-{uuid4().hex}"
+    landing, name = f"{folder}/landing", "stg.ordersystem_users"
+    rows = demo.table(spark, sf_dir, "events").select(
+        text("event_id").alias("object_id"),
+        document(name="event_type").alias("object_value"),
+        F.col("ts").alias("update_ts"),
+    )
+    late = rows.select("object_id", document(name=F.lit("old")).alias("object_value"), F.expr("update_ts - interval 1 day").alias("update_ts"))
+    store = Store(spark, f"{folder}/warehouse")
+    store.create([name])
+    for drop in (rows, late):
+        drop.write.mode("append").parquet(landing)
+        stream = landing_stream(spark, landing, "object_id string, object_value string, update_ts timestamp_ntz")
+        stream_upsert(stream, store, name, ["update_ts", "object_value"], f"{folder}/stream-state").awaitTermination()
+    return store.read(name).select("object_id", "update_ts", F.get_json_object("object_value", "$.name").alias("name"))
+
+
+@query("""
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, 'foreign key: restaurant_id -> dds.dm_restaurants' AS reasons
+FROM part WHERE p_partkey % 10 = 0
+""")
+def store_orphans(spark, sf_dir):
+    """Products of which every tenth names a restaurant that the warehouse does not have."""
+    store = fresh_store(spark, ["dds.dm_restaurants", "dds.dm_products"])
+    suppliers = demo.table(spark, sf_dir, "supplier").select(
+        text("s_suppkey").alias("restaurant_id"),
+        F.col("s_name").alias("restaurant_name"),
+        F.lit(demo.LOAD_TS).cast("timestamp_ntz").alias("active_from"),
+        open_end().alias("active_to"),
+    )
+    store.upsert("dds.dm_restaurants", suppliers)
+    known = F.lit(1).cast("bigint")
+    products = demo.table(spark, sf_dir, "part").select(
+        F.when(F.col("p_partkey") % 10 == 0, F.lit(-1).cast("bigint")).otherwise(known).alias("restaurant_id"),
+        text("p_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        demo.money("p_retailprice").alias("product_price"),
+        F.lit(demo.LOAD_TS).cast("timestamp_ntz").alias("active_from"),
+        open_end().alias("active_to"),
+    )
+    store.upsert("dds.dm_products", products)
+    return store.rejected("dds.dm_products").select("product_id", F.array_join("reasons", "; ").alias("reasons"))

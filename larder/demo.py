@@ -232,14 +232,17 @@ def source_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One bonus transaction per line item; numbers are quoted, as in the source."""
+    """One bonus transaction per line item; numbers are quoted, as in the source, but for the grant.
+
+    The grant is a JSON number and loses its fraction; quoted, a fraction would be refused.
+    """
     price = money("l_extendedprice")
     line = F.struct(
         text("l_partkey").alias("product_id"),
         text(price).alias("price"),
         text(F.col("l_quantity").cast("int")).alias("quantity"),
         text(price * share("l_discount")).alias("bonus_payment"),
-        text(price * share("l_tax")).alias("bonus_grant"),
+        (price * share("l_tax")).alias("bonus_grant"),
     )
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("int").alias("id"),
