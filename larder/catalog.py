@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +26,7 @@ from larder.operators import merge, paging, quality
 from larder.plans import dimensions, facts, marts
 from larder.plans.runs import LOADS, Run, RunSettings
 from larder.schemas import TABLES
-from larder.session import pin, shared_folder
+from larder.session import pin, scratch_path
 from larder.sources import readers, state
 from larder.sources.store import Store
 from larder.streaming.increments import landing_stream, stream_upsert
@@ -571,7 +570,7 @@ def pages_union(spark, sf_dir):
     numbered = paging.pages(parts, ["p_name", "p_partkey"], 50)
     row = F.struct(F.col("place"), F.col("p_partkey"), F.col("p_name"), F.col("page_no"))
     arrays = numbered.groupBy("page_no").agg(F.to_json(F.sort_array(F.collect_list(row))).alias("value"))
-    folder = f"{shared_folder(spark)}/pages-{uuid4().hex}"
+    folder = scratch_path(spark, "pages")
     # a page is one file: as many partitions as pages
     pages = arrays.repartition(arrays.count() or 1, "page_no").select("page_no", "value")
     pages.write.partitionBy("page_no").text(folder)
@@ -856,7 +855,7 @@ def load_row_counts(spark, sf_dir):
 
 
 def fresh_store(spark: SparkSession, tables: list[str] | None = None) -> Store:
-    store = Store(spark, f"{shared_folder(spark)}/warehouse-{uuid4().hex}")
+    store = Store(spark, scratch_path(spark, "warehouse"))
     store.create(tables) if tables else store.create()
     return store
 
@@ -1117,7 +1116,7 @@ def versioned_upsert(spark, sf_dir):
 
     first = F.lit("2024-01-01 00:00:00")
     again = F.when(F.col("s_acctbal") < 0, F.lit(demo.LOAD_TS)).otherwise(first)
-    store = Store(spark, f"{shared_folder(spark)}/warehouse-{uuid4().hex}")
+    store = Store(spark, scratch_path(spark, "warehouse"))
     store.create([name])
     store.upsert(name, restaurants(first))
     store.upsert(name, restaurants(again).unionByName(nations))
@@ -1139,7 +1138,7 @@ def stream_increment(spark, sf_dir):
     The first has all events as drafts, the second the final rows of the later
     half, which replace theirs.
     """
-    folder = f"{shared_folder(spark)}/stream-{uuid4().hex}"
+    folder = scratch_path(spark, "stream")
     landing, name = f"{folder}/landing", "stg.bonussystem_events"
     events = demo.table(spark, sf_dir, "events").select(
         F.col("event_id").cast("int").alias("id"),
@@ -1167,7 +1166,7 @@ SELECT CAST(event_id AS VARCHAR) AS object_id, ts AS update_ts, event_type AS na
 """)
 def stream_out_of_order(spark, sf_dir):
     """Late files: rows of an earlier change come after the later ones, and do not replace them."""
-    folder = f"{shared_folder(spark)}/stream-{uuid4().hex}"
+    folder = scratch_path(spark, "stream")
     landing, name = f"{folder}/landing", "stg.ordersystem_users"
     rows = demo.table(spark, sf_dir, "events").select(
         text("event_id").alias("object_id"),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from uuid import uuid4
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -60,6 +62,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+_released_at_exit: set[str] = set()
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
@@ -67,10 +70,43 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def session_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this session's application; removed when the process ends."""
+    context = spark.sparkContext
+    folder = f"{shared_folder(spark)}/pinned/{context.applicationId}"
+    if folder not in _released_at_exit:
+        _released_at_exit.add(folder)
+        jvm = context._jvm
+
+        def release() -> None:
+            target = jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+
+        atexit.register(_quietly, release)
+    return folder
+
+
+def _quietly(job: Callable[[], None]) -> None:
+    try:
+        job()
+    except (Py4JError, OSError):  # the gateway is gone: the folder stays for whoever cleans the shared one
+        pass
+
+
+def release_pinned(spark: SparkSession) -> None:
+    """Remove everything this session has pinned; frames that read it must have been consumed."""
+    delete_folder(spark, session_folder(spark))
+
+
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new folder that goes with the session."""
+    return f"{session_folder(spark)}/{kind}-{uuid4().hex}"
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Frames pinned inside are removed at the end; use where all work is done inside."""
-    folder = f"{shared_folder(spark)}/pinned/{uuid4().hex}"
+    folder = f"{session_folder(spark)}/{uuid4().hex}"
     token = _scratch.set(folder)
     try:
         yield
@@ -87,7 +123,7 @@ def pin(df: DataFrame) -> DataFrame:
     planner whether a side is small enough to broadcast.
     """
     spark = df.sparkSession
-    folder = _scratch.get() or f"{shared_folder(spark)}/pinned"
+    folder = _scratch.get() or session_folder(spark)
     path = f"{folder}/{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

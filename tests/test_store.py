@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from larder.operators.quality import RejectedRows
 from larder.schemas import TABLES
 from larder.sources.state import ID, TS, LoadState
-from larder.sources.store import Store
+from larder.sources.store import SecondWriter, Store
 from larder.streaming.increments import landed_page_stream, landing_stream, stream_upsert
 
 USERS = "dds.dm_users"
@@ -70,6 +71,96 @@ def test_untouched_ranges_are_not_rewritten(spark, store):
     assert store.read(EVENTS).count() == 3
 
 
+def test_matching_reads_the_index_parts_of_the_keys_alone(spark, store, monkeypatch):
+    store.upsert(USERS, users(spark, *[(f"u{i:03d}", "1") for i in range(200)]))
+    read = []
+    plain = Store._read
+
+    def watch(self, table, commit, only=None, kind="buckets"):
+        frame = plain(self, table, commit, only, kind)
+        read.append((kind, None if only is None else len(set(only)), frame.columns))
+        return frame
+
+    monkeypatch.setattr(Store, "_read", watch)
+    assert store.upsert(USERS, users(spark, ("u007", "1"))).changed == 0
+    assert read == [("keys", 1, ["user_id", "id", "row_hash"])]
+    read.clear()
+    assert store.upsert(USERS, users(spark, ("u007", "2"))).changed == 1
+    assert [(kind, n) for kind, n, _ in read] == [("keys", 1), ("buckets", 1), ("keys", 1)]
+
+
+def test_old_versions_go_and_saves_take_constant_time(spark, store):
+    import os
+
+    state = LoadState(store)
+    for k in range(12):
+        state.save("outbox", ID, k)
+    table = TABLES["stg.srv_wf_settings"]
+    assert state.get("outbox", ID) == 11 and store.last_commit(table).version == 12
+    assert sorted(n for n in os.listdir(store._commits_path(table)) if n[0] != ".") == [
+        f"{v:012d}.json" for v in (11, 12)
+    ]
+    assert len(os.listdir(store._data_path(table))) == 2
+    # the version before the last can still be read
+    before = store._read_commit(table, 11)
+    assert store._read(table, before).count() == 1
+
+
+def test_second_writer_is_refused(spark, store):
+    store.upsert(USERS, users(spark, ("a", "1")))
+    other = Store(spark, store.root)
+    last = store.last_commit(TABLES[USERS])
+    other.upsert(USERS, users(spark, ("b", "1")))
+    with pytest.raises(SecondWriter):
+        store._commit(TABLES[USERS], replace(last, version=last.version + 1))
+    assert rows(store.read(USERS), "user_id") == [("a",), ("b",)]
+
+
+def test_orphans_are_rejected(spark, store):
+    store.create(["dds.dm_restaurants", "dds.dm_products"])
+    end = dt.datetime(2099, 12, 31)
+    place = "restaurant_id string, restaurant_name string, active_from timestamp_ntz, active_to timestamp_ntz"
+    store.upsert("dds.dm_restaurants", spark.createDataFrame([("r", "R", AT, end)], place))
+    kind = (
+        "restaurant_id bigint, product_id string, product_name string, product_price double,"
+        " active_from timestamp_ntz, active_to timestamp_ntz"
+    )
+    products = spark.createDataFrame([(1, "p", "P", 1.0, AT, end), (9, "q", "Q", 1.0, AT, end)], kind)
+    result = store.upsert("dds.dm_products", products)
+    assert (result.received, result.loaded, result.rejected) == (2, 1, 1)
+    (bad,) = store.rejected("dds.dm_products").collect()
+    assert bad["product_id"] == "q" and bad["reasons"] == ["foreign key: restaurant_id -> dds.dm_restaurants"]
+
+
+def test_counts_add_up(spark, store):
+    late = dt.datetime(2023, 1, 1)
+    batch = spark.createDataFrame(
+        [(1, AT, "t", "{}"), (1, late, "t", "{}"), (2, AT, "t", "{"), (3, AT, None, "{}"), (4, AT, "t", "[1]")], EVENT
+    )
+    result = store.upsert(EVENTS, batch, order=["event_ts"])
+    assert (result.received, result.rejected, result.superseded, result.loaded) == (5, 2, 1, 2)
+    reasons = {row["id"]: row["reasons"] for row in store.rejected(EVENTS).collect()}
+    assert reasons == {2: ["json: event_value"], 3: ["null: event_type"]}
+
+
+def test_late_rows_do_not_replace_newer_ones(spark, store):
+    store.create(["stg.ordersystem_users"])
+    kind = "object_id string, object_value string, update_ts timestamp_ntz"
+    late = dt.datetime(2023, 1, 1)
+
+    def put(newest, *found):
+        return store.upsert(
+            "stg.ordersystem_users", spark.createDataFrame(list(found), kind), order=["update_ts"], newest=newest
+        )
+
+    put(True, ("a", "1", AT), ("b", "1", late))
+    result = put(True, ("a", "2", late), ("b", "2", AT))
+    assert (result.received, result.loaded, result.superseded, result.changed) == (2, 1, 1, 1)
+    assert rows(store.read("stg.ordersystem_users"), "object_id", "object_value") == [("a", "1"), ("b", "2")]
+    put(False, ("a", "2", late))
+    assert rows(store.read("stg.ordersystem_users"), "object_id", "object_value") == [("a", "2"), ("b", "2")]
+
+
 def test_only_changed_rows_are_written(spark, store):
     everyone = [(f"u{i:02d}", "1") for i in range(40)]
     store.upsert(USERS, users(spark, *everyone))
@@ -104,9 +195,9 @@ def test_span_stays_with_the_table(spark, store):
 def test_pinned_frames_are_removed(spark, store):
     import os
 
-    from larder.session import shared_folder
+    from larder.session import session_folder
 
-    folder = f"{shared_folder(spark)}/pinned".removeprefix("file:")
+    folder = session_folder(spark).removeprefix("file:")
     before = set(os.listdir(folder)) if os.path.exists(folder) else set()
     store.upsert(USERS, users(spark, ("a", "1")))
     assert set(os.listdir(folder)) == before
