@@ -1,11 +1,12 @@
 """Whole runs over small sources, against results worked out by hand."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from marketplace import SETTINGS, UPDATED, order, payment, sources
-from marketplace import ORDER_ROW, OUTBOX_ROW
+from marketplace import DELIVERY_ROW, ORDER_ROW, OUTBOX_ROW, RESTAURANT_ROW
 
 from larder.operators.quality import RejectedRows
 from larder.plans import dimensions, facts, marts, staging
@@ -284,3 +285,70 @@ def test_bad_date_is_rejected_not_lost(spark, tmp_path):
     )
     assert (result.loaded, result.rejected) == (0, 1)
     assert "null: ts" in store.rejected("dds.dm_timestamps").first()["reasons"]
+
+
+def test_counts_of_every_load_add_up(loaded):
+    _, results = loaded
+    for result in results.values() if isinstance(results, dict) else results:
+        total = result.rejected + result.loaded + result.superseded + result.skipped
+        assert result.received == total, result
+
+
+def test_documents_without_rows_are_set_aside(spark, tmp_path):
+    """Broken payloads, menus and moments: refused with a reason, none lost."""
+    store = Store(spark, str(tmp_path))
+    store.create()
+    good = payment("o1", ("p1", "10", "1", "0", "1"))
+    outbox = [
+        (1, UPDATED, "bonus_transaction", good),
+        (2, UPDATED, "bonus_transaction", '{"order_id": "o1", "product_payments": "none"}'),
+        (3, UPDATED, "bonus_transaction", '{"product_payments": []}'),
+        (4, UPDATED, "bonus_transaction", "{"),
+        (5, UPDATED, "bonus_transaction", '{"order_id": "o1", "product_payments": []}'),
+    ]
+    deliveries = [
+        ("o1", "t", f"d{k}", "c1", "street", time, 5, Decimal(1), Decimal(0))
+        for k, time in enumerate(("2023-03-30 10:00:00", "soon", None, "2022-01-01 10:00:00"))
+    ]
+    given = {
+        **sources(spark),
+        "outbox": spark.createDataFrame(outbox, OUTBOX_ROW),
+        "order_restaurants": spark.createDataFrame(
+            [("r1", "R", None, UPDATED), ("r2", "S", [], UPDATED)], RESTAURANT_ROW
+        ),
+        "orders": spark.createDataFrame([order("o1", "CLOSED", "r1", "u1", "some day")], ORDER_ROW),
+        "api_deliveries": spark.createDataFrame(deliveries, DELIVERY_ROW),
+    }
+    run = Run(store, given, SETTINGS)
+    staged = run.load_outbox()
+    assert (staged.received, staged.rejected, staged.loaded) == (5, 1, 4)
+    arrived = run.load_api_deliveries()
+    assert (arrived.received, arrived.rejected, arrived.skipped) == (4, 2, 1) and arrived.loaded == 1
+    run.load_order_restaurants()
+    run.load_orders()
+    wanted = {
+        "dds.dm_products": [("r1", "array: menu")],
+        "dds.dm_orders": [("o1", "time: date")],
+        "dds.fct_product_sales": [("2", "array: product_payments"), ("3", "null: order_id")],
+    }
+    for name, found in wanted.items():
+        result = run.load(LOADS[name])
+        assert result.rejected == result.received == len(found)
+        refused = store.rejected_documents(name)
+        assert [(key, reasons[0]) for key, reasons in rows(refused, "source_key", "reasons")] == found
+
+
+def test_first_load_looks_back_without_limit(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.create(["stg.deliverysystem_deliveries"])
+    old = [("o1", "t", "d1", "c1", "street", "2020-01-01 10:00:00", 5, Decimal(1), Decimal(0))]
+    run = Run(store, sources(spark, old), replace(SETTINGS, days=None))
+    assert run.load_api_deliveries().loaded == 1
+    assert Run(store, sources(spark, old), SETTINGS).load_api_deliveries().skipped == 1
+
+
+def test_quoted_fraction_is_refused(spark):
+    event = payment("o1", ("p1", "1", "1", "0", '"1.9"'), ("p2", "1", "1", "0", '" 2 "'), ("p3", "1", "1", "0", "1.9"))
+    events = spark.createDataFrame([(1, UPDATED, "bonus_transaction", event)], OUTBOX_ROW)
+    found = facts.payments(staging.bonus_events(events))
+    assert rows(found, "product_source_id", "bonus_grant") == [("p1", None), ("p2", Decimal(2)), ("p3", Decimal(1))]
