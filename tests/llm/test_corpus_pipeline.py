@@ -6,7 +6,7 @@ import re
 import corpus_pipeline
 from larder.llm import quality, sentencepieces
 from larder.llm.textbytes import WORD_PATTERN
-from test_operators import brute_components
+from test_text_operators import brute_components
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -84,7 +84,7 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 
 def test_odd_rows_and_empty_tables(spark, tmp_path):
-    from test_queries_sql import ODD_DOCUMENTS, ODD_ITEMS, odd_tables
+    from test_text_queries import ODD_DOCUMENTS, ODD_ITEMS, odd_tables
 
     for name, rows in (("odd", ODD_DOCUMENTS + [(None, None), (8, "again")]), ("none", [])):
         folder = tmp_path / name
