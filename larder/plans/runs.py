@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.documents import documents_with, moment
 from larder.plans import dimensions, facts, marts, staging
+from larder.schemas import TABLES
 from larder.sources.readers import after_id, after_ts, lookback
 from larder.sources.state import ID, TS, LoadState
 from larder.sources.store import LoadResult, Store
@@ -46,10 +47,50 @@ class Load:
     """
 
     target: str
-    build: Callable[["Run"], DataFrame]
+    build: Callable[["View"], DataFrame]
     order: tuple[str, ...] | None = None
     distinct: bool = False
-    broken: Callable[["Run"], DataFrame] | None = None
+    broken: Callable[["View"], DataFrame] | None = None
+
+
+class View:
+    """What one load reads: whole tables, or what has changed in them since the load read them last."""
+
+    def __init__(self, run: "Run", target: str, full: bool):
+        self.run, self.target, self.full = run, target, full
+        self.settings = run.settings
+        self.read: dict[str, int] = {}
+
+    def table(self, name: str) -> DataFrame:
+        return self.run.store.read(name)
+
+    def _workflow(self, name: str) -> str:
+        return f"{self.target} from {name}"
+
+    def changed(self, name: str, column: str | None = None) -> DataFrame:
+        """Staged documents that are new or different since the last load of the target.
+
+        With ``column``, the target's column of the documents' keys, also
+        those that have no row in the target yet: what they refer to may
+        have come since.  Finding them reads the keys alone.
+        """
+        store = self.run.store
+        if self.full:
+            return self.table(name)
+        if name not in self.read:
+            self.read[name] = store.last_commit(TABLES[name]).version
+        since = self.run.state.get(self._workflow(name), ID)
+        rows = store.changed_since(name, since, self.read[name])
+        if column is None or since < 0:
+            return rows
+        known = store.read(self.target).select(F.col(column).alias("object_id"))
+        missing = store.read(name).join(known, "object_id", "left_anti").select(*TABLES[name].columns)
+        return rows.unionByName(missing.join(rows.select("id"), "id", "left_anti").select(*rows.columns))
+
+    def done(self) -> None:
+        """Keep up to which versions the load has read."""
+        for name, version in self.read.items():
+            self.run.state.save(self._workflow(name), ID, version)
 
 
 class Run:
@@ -176,23 +217,27 @@ class Run:
 
     # -- dimensions, facts, marts ---------------------------------------------
 
-    def load(self, load: Load) -> LoadResult:
-        return self.store.upsert(
+    def load(self, load: Load, full: bool = False) -> LoadResult:
+        """One load; dimensions read the staged documents that have changed, with ``full`` all of them."""
+        view = View(self, load.target, full)
+        result = self.store.upsert(
             load.target,
-            load.build(self),
+            load.build(view),
             order=list(load.order) if load.order else None,
             distinct=load.distinct,
             on_fail=self.settings.on_fail,
             bounds=dict(self.settings.bounds),
-            broken=load.broken(self) if load.broken else None,
+            broken=load.broken(view) if load.broken else None,
             foreign=False,  # the keys come from lookups in the parents
         )
+        view.done()
+        return result
 
-    def everything(self) -> list[LoadResult]:
+    def everything(self, full: bool = False) -> list[LoadResult]:
         """All loads, each after the tables it reads; row counts are kept in the store."""
         results = self.stage()
         for step in STEPS:
-            results += together(*[[partial(self.load, LOADS[name])] for name in step])
+            results += together(*[[partial(self.load, LOADS[name], full)] for name in step])
         self.store.record(results, self.settings.load_ts)
         return results
 
@@ -217,44 +262,44 @@ _LOADS = (
     Load(
         "dds.dm_users",
         lambda run: dimensions.users(
-            run.table("stg.ordersystem_users"), run.table("stg.bonussystem_users")
+            run.changed("stg.ordersystem_users", "user_id"), run.table("stg.bonussystem_users")
         ),
         order=("update_ts",),
     ),
     Load(
         "dds.dm_restaurants",
-        lambda run: dimensions.restaurants(run.table("stg.ordersystem_restaurants")),
+        lambda run: dimensions.restaurants(run.changed("stg.ordersystem_restaurants")),
         order=("active_from",),
     ),
     Load(
         "dds.dm_timestamps",
         lambda run: dimensions.timestamps(
-            run.table("stg.ordersystem_orders"), run.table("stg.deliverysystem_deliveries")
+            run.changed("stg.ordersystem_orders"), run.changed("stg.deliverysystem_deliveries")
         ),
         distinct=True,
     ),
     Load(
         "dds.dm_couriers",
-        lambda run: dimensions.couriers(run.table("stg.deliverysystem_couriers")),
+        lambda run: dimensions.couriers(run.changed("stg.deliverysystem_couriers")),
         order=("active_from",),
     ),
     Load(
         "dds.dm_products",
         lambda run: dimensions.products(
-            run.table("stg.ordersystem_restaurants"), run.table("dds.dm_restaurants")
+            run.changed("stg.ordersystem_restaurants"), run.table("dds.dm_restaurants")
         ),
-        broken=lambda run: dimensions.broken_menus(run.table("stg.ordersystem_restaurants")),
+        broken=lambda run: dimensions.broken_menus(run.changed("stg.ordersystem_restaurants")),
     ),
     Load(
         "dds.dm_orders",
         lambda run: dimensions.orders(
-            run.table("stg.ordersystem_orders"),
+            run.changed("stg.ordersystem_orders", "order_key"),
             run.table("dds.dm_users"),
             run.table("dds.dm_restaurants"),
             run.table("dds.dm_timestamps"),
         ),
         distinct=True,
-        broken=lambda run: dimensions.broken_orders(run.table("stg.ordersystem_orders")),
+        broken=lambda run: dimensions.broken_orders(run.changed("stg.ordersystem_orders")),
     ),
     Load(
         "dds.dm_deliveries",

@@ -10,7 +10,7 @@ from contextvars import ContextVar
 from uuid import uuid4
 
 from py4j.protocol import Py4JError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -61,6 +61,14 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def observed(observation: Observation, **otherwise) -> dict:
+    """The values of an observation; ``otherwise`` if the planner knew the frame to be empty and left it out."""
+    try:
+        return observation.get
+    except Py4JError:
+        return otherwise
+
+
 _scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 _released_at_exit: set[str] = set()
 

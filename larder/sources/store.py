@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from larder.operators import merge, quality
 from larder.operators.numbering import number_rows
 from larder.schemas import TABLES, Table
-from larder.session import delete_folder, pin, scratch
+from larder.session import delete_folder, observed, pin, scratch
 
 HASH, STAMP = "row_hash", "update_ts"
 
@@ -42,7 +42,8 @@ class Commit:
 
     ``span`` is the range of ids of a bucket and ``parts`` the number of index
     parts, both fixed when the table is created; ``max_id`` is the highest id
-    handed out, ``folders`` the folder of every version that is referred to.
+    handed out, ``folders`` the folder of every version that is referred to and
+    ``created`` the version that started the table empty.
     """
 
     version: int
@@ -52,6 +53,7 @@ class Commit:
     parts: int = 1
     keys: dict[int, int] = field(default_factory=dict)
     folders: dict[int, str] = field(default_factory=dict)
+    created: int = 0
 
 
 @dataclass(frozen=True)
@@ -130,7 +132,7 @@ class Store:
         for name in tables:
             table = TABLES[name]
             version = self.last_commit(table).version + 1 if self.exists(table) else 0
-            self._commit(table, Commit(version, self.span, {}, 0, self.parts))
+            self._commit(table, Commit(version, self.span, {}, 0, self.parts, created=version))
 
     def _versions(self, table: Table) -> list[int]:
         names = self._names(self._commits_path(table))
@@ -203,6 +205,24 @@ class Store:
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).parquet(*paths)
 
+    def changed_since(self, name: str, version: int, up_to: int | None = None) -> DataFrame:
+        """The current rows that are new or different since a version; all rows if the table was created after it.
+
+        Only the buckets of changed ids are read.
+        """
+        table = TABLES[name]
+        commit = self.last_commit(table) if up_to is None else self._read_commit(table, up_to)
+        if version < commit.created:
+            return self._read(table, commit)
+        paths = [self._rejected_path(table, v, "changes") for v in range(version + 1, commit.version + 1)]
+        paths = [path for path in paths if self._has(path)]
+        if not paths:
+            return self.spark.createDataFrame([], table.ddl)
+        ids = self.spark.read.schema("id bigint").parquet(*paths).distinct()
+        touched = {row["bucket"] for row in ids.select(self._bucket(commit).alias("bucket")).distinct().collect()}
+        rows = self._read(table, commit, only=touched)  # the buckets of an increment are few
+        return rows.join(ids, rows["id"] == ids["id"], "left_semi")
+
     def rejected(self, name: str, version: int | None = None) -> DataFrame:
         """Rows the rules kept out of one version, with the reasons."""
         table = TABLES[name]
@@ -277,7 +297,8 @@ class Store:
                 F.collect_set("_slot").alias("parts"),
             )
         )
-        received, found = seen.get["rows"], judged.get
+        received = observed(seen, rows=0)["rows"]
+        found = observed(judged, rows=0, refused=0, highest=None, parts=[])
         good, rejected = quality.split(flagged)
         rejected = rejected.drop("_slot")
         refused, loaded = found["refused"], found["rows"] - found["refused"]
@@ -307,14 +328,14 @@ class Store:
             quality.refuse(broken, table.name)
         seen, path = Observation(), self._rejected_path(table, version, "rejected_documents")
         broken.observe(seen, F.count("*").alias("rows")).write.mode("overwrite").parquet(path)
-        return seen.get["rows"]
+        return observed(seen, rows=0)["rows"]
 
     def _without_conflicts(
         self, good: DataFrame, rejected: DataFrame, key: list[str], distinct: bool, refused: int, loaded: int
     ) -> tuple[DataFrame, DataFrame, int, int]:
         seen = Observation()
         repeated = pin(merge.copies_per_key(good, key).observe(seen, F.count("*").alias("keys")))
-        if not seen.get["keys"]:
+        if not observed(seen, keys=0)["keys"]:
             return good, rejected, refused, loaded
         good, conflicts = merge.split_conflicts(good, key, distinct, repeated)
         reason = F.array(F.lit(f"duplicate key: {', '.join(key)}"))
@@ -322,7 +343,7 @@ class Store:
         kept, bad = Observation(), Observation()
         good = pin(good.observe(kept, F.count("*").alias("rows")))
         rejected = pin(rejected.observe(bad, F.count("*").alias("rows")))
-        return good, rejected, bad.get["rows"], kept.get["rows"]
+        return good, rejected, observed(bad, rows=0)["rows"], observed(kept, rows=0)["rows"]
 
     def _rewrite(
         self, table: Table, good: DataFrame, commit: Commit, new: Commit, parts: list[int], newest: bool
@@ -350,6 +371,8 @@ class Store:
         merged = merge.merge_rows(index, incoming.select(*index.columns), list(table.key))
         merged = merged.withColumn("part", self._part(table, commit)).hint("rebalance", "part")
         merged.write.mode("overwrite").partitionBy("part").parquet(f"{path}/keys")
+        ids = incoming.select(F.col("id").cast("bigint"))
+        ids.coalesce(len(touched)).write.mode("overwrite").parquet(self._rejected_path(table, new.version, "changes"))
         buckets = {**commit.buckets, **{bucket: new.version for bucket in touched}}
         keys = {**commit.keys, **{part: new.version for part in touched_parts}}
         used = {*buckets.values(), *keys.values()}
@@ -382,7 +405,7 @@ class Store:
             seen, *[F.count_if(F.col("_state") == name).alias(name) for name in ("new", "stale", "changed")]
         )
         matched = pin(matched)
-        counts = seen.get
+        counts = observed(seen, new=0, stale=0, changed=0)
         columns = [*table.columns, HASH, "_slot"]
         found = []
         if counts["changed"]:
