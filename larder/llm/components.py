@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from larder.session import pin
@@ -28,7 +28,8 @@ def components(links: DataFrame) -> DataFrame:
         moved = nearer.join(jump, nearer["component"] == jump["_node"]).select(
             "node", F.least("component", "_next").alias("component"), "before"
         )
-        moved = pin(moved)
-        if moved.filter("component <> before").isEmpty():
+        changed = Observation()
+        moved = pin(moved.observe(changed, F.count_if(F.col("component") != F.col("before")).alias("n")))
+        if not changed.get["n"]:
             return moved.select("node", "component")
         labels = moved.select("node", "component")

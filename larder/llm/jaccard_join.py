@@ -1,31 +1,34 @@
 """Self-join of documents on the Jaccard similarity of their word n-grams, with prefixes of tokens and token combinations.
 
-A token is the 64-bit hash of ``WORDS`` consecutive words (any characters but
+A token is a 52-bit hash of ``WORDS`` consecutive words (any characters but
 ASCII white space, A-Z lower-cased).  Two sets of sizes m <= n link when
 100 * common >= percent * union.
 
 Tokens have one order for all documents: rare ones first, by hash, then the
 frequent class, by falling rarity.  A set's prefix is as long as it may be
 without a link partner being missed: the first token that two linked sets
-share stands in both prefixes.
-
-* Rare tokens of the prefix are indexed one by one.
-* If two linked sets share frequent tokens only, both consist of them but for
-  a few.  For such sets the prefix is extended over all frequent tokens, which
-  are split by hash into more parts than linked sets of this size can have
-  differences; at least one part is the same in both.  The parts, token
-  combinations, are indexed.
-
-Sets that share an index key are candidates.  They are first compared with
-one pivot per key and size range, which unites most copies; then candidates
-are enumerated between different components only.  Pairs that cannot reach
-the overlap by their positions are dropped, all others are verified on whole
-sets.  So no group is ever expanded into all its pairs, and no link between
-different components is lost.
-
-The frequent class is what is repeated within batches of a few thousand
-documents, counted over all documents.  It is bounded by ``FREQUENT_TOKENS``;
-it decides the order only, so any class gives the same result.
+share stands in both prefixes.  The frequent class is what is repeated within
+batches of some thousand documents, counted over all documents; it is bounded
+by ``FREQUENT_TOKENS`` and decides the order only, so that any class gives the
+same result.
+
+* Prefix tokens are indexed one by one.  The sets of a token that at most
+  ``RARE`` sets have in their prefix are candidates of each other.
+* For sets with a more common token in their prefix the prefix is extended to
+  the whole set, which is split by hash into more parts than linked sets of
+  this size can have differences; at least one part is the same in both.  The
+  parts, combinations of some seven tokens, are indexed.
+
+Two linked sets share a first token; if few sets have it, they meet there, else
+they meet in a part.  Sets that hang together by parts are a family.  A family
+of up to ``FAMILY`` sets is compared in one task.  In a larger one every set is
+compared with the set that shares most parts, the centre.  What is left are
+pairs of which one does not link with the centre; by the triangle inequality
+they must share many of their differences from it, so the differences, which
+are rare tokens, are indexed with prefixes of their own.  So no group is
+expanded into all its pairs, and no link between different components is lost.
+Candidates that cannot reach the overlap are dropped, all others are verified
+on whole sets.
 
 Null and empty texts have an empty set, which links with nothing.  Repeated
 rows and equal sets are one class with one representative.  Extra columns are
@@ -38,7 +41,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,19 +48,29 @@ from larder.session import pin
 
 from .components import components
 from .rows import REF, with_ref
+from .shared import share, shared
 from .textbytes import MULTIPLIERS, SpanHashes, chunks, gram_hashes, lower_table, mix, word_spans
 
 #: Words of a token, and the similarity in percent.
 WORDS, PERCENT = 3, 90
 
 #: Tokens of the frequent class; what is rarer than ``FREQUENT`` documents is not in it.
-FREQUENT_TOKENS, FREQUENT = 1 << 18, 64
+FREQUENT_TOKENS, FREQUENT = 1 << 20, 8
 
 #: Documents of one batch of ``BATCH_BYTES`` that must share a token for it to be counted.
-LOCAL, BATCH_BYTES = 4, 8 << 20
+LOCAL, BATCH_BYTES = 2, 8 << 20
 
-#: Members that are compared with one pivot in one task.
-MEMBERS = 512
+#: Sets that have a token in their prefix, at most, for them to be paired under it.
+RARE = 24
+
+#: Sets of a family that are compared in one task, and sets that a centre is compared with in one task.
+FAMILY = 512
+
+#: Bits of a token; the others number the texts that are sorted together.
+TOKEN_BITS = 52
+
+#: Partners that a set is compared with in one task.
+BLOCK = 512
 
 #: Documents that are wanted at most for their list to be broadcast.
 BROADCAST_ROWS = 500_000
@@ -89,35 +101,82 @@ class Sets:
                 short = mix(short * np.uint64(5) + words[bounds[own] + k])
             tokens.append(short)
             text.append(own)
-        tokens_, text_ = np.concatenate(tokens), np.concatenate(text)
-        order = np.lexsort((tokens_, text_))
-        tokens_, text_ = tokens_[order], text_[order]
-        new = np.ones(len(tokens_), bool)
-        new[1:] = (tokens_[1:] != tokens_[:-1]) | (text_[1:] != text_[:-1])
-        tokens_, text_ = tokens_[new], text_[new]
-        return tokens_, np.searchsorted(text_, np.arange(len(offsets)))
+        value, text_ = np.concatenate(tokens) >> np.uint64(64 - TOKEN_BITS), np.concatenate(text)
+        order = np.argsort(text_, kind="stable") if len(text_) > len(at) else slice(None)
+        value, text_ = value[order], text_[order]
+        # sorted with the number of the text in the upper bits, some thousand texts at a time
+        step, out, sizes = 1 << (64 - TOKEN_BITS), [], np.zeros(len(offsets) - 1, np.int64)
+        edges = np.searchsorted(text_, np.arange(0, len(offsets) - 1 + step, step))
+        for k, (begin, end) in enumerate(zip(edges, edges[1:], strict=False)):
+            packed = value[begin:end] | (text_[begin:end] - k * step).astype(np.uint64) << np.uint64(TOKEN_BITS)
+            packed.sort()
+            packed = packed[np.concatenate(([True], packed[1:] != packed[:-1]))] if len(packed) else packed
+            out.append(packed & np.uint64((1 << TOKEN_BITS) - 1))
+            own = np.bincount((packed >> np.uint64(TOKEN_BITS)).astype(np.int64), minlength=1)
+            sizes[k * step : k * step + len(own)] = own[: len(sizes) - k * step]
+        return np.concatenate([*out, np.zeros(0, np.uint64)]), np.concatenate(([0], np.cumsum(sizes)))
 
 
 def frequent_tokens(docs: DataFrame, words: int) -> np.ndarray:
-    """Hashes of the frequent class in order of falling rarity."""
+    """The frequent class in order of falling rarity."""
+
+    def repeated(held: list[np.ndarray]) -> pa.RecordBatch:
+        tokens = np.concatenate([*held, np.zeros(0, np.uint64)])
+        tokens.sort()
+        ends = np.flatnonzero(np.append(tokens[1:] != tokens[:-1], len(tokens) > 0))
+        n = np.diff(ends, prepend=-1)
+        many = n >= LOCAL
+        return pa.RecordBatch.from_arrays([pa.array(tokens[ends[many]].view(np.int64)), pa.array(n[many])], names=["token", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Sets(words)
+        sets, held, size = Sets(words), [], 0
         for batch in batches:
-            for _, _, data, offsets in chunks(batch.column("text"), BATCH_BYTES):
-                tokens, _ = sets.of(data, offsets)
-                tokens.sort()
-                heads = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else tokens
-                n = np.diff(np.append(heads, len(tokens)).astype(np.int64))
-                many = n >= LOCAL
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens[heads.astype(np.int64)][many].view(np.int64)), pa.array(n[many])], names=["token", "n"]
-                )
+            for _, _, data, offsets in chunks(batch.column("text")):
+                held.append(sets.of(data, offsets)[0])
+                size += len(data)
+                if size >= BATCH_BYTES:
+                    yield repeated(held)
+                    held, size = [], 0
+        yield repeated(held)
 
     counted = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS)
-    rows = top.collect()  # at most FREQUENT_TOKENS
-    return np.array([r["token"] for r in reversed(rows)], np.int64).view(np.uint64)
+    level = F.floor(F.log2("n") * 16).cast("int")
+    counted = pin(counted.filter(F.col("n") >= FREQUENT).withColumn("level", level))
+    least, total = 0, 0
+    for row in sorted(counted.groupBy("level").count().collect(), reverse=True):  # some hundred levels
+        total += row["count"]
+        if total > FREQUENT_TOKENS:
+            least = row["level"] + 1
+            break
+    often = counted.filter(F.col("level") >= least).toArrow()  # at most FREQUENT_TOKENS
+    tokens, n = often.column("token").to_numpy().view(np.uint64), often.column("n").to_numpy()
+    return tokens[np.lexsort((tokens, n))]
+
+
+def prefixes(
+    tokens: np.ndarray, bounds: np.ndarray, wanted: np.ndarray, frequent: np.ndarray, order: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``wanted`` tokens of every set, rare ones first, and where each set's begin.
+
+    ``frequent`` is sorted, ``order`` has the places of its tokens in the class.
+    """
+    rank = np.zeros(len(tokens), np.int64)
+    if len(frequent):
+        slot = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+        rank = np.where(frequent[slot] == tokens, order[slot] + 1, 0)
+    rare = np.concatenate(([0], np.cumsum(rank == 0)))
+    owner = np.repeat(np.arange(len(wanted)), np.diff(bounds))
+    taken = (rank == 0) & (rare[:-1] - rare[bounds[:-1]][owner] < wanted[owner])
+    short = np.flatnonzero(rare[bounds[1:]] - rare[bounds[:-1]] < wanted)
+    for k in short.tolist():
+        begin, end = bounds[k], bounds[k + 1]
+        often = begin + np.flatnonzero(rank[begin:end])
+        missing = wanted[k] - int(rare[end] - rare[begin])
+        taken[often[np.argsort(rank[often], kind="stable")][:missing]] = True
+    # in their order within each set
+    place = np.flatnonzero(taken)
+    place = place[np.lexsort((tokens[place], rank[place], owner[place]))]
+    return tokens[place], np.concatenate(([0], np.cumsum(np.bincount(owner[place], minlength=len(wanted)))))
 
 
 def overlap(n: np.ndarray | int, percent: int):
@@ -133,7 +192,7 @@ class SizeClasses:
             raise ValueError("percent from 50 to 100")
         lows = [1]
         while lows[-1] < 1 << 40:
-            lows.append(max(lows[-1] + 1, lows[-1] * 125 // percent if percent > 80 else lows[-1] * 2))
+            lows.append(max(lows[-1] + 1, lows[-1] * 125 // percent))
         self.lows, self.percent = np.array(lows, np.int64), percent
 
     def of(self, n: int) -> int:
@@ -144,90 +203,138 @@ class SizeClasses:
         return int((self.lows[k + 1] - 1) * (100 - self.percent) // self.percent)
 
 
-class Keys:
-    """Index keys of a set."""
-
-    def __init__(self, frequent: np.ndarray, percent: int) -> None:
-        self.sorted = np.sort(frequent)
-        self.rank = np.argsort(frequent, kind="stable")
-        self.classes, self.percent = SizeClasses(percent), percent
-
-    def ranks(self, tokens: np.ndarray) -> np.ndarray:
-        """Place in the frequent class, from 1; 0 for rare tokens."""
-        if not len(self.sorted):
-            return np.zeros(len(tokens), np.int64)
-        slot = np.minimum(np.searchsorted(self.sorted, tokens), len(self.sorted) - 1)
-        return np.where(self.sorted[slot] == tokens, self.rank[slot] + 1, 0)
-
-    def of(self, tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, int]:
-        """Keys of one set (tokens in order of their hash) and how many of them are single tokens, in order."""
-        n = len(tokens)
-        rare = tokens[ranks == 0]
-        prefix = n - int(overlap(n, self.percent)) + 1
-        if len(rare) >= prefix:
-            return rare[:prefix], prefix
-        often = tokens[ranks > 0]
-        keys = [rare]
-        own = self.classes.of(n)
-        for k in (own, own + 1):
-            least = self.classes.differences(k)
-            parts = least + 1 + least // 8 + 2
-            part = (mix(often + np.uint64(k + 1)) % np.uint64(parts)).astype(np.int64)
-            content = np.zeros(parts, np.uint64)
-            np.add.at(content, part, mix(often ^ np.uint64(0x5851F42D4C957F2D)))
-            filled = np.bincount(part, minlength=parts) > 0
-            used = np.flatnonzero(filled) if filled.sum() > least else np.arange(parts)
-            keys.append(mix(content[used] + mix(used.astype(np.uint64) * np.uint64(4096) + np.uint64(k + 1))))
-        return np.concatenate(keys), len(rare)
+def parts_of(tokens: np.ndarray, classes: SizeClasses) -> np.ndarray:
+    """Index keys of the parts of a set, for its own range of sizes and the next."""
+    keys = []
+    own = classes.of(len(tokens))
+    for k in (own, own + 1):
+        least = classes.differences(k)
+        count = least + 1 + least // 8 + 2
+        part = (mix(tokens + np.uint64(k + 1)) % np.uint64(count)).astype(np.int64)
+        content = np.zeros(count, np.uint64)
+        np.add.at(content, part, mix(tokens ^ np.uint64(0x5851F42D4C957F2D)))
+        filled = np.bincount(part, minlength=count) > 0
+        # if too few parts have tokens, parts may also agree by being empty
+        used = np.flatnonzero(filled) if filled.sum() > least else np.arange(count)
+        keys.append(mix(content[used] + mix(used.astype(np.uint64) * np.uint64(4096) + np.uint64(k + 1))))
+    return np.concatenate(keys)
 
 
 def _signatures(refs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """Per document the size of its set, a digest of it and its keys; equal sets of a batch leave their keys to the first."""
-    block = refs.sparkSession.sparkContext.broadcast(frequent)
+    """Per document the size of its set, a digest of it and its prefix; equal sets of a batch leave the prefix to the first."""
+    at = np.argsort(frequent)
+    block = share(refs.sparkSession, (frequent[at], at))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, index = Sets(words), Keys(block.value, percent)
+        sets, (often, order) = Sets(words), shared(block)
         for batch in batches:
             for row, end, data, offsets in chunks(batch.column("text")):
                 tokens, bounds = sets.of(data, offsets)
-                ranks = index.ranks(tokens)
+                n = np.diff(bounds)
                 sums = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(tokens ^ np.uint64(m))))) for m in MULTIPLIERS]
                 digests = [(s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums]
-                seen: set[tuple] = set()
-                keys, singles = [], []
-                for k, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
-                    same = (b - a, digests[0][k], digests[1][k])
-                    if a == b or same in seen:
-                        keys.append(np.zeros(0, np.uint64))
-                        singles.append(0)
-                        continue
-                    seen.add(same)
-                    own, single = index.of(tokens[a:b], ranks[a:b])
-                    keys.append(own)
-                    singles.append(single)
-                ends = np.cumsum([0, *map(len, keys)])
+                _, first = np.unique(np.stack([n, *digests]), axis=1, return_index=True)
+                length = np.zeros(len(n), np.int64)
+                length[first] = np.where(n > 0, n - overlap(n, percent) + 1, 0)[first]
+                prefix, ends = prefixes(tokens, bounds, length, often, order)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(row, end - row),
                         batch.column(REF).slice(row, end - row),
-                        pa.array(np.diff(bounds)),
+                        pa.array(n),
                         *map(pa.array, digests),
-                        pa.array(singles, pa.int32()),
-                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(keys).view(np.int64))),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(prefix.view(np.int64))),
                     ],
-                    names=["doc_id", REF, "n", "digest_a", "digest_b", "singles", "keys"],
+                    names=["doc_id", REF, "n", "digest_a", "digest_b", "prefix"],
                 )
 
     kind = refs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, {REF} long, n long, digest_a long, digest_b long, singles int, keys array<long>"
-    return refs.mapInArrow(run, schema)
+    return refs.mapInArrow(run, f"doc_id {kind}, {REF} long, n long, digest_a long, digest_b long, prefix array<long>")
+
+
+def _rare_pairs(percent: int):
+    """Rows in order of (key, n, node): pairs of sets under rare keys, and a row without ``b`` for every set under a frequent one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, frequent = None, None
+        for batch in _and_end(batches):
+            if batch is None and held is None:
+                break
+            final = batch is None
+            if held is not None:
+                batch = held if final else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            key, node, n, place = (batch.column(c).to_numpy() for c in ("key", "node", "n", "place"))
+            heads = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            sizes = np.diff(np.append(heads, len(key)))
+            many = sizes > RARE
+            many[0] |= frequent is not None and frequent == key[0]
+            held = None
+            if not final and not many[-1]:  # too few so far to tell
+                held = batch.slice(int(heads[-1]))
+                heads, sizes, many = heads[:-1], sizes[:-1], many[:-1]
+            frequent = key[-1] if len(many) and many[-1] and not final else None
+            rows = np.repeat(many, sizes)
+            marked = np.flatnonzero(rows)
+            out = [(node[marked], np.full(len(marked), -1), n[marked], n[marked], np.zeros(len(marked), bool))]
+            for size in range(2, RARE + 1):
+                begin = heads[(sizes == size) & ~many]
+                for i in range(size):
+                    for j in range(i + 1, size):
+                        a, b = begin + i, begin + j
+                        near = n[b] * percent <= n[a] * 100
+                        a, b = a[near], b[near]
+                        least = -(-percent * (n[a] + n[b]) // (100 + percent))
+                        good = 1 + np.minimum(n[a] - place[a], n[b] - place[b]) >= least
+                        out.append((node[a], node[b], n[a], n[b], good))
+            columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in columns[:1]]
+                + [pa.array(columns[1], mask=np.arange(len(columns[1])) < len(marked))]
+                + [pa.array(c) for c in columns[2:]],
+                names=["a", "b", "a_n", "b_n", "good"],
+            )
+
+    return run
+
+
+def _parts(refs: DataFrame, marked: DataFrame, words: int, percent: int) -> DataFrame:
+    """The parts of the marked sets (``node``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, classes = Sets(words), SizeClasses(percent)
+        for batch in batches:
+            for row, end, data, offsets in chunks(batch.column("text")):
+                tokens, bounds = sets.of(data, offsets)
+                keys = [parts_of(tokens[a:b], classes) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+                owner = np.repeat(np.arange(end - row), [len(k) for k in keys])
+                nodes = batch.column(REF).slice(row, end - row).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes[owner]), pa.array(np.diff(bounds)[owner])],
+                    names=["key", "node", "n"],
+                )
+
+    return _texts(refs, marked.select(F.col("node").alias("_to"))).mapInArrow(run, "key long, node long, n long")
+
+
+def _texts(refs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``refs`` whose number is in ``_to``, with the other columns of ``wanted``.
+
+    A list of checked size is broadcast to the scan of the texts, a longer one is joined by a shuffle.
+    """
+    wanted = pin(wanted)
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return refs.join(wanted, refs[REF] == F.col("_to"))
 
 
 def _with_pivots(percent: int):
-    """Rows in order of (key, n, node): those of shared keys, each with the first row of its key that its size may link with."""
+    """Rows in order of (key, n, node): those of shared keys, each with two earlier rows of its key that its size may link with.
+
+    The pivot is the first such row of the key, the other one stands directly before it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last, pivot = None, None, None
+        held, last, pivot, before = None, None, None, None
         for batch in _and_end(batches):
             if held is not None:
                 key = held.column("key").to_numpy()
@@ -235,28 +342,25 @@ def _with_pivots(percent: int):
                 same[1:-1] = key[1:] == key[:-1]
                 same[0] = last is not None and last == key[0]
                 same[-1] = batch is not None and batch.column("key")[0].as_py() == key[-1]
-                columns = [held.column(c).to_numpy() for c in ("node", "n", "place")]
-                if same[0]:  # the pivot so far stands before the batch
-                    columns = [np.concatenate(([p], c)) for p, c in zip(pivot, columns, strict=True)]
-                shift = int(same[0])
-                n = columns[1]
-                head = np.maximum.accumulate(
-                    np.where(np.concatenate((np.ones(shift, bool), ~same[:-1])), np.arange(len(n)), 0)
-                )
+                node, n = held.column("node").to_numpy(), held.column("n").to_numpy()
+                shift = 2 * int(same[0])
+                if shift:  # pivot and last row of the key stand before the batch
+                    node, n = np.concatenate(([pivot[0], before[0]], node)), np.concatenate(([pivot[1], before[1]], n))
+                start = np.concatenate((np.array([True, False])[:shift], ~same[:-1]))
+                head = np.maximum.accumulate(np.where(start, np.arange(len(n)), 0))
                 while True:
                     far = n * percent > n[head] * 100
                     if not far.any():
                         break
                     far[1:] &= ~(far[:-1] & (head[1:] == head[:-1]))  # the first of each key becomes a pivot
-                    start = np.where(far, np.arange(len(n)), 0)
-                    head = np.maximum(head, np.where(np.maximum.accumulate(start) >= head, np.maximum.accumulate(start), 0))
-                last, pivot = key[-1], [c[head[-1]] for c in columns]
+                    fresh = np.maximum.accumulate(np.where(far, np.arange(len(n)), 0))
+                    head = np.where(fresh >= head, fresh, head)
+                chain = np.maximum(np.arange(len(n)) - 1, head)
+                last, pivot, before = key[-1], (node[head[-1]], n[head[-1]]), (node[-1], n[-1])
                 shared = same[:-1] | same[1:]
-                arrays = [pa.array(c[head][shift:][shared]) for c in columns]
                 own = held.filter(pa.array(shared))
-                yield pa.RecordBatch.from_arrays(
-                    [*own.columns, *arrays], names=[*own.schema.names, "pivot", "pivot_n", "pivot_place"]
-                )
+                arrays = [pa.array(node[x][shift:][shared]) for x in (head, chain)]
+                yield pa.RecordBatch.from_arrays([*own.columns, *arrays], names=[*own.schema.names, "pivot", "chain"])
             held = batch
 
     return run
@@ -270,67 +374,48 @@ def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | Non
     yield None
 
 
-def _may_link(percent: int):
-    """SQL condition that a pair can reach the overlap, from its common keys and their last places."""
-    least = f"ceil({percent} * (a_n + b_n) / ({100 + percent}.0))"
-    return f"combined OR shared + least(a_n - a_place, b_n - b_place) >= {least}"
+def _verify(refs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) with ``linked``, by their whole sets.
 
+    The partners of a set come to its task one after the other; a set with
+    more than ``BLOCK`` of them is sent to several tasks.
+    """
+    pairs = pin(pairs)
+    large = pairs.groupBy(F.col("a").alias("_a")).count().filter(F.col("count") > BLOCK)
+    parts = F.coalesce(F.ceil(F.col("count") / BLOCK), F.lit(1)).cast("int")
+    dealt = pairs.join(large, pairs["a"] == F.col("_a"), "left").select("a", "b", F.pmod(F.hash("b"), parts).alias("part"))
+    goal = F.struct("a", "part", "member").alias("goal")
+    members = dealt.select(F.col("b").alias("_to"), "a", "part", F.lit(1).alias("member"))
+    pivots = dealt.select(F.col("a").alias("_to"), "a", "part", F.lit(0).alias("member"))
+    goals = members.union(pivots).select("_to", goal).groupBy("_to").agg(F.collect_set("goal").alias("goals"))
 
-def _verify(refs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) with ``linked``, by their whole sets; a set is sent once to each of its pivots ``a``."""
-    sizes = pairs.groupBy(F.col("a").alias("_a")).count()
-    parts = F.ceil(F.col("count") / MEMBERS).cast("int")
-    dealt = pairs.join(sizes, pairs["a"] == F.col("_a")).select(
-        "a", "b", F.pmod(F.hash("b"), parts).alias("part"), parts.alias("parts")
-    )
-    members = dealt.select(F.col("b").alias("_to"), F.struct("a", "part", F.lit(1).alias("member")).alias("goal"))
-    pivots = dealt.select("a", "part").distinct()
-    pivots = pivots.select(F.col("a").alias("_to"), F.struct("a", "part", F.lit(0).alias("member")).alias("goal"))
-    goals = pin(members.union(pivots).groupBy("_to").agg(F.collect_list("goal").alias("goals")))
-    if goals.count() <= BROADCAST_ROWS:
-        goals = F.broadcast(goals)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Sets(words)
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, pivot = Sets(words), np.zeros(0, np.uint64)
         for batch in batches:
-            goals = batch.column("goals")
+            firsts, seconds, linked = [], [], []
+            columns = [batch.column(c).to_pylist() for c in ("a", "member", "b")]
             for row, end, data, offsets in chunks(batch.column("text")):
                 tokens, bounds = sets.of(data, offsets)
-                part = goals.slice(row, end - row)
-                owner = np.repeat(np.arange(end - row), pc.list_value_length(part).to_numpy(zero_copy_only=False))
-                all_sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens.view(np.int64)))
-                fields = part.flatten()
-                for k in range(0, len(owner), 2048):
-                    some = pa.array(owner[k : k + 2048])
-                    yield pa.RecordBatch.from_arrays(
-                        [fields.field(c).slice(k, 2048) for c in ("a", "part", "member")]
-                        + [batch.column(REF).slice(row, end - row).take(some), all_sets.take(some)],
-                        names=["a", "part", "member", "b", "tokens"],
-                    )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivot = np.zeros(0, np.int64)
-        for batch in batches:
-            out: list[tuple[int, int, bool]] = []
-            tokens = batch.column("tokens")
-            offsets, values = tokens.offsets.to_numpy(), tokens.values.to_numpy()
-            columns = (batch.column(c).to_pylist() for c in ("a", "member", "b"))
-            for k, (a, member, b) in enumerate(zip(*columns, strict=True)):
-                own = values[offsets[k] : offsets[k + 1]]
-                if not member:
-                    pivot = np.sort(own.copy())
-                    continue
-                slot = np.searchsorted(pivot, own)
-                slot[slot == len(pivot)] = 0
-                common = int((pivot[slot] == own).sum())
-                out.append((a, b, 100 * common >= percent * (len(own) + len(pivot) - common)))
-            a, b, linked = zip(*out, strict=True) if out else ((), (), ())
+                for k in range(row, end):
+                    a, member, b = (c[k] for c in columns)
+                    own = tokens[bounds[k - row] : bounds[k - row + 1]]
+                    if not member:
+                        pivot = own.copy()
+                        continue
+                    few, many = sorted((own, pivot), key=len)
+                    slot = np.searchsorted(many, few)
+                    slot[slot == len(many)] = 0
+                    common = int((many[slot] == few).sum()) if len(many) else 0
+                    firsts.append(a)
+                    seconds.append(b)
+                    linked.append(100 * common >= percent * (len(few) + len(many) - common))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "linked"]
+                [pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64()), pa.array(linked, pa.bool_())],
+                names=["a", "b", "linked"],
             )
 
-    wanted = refs.join(goals, refs[REF] == F.col("_to")).select(REF, "text", "goals")
-    sent = wanted.mapInArrow(send, "a long, part int, member int, b long, tokens array<long>")
+    sent = _texts(refs, goals).select(F.explode("goals").alias("goal"), F.col(REF).alias("b"), "text")
+    sent = sent.select("goal.a", "goal.part", "goal.member", "b", "text")
     dealt_out = sent.repartition("a", "part").sortWithinPartitions("a", "part", "member")
     return pin(dealt_out.mapInArrow(compare, "a long, b long, linked boolean"))
 
@@ -347,72 +432,212 @@ def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
         .join(classes, digest, "left")
         .select("doc_id", REF, "n", F.coalesce("node", REF).alias("node"))
     )
-    # index: keys of every distinct set of a batch
-    places = F.posexplode("keys").alias("place", "key")
-    index = filled.select(F.col(REF).alias("node"), "n", "singles", places).select(
-        "key", "node", "n", F.when(F.col("place") < F.col("singles"), F.col("place") + 1).otherwise(0).cast("long").alias("place")
-    )
-    shared = pin(
-        index.repartition("key")
-        .sortWithinPartitions("key", "n", "node")
-        .mapInArrow(
-            _with_pivots(percent),
-            "key long, node long, n long, place long, pivot long, pivot_n long, pivot_place long",
-        )
-    )
     real = node_of.select(F.col(REF).alias("_ref"), F.col("node").alias("_node"))
 
-    def paired(rows: DataFrame) -> DataFrame:
-        """Pairs of sets from rows of one common key each, without those that cannot link."""
-        pairs = rows.groupBy("a", "b").agg(
-            F.count("*").alias("shared"),
-            F.max("a_place").alias("a_place"),
-            F.max("b_place").alias("b_place"),
-            F.max("a_n").alias("a_n"),
-            F.max("b_n").alias("b_n"),
-            F.max(F.col("a_place") == 0).alias("combined"),
-        )
-        pairs = pairs.filter(_may_link(percent))
+    def of_classes(pairs: DataFrame) -> DataFrame:
+        """Pairs of documents as pairs of their sets' representatives, the smaller first."""
         for side in ("a", "b"):
             pairs = pairs.join(real, pairs[side] == real["_ref"]).withColumn(side, F.col("_node")).drop("_ref", "_node")
-        pairs = pairs.filter("a <> b")
-        low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-        return pairs.select(low, high, "shared").groupBy("a", "b").agg(F.max("shared").alias("shared"))
-
-    stars = paired(
-        shared.filter("node <> pivot").selectExpr(
-            "pivot AS a", "node AS b", "pivot_place AS a_place", "place AS b_place", "pivot_n AS a_n", "n AS b_n"
-        )
+        return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    # single tokens
+    least = f"ceil({percent} * (a_n + b_n) / {100 + percent}.0)"
+    index = filled.select(F.col(REF).alias("node"), "n", F.posexplode("prefix").alias("place", "key")).select(
+        "key", "node", "n", (F.col("place") + 1).cast("long").alias("place")
     )
-    best = stars.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    first = _verify(refs, best, words, percent)
-    found = components(first.filter("linked"))
-    # what shares a key but not a component
-    named = shared.select("key", "node", "n", "place").join(real, F.col("node") == F.col("_ref")).drop("_ref")
-    named = named.join(found.withColumnRenamed("node", "_found"), F.col("_node") == F.col("_found"), "left")
-    named = named.select("key", "node", "n", "place", F.coalesce("component", "_node").alias("component"))
-    mixed = named.groupBy(F.col("key").alias("_key")).agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_ = pin(named.join(mixed.filter("x <> y").select("_key"), F.col("key") == F.col("_key")).drop("_key"))
-    left, right = (open_.select("key", *[F.col(c).alias(f"{side}_{c}") for c in open_.columns[1:]]) for side in "ab")
-    least = f"ceil({percent} * (a_n + b_n) / ({100 + percent}.0))"
-    rows = left.join(right, "key").filter(
-        "a_component <> b_component AND (a_n < b_n OR a_n = b_n AND a_node < b_node)"
-        f" AND 100 * a_n >= {percent} * b_n"
-        f" AND (a_place = 0 OR 1 + least(a_n - a_place, b_n - b_place) >= {least})"
+    by_token = pin(
+        index.repartition("key")
+        .sortWithinPartitions("key", "n", "node")
+        .mapInArrow(_rare_pairs(percent), "a long, b long, a_n long, b_n long, good boolean")
+    )
+    marked = by_token.filter("b IS NULL").select(F.col("a").alias("node")).distinct()
+    rare = by_token.filter("b IS NOT NULL").groupBy("a", "b", "a_n", "b_n").agg(
+        F.count("*").alias("shared"), F.max("good").alias("good")
     )
-    across = paired(rows.withColumnsRenamed({"a_node": "a", "b_node": "b"})).select("a", "b")
-    across = pin(across.join(first.select("a", "b"), ["a", "b"], "left_anti"))
-    links = first.filter("linked")
-    if not across.isEmpty():
-        more = _verify(refs, across, words, percent).filter("linked")
-        if not more.isEmpty():
-            links = links.union(more)
-            found = components(links)
+    # a linked pair that shares a frequent token as well meets in a part; all that others share in their prefixes is counted
+    beyond = f"greatest(ceil({percent} * a_n / 100.0), ceil({percent} * b_n / 100.0)) - 1"
+    rare = rare.filter(f"good AND shared + {beyond} >= {least}")
+    # combinations
+    by_part = pin(
+        _parts(refs, marked, words, percent)
+        .repartition("key")
+        .sortWithinPartitions("key", "n", "node")
+        .mapInArrow(_with_pivots(percent), "key long, node long, n long, pivot long, chain long")
+    )
+    links = _verify(refs, of_classes(rare.select("a", "b")), words, percent).filter("linked").select("a", "b")
+    links = links.unionByName(_link_families(refs, by_part, real, words, percent))
+    found = components(links)
     return node_of.join(found.withColumnRenamed("node", "_found"), F.col("node") == F.col("_found"), "left").select(
         "doc_id", REF, "n", F.coalesce("component", "node").alias("component")
     )
 
 
+def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` between sets that share parts: enough of them for all components."""
+    partner = F.explode(F.array_distinct(F.array("pivot", "chain"))).alias("b")
+    hang = by_part.select(F.col("node").alias("a"), partner).filter("a <> b").distinct()
+    for side in ("a", "b"):
+        hang = hang.join(real, hang[side] == real["_ref"]).withColumn(side, F.col("_node")).drop("_ref", "_node")
+    families = components(hang.filter("a <> b").distinct()).withColumnRenamed("component", "family")
+    sizes = families.groupBy("family").agg(F.count("*").alias("size"))
+    families = pin(families.join(sizes, "family"))
+    small = families.filter(F.col("size") <= FAMILY).select(F.col("node").alias("_to"), "family")
+    few = (
+        _texts(refs, small)
+        .select("family", F.col(REF).alias("node"), "text")
+        .repartition("family")
+        .sortWithinPartitions("family")
+        .mapInArrow(_compare_all(words, percent), "a long, b long")
+    )
+    few = pin(few)
+    large = families.filter(F.col("size") > FAMILY)
+    if large.isEmpty():
+        return few
+    # the centre of a large family has most shared parts
+    kept = by_part.join(real, F.col("node") == F.col("_ref")).select("key", F.col("_node").alias("node")).distinct()
+    shares = kept.groupBy("node").agg(F.count("*").alias("parts"))
+    centres = large.join(shares, "node").groupBy("family").agg(
+        F.max_by("node", F.struct("parts", -F.col("node"))).alias("centre"), F.max("size").alias("size")
+    )
+    centres = pin(centres.withColumn("tasks", F.ceil(F.col("size") / FAMILY).cast("int")))
+    goals = large.select("node", "family").join(centres.select("family", "centre", "tasks"), "family")
+    members = goals.select(F.col("node").alias("_to"), "family", F.pmod(F.hash("node"), "tasks").alias("task"), F.lit(1).alias("member"))
+    every = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task")
+    middles = centres.select(F.col("centre").alias("_to"), "family", every, F.lit(0).alias("member"))
+    goal = F.struct("family", "task", "member").alias("goal")
+    goals = members.unionByName(middles).groupBy("_to").agg(F.collect_list(goal).alias("goals"))
+    sent = _texts(refs, goals).select(F.explode("goals").alias("goal"), F.col(REF).alias("node"), "text")
+    sent = sent.select("goal.family", "goal.task", "goal.member", "node", "text")
+    away = pin(
+        sent.repartition("family", "task")
+        .sortWithinPartitions("family", "task", "member")
+        .mapInArrow(_differences(words), "family long, centre long, node long, n long, n_centre long, tokens array<long>")
+    )
+    rest = _verify(refs, _far_pairs(away, percent), words, percent).filter("linked").select("a", "b")
+    limit = f"{100 - percent} * (n + n_centre) div {100 + percent}"
+    near = away.filter(f"size(tokens) <= {limit} AND node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    return few.unionByName(near).unionByName(rest)
+
+
+def _compare_all(words: int, percent: int):
+    """Rows family by family, each small: links that connect what is connected."""
+
+    def linked(nodes: list[int], sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+        order = sorted(range(len(nodes)), key=lambda k: (len(sets[k]), nodes[k]))
+        root = {k: k for k in order}
+
+        def find(k: int) -> int:
+            while root[k] != k:
+                root[k] = k = root[root[k]]
+            return k
+
+        for i, x in enumerate(order):
+            for y in order[i + 1 :]:
+                few, many = sets[x], sets[y]
+                if len(many) * percent > len(few) * 100:
+                    break
+                if find(x) == find(y) or not len(few):
+                    continue
+                slot = np.searchsorted(many, few)
+                slot[slot == len(many)] = 0
+                common = int((many[slot] == few).sum())
+                if 100 * common >= percent * (len(few) + len(many) - common):
+                    root[find(y)] = find(x)
+                    yield nodes[x], nodes[y]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, now, nodes, sets = Sets(words), None, [], []
+
+        def done() -> pa.RecordBatch:
+            pairs = list(linked(nodes, sets))
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            families, own = batch.column("family").to_pylist(), batch.column("node").to_pylist()
+            for row, end, data, offsets in chunks(batch.column("text")):
+                tokens, bounds = hasher.of(data, offsets)
+                for k in range(row, end):
+                    if families[k] != now:
+                        yield done()
+                        now, nodes, sets = families[k], [], []
+                    nodes.append(own[k])
+                    sets.append(tokens[bounds[k - row] : bounds[k - row + 1]].copy())
+        yield done()
+
+    return run
+
+
+def _differences(words: int):
+    """Rows in order of (family, task, member): for every member the tokens that only it or only the centre has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, middle, centre = Sets(words), np.zeros(0, np.uint64), -1
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("family", "member", "node")]
+            rows: list[tuple] = []
+            for row, end, data, offsets in chunks(batch.column("text")):
+                tokens, bounds = sets.of(data, offsets)
+                for k in range(row, end):
+                    family, member, node = (c[k] for c in columns)
+                    own = tokens[bounds[k - row] : bounds[k - row + 1]]
+                    if not member:
+                        middle, centre = own.copy(), node
+                        continue
+                    both = np.sort(np.concatenate((own, middle)))
+                    twice = np.concatenate((both[1:] == both[:-1], [False])) if len(both) else np.zeros(0, bool)
+                    once = ~twice
+                    once[1:] &= ~twice[:-1]
+                    rows.append((family, centre, node, len(own), len(middle), both[once].view(np.int64)))
+            lists = [r[5] for r in rows]
+            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            flat = np.concatenate([*lists, np.zeros(0, np.int64)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], pa.int64()) for k in range(5)]
+                + [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                names=["family", "centre", "node", "n", "n_centre", "tokens"],
+            )
+
+    return run
+
+
+def _far_pairs(away: DataFrame, percent: int) -> DataFrame:
+    """Candidates ``a``, ``b`` within large families of which one at least is not linked with the centre.
+
+    Let d be the number of differences from the centre and D(x, y) how many
+    differences linked x and y may have.  Linked x and y share at least
+    (d(x) + d(y) - D(x, y)) / 2 differences.  If y is not linked with the
+    centre, d(y) > D(y, centre), so this is about half of d(x) or more: with
+    the differences in order of rarity, one of the first half of x is shared.
+    Of y the bound is d(y) less the largest D.
+    """
+    spread = f"({100 - percent} * greatest(0, n - n_centre) div {100 + percent} + 2)"
+    most = f"({100 - percent} * (n + 100 * n div {percent}) div {100 + percent})"
+    rows = away.select("family", "node", "n", "n_centre", F.size("tokens").cast("long").alias("d"), F.explode("tokens").alias("token"))
+    counts = rows.groupBy("family", "token").agg(F.count("*").alias("rarity")).filter("rarity > 1")
+    ranked = rows.join(counts, ["family", "token"], "left")
+    ranked = ranked.groupBy("family", "node", "n", "n_centre", "d").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("rarity", F.lit(1)).alias("rarity"), "token"))).alias("tokens")
+    )
+    ranked = ranked.withColumns(
+        {
+            "far": F.expr(f"d > {100 - percent} * (n + n_centre) div {100 + percent}"),
+            "half": F.expr(f"d - greatest(1, ceil((d - {spread}) / 2)) + 1"),
+            "long": F.expr(f"d - greatest(1, d - {most}) + 1"),
+        }
+    )
+    ranked = pin(ranked)
+
+    def index(which: str, length: str, side: str) -> DataFrame:
+        entry = F.explode(F.slice("tokens", F.lit(1), F.col(length).cast("int"))).alias("entry")
+        entries = ranked.filter(which).select("family", "node", "n", entry).filter("entry.rarity > 1")
+        return entries.select("family", F.col("entry.token").alias("token"), F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
+
+    near_size = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    both_far = index("far", "half", "a").join(index("far", "half", "b"), ["family", "token"]).filter(f"a < b AND {near_size}")
+    one_far = index("NOT far", "half", "a").join(index("far", "long", "b"), ["family", "token"]).filter(near_size)
+    return both_far.select("a", "b").union(one_far.select("a", "b")).distinct()
+
+
 def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per document ``doc_id``, ``n_shingles`` and ``component_id``, the smallest document id reachable by links."""
     refs = with_ref(docs.select("doc_id", "text"))

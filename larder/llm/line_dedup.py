@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.session import delete_folder, shared_folder
+from larder.session import delete_folder, scratch_path
 
 from .textbytes import MULTIPLIERS, SpanHashes, chunks, lower_table
 
@@ -95,7 +95,7 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, fanout: int = 4) -> None:
         self.spark, self.fanout = spark, fanout
-        self.folder = f"{shared_folder(spark)}/line-runs/{uuid4().hex}"
+        self.folder = scratch_path(spark, "line-runs")
         self.levels: list[list[str]] = []
 
     def _write(self, counted: DataFrame, level: int) -> None:

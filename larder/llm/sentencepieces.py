@@ -30,6 +30,7 @@ are ignored.  A text, however long, is encoded whole.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +38,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .shared import share, shared
 from .textbytes import MULTIPLIERS, SpanHashes, chunks, mix
@@ -455,31 +455,32 @@ class Decoder:
         ]
 
 
+def _encoded(encoder: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Document ids, piece ids one text after the other, and where each text's begin."""
+    for batch in batches:
+        held: list[tuple[int, int, Words]] = []
+        size = 0
+        for row, end, data, offsets in chunks(batch.column("text"), CUT_BYTES):
+            held.append((row, end, encoder.cut(data, offsets)))
+            size += len(data)
+            if size >= BATCH_BYTES or end == batch.num_rows:
+                for (first, last, _), (ids, bounds) in zip(held, encoder.encode([h[2] for h in held]), strict=True):
+                    yield batch.column("doc_id").slice(first, last - first), ids, bounds
+                held, size = [], 0
+
+
+def _lists(ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()))
+
+
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """``doc_id`` and ``ids`` of every document (``doc_id``, ``text``)."""
     vocabulary = share(docs.sparkSession, Vocabulary(model))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared(vocabulary))
-        for batch in batches:
-            held: list[tuple[int, int, Words]] = []
-            size = 0
-
-            def flush(batch=batch) -> Iterator[pa.RecordBatch]:
-                for (row, end, _), (ids, bounds) in zip(held, encoder.encode([h[2] for h in held]), strict=True):
-                    lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, end - row), lists], names=["doc_id", "ids"])
-                held.clear()
-
-            for row, end, data, offsets in chunks(batch.column("text"), CUT_BYTES):
-                held.append((row, end, encoder.cut(data, offsets)))
-                size += len(data)
-                if size >= BATCH_BYTES:
-                    yield from flush()
-                    size = 0
-            if held:
-                yield from flush()
+        for docs_, ids, bounds in _encoded(Encoder(shared(vocabulary)), batches):
+            yield pa.RecordBatch.from_arrays([docs_, _lists(ids, bounds)], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
@@ -505,11 +506,28 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """Per document its ids, their number, and length and digest of the text decoded from them."""
-    return decode(encode(docs, model), model).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2("text", 256).alias("decoded_sha256"),
-    )
+    """Per document its ids, their number, and length and digest of the text decoded from them.
+
+    A task encodes and decodes at once, so that the decoded texts need not leave it.
+    """
+    vocabulary = share(docs.sparkSession, Vocabulary(model))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared(vocabulary)
+        decoder = Decoder(own)
+        for docs_, ids, bounds in _encoded(Encoder(own), batches):
+            texts = decoder.texts(ids, bounds)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    docs_,
+                    pa.array(np.diff(bounds).astype(np.int64)),
+                    _lists(ids, bounds),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
+                ],
+                names=["doc_id", "n_tokens", "ids", "n_chars", "decoded_sha256"],
+            )
+
+    schema = f"doc_id {kind}, n_tokens long, ids array<int>, n_chars long, decoded_sha256 string"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
