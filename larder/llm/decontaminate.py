@@ -46,7 +46,7 @@ BLOCK_BYTES = 16 << 20
 SAMPLE = 8
 
 #: Bytes of text in a shard.
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 2 << 20
 
 
 class Phrases:

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes handled at a time; a longer text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Odd multipliers of the two independent span hashes.
 MULTIPLIERS = (0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4F)
