@@ -228,8 +228,8 @@ def _compare(k: int):
 
     def merged(found: list[tuple]) -> pa.RecordBatch:
         """One row per query and id, and no more than ``k`` per query."""
-        if not found:
-            return _found(found)
+        if not any(len(f[0]) for f in found):
+            return _found([])
         queries, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.lexsort((scores, ids, queries))
         queries, ids, scores = queries[order], ids[order], scores[order]
