@@ -55,7 +55,7 @@ from .textbytes import MULTIPLIERS, SpanHashes, chunks, gram_hashes, lower_table
 WORDS, PERCENT = 3, 90
 
 #: Tokens of the frequent class; what is rarer than ``FREQUENT`` documents is not in it.
-FREQUENT_TOKENS, FREQUENT = 1 << 20, 8
+FREQUENT_TOKENS, FREQUENT = 1 << 20, 4
 
 #: Documents of one batch of ``BATCH_BYTES`` that must share a token for it to be counted.
 LOCAL, BATCH_BYTES = 2, 8 << 20
