@@ -6,12 +6,10 @@ written by that stage.  All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import decontaminate, jaccard_join, line_dedup, quality, sentencepieces
-from larder.session import shared_folder
+from larder.session import scratch_path
 
 #: Near duplicates: words of a shingle, and the similarity in percent.
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -58,7 +56,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/corpus/{uuid4().hex}"
+    folder = scratch_path(spark, "corpus")
     for k, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{k}"
         stage(spark, docs, sf_dir).write.parquet(path)
