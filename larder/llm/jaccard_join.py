@@ -330,7 +330,8 @@ def _texts(refs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _with_pivots(percent: int):
     """Rows in order of (key, n, node): those of shared keys, each with two earlier rows of its key that its size may link with.
 
-    The pivot is the first such row of the key, the other one stands directly before it.
+    The pivot is the first row of the key, or the last one too large for the pivot before it; the other one stands
+    directly before it, also where it is a pivot.  A row without such a row has itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +356,8 @@ def _with_pivots(percent: int):
                     far[1:] &= ~(far[:-1] & (head[1:] == head[:-1]))  # the first of each key becomes a pivot
                     fresh = np.maximum.accumulate(np.where(far, np.arange(len(n)), 0))
                     head = np.where(fresh >= head, fresh, head)
-                chain = np.maximum(np.arange(len(n)) - 1, head)
+                before_it = np.maximum(np.arange(len(n)) - 1, 0)
+                chain = np.where(start | (n * percent > n[before_it] * 100), np.arange(len(n)), before_it)
                 last, pivot, before = key[-1], (node[head[-1]], n[head[-1]]), (node[-1], n[-1])
                 shared = same[:-1] | same[1:]
                 own = held.filter(pa.array(shared))

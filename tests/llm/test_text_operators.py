@@ -299,6 +299,20 @@ def test_components_against_brute_force(spark, monkeypatch, words, percent, seed
     assert have == brute_components(texts, words, percent)
 
 
+@pytest.mark.parametrize("family", [512, 3])
+def test_chain_of_sizes_under_shared_parts(spark, monkeypatch, family):
+    """Two linked sets, the larger too large for the smallest holder of every part that they share."""
+    monkeypatch.setattr(jaccard_join, "RARE", 2)
+    monkeypatch.setattr(jaccard_join, "FAMILY", family)
+    random.seed(7)
+    base = [f"w{i}" for i in range(112)]
+    texts = [(k, " ".join(random.sample(base, 100))) for k in range(60)]
+    texts += [(60, " ".join(base[:105])), (61, " ".join(base))]
+    result = jaccard_join.join_components(spark.createDataFrame(texts, DOCS), 1, 90)
+    have = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in result.collect()}
+    assert have == brute_components(texts, 1, 90) and have[61] == (112, 60)
+
+
 def test_large_family_is_united_without_all_pairs(spark):
     base = [f"w{i}" for i in range(200)]
     texts = [(k, " ".join([*base[:k % 190], f"own{k}", *base[k % 190 + 1 :]])) for k in range(600)]
