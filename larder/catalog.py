@@ -1082,12 +1082,9 @@ def quoted_numbers(spark, sf_dir):
     return facts.payments(rows).select("order_source_id", "bonus_grant")
 
 
-@query("""
-SELECT doc_id, lang, n_chars FROM documents WHERE length(text) < 300
-""")
-def unicode_documents(spark, sf_dir):
-    """Texts with letters of several languages as staged names: the JSON holds them as they are."""
-    docs = demo.table(spark, sf_dir, "documents").filter(F.length("text") < 300)
+def staged_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose text comes back from its staged name: all texts are staged, whole."""
+    docs = demo.table(spark, sf_dir, "documents")
     rows = docs.select(text("doc_id").alias("_id"), F.col("text").alias("name"), "doc_id", "lang", "text")
     run = staged_run(spark, sf_dir)
     run.sources = {**run.sources, "api_couriers": rows.select("_id", "name")}
@@ -1099,6 +1096,17 @@ def unicode_documents(spark, sf_dir):
     return same.select("doc_id", "lang", F.length("doc.name").cast("bigint").alias("n_chars"))
 
 
+@query("""
+SELECT doc_id, lang, n_chars FROM documents WHERE length(text) < 300
+""")
+def unicode_documents(spark, sf_dir):
+    """Texts with letters of several languages as staged names: the JSON holds them as they are.
+
+    Documents of any length are staged; as in the SQL, the short ones are shown.
+    """
+    return staged_texts(spark, sf_dir).filter(F.col("n_chars") < 300)
+
+
 # -- warehouse and stream ------------------------------------------------------
 
 

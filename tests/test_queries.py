@@ -5,7 +5,7 @@ from oracle import connect, differences
 from pyspark.sql import DataFrame
 
 import __spark_entry__ as entry_file
-from larder.catalog import CATALOG
+from larder.catalog import CATALOG, staged_texts
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = {name: entry.run for name, entry in CATALOG.items()}
@@ -32,6 +32,10 @@ def test_query(spark, tables, name):
     assert differences(QUERIES[name](spark, FOLDER), SQL[name], tables) == []
 
 
+def test_texts_of_any_length_are_staged(spark, tables):
+    assert differences(staged_texts(spark, FOLDER), "SELECT doc_id, lang, n_chars FROM documents", tables) == []
+
+
 @pytest.mark.parametrize("name", ["settlement_report", "courier_ledger", "fact_product_sales"])
 def test_no_python_in_plans(spark, name):
     text = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
