@@ -10,6 +10,12 @@ threshold and dives where a window's sum falls to zero; what stands between
 the two points is the main text.  A page that marks its article has the
 threshold 0, as every line there belongs to it; else it is ``THRESHOLD``.
 
+A page marks its article by an article element, an element named as its body,
+or the main element, in falling rank.  The highest rank counts whose regions,
+with those of higher rank, hold no less text than the regions below it.  An
+article ends the clutter around it that is known by a class name or id alone;
+such articles count if they hold more text than all other marked regions.
+
 Character references are decoded, white space within a block becomes one
 space, blocks are joined by an empty line in page order.  A null or empty page
 and a page without a surge have an empty text.  Repeated rows are extracted
@@ -82,12 +88,13 @@ class Line:
     linked: int
     clutter: bool
     article: int  # 3 in an article, 2 in an element named as its body, 1 in the main element, else 0
+    doubtful: bool = False  # in an article that stands in clutter known by a name alone
 
 
-def _kind(tag: str, more: str, inside: int) -> tuple[bool, int]:
-    """Whether an element is clutter, and the rank of the article that it opens (0: none)."""
+def _kind(tag: str, more: str, inside: int) -> tuple[bool, bool, int]:
+    """Whether an element is clutter, whether it is so by a name alone, and the rank of the article that it opens (0: none)."""
     rank = {"article": 3, "main": 1}.get(tag, 0)
-    clutter = tag in CLUTTER or tag == "header" and not inside
+    clutter, named = tag in CLUTTER or tag == "header" and not inside, False
     if "=" in more or "hidden" in more:
         given = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(more.rstrip(">"))}
         role = given.get("role", "").lower()
@@ -98,22 +105,23 @@ def _kind(tag: str, more: str, inside: int) -> tuple[bool, int]:
             rank = max(rank, 2)
         hidden = "hidden" in given or given.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(given.get("style", ""))
         clutter = clutter or role in CLUTTER_ROLES or bool(hidden)
-        if tag not in ("html", "body", "main") and rank < 2:
-            clutter = clutter or not CLUTTER_WORDS.isdisjoint(words) or "header" in words and not inside
+        if tag not in ("html", "body") and not rank:
+            named = not CLUTTER_WORDS.isdisjoint(words) or "header" in words and not inside
         elif tag == "article":
             clutter = clutter or not words.isdisjoint({"comment", "comments", "related", "ad", "advert", "sponsored", "promo"})
-    return clutter, rank
+    return clutter, named, rank
 
 
 def lines_of(page: str) -> list[Line]:
     """The lines of a page, with what is known of their place."""
     out: list[Line] = []
-    stack: list[tuple[str, bool, int]] = []  # element, clutter, article rank; both also of what is around it
+    # element, clutter, clutter by name, article rank, doubtful; all also of what is around it
+    stack: list[tuple[str, bool, bool, int, bool]] = []
     text: list[str] = []
     linked = links = at = 0
 
     def clutter() -> bool:
-        return bool(stack) and stack[-1][1]
+        return bool(stack) and (stack[-1][1] or stack[-1][2])
 
     def add(part: str) -> None:
         nonlocal linked
@@ -127,7 +135,7 @@ def lines_of(page: str) -> list[Line]:
         nonlocal linked
         line = " ".join("".join(text).split())
         if line or clutter():
-            out.append(Line(line, linked, clutter(), stack[-1][2] if stack else 0))
+            out.append(Line(line, linked, clutter(), *(stack[-1][3:] if stack else (0, False))))
         text.clear()
         linked = 0
 
@@ -146,9 +154,9 @@ def lines_of(page: str) -> list[Line]:
         if token["end"]:
             if tag in BLOCKS:
                 end_line()
-            if any(tag == name for name, _, _ in stack):
+            if any(tag == x[0] for x in stack):
                 while True:
-                    name, _, _ = stack.pop()
+                    name = stack.pop()[0]
                     links -= name == "a"
                     if name == tag:
                         break
@@ -168,18 +176,20 @@ def lines_of(page: str) -> list[Line]:
                     break
         if tag in VOID:
             continue
-        around = stack[-1] if stack else ("", False, 0)
-        own, rank = _kind(tag, token["more"], around[2])
+        _, hard, soft, inside, doubtful = stack[-1] if stack else ("", False, False, 0, False)
+        own, named, rank = _kind(tag, token["more"], inside)
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-            if not (own or around[1]):
+            if not (own or named or hard or soft):
                 add(html.escape(page[at : close.start() if close else len(page)], quote=False))
             at = close.end() if close else len(page)
             continue
         if token["more"].endswith("/>") and tag in ("svg", "path", "use"):
             continue
         links += tag == "a"
-        stack.append((tag, around[1] or own, max(around[2], rank)))
+        # an article ends the clutter around it that is known by a name alone
+        opened = soft and rank > 0
+        stack.append((tag, hard or own, named or soft and not opened, max(inside, rank), doubtful or opened))
     end_line()
     return out
 
@@ -206,10 +216,24 @@ def between_surge_and_dive(weights: list[int], threshold: int, window: int = WIN
     return out
 
 
+def _marked(lines: list[Line]) -> tuple[bool, int]:
+    """Whether articles in clutter known by a name count, and the lowest rank that does (0: no article is marked)."""
+    sizes = {(d, rank): 0 for d in (False, True) for rank in range(4)}
+    for line in lines:
+        if not line.clutter:
+            sizes[line.doubtful, line.article] += len(line.text)
+    doubtful = sum(sizes[True, rank] for rank in (1, 2, 3)) > sum(sizes[False, rank] for rank in (1, 2, 3))
+    size = [0, *(sizes[False, rank] + doubtful * sizes[True, rank] for rank in (1, 2, 3))]
+    ranks = (rank for rank in (3, 2, 1) if size[rank] and sum(size[rank:]) >= sum(size[:rank]))
+    return doubtful, next(ranks, 0)
+
+
 def main_text(page: str | None, window: int = WINDOW, threshold: int = THRESHOLD) -> str:
     """The main text of one page."""
     lines = lines_of(page or "")
-    marked = max((line.article for line in lines if line.text and not line.clutter), default=0)
+    doubtful, marked = _marked(lines)
+    for line in lines:
+        line.clutter = line.clutter or line.doubtful and not doubtful
     weights = [
         0
         if line.clutter or line.article < marked

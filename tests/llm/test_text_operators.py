@@ -82,6 +82,24 @@ def test_main_text(before, after):
     assert html_text.main_text(PAGE.format(open=before, close=after)) == WANTED
 
 
+@pytest.mark.parametrize("wrapper", ["class='has-sidebar'", "class='post has-comments'", "id='popup-page'"])
+@pytest.mark.parametrize("tag", ["article", "main", "div class='entry-content'", "div role='main'"])
+def test_article_in_a_wrapper_named_as_clutter(wrapper, tag):
+    own = f"<div {wrapper}><{tag}><p>The first paragraph.</p><div class='share'>Share</div><p>The second.</p></{tag.split()[0]}></div>"
+    assert html_text.main_text(own) == "The first paragraph.\n\nThe second."
+    assert html_text.main_text(own + "<aside><article><p>Teaser</p></article></aside>") == "The first paragraph.\n\nThe second."
+    related = "<div class='related'><article><p>Teaser</p></article></div>"
+    assert html_text.main_text("<article><p>The one long article.</p></article>" + related) == "The one long article."
+
+
+@pytest.mark.parametrize("tag", ["main", "div class='entry-content'"])
+def test_teaser_beside_the_main_text(tag):
+    page = f"<{tag}><p>{'The main text. ' * 20}</p><article class='card'>A teaser</article></{tag.split()[0]}>"
+    assert html_text.main_text(page).startswith("The main text.")
+    long = f"<main><p>Intro</p><article><p>{'The main text. ' * 20}</p></article></main>"
+    assert html_text.main_text(long) == ("The main text. " * 20).strip()
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<div", "<article></article>", "<p>x", "<script>", "<!-- ", "</p></div>", "&amp;"])
 def test_pages_without_text(page):
     assert html_text.main_text(page) == ""
