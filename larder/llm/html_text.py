@@ -1,14 +1,14 @@
 """Main text of web pages by the distribution of text over lines.
 
-Markup is stripped into lines, one per block element.  A line weighs the
-characters of text that it adds: none for menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments (known by their elements, roles
-and class names), none for links outside an article, and none outside the
-article where the page marks one.  Weights are summed over windows of
-``WINDOW`` lines.  The text surges where a window's sum rises above the
-threshold and dives where a window's sum falls to zero; what stands between
-the two points is the main text.  A page that marks its article has the
-threshold 0, as every line there belongs to it; else it is ``THRESHOLD``.
+Markup is stripped into lines, one per block element.  Menus, headers, footers,
+sidebars, notices, adverts, forms and reader comments (known by their elements,
+roles and class names) are clutter and are left out first.  A line weighs the
+characters of text that it adds, none for links.  Weights are summed over
+windows of ``WINDOW`` lines.  The text surges where a window's sum rises above
+``THRESHOLD`` and dives where the sum of a whole window falls to zero; every
+line between the two points is main text, also one that weighs nothing.  Where
+a page marks its article the mark decides and no window does: every line there
+is main text, none outside it.
 
 A page marks its article by an article element, an element named as its body,
 or the main element, in falling rank.  The highest rank counts whose regions,
@@ -209,7 +209,7 @@ def between_surge_and_dive(weights: list[int], threshold: int, window: int = WIN
         while begin > (out[-1][1] if out else 0) and weights[begin - 1]:
             begin -= 1
         end = i
-        while end < n and total[end]:
+        while end < n and (total[end] or end + window > n):
             end += 1
         out.append((begin, end))
         i = end
@@ -234,16 +234,11 @@ def main_text(page: str | None, window: int = WINDOW, threshold: int = THRESHOLD
     doubtful, marked = _marked(lines)
     for line in lines:
         line.clutter = line.clutter or line.doubtful and not doubtful
-    weights = [
-        0
-        if line.clutter or line.article < marked
-        else len(line.text)
-        if marked
-        else max(0, len("".join(line.text.split())) - line.linked)
-        for line in lines
-    ]
-    ranges = between_surge_and_dive(weights, 0 if marked else threshold, window)
-    return "\n\n".join(lines[k].text for a, b in ranges for k in range(a, b) if weights[k] and lines[k].text)
+    lines = [line for line in lines if line.text and not line.clutter and line.article >= marked]
+    if not marked:
+        weights = [max(0, len("".join(line.text.split())) - line.linked) for line in lines]
+        lines = [line for a, b in between_surge_and_dive(weights, threshold, window) for line in lines[a:b]]
+    return "\n\n".join(line.text for line in lines)
 
 
 def extract(pages: DataFrame, window: int = WINDOW, threshold: int = THRESHOLD) -> DataFrame:

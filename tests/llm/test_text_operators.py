@@ -100,6 +100,16 @@ def test_teaser_beside_the_main_text(tag):
     assert html_text.main_text(long) == ("The main text. " * 20).strip()
 
 
+def test_every_line_between_surge_and_dive():
+    """Unmarked pages: lines that are links as a whole, clutter within the text, a short last paragraph."""
+    long, advert = "A paragraph that is long enough to be taken for main text in any page there is.", "<div class='ad'>Buy</div>"
+    page = f"<h2><a href='#a'>Linked heading</a></h2><p>{long}</p>{advert * 4}<p>Short.</p><p>And</p><p><a href='x'>A reference</a></p>"
+    assert html_text.main_text(page).split("\n\n") == ["Linked heading", long, "Short.", "And", "A reference"]
+    links = "<p><a href='x'>Elsewhere</a></p>" * 5
+    assert html_text.main_text(f"<p>{long}</p>{links}<p>{long}</p>{links}").split("\n\n").count(long) == 2
+    assert html_text.main_text(f"<p>{long}</p>{links}") == long
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<div", "<article></article>", "<p>x", "<script>", "<!-- ", "</p></div>", "&amp;"])
 def test_pages_without_text(page):
     assert html_text.main_text(page) == ""
