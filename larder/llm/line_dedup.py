@@ -3,9 +3,10 @@
 A line's key is the line without ASCII white space at both ends, A-Z
 lower-cased, as a pair of independent 64-bit hashes.  Every batch of documents
 adds one run: its keys, each with the number of documents that hold it and
-the largest document id among them, sorted by key.  When a level has
-``fanout`` runs they are merged into one run of the next level.  A batch is
-filtered by anti-joining its lines with the runs.
+the largest document id among them, sorted by key.  The batch's keys are merged
+with those of the runs: keys without a match are fresh rows of the run, seen
+keys add their counts.  So every key is fresh in one run.  When a level has
+``fanout`` runs they are merged into one run of the next level.
 
 A document is a row; a null text is one empty line, a document without id
 counts as smaller than any other.  Repeated rows are documents of their own.
@@ -91,7 +92,7 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 class LineRuns:
-    """Levelled runs of (key, documents, largest document id) in a shared folder."""
+    """Levelled runs of (key, documents, largest document id, whether no earlier run has the key) in a shared folder."""
 
     def __init__(self, spark: SparkSession, fanout: int = 4) -> None:
         self.spark, self.fanout = spark, fanout
@@ -112,23 +113,35 @@ class LineRuns:
 
     @staticmethod
     def _merge(runs: DataFrame) -> DataFrame:
-        return runs.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+        sums = F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"), F.bool_or("fresh").alias("fresh")
+        return runs.groupBy(*KEY).agg(*sums)
 
     def add(self, lines: DataFrame) -> None:
         """One more run, from rows of ``line_keys``."""
-        self._write(lines.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc")), 0)
+        counted = lines.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
+        known = self._keys().withColumn("_known", F.lit(True)).hint("merge")
+        marked = counted.join(known, KEY, "left").withColumn("fresh", F.col("_known").isNull()).drop("_known")
+        self._write(marked if self._paths() else counted.withColumn("fresh", F.lit(True)), 0)
 
     def read(self) -> DataFrame:
         """All keys, once each."""
-        paths = [path for level in self.levels for path in level]
+        paths = self._paths()
         if not paths:
             return self.spark.createDataFrame([], "hash_a long, hash_b long, n_docs long, last_doc long")
         runs = self.spark.read.parquet(*paths)
-        return runs if len(paths) == 1 else self._merge(runs)
+        return (runs if len(paths) == 1 else self._merge(runs)).drop("fresh")
+
+    def _paths(self) -> list[str]:
+        return [path for level in self.levels for path in level]
+
+    def _keys(self) -> DataFrame:
+        """The keys of all runs, each from the run where it is fresh."""
+        paths = self._paths()
+        return self.spark.read.parquet(*paths).filter("fresh").select(*KEY) if paths else self.read().select(*KEY)
 
     def unseen(self, lines: DataFrame) -> DataFrame:
         """The rows of ``line_keys`` whose key is in no run."""
-        return lines.join(self.read().select(*KEY), KEY, "left_anti")
+        return lines.join(self._keys(), KEY, "left_anti")
 
 
 def batches_of(docs: DataFrame, batches: int) -> Iterator[DataFrame]:

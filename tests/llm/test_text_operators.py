@@ -163,6 +163,23 @@ def test_runs_are_levelled_and_filter_batches(spark):
     assert runs.read().agg(F.max("n_docs"), F.count("*")).first()[:2] == (5, 6)
 
 
+def test_every_key_is_fresh_in_one_run(spark, monkeypatch):
+    """The batches of a whole table: new keys add rows, seen keys add counts."""
+    added, add = [], line_dedup.LineRuns.add
+
+    def spied(runs, lines):
+        add(runs, lines)
+        paths = [path for level in runs.levels for path in level]
+        rows = spark.read.parquet(*paths).groupBy(*line_dedup.KEY).agg(F.count_if("fresh").alias("fresh")).collect()
+        added.append([r["fresh"] for r in rows])
+
+    monkeypatch.setattr(line_dedup.LineRuns, "add", spied)
+    docs = [(k, f"line number {k} of this test\nthe line that all batches have") for k in range(40)]
+    found = line_dedup.repeated_places(spark.createDataFrame(docs, DOCS)).collect()
+    assert sorted((r["doc_id"], r["places"]) for r in found) == [(k, [1]) for k in range(39)]
+    assert len(added) == 4 and len(added[-1]) == 41 and {n for fresh in added for n in fresh} == {1}
+
+
 def test_dropping_keeps_all_columns(spark):
     line = "this line is in all of these documents"
     rows = [(k, f"own {k}\n{line}", k * 10, "x", line) for k in range(4)]
