@@ -21,12 +21,16 @@ same result.
 
 Two linked sets share a first token; if few sets have it, they meet there, else
 they meet in a part.  Sets that hang together by parts are a family.  A family
-of up to ``FAMILY`` sets is compared in one task.  In a larger one every set is
-compared with the set that shares most parts, the centre.  What is left are
-pairs of which one does not link with the centre; by the triangle inequality
-they must share many of their differences from it, so the differences, which
-are rare tokens, are indexed with prefixes of their own.  So no group is
-expanded into all its pairs, and no link between different components is lost.
+of up to ``FAMILY`` sets and ``FAMILY_TOKENS`` tokens is compared in one task.
+In a larger one every set is compared with the set that shares most parts, the
+centre.  What is left are pairs of which one does not link with the centre.
+The sets far from the centre go through the same again, as families of the
+parts that they share among themselves, as long as a centre links enough sets.
+For pairs of a far and a near set, and for far sets of a centre that links few,
+the triangle inequality says that they must share many of their differences
+from the centre, so the differences, which are rare tokens, are indexed with
+prefixes of their own.  So no group that a centre holds together is expanded
+into all its pairs, and no link between different components is lost.
 Candidates that cannot reach the overlap are dropped, all others are verified
 on whole sets.
 
@@ -63,8 +67,11 @@ LOCAL, BATCH_BYTES = 2, 8 << 20
 #: Sets that have a token in their prefix, at most, for them to be paired under it.
 RARE = 24
 
-#: Sets of a family that are compared in one task, and sets that a centre is compared with in one task.
-FAMILY = 512
+#: Sets and tokens of a family that are compared in one task, and that a centre is compared with in one task.
+FAMILY, FAMILY_TOKENS = 512, 1 << 22
+
+#: A family goes on with its far sets if its centre links ``FAMILY`` sets or one in so many.
+SPLIT = 16
 
 #: Bits of a token; the others number the texts that are sorted together.
 TOKEN_BITS = 52
@@ -481,9 +488,12 @@ def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words:
     for side in ("a", "b"):
         hang = hang.join(real, hang[side] == real["_ref"]).withColumn(side, F.col("_node")).drop("_ref", "_node")
     families = components(hang.filter("a <> b").distinct()).withColumnRenamed("component", "family")
-    sizes = families.groupBy("family").agg(F.count("*").alias("size"))
+    lengths = by_part.select(F.col("node").alias("_ref"), "n").distinct().join(real, "_ref").groupBy("_node").agg(F.max("n").alias("n"))
+    families = families.join(lengths, F.col("node") == F.col("_node")).drop("_node")
+    tasks = F.greatest(F.ceil(F.count("*") / FAMILY), F.ceil(F.sum("n") / FAMILY_TOKENS)).cast("int").alias("tasks")
+    sizes = families.groupBy("family").agg(F.count("*").alias("size"), tasks)
     families = pin(families.join(sizes, "family"))
-    small = families.filter(F.col("size") <= FAMILY).select(F.col("node").alias("_to"), "family")
+    small = families.filter(F.col("tasks") == 1).select(F.col("node").alias("_to"), "family")
     few = (
         _texts(refs, small)
         .select("family", F.col(REF).alias("node"), "text")
@@ -492,16 +502,16 @@ def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words:
         .mapInArrow(_compare_all(words, percent), "a long, b long")
     )
     few = pin(few)
-    large = families.filter(F.col("size") > FAMILY)
+    large = families.filter(F.col("tasks") > 1).drop("n")
     if large.isEmpty():
         return few
     # the centre of a large family has most shared parts
     kept = by_part.join(real, F.col("node") == F.col("_ref")).select("key", F.col("_node").alias("node")).distinct()
     shares = kept.groupBy("node").agg(F.count("*").alias("parts"))
     centres = large.join(shares, "node").groupBy("family").agg(
-        F.max_by("node", F.struct("parts", -F.col("node"))).alias("centre"), F.max("size").alias("size")
+        F.max_by("node", F.struct("parts", -F.col("node"))).alias("centre"), F.max("tasks").alias("tasks")
     )
-    centres = pin(centres.withColumn("tasks", F.ceil(F.col("size") / FAMILY).cast("int")))
+    centres = pin(centres)
     goals = large.select("node", "family").join(centres.select("family", "centre", "tasks"), "family")
     members = goals.select(F.col("node").alias("_to"), "family", F.pmod(F.hash("node"), "tasks").alias("task"), F.lit(1).alias("member"))
     every = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task")
@@ -515,10 +525,24 @@ def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words:
         .sortWithinPartitions("family", "task", "member")
         .mapInArrow(_differences(words), "family long, centre long, node long, n long, n_centre long, tokens array<long>")
     )
-    rest = _verify(refs, _far_pairs(away, percent), words, percent).filter("linked").select("a", "b")
     limit = f"{100 - percent} * (n + n_centre) div {100 + percent}"
-    near = away.filter(f"size(tokens) <= {limit} AND node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
-    return few.unionByName(near).unionByName(rest)
+    is_near = F.expr(f"size(tokens) <= {limit} AND node <> centre")
+    near = away.filter(is_near).select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    enough = (F.count_if(is_near) >= FAMILY) | (F.count_if(is_near) * SPLIT >= F.count("*"))
+    split = pin(away.groupBy("family").agg(enough.alias("split")).filter("split").select("family"))
+    far = away.filter(f"size(tokens) > {limit}").join(split, "family").select(F.col("node").alias("_far"))
+    links = few.unionByName(near)
+    pairs = _far_pairs(away, split, percent)
+    links = links.unionByName(_verify(refs, pairs, words, percent).filter("linked").select("a", "b"))
+    # the far sets among themselves; every round leaves out what the centres link
+    held = by_part.join(real, F.col("node") == F.col("_ref")).select("key", F.col("_node").alias("node"), "n").distinct()
+    held = held.join(far, F.col("node") == F.col("_far"), "left_semi")
+    held = pin(
+        held.repartition("key")
+        .sortWithinPartitions("key", "n", "node")
+        .mapInArrow(_with_pivots(percent), "key long, node long, n long, pivot long, chain long")
+    )
+    return links if held.isEmpty() else links.unionByName(_link_families(refs, held, real, words, percent))
 
 
 def _compare_all(words: int, percent: int):
@@ -602,9 +626,11 @@ def _differences(words: int):
     return run
 
 
-def _far_pairs(away: DataFrame, percent: int) -> DataFrame:
+def _far_pairs(away: DataFrame, split: DataFrame, percent: int) -> DataFrame:
     """Candidates ``a``, ``b`` within large families of which one at least is not linked with the centre.
 
+    In the families of ``split`` only one is not; their far sets are compared by themselves.
+
     Let d be the number of differences from the centre and D(x, y) how many
     differences linked x and y may have.  Linked x and y share at least
     (d(x) + d(y) - D(x, y)) / 2 differences.  If y is not linked with the
@@ -635,7 +661,8 @@ def _far_pairs(away: DataFrame, percent: int) -> DataFrame:
         return entries.select("family", F.col("entry.token").alias("token"), F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
 
     near_size = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    both_far = index("far", "half", "a").join(index("far", "half", "b"), ["family", "token"]).filter(f"a < b AND {near_size}")
+    whole = index("far", "half", "a").join(split, "family", "left_anti")
+    both_far = whole.join(index("far", "half", "b"), ["family", "token"]).filter(f"a < b AND {near_size}")
     one_far = index("NOT far", "half", "a").join(index("far", "long", "b"), ["family", "token"]).filter(near_size)
     return both_far.select("a", "b").union(one_far.select("a", "b")).distinct()
 

@@ -384,6 +384,39 @@ def test_large_family_around_its_centre(spark):
     assert have == brute_components(texts, 3, 90)
 
 
+def test_two_clusters_in_a_large_family(spark, monkeypatch):
+    """Two versions of a template with many copies each: the second is not expanded into its pairs."""
+    random.seed(5)
+    base = [f"w{i}" for i in range(150)]
+    other = [*base[:100], *(f"v{i}" for i in range(50))]
+    texts = []
+    for k in range(640):
+        own = list(base if k % 2 else other)
+        own[random.randrange(len(own))] = f"x{k}"
+        texts.append((k, " ".join(own)))
+    verified, verify = [], jaccard_join._verify
+
+    def counted(refs, pairs, words, percent):
+        verified.append(pairs.count())
+        return verify(refs, pairs, words, percent)
+
+    monkeypatch.setattr(jaccard_join, "_verify", counted)
+    result = jaccard_join.join_components(spark.createDataFrame(texts, DOCS))
+    have = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in result.collect()}
+    assert have == brute_components(texts, 3, 90) and {c for _, c in have.values()} == {0, 1}
+    assert sum(verified) < 640 * 20
+
+
+def test_long_sets_make_a_large_family(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FAMILY_TOKENS", 300)
+    monkeypatch.setattr(jaccard_join, "RARE", 2)
+    compared, compare = [], jaccard_join._differences
+    monkeypatch.setattr(jaccard_join, "_differences", lambda words: compared.append(words) or compare(words))
+    texts = [(k, " ".join([f"w{i}" for i in range(150)] + [f"x{k}"])) for k in range(6)]
+    result = jaccard_join.join_components(spark.createDataFrame(texts, DOCS), 1, 90)
+    assert {r["component_id"] for r in result.collect()} == {0} and compared
+
+
 def test_keep_one_passes_rows_on(spark):
     rows = [(1, "a b c d e f", "k"), (2, "a b c d e f", "l"), (3, None, "m"), (4, "", "n"), (1, "a b c d e f", "o"), (None, "z", "p")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node string")
