@@ -17,6 +17,9 @@ from . import (
     quality,
     sentencepieces,
     suffix_dedup,
+    token_counts,
+    turn_repair,
+    vector_codes,
 )
 
 
@@ -68,6 +71,18 @@ def op10_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_records(chat_format.records_of_turns(turns.union(hostile))))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_damaged(_read(spark, folder, "conversations"))
+
+
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(_read(spark, folder, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(_read(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_html_extraction": op2_html_extraction,
@@ -79,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_token_counts": op12_token_counts,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 SQL: dict[str, str] = {
@@ -88,4 +106,6 @@ SQL: dict[str, str] = {
     "op6_ngram_jaccard_join": jaccard_join.oracle(),
     "op7_suffix_array_dedup": suffix_dedup.oracle(),
     "op10_chat_formatting": chat_format.oracle(),
+    "op11_conversation_repair": turn_repair.oracle(),
+    "op13_vector_codes": vector_codes.oracle(),
 }
