@@ -71,16 +71,36 @@ ODD_TURNS = [
     (None, 0, "tool\nuse", "日本 𝒳"),
     (3, 2, "assistant", "second"),
     (3, 1, "assistant", "first"),
+    (4, None, "user", "no turn number."),
+    (4, None, "system", "no turn number either?"),
+    (4, 2**40, "assistant", "far away"),
+    (5, 0, "", "a role without letters."),
+    (5, 1, "userland", "starts as a user does!"),
+    (5, 2, "user", " \t\r\n"),
+    (6, 3, "assistant", "cut"),
+    *[(7 + k // 9, k, "sua"[k * k % 5 % 3] + "ser", f"turn {k % 7}" + ".?! "[k % 4]) for k in range(90)],
+]
+ODD_VECTORS = [
+    (1, [0.5, -0.25] * 8, 1),
+    (2, None, 1),
+    (3, [0.5, None] * 8, 2),
+    (4, [float("nan"), 0.5] * 8, None),
+    (5, [float("inf"), 0.5] * 8, None),
+    (6, [0.0] * 16, None),
+    (7, [-1e-9, 1e-9] * 8, 1),
+    (9, [3.0, -2.0] * 8, 3),
+    *[(10 + k, [float((k * j * j) % 11 - 5) / 8 for j in range(1, 17)], k % 3) for k in range(40)],
+    *[(60 + k, [0.5, -0.25] * 8, None) for k in range(5)],
 ]
 
 
-def odd_tables(folder, documents, items, turns):
+def odd_tables(folder, documents, items, turns, vectors=()):
     """The tables as Parquet; with extra columns whose names operators might use themselves."""
     import pyarrow.parquet as pq
 
     def write(name, rows, fields):
         columns = [pa.array([r[k] for r in rows], f[1]) for k, f in enumerate(fields)]
-        extra = [("key", pa.int64()), ("n", pa.string()), ("ref", pa.int64()), ("spans", pa.int64()), ("_row_ref", pa.int64())]
+        extra = [("key", pa.int64()), ("n", pa.string()), ("part", pa.int64()), ("place", pa.string()), ("ref", pa.int64()), ("spans", pa.int64()), ("_row_ref", pa.int64())]
         columns += [pa.nulls(len(rows), kind) for _, kind in extra]
         pq.write_table(pa.table(columns, schema=pa.schema([*fields, *extra])), f"{folder}/{name}.parquet")
 
@@ -88,12 +108,13 @@ def odd_tables(folder, documents, items, turns):
     write("benchmark", items, [("item_id", pa.int64()), ("text", pa.string())])
     fields = [("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())]
     write("conversations", turns, fields)
+    write("embeddings", vectors, [("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())])
     return str(folder)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_odd_rows(spark, tmp_path, name):
-    folder = odd_tables(tmp_path, ODD_DOCUMENTS, ODD_ITEMS, ODD_TURNS)
+    folder = odd_tables(tmp_path, ODD_DOCUMENTS, ODD_ITEMS, ODD_TURNS, ODD_VECTORS)
     assert differences(QUERIES[name](spark, folder), SQL[name], connect(folder)) == []
 
 
@@ -112,6 +133,6 @@ def test_repeated_rows_and_missing_ids(spark, tmp_path, name):
 
 
 def test_names():
-    assert sorted({int(name[2:].split("_")[0]) for name in QUERIES}) == list(range(1, 11))
+    assert sorted({int(name[2:].split("_")[0]) for name in QUERIES}) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
     assert duckdb.__version__
