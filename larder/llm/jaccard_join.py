@@ -335,10 +335,11 @@ def _texts(refs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _with_pivots(percent: int):
-    """Rows in order of (key, n, node): those of shared keys, each with two earlier rows of its key that its size may link with.
+    """Rows in order of (key, n, node): those of shared keys, each with its pivot, an earlier row of its key.
 
-    The pivot is the first row of the key, or the last one too large for the pivot before it; the other one stands
-    directly before it, also where it is a pivot.  A row without such a row has itself.
+    The pivot is the first row of the key, or the last one too large for the pivot before it, so a row's size may
+    link with its pivot's.  A pivot also has the row directly before it, if their sizes may link.  A row without
+    such a row has itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,7 +365,8 @@ def _with_pivots(percent: int):
                     fresh = np.maximum.accumulate(np.where(far, np.arange(len(n)), 0))
                     head = np.where(fresh >= head, fresh, head)
                 before_it = np.maximum(np.arange(len(n)) - 1, 0)
-                chain = np.where(start | (n * percent > n[before_it] * 100), np.arange(len(n)), before_it)
+                alone = start | (head != np.arange(len(n))) | (n * percent > n[before_it] * 100)
+                chain = np.where(alone, np.arange(len(n)), before_it)
                 last, pivot, before = key[-1], (node[head[-1]], n[head[-1]]), (node[-1], n[-1])
                 shared = same[:-1] | same[1:]
                 own = held.filter(pa.array(shared))
@@ -483,8 +485,11 @@ def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words: int, percent: int) -> DataFrame:
     """Links ``a``, ``b`` between sets that share parts: enough of them for all components."""
-    partner = F.explode(F.array_distinct(F.array("pivot", "chain"))).alias("b")
-    hang = by_part.select(F.col("node").alias("a"), partner).filter("a <> b").distinct()
+    # every set hangs on one pivot, and its other pivots on that one
+    pivots = by_part.groupBy("node").agg(F.collect_set("pivot").alias("pivots")).withColumn("first", F.array_min("pivots"))
+    hang = pivots.select(F.col("node").alias("a"), F.col("first").alias("b"))
+    hang = hang.union(pivots.filter("size(pivots) > 1").select("first", F.explode("pivots")).distinct())
+    hang = hang.union(by_part.filter("chain <> node").select("node", "chain").distinct()).filter("a <> b").distinct()
     for side in ("a", "b"):
         hang = hang.join(real, hang[side] == real["_ref"]).withColumn(side, F.col("_node")).drop("_ref", "_node")
     families = components(hang.filter("a <> b").distinct()).withColumnRenamed("component", "family")
