@@ -1097,14 +1097,11 @@ def staged_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT doc_id, lang, n_chars FROM documents WHERE length(text) < 300
+SELECT doc_id, lang, n_chars FROM documents
 """)
 def unicode_documents(spark, sf_dir):
-    """Texts with letters of several languages as staged names: the JSON holds them as they are.
-
-    Documents of any length are staged; as in the SQL, the short ones are shown.
-    """
-    return staged_texts(spark, sf_dir).filter(F.col("n_chars") < 300)
+    """Texts with letters of several languages as staged names: the JSON holds them as they are."""
+    return staged_texts(spark, sf_dir)
 
 
 # -- warehouse and stream ------------------------------------------------------
