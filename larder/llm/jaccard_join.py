@@ -4,13 +4,15 @@ A token is a 52-bit hash of ``WORDS`` consecutive words (any characters but
 ASCII white space, A-Z lower-cased).  Two sets of sizes m <= n link when
 100 * common >= percent * union.
 
-Tokens have one order for all documents: rare ones first, by hash, then the
-frequent class, by falling rarity.  A set's prefix is as long as it may be
-without a link partner being missed: the first token that two linked sets
-share stands in both prefixes.  The frequent class is what is repeated within
-batches of some thousand documents, counted over all documents; it is bounded
-by ``FREQUENT_TOKENS`` and decides the order only, so that any class gives the
-same result.
+Tokens have one order for all documents: rare ones first, by hash, then those
+that are counted as too common, then the frequent class, by falling rarity.  A
+set's prefix is as long as it may be without a link partner being missed: the
+first token that two linked sets share stands in both prefixes.  The frequent
+class is a first guess: what is repeated within batches of some thousand
+documents, in a list of at most ``FREQUENT_TOKENS``.  What it leaves in more
+than ``RARE`` prefixes is counted exactly, over all documents, kept as a table
+that grows with them, and moved back.  The order decides the cost only; any
+gives the same result.
 
 * Prefix tokens are indexed one by one.  The sets of a token that at most
   ``RARE`` sets have in their prefix are candidates of each other.
@@ -22,8 +24,8 @@ same result.
 Two linked sets share a first token; if few sets have it, they meet there, else
 they meet in a part.  Sets that hang together by parts are a family.  A family
 of up to ``FAMILY`` sets and ``FAMILY_TOKENS`` tokens is compared in one task.
-In a larger one every set is compared with the set that shares most parts, the
-centre.  What is left are pairs of which one does not link with the centre.
+In a larger one every set is compared with the set that shares its parts with
+most others, the centre.  What is left are pairs of which one does not link with the centre.
 The sets far from the centre go through the same again, as families of the
 parts that they share among themselves, as long as a centre links enough sets.
 For pairs of a far and a near set, and for far sets of a centre that links few,
@@ -35,8 +37,10 @@ Candidates that cannot reach the overlap are dropped, all others are verified
 on whole sets.
 
 Null and empty texts have an empty set, which links with nothing.  Repeated
-rows and equal sets are one class with one representative.  Extra columns are
-ignored, or passed on by ``keep_one``.
+rows and equal sets are one class with one representative.  Rows of one id, or
+without id, are documents of their own; the id of a component is the smallest
+one in it, null if it has none.  Extra columns are ignored, or passed on by
+``keep_one``.
 """
 
 from __future__ import annotations
@@ -52,7 +56,7 @@ from larder.session import pin
 
 from .components import components
 from .rows import REF, with_ref
-from .shared import share, shared
+from .shared import gathered, share, shared, small_batches, tidy
 from .textbytes import MULTIPLIERS, SpanHashes, chunks, gram_hashes, lower_table, mix, word_spans
 
 #: Words of a token, and the similarity in percent.
@@ -67,12 +71,24 @@ LOCAL, BATCH_BYTES = 2, 8 << 20
 #: Sets that have a token in their prefix, at most, for them to be paired under it.
 RARE = 24
 
+#: Narrow rows that are handled together.
+TOGETHER = 1 << 16
+
+#: How often the sets with a more common token get a new prefix.
+ROUNDS = 2
+
 #: Sets and tokens of a family that are compared in one task, and that a centre is compared with in one task.
 FAMILY, FAMILY_TOKENS = 512, 1 << 22
 
 #: A family goes on with its far sets if its centre links ``FAMILY`` sets or one in so many.
 SPLIT = 16
 
+#: The same for a family whose far sets would make many pairs.
+SPLIT_DENSE = 64
+
+#: Pairs of far sets that are compared directly, per set of a family.
+PAIRS = 64
+
 #: Bits of a token; the others number the texts that are sorted together.
 TOKEN_BITS = 52
 
@@ -146,7 +162,7 @@ def frequent_tokens(docs: DataFrame, words: int) -> np.ndarray:
                     held, size = [], 0
         yield repeated(held)
 
-    counted = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(tidy(run), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     level = F.floor(F.log2("n") * 16).cast("int")
     counted = pin(counted.filter(F.col("n") >= FREQUENT).withColumn("level", level))
     least, total = 0, 0
@@ -162,8 +178,8 @@ def frequent_tokens(docs: DataFrame, words: int) -> np.ndarray:
 
 def prefixes(
     tokens: np.ndarray, bounds: np.ndarray, wanted: np.ndarray, frequent: np.ndarray, order: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``wanted`` tokens of every set, rare ones first, and where each set's begin.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first ``wanted`` tokens of every set, rare ones first, where each set's begin, and how many of them are rare.
 
     ``frequent`` is sorted, ``order`` has the places of its tokens in the class.
     """
@@ -183,7 +199,8 @@ def prefixes(
     # in their order within each set
     place = np.flatnonzero(taken)
     place = place[np.lexsort((tokens[place], rank[place], owner[place]))]
-    return tokens[place], np.concatenate(([0], np.cumsum(np.bincount(owner[place], minlength=len(wanted)))))
+    ends = np.concatenate(([0], np.cumsum(np.bincount(owner[place], minlength=len(wanted)))))
+    return tokens[place], ends, np.minimum(rare[bounds[1:]] - rare[bounds[:-1]], wanted)
 
 
 def overlap(n: np.ndarray | int, percent: int):
@@ -243,20 +260,125 @@ def _signatures(refs: DataFrame, words: int, percent: int, frequent: np.ndarray)
                 _, first = np.unique(np.stack([n, *digests]), axis=1, return_index=True)
                 length = np.zeros(len(n), np.int64)
                 length[first] = np.where(n > 0, n - overlap(n, percent) + 1, 0)[first]
-                prefix, ends = prefixes(tokens, bounds, length, often, order)
+                prefix, ends, rare = prefixes(tokens, bounds, length, often, order)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(row, end - row),
                         batch.column(REF).slice(row, end - row),
                         pa.array(n),
                         *map(pa.array, digests),
+                        pa.array(rare),
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(prefix.view(np.int64))),
                     ],
-                    names=["doc_id", REF, "n", "digest_a", "digest_b", "prefix"],
+                    names=["doc_id", REF, "n", "digest_a", "digest_b", "n_rare", "prefix"],
                 )
 
     kind = refs.schema["doc_id"].dataType.simpleString()
-    return refs.mapInArrow(run, f"doc_id {kind}, {REF} long, n long, digest_a long, digest_b long, prefix array<long>")
+    schema = f"doc_id {kind}, {REF} long, n long, digest_a long, digest_b long, n_rare long, prefix array<long>"
+    return refs.mapInArrow(tidy(run), schema)
+
+
+def _entries(arrays: DataFrame) -> DataFrame:
+    """One row per set and token of its prefix; ``rare`` if the token is of no class that the set knows."""
+    rows = arrays.select("node", "n", "n_rare", F.posexplode("prefix").alias("at", "key"))
+    return rows.select("key", "node", "n", (F.col("at") + 1).cast("long").alias("place"), (F.col("at") < F.col("n_rare")).alias("rare"))
+
+
+def _rebuilt(refs: DataFrame, crowded: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """Prefixes of the sets of ``crowded`` (``node`` and ``tokens`` with their counts), whose tokens come after the rare ones."""
+    at = np.argsort(frequent)
+    block = share(refs.sparkSession, (frequent[at], at))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, (often, order) = Sets(words), shared(block)
+        for batch in batches:
+            later = batch.column("tokens").to_pylist()
+            for row, end, data, offsets in chunks(batch.column("text")):
+                tokens, bounds = sets.of(data, offsets)
+                n = np.diff(bounds)
+                wanted = np.where(n > 0, n - overlap(n, percent) + 1, 0)
+                found, rare = [], []
+                for k in range(end - row):
+                    own = tokens[bounds[k] : bounds[k + 1]]
+                    rank = np.zeros(len(own), np.int64)
+                    if len(often):
+                        slot = np.minimum(np.searchsorted(often, own), len(often) - 1)
+                        rank = np.where(often[slot] == own, order[slot] + (1 << 60), 0)
+                    known = np.array([t["key"] for t in later[row + k]], np.int64).view(np.uint64)
+                    rank[np.searchsorted(own, known)] = [t["held"] for t in later[row + k]]
+                    found.append(own[np.lexsort((own, rank))[: wanted[k]]])
+                    rare.append(min(int((rank == 0).sum()), int(wanted[k])))
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(REF).slice(row, end - row),
+                        pa.array(n),
+                        pa.array(rare, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64))),
+                    ],
+                    names=["node", "n", "n_rare", "prefix"],
+                )
+
+    return _texts(refs, crowded.withColumnRenamed("node", "_to")).mapInArrow(tidy(run), "node long, n long, n_rare long, prefix array<long>")
+
+
+def _whole_sets(refs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """All tokens of some sets as entries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = Sets(words)
+        for batch in batches:
+            for row, end, data, offsets in chunks(batch.column("text")):
+                tokens, bounds = sets.of(data, offsets)
+                owner = np.repeat(np.arange(end - row), np.diff(bounds))
+                nodes_ = batch.column(REF).slice(row, end - row).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tokens.view(np.int64)), pa.array(nodes_[owner]), pa.array(np.diff(bounds)[owner])], names=["key", "node", "n"]
+                )
+
+    rows = _texts(refs, nodes.select(F.col("node").alias("_to"))).mapInArrow(tidy(run), "key long, node long, n long")
+    return rows.select("key", "node", "n", F.lit(1).cast("long").alias("place"), F.lit(True).alias("rare"))
+
+
+def _index(refs: DataFrame, arrays: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """Entries (``key``, ``node``, ``n``, ``place``) of all sets, by an order in which tokens of many prefixes come late.
+
+    Tokens that more than ``RARE`` prefixes have are counted, over all sets, and
+    come after the rare ones, by count; the sets that have them get a new
+    prefix.  What is counted is a table, joined to the prefixes.  A count stays
+    once it is made, so that the order is the same for all sets.  Sets that
+    still have such a token after ``ROUNDS`` rounds are indexed with all tokens,
+    which needs no order.
+    """
+    entries, rebuilt, ranked, hits = _entries(arrays), None, None, None
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.filter("rare").groupBy("key").agg(F.count("*").alias(name))
+
+    several = pin(counted(entries, "held").filter("held > 1"))
+    crowded = pin(several.filter(F.col("held") > RARE))
+    for step in range(ROUNDS + 1):
+        if crowded.isEmpty():
+            break
+        found = pin(entries.filter("rare").join(crowded.select("key", "held"), "key").select("node", "key", "held"))
+        if step == ROUNDS:
+            stale = pin(found.select("node").distinct())
+            return entries.join(stale, "node", "left_anti").unionByName(_whole_sets(refs, stale, words))
+        ranked = crowded if ranked is None else pin(ranked.unionByName(crowded.filter("new").drop("new")))
+        hits = found if hits is None else pin(hits.unionByName(found))
+        nodes = found.select("node").distinct()
+        lists = hits.join(nodes, "node", "left_semi").groupBy("node").agg(F.collect_list(F.struct("key", "held")).alias("tokens"))
+        fresh = pin(_rebuilt(refs, lists, words, percent, frequent))
+        rebuilt = fresh if rebuilt is None else pin(rebuilt.join(fresh.select("node"), "node", "left_anti").unionByName(fresh))
+        entries = _entries(arrays.join(rebuilt.select("node"), "node", "left_anti")).unionByName(_entries(rebuilt))
+        # the counts change by what the new prefixes have and the old ones had; a token that is not among those of several sets had one
+        old = counted(_entries(arrays.join(rebuilt.select("node"), "node", "left_semi")), "gone")
+        now = counted(_entries(rebuilt), "come").join(old, "key", "left").join(several, "key", "left")
+        held = F.coalesce("held", F.lit(1)) - F.coalesce("gone", F.lit(0)) + F.col("come")
+        before = ranked.select("key", F.col("held").alias("known"))
+        now = now.select("key", held.alias("held")).join(before, "key", "left").filter(F.col("known").isNotNull() | (F.col("held") > RARE))
+        crowded = pin(now.select("key", F.coalesce("known", "held").alias("held"), F.col("known").isNull().alias("new")))
+    return entries
 
 
 def _rare_pairs(percent: int):
@@ -264,7 +386,7 @@ def _rare_pairs(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, frequent = None, None
-        for batch in _and_end(batches):
+        for batch in _and_end(gathered(batches, TOGETHER)):
             if batch is None and held is None:
                 break
             final = batch is None
@@ -320,7 +442,7 @@ def _parts(refs: DataFrame, marked: DataFrame, words: int, percent: int) -> Data
                     names=["key", "node", "n"],
                 )
 
-    return _texts(refs, marked.select(F.col("node").alias("_to"))).mapInArrow(run, "key long, node long, n long")
+    return _texts(refs, marked.select(F.col("node").alias("_to"))).mapInArrow(tidy(run), "key long, node long, n long")
 
 
 def _texts(refs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -344,7 +466,7 @@ def _with_pivots(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last, pivot, before = None, None, None, None
-        for batch in _and_end(batches):
+        for batch in _and_end(gathered(batches, TOGETHER)):
             if held is not None:
                 key = held.column("key").to_numpy()
                 same = np.zeros(len(key) + 1, bool)
@@ -428,20 +550,22 @@ def _verify(refs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     sent = _texts(refs, goals).select(F.explode("goals").alias("goal"), F.col(REF).alias("b"), "text")
     sent = sent.select("goal.a", "goal.part", "goal.member", "b", "text")
     dealt_out = sent.repartition("a", "part").sortWithinPartitions("a", "part", "member")
-    return pin(dealt_out.mapInArrow(compare, "a long, b long, linked boolean"))
+    return pin(dealt_out.mapInArrow(tidy(compare), "a long, b long, linked boolean"))
 
 
 def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
     """Per document ``doc_id``, ``REF``, ``n`` and the ``component`` of its set, the smallest ``REF`` in it."""
+    small_batches(refs.sparkSession)
     refs = refs.select("doc_id", REF, "text")
-    signatures = pin(_signatures(refs, words, percent, frequent_tokens(refs, words)))
+    frequent = frequent_tokens(refs, words)
+    signatures = pin(_signatures(refs, words, percent, frequent))
     digest = ["n", "digest_a", "digest_b"]
     filled = signatures.filter("n > 0")
     classes = filled.groupBy(*digest).agg(F.min(REF).alias("node"))
     node_of = pin(
-        signatures.select("doc_id", REF, *digest)
+        signatures.select("doc_id", REF, *digest, (F.size("prefix") > 0).alias("indexed"))
         .join(classes, digest, "left")
-        .select("doc_id", REF, "n", F.coalesce("node", REF).alias("node"))
+        .select("doc_id", REF, "n", "indexed", F.coalesce("node", REF).alias("node"))
     )
     real = node_of.select(F.col(REF).alias("_ref"), F.col("node").alias("_node"))
 
@@ -453,13 +577,15 @@ def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
 
     # single tokens
     least = f"ceil({percent} * (a_n + b_n) / {100 + percent}.0)"
-    index = filled.select(F.col(REF).alias("node"), "n", F.posexplode("prefix").alias("place", "key")).select(
-        "key", "node", "n", (F.col("place") + 1).cast("long").alias("place")
-    )
+    copies = node_of.filter(F.col("indexed") & (F.col("node") != F.col(REF))).select(F.col(REF).alias("node"))
+    arrays = filled.select(F.col(REF).alias("node"), "n", "n_rare", "prefix")
+    arrays = pin(arrays.join(pin(copies), "node", "left_anti"))
     by_token = pin(
-        index.repartition("key")
+        _index(refs, arrays, words, percent, frequent)
+        .select("key", "node", "n", "place")
+        .repartition("key")
         .sortWithinPartitions("key", "n", "node")
-        .mapInArrow(_rare_pairs(percent), "a long, b long, a_n long, b_n long, good boolean")
+        .mapInArrow(tidy(_rare_pairs(percent)), "a long, b long, a_n long, b_n long, good boolean")
     )
     marked = by_token.filter("b IS NULL").select(F.col("a").alias("node")).distinct()
     rare = by_token.filter("b IS NOT NULL").groupBy("a", "b", "a_n", "b_n").agg(
@@ -473,7 +599,7 @@ def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
         _parts(refs, marked, words, percent)
         .repartition("key")
         .sortWithinPartitions("key", "n", "node")
-        .mapInArrow(_with_pivots(percent), "key long, node long, n long, pivot long, chain long")
+        .mapInArrow(tidy(_with_pivots(percent)), "key long, node long, n long, pivot long, chain long")
     )
     links = _verify(refs, of_classes(rare.select("a", "b")), words, percent).filter("linked").select("a", "b")
     links = links.unionByName(_link_families(refs, by_part, real, words, percent))
@@ -504,15 +630,16 @@ def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words:
         .select("family", F.col(REF).alias("node"), "text")
         .repartition("family")
         .sortWithinPartitions("family")
-        .mapInArrow(_compare_all(words, percent), "a long, b long")
+        .mapInArrow(tidy(_compare_all(words, percent)), "a long, b long")
     )
     few = pin(few)
     large = families.filter(F.col("tasks") > 1).drop("n")
     if large.isEmpty():
         return few
-    # the centre of a large family has most shared parts
+    # the centre of a large family shares its parts with most sets
     kept = by_part.join(real, F.col("node") == F.col("_ref")).select("key", F.col("_node").alias("node")).distinct()
-    shares = kept.groupBy("node").agg(F.count("*").alias("parts"))
+    holders = kept.groupBy("key").agg(F.count("*").alias("holders"))
+    shares = kept.join(holders, "key").groupBy("node").agg(F.sum("holders").alias("parts"))
     centres = large.join(shares, "node").groupBy("family").agg(
         F.max_by("node", F.struct("parts", -F.col("node"))).alias("centre"), F.max("tasks").alias("tasks")
     )
@@ -528,16 +655,17 @@ def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words:
     away = pin(
         sent.repartition("family", "task")
         .sortWithinPartitions("family", "task", "member")
-        .mapInArrow(_differences(words), "family long, centre long, node long, n long, n_centre long, tokens array<long>")
+        .mapInArrow(tidy(_differences(words)), "family long, centre long, node long, n long, n_centre long, tokens array<long>")
     )
     limit = f"{100 - percent} * (n + n_centre) div {100 + percent}"
     is_near = F.expr(f"size(tokens) <= {limit} AND node <> centre")
     near = away.filter(is_near).select(F.col("centre").alias("a"), F.col("node").alias("b"))
     enough = (F.count_if(is_near) >= FAMILY) | (F.count_if(is_near) * SPLIT >= F.count("*"))
-    split = pin(away.groupBy("family").agg(enough.alias("split")).filter("split").select("family"))
+    some = F.count_if(is_near) * SPLIT_DENSE >= F.count("*")
+    split = pin(away.groupBy("family").agg(enough.alias("split"), some.alias("some")).filter("split OR some"))
+    pairs, split = _far_pairs(away, split, percent)
     far = away.filter(f"size(tokens) > {limit}").join(split, "family").select(F.col("node").alias("_far"))
     links = few.unionByName(near)
-    pairs = _far_pairs(away, split, percent)
     links = links.unionByName(_verify(refs, pairs, words, percent).filter("linked").select("a", "b"))
     # the far sets among themselves; every round leaves out what the centres link
     held = by_part.join(real, F.col("node") == F.col("_ref")).select("key", F.col("_node").alias("node"), "n").distinct()
@@ -545,7 +673,7 @@ def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words:
     held = pin(
         held.repartition("key")
         .sortWithinPartitions("key", "n", "node")
-        .mapInArrow(_with_pivots(percent), "key long, node long, n long, pivot long, chain long")
+        .mapInArrow(tidy(_with_pivots(percent)), "key long, node long, n long, pivot long, chain long")
     )
     return links if held.isEmpty() else links.unionByName(_link_families(refs, held, real, words, percent))
 
@@ -631,10 +759,12 @@ def _differences(words: int):
     return run
 
 
-def _far_pairs(away: DataFrame, split: DataFrame, percent: int) -> DataFrame:
+def _far_pairs(away: DataFrame, centres: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Candidates ``a``, ``b`` within large families of which one at least is not linked with the centre.
 
-    In the families of ``split`` only one is not; their far sets are compared by themselves.
+    In the families of ``centres`` that are to be ``split`` only one is not; their
+    far sets are compared by themselves.  So are those of the others there, if
+    they have more than ``PAIRS`` pairs a set.  All such families are returned too.
 
     Let d be the number of differences from the centre and D(x, y) how many
     differences linked x and y may have.  Linked x and y share at least
@@ -666,10 +796,17 @@ def _far_pairs(away: DataFrame, split: DataFrame, percent: int) -> DataFrame:
         return entries.select("family", F.col("entry.token").alias("token"), F.col("node").alias(side), F.col("n").alias(f"n_{side}"))
 
     near_size = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    split = centres.filter("split").select("family")
     whole = index("far", "half", "a").join(split, "family", "left_anti")
+    loads = whole.groupBy("family", "token").agg(F.count("*").alias("held"))
+    loads = loads.groupBy("family").agg(F.sum(F.expr("held * (held - 1) div 2")).alias("load"))
+    sizes = ranked.groupBy("family").agg(F.count("*").alias("size"))
+    dense = loads.join(sizes, "family").filter(F.col("load") > PAIRS * F.col("size")).select("family")
+    dense = pin(dense.join(centres, "family", "left_semi"))
+    whole, split = whole.join(dense, "family", "left_anti"), split.union(dense)
     both_far = whole.join(index("far", "half", "b"), ["family", "token"]).filter(f"a < b AND {near_size}")
     one_far = index("NOT far", "half", "a").join(index("far", "long", "b"), ["family", "token"]).filter(near_size)
-    return both_far.select("a", "b").union(one_far.select("a", "b")).distinct()
+    return both_far.select("a", "b").union(one_far.select("a", "b")).distinct(), split
 
 
 def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -682,10 +819,11 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, the one with the smallest id, with all its columns."""
+    """One document of each component, the one with the smallest id, with all its columns; rows without id come last."""
     rows = with_ref(docs)
     members = _members(rows, words, percent)
-    kept = members.filter(F.col("component") == F.col(REF)).select(F.col(REF).alias("_kept"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", REF)).alias("first")
+    kept = members.groupBy("component").agg(first).select(F.col(f"first.{REF}").alias("_kept"))
     return rows.join(kept, rows[REF] == F.col("_kept"), "left_semi").select(*docs.columns)
 
 

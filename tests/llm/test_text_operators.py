@@ -316,13 +316,8 @@ def brute_components(texts, words, percent):
     return {k: (len(s), find(k)) for k, s in sets.items()}
 
 
-@pytest.mark.parametrize("large", [False, True])
-@pytest.mark.parametrize(("words", "percent", "seed"), [(3, 90, 1), (5, 80, 2), (2, 70, 3), (3, 100, 4)])
-def test_components_against_brute_force(spark, monkeypatch, words, percent, seed, large):
+def near_copies(seed):
     """Families with edits on both sides of the limit, passages shared by all, tiny and empty texts."""
-    if large:  # the ways for frequent tokens and large families, on small ones
-        for name, value in (("FAMILY", 3), ("RARE", 2), ("BLOCK", 2), ("FREQUENT", 6), ("LOCAL", 2)):
-            monkeypatch.setattr(jaccard_join, name, value)
     random.seed(seed)
     passage = [f"p{i}" for i in range(20)]
     texts, number = [], 0
@@ -339,6 +334,16 @@ def test_components_against_brute_force(spark, monkeypatch, words, percent, seed
             texts.append((number, " ".join(own)))
             number += 1
     texts += [(number, None), (number + 1, ""), (number + 2, "a"), (number + 3, "a"), (number + 4, "a b")]
+    return texts
+
+
+@pytest.mark.parametrize("large", [False, True])
+@pytest.mark.parametrize(("words", "percent", "seed"), [(3, 90, 1), (5, 80, 2), (2, 70, 3), (3, 100, 4)])
+def test_components_against_brute_force(spark, monkeypatch, words, percent, seed, large):
+    if large:  # the ways for frequent tokens and large families, on small ones
+        for name, value in (("FAMILY", 3), ("RARE", 2), ("BLOCK", 2), ("FREQUENT", 6), ("LOCAL", 2)):
+            monkeypatch.setattr(jaccard_join, name, value)
+    texts = near_copies(seed)
     result = jaccard_join.join_components(spark.createDataFrame(texts, DOCS), words, percent)
     have = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in result.collect()}
     assert have == brute_components(texts, words, percent)
@@ -417,6 +422,27 @@ def test_long_sets_make_a_large_family(spark, monkeypatch):
     assert {r["component_id"] for r in result.collect()} == {0} and compared
 
 
+@pytest.mark.parametrize(("words", "percent", "seed", "rounds"), [(3, 90, 1, 0), (3, 90, 6, 1), (5, 80, 2, 3)])
+def test_ranks_from_counts_alone(spark, monkeypatch, words, percent, seed, rounds):
+    """Without a frequent class all common tokens are found by counting prefixes; sets that stay crowded are indexed whole."""
+    for name, value in (("RARE", 2), ("FREQUENT", 10**9), ("ROUNDS", rounds)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    texts = near_copies(seed)
+    result = jaccard_join.join_components(spark.createDataFrame(texts, DOCS), words, percent)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in result.collect()} == brute_components(texts, words, percent)
+
+
+def test_repeated_and_missing_ids(spark):
+    rows = [(5, "a b c d"), (5, "a b c d"), (None, "a b c d"), (4, "x y z"), (None, "x y"), (None, "q r s"), (5, "other words here")]
+    found = jaccard_join.join_components(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(str((r["doc_id"], r["n_shingles"], r["component_id"])) for r in found) == sorted(
+        map(str, [(5, 2, 5), (5, 2, 5), (None, 2, 5), (4, 1, 4), (None, 1, None), (None, 1, None), (5, 1, 5)])
+    )
+    docs = spark.createDataFrame([*rows, (1, "other words here")], DOCS).repartition(4)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard_join.keep_one(docs, 3, 90).collect()]
+    assert sorted(kept, key=str) == [(1, "other words here"), (4, "x y z"), (5, "a b c d"), (None, "q r s"), (None, "x y")]
+
+
 def test_keep_one_passes_rows_on(spark):
     rows = [(1, "a b c d e f", "k"), (2, "a b c d e f", "l"), (3, None, "m"), (4, "", "n"), (1, "a b c d e f", "o"), (None, "z", "p")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node string")
