@@ -370,9 +370,10 @@ def _index(refs: DataFrame, arrays: DataFrame, words: int, percent: int, frequen
         lists = hits.join(nodes, "node", "left_semi").groupBy("node").agg(F.collect_list(F.struct("key", "held")).alias("tokens"))
         fresh = pin(_rebuilt(refs, lists, words, percent, frequent))
         rebuilt = fresh if rebuilt is None else pin(rebuilt.join(fresh.select("node"), "node", "left_anti").unionByName(fresh))
-        entries = _entries(arrays.join(rebuilt.select("node"), "node", "left_anti")).unionByName(_entries(rebuilt))
+        done = pin(rebuilt.select("node"))  # a narrow list, so that its size lets the planner broadcast it
+        entries = _entries(arrays.join(done, "node", "left_anti")).unionByName(_entries(rebuilt))
         # the counts change by what the new prefixes have and the old ones had; a token that is not among those of several sets had one
-        old = counted(_entries(arrays.join(rebuilt.select("node"), "node", "left_semi")), "gone")
+        old = counted(_entries(arrays.join(done, "node", "left_semi")), "gone")
         now = counted(_entries(rebuilt), "come").join(old, "key", "left").join(several, "key", "left")
         held = F.coalesce("held", F.lit(1)) - F.coalesce("gone", F.lit(0)) + F.col("come")
         before = ranked.select("key", F.col("held").alias("known"))
@@ -553,6 +554,23 @@ def _verify(refs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     return pin(dealt_out.mapInArrow(tidy(compare), "a long, b long, linked boolean"))
 
 
+def _verified(refs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links among candidates ``a``, ``b`` that connect what is connected.
+
+    Every set is first compared with the one that it shares most with; pairs that
+    this has connected already need no comparison.
+    """
+    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
+    links = _verify(refs, best, words, percent).filter("linked").select("a", "b")
+    known = components(links)
+    for side in ("a", "b"):
+        own = known.select(F.col("node").alias(f"_{side}"), F.col("component").alias(f"_in_{side}"))
+        pairs = pairs.join(own, F.col(side) == F.col(f"_{side}"), "left")
+    apart = pairs.filter(F.coalesce("_in_a", "a") != F.coalesce("_in_b", "b")).select("a", "b")
+    rest = apart.join(best, ["a", "b"], "left_anti")
+    return links.unionByName(_verify(refs, rest, words, percent).filter("linked").select("a", "b"))
+
+
 def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
     """Per document ``doc_id``, ``REF``, ``n`` and the ``component`` of its set, the smallest ``REF`` in it."""
     small_batches(refs.sparkSession)
@@ -573,7 +591,8 @@ def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
         """Pairs of documents as pairs of their sets' representatives, the smaller first."""
         for side in ("a", "b"):
             pairs = pairs.join(real, pairs[side] == real["_ref"]).withColumn(side, F.col("_node")).drop("_ref", "_node")
-        return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared")
+        return pairs.groupBy("a", "b").agg(F.max("shared").alias("shared"))
 
     # single tokens
     least = f"ceil({percent} * (a_n + b_n) / {100 + percent}.0)"
@@ -601,7 +620,7 @@ def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
         .sortWithinPartitions("key", "n", "node")
         .mapInArrow(tidy(_with_pivots(percent)), "key long, node long, n long, pivot long, chain long")
     )
-    links = _verify(refs, of_classes(rare.select("a", "b")), words, percent).filter("linked").select("a", "b")
+    links = _verified(refs, pin(of_classes(rare)), words, percent)
     links = links.unionByName(_link_families(refs, by_part, real, words, percent))
     found = components(links)
     return node_of.join(found.withColumnRenamed("node", "_found"), F.col("node") == F.col("_found"), "left").select(
