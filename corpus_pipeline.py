@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm import decontaminate, jaccard_join, line_dedup, quality, sentencepieces
+from larder.llm.shared import small_batches
 from larder.session import scratch_path
 
 #: Near duplicates: words of a shingle, and the similarity in percent.
@@ -17,27 +18,32 @@ SHINGLE_WORDS, SIMILARITY = 5, 80
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
+    small_batches(spark)
     grades = quality.grades_of(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.keep_good(docs, quality.train(docs, grades))
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in several documents stay in one of them."""
+    small_batches(spark)
     return line_dedup.drop_repeated_lines(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest id."""
+    small_batches(spark)
     return jaccard_join.keep_one(docs, SHINGLE_WORDS, SIMILARITY)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a phrase of a benchmark item go, whole."""
+    small_batches(spark)
     return decontaminate.drop_leaking(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and length and digest of the text decoded from them."""
+    small_batches(spark)
     return sentencepieces.round_trip(docs)
 
 
