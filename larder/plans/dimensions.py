@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from larder.sources.readers import FIRST_ID, after_id, after_ts
 # Statuses of finished orders.
 FINISHED = ("CANCELLED", "CLOSED")
 
+USER_FIELDS = ("object_id AS user_id", "doc.name AS user_name", "doc.login AS user_login", "update_ts")
+
 
 def users(order_users: DataFrame, bonus_users: DataFrame) -> DataFrame:
     """Order-system users that have a bonus account.
@@ -23,12 +27,14 @@ def users(order_users: DataFrame, bonus_users: DataFrame) -> DataFrame:
     """
     accounts = after_id(bonus_users, FIRST_ID).select("order_user_id").distinct()
     docs = parsed(after_ts(order_users), "object_value", schemas.USER)
-    return docs.join(accounts, docs["object_id"] == accounts["order_user_id"], "left_semi").select(
-        F.col("object_id").alias("user_id"),
-        F.col("doc.name").alias("user_name"),
-        F.col("doc.login").alias("user_login"),
-        "update_ts",
-    )
+    return docs.join(accounts, docs["object_id"] == accounts["order_user_id"], "left_semi").selectExpr(*USER_FIELDS)
+
+
+def users_and_accounts(order_users: DataFrame, bonus_users: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """All users with their account, NULL if there is none; ``keep`` are further staged columns."""
+    accounts = after_id(bonus_users, FIRST_ID).select(F.col("order_user_id").alias("account")).distinct()
+    docs = parsed(after_ts(order_users), "object_value", schemas.USER).selectExpr(*keep, *USER_FIELDS)
+    return docs.join(accounts, docs["user_id"] == accounts["account"], "left")
 
 
 def _named(staged: DataFrame, prefix: str) -> DataFrame:
@@ -108,20 +114,40 @@ def orders(
     dm_timestamps: DataFrame,
 ) -> DataFrame:
     """Orders whose user, restaurant and moment are all known."""
+    return complete_orders(orders_and_parents(staged, dm_users, dm_restaurants, dm_timestamps))
+
+
+def complete_orders(found: DataFrame) -> DataFrame:
+    """The rows of orders whose parents were all found."""
+    known = found.filter("user_id IS NOT NULL AND restaurant_id IS NOT NULL AND timestamp_id IS NOT NULL")
+    return known.select("order_key", "order_status", "user_id", "restaurant_id", "timestamp_id")
+
+
+def orders_and_parents(
+    staged: DataFrame,
+    dm_users: DataFrame,
+    dm_restaurants: DataFrame,
+    dm_timestamps: DataFrame,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """All orders with the ids of their parents, NULL where a parent is unknown; ``keep`` are further staged columns."""
     docs = parsed(after_ts(staged), "object_value", schemas.ORDER)
     found = docs.select(
+        *map(F.expr, keep),
         F.col("object_id").alias("order_key"),
         F.col("doc.final_status").alias("order_status"),
         F.col("doc.user.id").alias("user_source_id"),
         F.col("doc.restaurant.id").alias("restaurant_source_id"),
         to_second(moment("doc.date")).alias("ts"),
     )
-    found = resolve(found, dm_users, {"user_source_id": "user_id"}, {"user_id": "id"})
+    found = resolve(found, dm_users, {"user_source_id": "user_id"}, {"user_id": "id"}, "left")
     found = resolve(
-        found, dm_restaurants, {"restaurant_source_id": "restaurant_id"}, {"restaurant_id": "id"}
+        found, dm_restaurants, {"restaurant_source_id": "restaurant_id"}, {"restaurant_id": "id"}, "left"
     )
-    found = resolve(found, dm_timestamps, {"ts": "ts"}, {"timestamp_id": "id"})
-    return found.select("order_key", "order_status", "user_id", "restaurant_id", "timestamp_id")
+    return resolve(found, dm_timestamps, {"ts": "ts"}, {"timestamp_id": "id"}, "left")
+
+
+DELIVERY_ROW = ("delivery_id", "timestamp_id", "courier_id", "order_id")
 
 
 def deliveries(
@@ -131,8 +157,20 @@ def deliveries(
     dm_orders: DataFrame,
 ) -> DataFrame:
     """All deliveries; a lookup without a match leaves NULL for the rules to reject."""
+    return deliveries_and_parents(staged, dm_timestamps, dm_couriers, dm_orders).select(*DELIVERY_ROW)
+
+
+def deliveries_and_parents(
+    staged: DataFrame,
+    dm_timestamps: DataFrame,
+    dm_couriers: DataFrame,
+    dm_orders: DataFrame,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """All deliveries with what they name and the ids found; ``keep`` are further staged columns."""
     docs = parsed(after_ts(staged), "object_value", schemas.DELIVERY)
     found = docs.select(
+        *map(F.expr, keep),
         F.col("doc.delivery_id").alias("delivery_id"),
         F.col("doc.courier_id").alias("courier_source_id"),
         F.col("object_id").alias("order_source_id"),
@@ -142,5 +180,4 @@ def deliveries(
     found = resolve(
         found, dm_couriers, {"courier_source_id": "courier_id"}, {"courier_id": "id"}, "left"
     )
-    found = resolve(found, dm_orders, {"order_source_id": "order_key"}, {"order_id": "id"}, "left")
-    return found.select("delivery_id", "timestamp_id", "courier_id", "order_id")
+    return resolve(found, dm_orders, {"order_source_id": "order_key"}, {"order_id": "id"}, "left")

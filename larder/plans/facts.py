@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,8 +91,14 @@ def sales_fanout(events: DataFrame, dm_products: DataFrame) -> DataFrame:
 
 def deliveries(staged: DataFrame, dm_deliveries: DataFrame) -> DataFrame:
     """Amounts and rate of every delivery with the keys of its dimension row."""
+    return named_deliveries(staged, dm_deliveries).drop("delivery_source_id")
+
+
+def named_deliveries(staged: DataFrame, dm_deliveries: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The same with the delivery that the document names; ``keep`` are further staged columns."""
     docs = parsed(after_ts(staged), "object_value", schemas.DELIVERY)
     found = docs.select(
+        *map(F.expr, keep),
         F.col("doc.delivery_id").alias("delivery_source_id"),
         F.col("doc.address").alias("address"),
         rounded_number(F.col("doc.rate")).alias("rate"),
@@ -103,4 +111,4 @@ def deliveries(staged: DataFrame, dm_deliveries: DataFrame) -> DataFrame:
         {"delivery_source_id": "delivery_id"},
         {"delivery_id": "id", "order_id": "order_id", "courier_id": "courier_id"},
         "left",
-    ).drop("delivery_source_id")
+    )

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.documents import documents_with, moment
-from larder.plans import dimensions, facts, marts, staging
-from larder.schemas import TABLES
+from larder.plans import dimensions, facts, marts, staging, waiting
+from larder.plans.waiting import DOCUMENT_ID, Reference, Waiting, due
+from larder.schemas import ALL_TABLES, TABLES
+from larder.session import pin, scratch
 from larder.sources.readers import after_id, after_ts, lookback
 from larder.sources.state import ID, TS, LoadState
-from larder.sources.store import LoadResult, Store
+from larder.sources.store import Commit, LoadResult, Store
 
 
 @dataclass(frozen=True)
@@ -43,14 +45,19 @@ class Load:
     """A batch for one table and how it is merged.
 
     ``broken`` are the documents that the batch has no rows of although they
-    should give some.
+    should give some.  With ``waiting``, ``look_up`` joins documents with their
+    parents and ``rows`` makes the batch of what was found; the documents read
+    are those that changed or whose parent has come, see ``plans/waiting.py``.
     """
 
     target: str
-    build: Callable[["View"], DataFrame]
+    build: Callable[["View"], DataFrame] | None = None
     order: tuple[str, ...] | None = None
     distinct: bool = False
     broken: Callable[["View"], DataFrame] | None = None
+    waiting: Waiting | None = None
+    look_up: Callable[["View", DataFrame], DataFrame] | None = None
+    rows: Callable[[DataFrame], DataFrame] | None = None
 
 
 class View:
@@ -59,7 +66,8 @@ class View:
     def __init__(self, run: "Run", target: str, full: bool):
         self.run, self.target, self.full = run, target, full
         self.settings = run.settings
-        self.read: dict[str, int] = {}
+        self.read: dict[str, Commit] = {}
+        self.since: dict[str, int] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.run.store.read(name)
@@ -67,30 +75,41 @@ class View:
     def _workflow(self, name: str) -> str:
         return f"{self.target} from {name}"
 
-    def changed(self, name: str, column: str | None = None) -> DataFrame:
-        """Staged documents that are new or different since the last load of the target.
-
-        With ``column``, the target's column of the documents' keys, also
-        those that have no row in the target yet: what they refer to may
-        have come since.  Finding them reads the keys alone.
-        """
+    def look(self, *names: str) -> None:
+        """Fix up to which commit tables are read, and find up to which they were read before."""
+        names = [name for name in names if name not in self.read]
+        if names:
+            self.read |= {name: self.run.store.last_commit(TABLES[name]) for name in names}
+            found = self.run.state.get_all([self._workflow(name) for name in names], ID)
+            self.since |= {name: -1 if self.full else found[self._workflow(name)] for name in names}
+
+    def same(self, *names: str) -> bool:
+        """Whether nothing was written to the tables since the last load of the target."""
+        self.look(*names)
+        return all(self.read[name].version == self.since[name] for name in names)
+
+    def changed(self, name: str) -> DataFrame:
+        """Rows that are new or different since the last load of the target."""
+        self.look(name)
+        return self.run.store.changed_since(name, self.since[name], self.read[name])
+
+    def due(self, waiting: Waiting) -> DataFrame | None:
+        """Documents that changed or whose parent has come, ``None`` if there are none."""
         store = self.run.store
-        if self.full:
-            return self.table(name)
-        if name not in self.read:
-            self.read[name] = store.last_commit(TABLES[name]).version
-        since = self.run.state.get(self._workflow(name), ID)
-        rows = store.changed_since(name, since, self.read[name])
-        if column is None or since < 0:
-            return rows
-        known = store.read(self.target).select(F.col(column).alias("object_id"))
-        missing = store.read(name).join(known, "object_id", "left_anti").select(*TABLES[name].columns)
-        return rows.unionByName(missing.join(rows.select("id"), "id", "left_anti").select(*rows.columns))
+        if not store.exists(ALL_TABLES[waiting.table]):  # a warehouse from before: find all that wait
+            store.create([waiting.table])
+            self.full = True
+        self.look(waiting.staged, *[one.parent for one in waiting.references])
+        changed = None if self.same(waiting.staged) else self.changed(waiting.staged)
+        if self.full or store.empty(waiting.table):
+            return changed
+        return due(store, waiting, self.since, self.read, changed)
 
     def done(self) -> None:
         """Keep up to which versions the load has read."""
-        for name, version in self.read.items():
-            self.run.state.save(self._workflow(name), ID, version)
+        moved = {self._workflow(n): c.version for n, c in self.read.items() if c.version != self.since[n]}
+        if moved:
+            self.run.state.save_all(moved, ID)
 
 
 class Run:
@@ -220,9 +239,20 @@ class Run:
     def load(self, load: Load, full: bool = False) -> LoadResult:
         """One load; dimensions read the staged documents that have changed, with ``full`` all of them."""
         view = View(self, load.target, full)
+        with scratch(self.store.spark):
+            return self._load(load, view)
+
+    def _load(self, load: Load, view: View) -> LoadResult:
+        found = None
+        if load.waiting:
+            documents = view.due(load.waiting)
+            if documents is None:
+                view.done()
+                return LoadResult(load.target, 0, 0, 0, 0)
+            found = pin(load.look_up(view, documents))
         result = self.store.upsert(
             load.target,
-            load.build(view),
+            load.rows(found) if load.waiting else load.build(view),
             order=list(load.order) if load.order else None,
             distinct=load.distinct,
             on_fail=self.settings.on_fail,
@@ -230,6 +260,8 @@ class Run:
             broken=load.broken(view) if load.broken else None,
             foreign=False,  # the keys come from lookups in the parents
         )
+        if load.waiting:
+            waiting.keep(self.store, load.waiting, found)
         view.done()
         return result
 
@@ -261,10 +293,18 @@ STEPS = (
 _LOADS = (
     Load(
         "dds.dm_users",
-        lambda run: dimensions.users(
-            run.changed("stg.ordersystem_users", "user_id"), run.table("stg.bonussystem_users")
-        ),
         order=("update_ts",),
+        waiting=Waiting(
+            "stg.ordersystem_users",
+            "wait.dm_users",
+            (Reference("stg.bonussystem_users", "order_user_id", "user_id", "account"),),
+        ),
+        look_up=lambda run, documents: dimensions.users_and_accounts(
+            documents, run.table("stg.bonussystem_users"), DOCUMENT_ID
+        ),
+        rows=lambda found: found.filter("account IS NOT NULL").select(
+            "user_id", "user_name", "user_login", "update_ts"
+        ),
     ),
     Load(
         "dds.dm_restaurants",
@@ -292,23 +332,45 @@ _LOADS = (
     ),
     Load(
         "dds.dm_orders",
-        lambda run: dimensions.orders(
-            run.changed("stg.ordersystem_orders", "order_key"),
+        waiting=Waiting(
+            "stg.ordersystem_orders",
+            "wait.dm_orders",
+            (
+                Reference("dds.dm_users", "user_id", "user_source_id", "user_id"),
+                Reference("dds.dm_restaurants", "restaurant_id", "restaurant_source_id", "restaurant_id"),
+                Reference("dds.dm_timestamps", "ts", "ts", "timestamp_id"),
+            ),
+        ),
+        look_up=lambda run, documents: dimensions.orders_and_parents(
+            documents,
             run.table("dds.dm_users"),
             run.table("dds.dm_restaurants"),
             run.table("dds.dm_timestamps"),
+            DOCUMENT_ID,
         ),
+        rows=dimensions.complete_orders,
         distinct=True,
         broken=lambda run: dimensions.broken_orders(run.changed("stg.ordersystem_orders")),
     ),
     Load(
         "dds.dm_deliveries",
-        lambda run: dimensions.deliveries(
-            run.table("stg.deliverysystem_deliveries"),
+        waiting=Waiting(
+            "stg.deliverysystem_deliveries",
+            "wait.dm_deliveries",
+            (
+                Reference("dds.dm_timestamps", "ts", "ts", "timestamp_id"),
+                Reference("dds.dm_couriers", "courier_id", "courier_source_id", "courier_id"),
+                Reference("dds.dm_orders", "order_key", "order_source_id", "order_id"),
+            ),
+        ),
+        look_up=lambda run, documents: dimensions.deliveries_and_parents(
+            documents,
             run.table("dds.dm_timestamps"),
             run.table("dds.dm_couriers"),
             run.table("dds.dm_orders"),
+            DOCUMENT_ID,
         ),
+        rows=lambda found: found.select(*dimensions.DELIVERY_ROW),  # the rules reject what lacks a parent
     ),
     Load(
         "dds.fct_product_sales",
@@ -322,9 +384,15 @@ _LOADS = (
     ),
     Load(
         "dds.fct_deliveries",
-        lambda run: facts.deliveries(
-            run.table("stg.deliverysystem_deliveries"), run.table("dds.dm_deliveries")
+        waiting=Waiting(
+            "stg.deliverysystem_deliveries",
+            "wait.fct_deliveries",
+            (Reference("dds.dm_deliveries", "delivery_id", "delivery_source_id", "delivery_id"),),
+        ),
+        look_up=lambda run, documents: facts.named_deliveries(
+            documents, run.table("dds.dm_deliveries"), DOCUMENT_ID
         ),
+        rows=lambda found: found.drop("object_id", "staged_id", "delivery_source_id"),
     ),
     Load(
         "cdm.dm_settlement_report",

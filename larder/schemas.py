@@ -320,6 +320,45 @@ _TABLES = [
 
 TABLES = {table.name: table for table in _TABLES}
 
+
+def _waiting(name: str) -> Table:
+    """Documents that wait for the key of a parent, see ``plans/waiting.py``."""
+    return Table(
+        name,
+        {"id": "bigint", "object_id": "string", "staged_id": "bigint", "parent": "string", "parent_key": "string"},
+        key=("object_id",),
+    )
+
+
+def _running_sums(name: str, **measures: str) -> Table:
+    """What incremental marts keep between runs, see ``plans/running_sums.py``."""
+    return Table(
+        name,
+        {
+            "id": "bigint", "kind": "string", "key_1": "bigint", "key_2": "bigint",
+            "order_id": "bigint", "owner": "bigint", "period": "bigint", "orders": "bigint", **measures,
+        },
+        key=("kind", "key_1", "key_2"),
+    )
+
+
+_SUM = "decimal(29,5)"
+
+#: Tables of the loads themselves, made when a load first needs them.
+WORKING_TABLES = {
+    table.name: table
+    for table in [
+        _waiting("wait.dm_users"),
+        _waiting("wait.dm_orders"),
+        _waiting("wait.dm_deliveries"),
+        _waiting("wait.fct_deliveries"),
+        _running_sums("sums.settlement", n="bigint", total=_SUM, payment=_SUM, granted=_SUM),
+        _running_sums("sums.ledger", n="bigint", total=_SUM, tips=_SUM, rates="bigint"),
+    ]
+}
+
+ALL_TABLES = {**TABLES, **WORKING_TABLES}
+
 # Shapes of the staged JSON.  Only the fields a load reads are declared, so the
 # parser skips the rest; numbers that may be quoted are strings, cast later.
 NAMED = "name string"

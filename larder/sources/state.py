@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping, Sequence
 from threading import Lock
 
 from pyspark.sql import DataFrame
@@ -44,14 +45,23 @@ class LoadState:
 
     def save(self, workflow: str, kind: str, value: int | str | None) -> None:
         """Keep a watermark; an empty batch (``None``) leaves the old one."""
-        if value is None:
-            return
-        settings = json.dumps({kind: value}, sort_keys=True, ensure_ascii=False)
-        row = self.store.spark.range(1).select(
-            F.lit(workflow).alias("workflow_key"), F.lit(settings).alias("workflow_settings")
-        )
+        if value is not None:
+            self.save_all({workflow: value}, kind)
+
+    def save_all(self, values: Mapping[str, int | str], kind: str) -> None:
+        """Keep the watermarks of several workflows in one write."""
+        rows = [(workflow, json.dumps({kind: value}, ensure_ascii=False)) for workflow, value in values.items()]
+        frame = self.store.spark.createDataFrame(rows, "workflow_key string, workflow_settings string")
         with self._one_writer:
-            self.store.upsert(self.table, row, order=["workflow_settings"])
+            self.store.upsert(self.table, frame, order=["workflow_settings"])
+
+    def get_all(self, workflows: Sequence[str], kind: str) -> dict[str, int | str]:
+        """The watermarks of several workflows, read at once."""
+        value = F.get_json_object("workflow_settings", f"$.{kind}").alias("value")
+        stored = self.store.read(self.table).filter(F.col("workflow_key").isin(*workflows))
+        known = {row["workflow_key"]: row["value"] for row in stored.select("workflow_key", value).collect()}
+        found = {name: DEFAULTS[kind] if known.get(name) is None else known[name] for name in workflows}
+        return {name: int(value) if kind == ID else value for name, value in found.items()}
 
     def advance(self, workflow: str, kind: str, watermark: str | None) -> None:
         """Keep the watermark a load has reached (text, as in its result)."""

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import merge, quality
 from larder.operators.numbering import number_rows
-from larder.schemas import TABLES, Table
+from larder.schemas import ALL_TABLES, TABLES, WORKING_TABLES, Table
 from larder.session import delete_folder, observed, pin, scratch
 
 HASH, STAMP = "row_hash", "update_ts"
@@ -127,10 +127,12 @@ class Store:
 
     # -- commits --------------------------------------------------------------
 
-    def create(self, tables: Iterable[str] = tuple(TABLES)) -> None:
-        """Start every table empty; earlier versions are no longer referred to."""
+    def create(self, tables: Iterable[str] | None = None) -> None:
+        """Start every table empty, or those named; earlier versions are no longer referred to."""
+        if tables is None:
+            tables = [*TABLES, *[name for name, table in WORKING_TABLES.items() if self.exists(table)]]
         for name in tables:
-            table = TABLES[name]
+            table = ALL_TABLES[name]
             version = self.last_commit(table).version + 1 if self.exists(table) else 0
             self._commit(table, Commit(version, self.span, {}, 0, self.parts, created=version))
 
@@ -192,7 +194,11 @@ class Store:
 
     def read(self, name: str) -> DataFrame:
         """The current rows of a table."""
-        return self._read(TABLES[name], self.last_commit(TABLES[name]))
+        return self._read(ALL_TABLES[name], self.last_commit(ALL_TABLES[name]))
+
+    def empty(self, name: str) -> bool:
+        """Whether a table has no rows; its last commit tells."""
+        return not self.last_commit(ALL_TABLES[name]).buckets
 
     def _read(
         self, table: Table, commit: Commit, only: Iterable[int] | None = None, kind: str = "buckets"
@@ -205,13 +211,14 @@ class Store:
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).parquet(*paths)
 
-    def changed_since(self, name: str, version: int, up_to: int | None = None) -> DataFrame:
+    def changed_since(self, name: str, version: int, up_to: Commit | None = None) -> DataFrame:
         """The current rows that are new or different since a version; all rows if the table was created after it.
 
-        Only the buckets of changed ids are read.
+        Only the buckets of changed ids are read.  ``up_to`` is a commit held
+        by the reader: later commits of the table do not disturb it.
         """
-        table = TABLES[name]
-        commit = self.last_commit(table) if up_to is None else self._read_commit(table, up_to)
+        table = ALL_TABLES[name]
+        commit = up_to or self.last_commit(table)
         if version < commit.created:
             return self._read(table, commit)
         paths = [self._rejected_path(table, v, "changes") for v in range(version + 1, commit.version + 1)]
@@ -219,19 +226,38 @@ class Store:
         if not paths:
             return self.spark.createDataFrame([], table.ddl)
         ids = self.spark.read.schema("id bigint").parquet(*paths).distinct()
+        return self.with_ids(name, ids, commit)
+
+    def with_ids(self, name: str, ids: DataFrame, at: Commit | None = None) -> DataFrame:
+        """The rows of the ids in column ``id``, read from the buckets of these ids alone."""
+        table = ALL_TABLES[name]
+        commit = at or self.last_commit(table)
         touched = {row["bucket"] for row in ids.select(self._bucket(commit).alias("bucket")).distinct().collect()}
         rows = self._read(table, commit, only=touched)  # the buckets of an increment are few
-        return rows.join(ids, rows["id"] == ids["id"], "left_semi")
+        return rows.join(ids.select(F.col("id").alias("_wanted")), F.col("id") == F.col("_wanted"), "left_semi")
+
+    def with_keys(self, name: str, keys: DataFrame) -> DataFrame:
+        """The rows of some keys, found through the index parts of these keys; pass a pinned frame."""
+        table = ALL_TABLES[name]
+        commit = self.last_commit(table)
+        return self.with_ids(name, pin(self._entries(table, commit, keys)), commit)
+
+    def _entries(self, table: Table, commit: Commit, keys: DataFrame) -> DataFrame:
+        """The index entries of some keys."""
+        key = list(table.key)
+        slots = keys.select(self._part(table, commit).alias("part")).distinct().collect()  # at most one row per part
+        index = self._read(table, commit, only={row["part"] for row in slots}, kind="keys")
+        return index.join(keys.select(*key), key, "left_semi")
 
     def rejected(self, name: str, version: int | None = None) -> DataFrame:
         """Rows the rules kept out of one version, with the reasons."""
-        table = TABLES[name]
+        table = ALL_TABLES[name]
         columns = ", ".join(f"{column} {table.columns[column]}" for column in table.payload)
         return self._rejected(table, version, columns, "rejected")
 
     def rejected_documents(self, name: str, version: int | None = None) -> DataFrame:
         """Source documents of one version that gave no rows, with the reasons."""
-        return self._rejected(TABLES[name], version, quality.DOCUMENT, "rejected_documents")
+        return self._rejected(ALL_TABLES[name], version, quality.DOCUMENT, "rejected_documents")
 
     def _rejected(self, table: Table, version: int | None, columns: str, kind: str) -> DataFrame:
         version = self.last_commit(table).version if version is None else version
@@ -267,7 +293,7 @@ class Store:
         ``update_ts``.  ``foreign`` checks foreign keys; rows made by lookups
         in the parents need no check.
         """
-        table = TABLES[name]
+        table = ALL_TABLES[name]
         with scratch(self.spark):
             return self._upsert(
                 table, batch, order, distinct, on_fail, bounds, watermark, broken, newest and STAMP in table.columns, foreign
@@ -283,7 +309,7 @@ class Store:
             rows = merge.last_per_key(rows, key, order)
         flagged = quality.flag_rows(rows.select(*table.payload), table, bounds)
         for link in table.foreign if foreign else ():
-            parent = TABLES[link.parent]
+            parent = ALL_TABLES[link.parent]
             if self.exists(parent):
                 flagged = quality.flag_orphans(flagged, link, self.read(parent.name))
         flagged = flagged.withColumn("_slot", self._part(table, commit))
@@ -320,6 +346,45 @@ class Store:
             table.name, received + documents, refused + documents, loaded - stale, changed, found["highest"], superseded
         )
 
+    def remove(self, name: str, keys: DataFrame) -> int:
+        """Remove the rows of some keys; how many there were."""
+        table, key = ALL_TABLES[name], list(ALL_TABLES[name].key)
+        with scratch(self.spark):
+            commit = self.last_commit(table)
+            found = self._entries(table, commit, pin(keys.select(*key))).select(*key, "id")
+            found = pin(found.withColumn("part", self._part(table, commit)).withColumn("bucket", self._bucket(commit)))
+            counts = found.groupBy("bucket").agg(F.count("*").alias("n"), F.collect_set("part").alias("parts")).collect()
+            if not counts:
+                return 0
+            touched = {row["bucket"] for row in counts}
+            parts = {part for row in counts for part in row["parts"]}
+            rows = self._read(table, commit, only=touched).join(found.select("id"), "id", "left_anti")
+            index = self._read(table, commit, only=parts, kind="keys").join(found.select(*key), key, "left_anti")
+            new = replace(commit, version=commit.version + 1)
+            self._commit(table, self._laid_out(table, commit, new, rows, index, touched, parts))
+        return sum(row["n"] for row in counts)
+
+    def _laid_out(
+        self, table: Table, commit: Commit, new: Commit, rows: DataFrame, index: DataFrame, touched: set, parts: set
+    ) -> Commit:
+        """Write the touched buckets and index parts anew; those left without rows are named no more."""
+        folder = f"version={new.version}-{uuid4().hex[:8]}"
+        path = f"{self._data_path(table)}/{folder}"
+        # One bucket per task, large buckets split by their measured size.
+        rows = rows.withColumn("bucket", self._bucket(commit)).hint("rebalance", "bucket")
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/buckets")
+        index = index.withColumn("part", self._part(table, commit)).hint("rebalance", "part")
+        index.write.mode("overwrite").partitionBy("part").parquet(f"{path}/keys")
+
+        def named(old: dict[int, int], written: set, kind: str) -> dict[int, int]:
+            filled = {int(name.split("=")[1]) for name in self._names(f"{path}/{kind}") if "=" in name}
+            return {item: v for item, v in old.items() if item not in written} | dict.fromkeys(filled, new.version)
+
+        buckets, keys = named(commit.buckets, touched, "buckets"), named(commit.keys, parts, "keys")
+        used = {*buckets.values(), *keys.values()}
+        folders = {v: f for v, f in {**commit.folders, new.version: folder}.items() if v in used}
+        return replace(new, buckets=buckets, keys=keys, folders=folders)
+
     def _set_aside(self, table: Table, broken: DataFrame | None, version: int, on_fail: str) -> int:
         """Keep documents that gave no rows; their number."""
         if broken is None:
@@ -360,26 +425,15 @@ class Store:
             return new, 0, stale
         touched = {row["bucket"] for row in counts}
         touched_parts = {part for row in counts for part in row["parts"]}
-        folder = f"version={new.version}-{uuid4().hex[:8]}"
-        path = f"{self._data_path(table)}/{folder}"
         current = self._read(table, commit, only=touched)
         merged = merge.merge_rows(current, incoming.select(*table.columns), ["id"])
-        # One bucket per task, large buckets split by their measured size.
-        merged = merged.withColumn("bucket", self._bucket(commit)).hint("rebalance", "bucket")
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/buckets")
         index = self._read(table, commit, only=touched_parts, kind="keys")
-        merged = merge.merge_rows(index, incoming.select(*index.columns), list(table.key))
-        merged = merged.withColumn("part", self._part(table, commit)).hint("rebalance", "part")
-        merged.write.mode("overwrite").partitionBy("part").parquet(f"{path}/keys")
+        entries = merge.merge_rows(index, incoming.select(*index.columns), list(table.key))
+        new = self._laid_out(table, commit, new, merged, entries, touched, touched_parts)
         ids = incoming.select(F.col("id").cast("bigint"))
         ids.coalesce(len(touched)).write.mode("overwrite").parquet(self._rejected_path(table, new.version, "changes"))
-        buckets = {**commit.buckets, **{bucket: new.version for bucket in touched}}
-        keys = {**commit.keys, **{part: new.version for part in touched_parts}}
-        used = {*buckets.values(), *keys.values()}
-        folders = {v: f for v, f in {**commit.folders, new.version: folder}.items() if v in used}
         max_id = max(commit.max_id, *[row["max_id"] for row in counts])
-        new = replace(new, buckets=buckets, keys=keys, folders=folders, max_id=max_id)
-        return new, sum(row["n"] for row in counts), stale
+        return replace(new, max_id=max_id), sum(row["n"] for row in counts), stale
 
     def _numbered(
         self, table: Table, good: DataFrame, commit: Commit, parts: list[int], newest: bool
