@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder import demo, schemas
+from larder.functions.calendar import calendar_parts
 from larder.functions.documents import (
     document,
     moment,
@@ -923,6 +924,41 @@ def _document_fields(run: Run, table: str, *fields: str) -> DataFrame:
     return run.table(table).select("object_id", "update_ts", *chosen)
 
 
+@query(f"""
+SELECT workflow_key, '{demo.LOAD_TS}' AS loaded_at, stored_rows
+FROM (SELECT 'bonus_system_ranks' AS workflow_key, count(*) AS stored_rows FROM nation
+      UNION ALL SELECT 'bonus_system_users', count(*) FROM events)
+""")
+def load_times(spark, sf_dir):
+    """The time of load that snapshots keep as their state, beside the rows they have stored."""
+    run = staged_run(spark, sf_dir)
+    run.load_ranks(), run.load_bonus_users()
+    states = run.table("stg.srv_wf_settings")
+    kept = {"bonus_system_ranks": "stg.bonussystem_ranks", "bonus_system_users": "stg.bonussystem_users"}
+    shown = [
+        state.settings_value(states, workflow, state.TS).withColumnRenamed("value", "loaded_at").join(
+            run.table(name).groupBy(F.lit(workflow).alias("workflow_key")).agg(F.count("*").alias("stored_rows")),
+            "workflow_key",
+        )
+        for workflow, name in kept.items()
+    ]
+    return shown[0].unionByName(shown[1])
+
+
+@query("""
+SELECT DISTINCT date_trunc('second', o_orderdate) AS ts, CAST(year(o_orderdate) AS INTEGER) AS year,
+       CAST(month(o_orderdate) AS INTEGER) AS month, CAST(day(o_orderdate) AS INTEGER) AS day,
+       CAST(o_orderdate AS DATE) AS date
+FROM orders
+""")
+def equal_rows_upsert(spark, sf_dir):
+    """A set-based load whose batch has one row per order: equal rows of a moment count as one."""
+    store = fresh_store(spark, ["dds.dm_timestamps"])
+    moments = demo.table(spark, sf_dir, "orders").select(to_second(F.col("o_orderdate")).alias("ts"))
+    store.upsert("dds.dm_timestamps", calendar_parts(moments), distinct=True, bounds={"timestamp_year_from": 1900})
+    return store.read("dds.dm_timestamps").select("ts", "year", "month", "day", "date")
+
+
 @query(f"""
 WITH {DIM_USERS}, {DIM_RESTAURANTS}, {DIM_TIMESTAMPS}, {DIM_ORDERS}
 SELECT order_key, order_status FROM dm_orders

@@ -330,20 +330,6 @@ def _waiting(name: str) -> Table:
     )
 
 
-def _running_sums(name: str, **measures: str) -> Table:
-    """What incremental marts keep between runs, see ``plans/running_sums.py``."""
-    return Table(
-        name,
-        {
-            "id": "bigint", "kind": "string", "key_1": "bigint", "key_2": "bigint",
-            "order_id": "bigint", "owner": "bigint", "period": "bigint", "orders": "bigint", **measures,
-        },
-        key=("kind", "key_1", "key_2"),
-    )
-
-
-_SUM = "decimal(29,5)"
-
 #: Tables of the loads themselves, made when a load first needs them.
 WORKING_TABLES = {
     table.name: table
@@ -352,8 +338,6 @@ WORKING_TABLES = {
         _waiting("wait.dm_orders"),
         _waiting("wait.dm_deliveries"),
         _waiting("wait.fct_deliveries"),
-        _running_sums("sums.settlement", n="bigint", total=_SUM, payment=_SUM, granted=_SUM),
-        _running_sums("sums.ledger", n="bigint", total=_SUM, tips=_SUM, rates="bigint"),
     ]
 }
 

@@ -236,12 +236,6 @@ class Store:
         rows = self._read(table, commit, only=touched)  # the buckets of an increment are few
         return rows.join(ids.select(F.col("id").alias("_wanted")), F.col("id") == F.col("_wanted"), "left_semi")
 
-    def with_keys(self, name: str, keys: DataFrame) -> DataFrame:
-        """The rows of some keys, found through the index parts of these keys; pass a pinned frame."""
-        table = ALL_TABLES[name]
-        commit = self.last_commit(table)
-        return self.with_ids(name, pin(self._entries(table, commit, keys)), commit)
-
     def _entries(self, table: Table, commit: Commit, keys: DataFrame) -> DataFrame:
         """The index entries of some keys."""
         key = list(table.key)
