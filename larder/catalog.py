@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder import demo, schemas
@@ -984,6 +984,85 @@ def incremental_orders(spark, sf_dir):
     return run.table("dds.dm_orders").select("order_key", "order_status")
 
 
+def _dated_orders(store: Store, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders for the warehouse with the keys that it has given to restaurants and moments; fills both dimensions."""
+    orders = demo.table(spark, sf_dir, "orders")
+    moments = orders.select(to_second(F.col("o_orderdate")).alias("ts"))
+    store.upsert("dds.dm_timestamps", calendar_parts(moments), distinct=True, bounds=ALL_YEARS)
+    suppliers = demo.restaurants(spark, sf_dir).withColumn("active_from", F.lit("2000-01-01").cast("timestamp_ntz"))
+    store.upsert("dds.dm_restaurants", suppliers)
+    restaurants = store.read("dds.dm_restaurants").select(F.col("id").alias("restaurant"), F.col("restaurant_id").alias("named"))
+    times = store.read("dds.dm_timestamps").select(F.col("id").alias("timestamp"), "ts", F.col("date").alias("day"))
+    rows = demo.orders(spark, sf_dir).join(orders.select(F.col("o_orderkey").alias("id"), to_second(F.col("o_orderdate")).alias("ts")), "id")
+    status = F.when(F.col("order_status") == demo.CLOSED, facts.CLOSED).otherwise("COOKING")
+    return rows.join(restaurants, text("restaurant_id") == F.col("named")).join(times, "ts").select(
+        F.col("id").alias("number"), "order_key", status.alias("order_status"), "user_id",
+        F.col("restaurant").alias("restaurant_id"), F.col("timestamp").alias("timestamp_id"),
+    )
+
+
+def _keyed(store: Store, rows: DataFrame) -> DataFrame:
+    """Rows with the order keys of the warehouse in place of the order numbers of the test tables."""
+    keys = store.read("dds.dm_orders").select(F.col("id").alias("order"), "order_key")
+    return rows.join(keys, text("order_id") == F.col("order_key")).drop("order_id", "order_key").withColumnRenamed("order", "order_id")
+
+
+def _numbered_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item as the sale of a product of its own: the lines of an order may name one product twice."""
+    sales = demo.sales(spark, sf_dir)
+    within = Window.partitionBy("order_id").orderBy(*[name for name in sales.columns if name != "order_id"])
+    return pin(sales.withColumn("product_id", F.row_number().over(within).cast("bigint")))
+
+
+ALL_YEARS = {"timestamp_year_from": 1900, "ledger_year_after": 1900, **REPORT_BOUNDS}
+
+
+@query(f"WITH {settlement_sql(NOT_IN_DEBT)} SELECT * FROM report WHERE {REPORT_REASONS} = ''")
+def incremental_settlement(spark, sf_dir):
+    """Two increments of the report: orders that were open, elsewhere or on another day before, sales that changed or came late."""
+    tables = ["dds.dm_restaurants", "dds.dm_timestamps", "dds.dm_orders", "dds.fct_product_sales", "cdm.dm_settlement_report", "stg.srv_wf_settings"]
+    store = fresh_store(spark, tables)
+    orders = pin(_dated_orders(store, spark, sf_dir))
+    sales = _numbered_sales(spark, sf_dir)
+    turn = F.col("number") % 5
+    early_orders = (
+        orders.withColumn("order_status", F.when(turn == 0, "COOKING").when(turn == 1, facts.CLOSED).otherwise(F.col("order_status")))
+        .withColumn("restaurant_id", F.when(turn == 2, F.lit(1).cast("bigint")).otherwise(F.col("restaurant_id")))
+        .withColumn("timestamp_id", F.when(turn == 3, F.lit(1).cast("bigint")).otherwise(F.col("timestamp_id")))
+    )
+    early_sales = sales.filter("product_id % 3 <> 0").withColumn("total_sum", F.expr("if(product_id % 2 = 0, total_sum + 1, total_sum)"))
+    settings = RunSettings(demo.LOAD_TS, dt.date(2024, 2, 1), demo.AS_OF, bounds=ALL_YEARS)
+    for some_orders, some_sales in ((early_orders, early_sales), (orders, sales)):
+        store.upsert("dds.dm_orders", some_orders.drop("number"), foreign=False)
+        store.upsert("dds.fct_product_sales", _keyed(store, some_sales), foreign=False)
+        Run(store, {}, settings).load(LOADS["cdm.dm_settlement_report"])
+    names = store.read("dds.dm_restaurants").select(text("id").alias("key"), F.col("restaurant_id").alias("named"))
+    report = store.read("cdm.dm_settlement_report").drop("id")
+    return report.join(names, F.col("key") == F.col("restaurant_id")).withColumn("restaurant_id", F.col("named")).drop("key", "named")
+
+
+@query(LEDGER_ROWS)
+def incremental_ledger(spark, sf_dir):
+    """Two increments of the ledger: rates and couriers that change, orders of another month before, late deliveries."""
+    tables = ["dds.dm_restaurants", "dds.dm_timestamps", "dds.dm_orders", "dds.fct_deliveries", "cdm.dm_courier_ledger", "stg.srv_wf_settings"]
+    store = fresh_store(spark, tables)
+    orders = pin(_dated_orders(store, spark, sf_dir))
+    deliveries = demo.deliveries(spark, sf_dir)
+    early_orders = orders.withColumn("timestamp_id", F.expr("if(number % 11 = 0, bigint(1), timestamp_id)"))
+    number = F.col("delivery_id")
+    early = (
+        deliveries.filter(number % 7 != 0)
+        .withColumn("rate", F.when(number % 3 == 0, 1).otherwise(F.col("rate")))
+        .withColumn("courier_id", F.when(number % 5 == 0, F.col("courier_id") + 1).otherwise(F.col("courier_id")))
+    )
+    settings = RunSettings(demo.LOAD_TS, dt.date(2024, 2, 1), demo.AS_OF, bounds=ALL_YEARS)
+    for some_orders, some in ((early_orders, early), (orders, deliveries)):
+        store.upsert("dds.dm_orders", some_orders.drop("number"), foreign=False)
+        store.upsert("dds.fct_deliveries", _keyed(store, some), foreign=False)
+        Run(store, {}, settings).load(LOADS["cdm.dm_courier_ledger"])
+    return store.read("cdm.dm_courier_ledger").drop("id")
+
+
 @query(f"""
 SELECT CAST(s_suppkey AS VARCHAR) AS object_id, TIMESTAMP '{demo.LOAD_TS}' AS update_ts, s_name AS name FROM supplier
 """)

@@ -61,6 +61,15 @@ def settlement_report(
         .groupBy("restaurant_id", "date")
         .agg(*sums)
     )
+    return report_rows(by_day, restaurants, as_of)
+
+
+def report_rows(by_day: DataFrame, restaurants: DataFrame, as_of: str) -> DataFrame:
+    """Report rows from sums per restaurant and day; ``n`` counts the orders with sales."""
+    sums = [
+        F.sum("n").alias("n"),
+        *[F.sum(name).cast(_SUM).alias(name) for name in ("total", "payment", "granted")],
+    ]
     # The report's grain is reached; names are looked up on few rows.
     active = active_at(restaurants, as_of).select(
         F.col("id").alias("active_id"), "restaurant_name"
@@ -109,7 +118,11 @@ def courier_ledger(
     tiers: tuple[PayTier, ...] = PAY_TIERS,
 ) -> DataFrame:
     """Monthly pay of the couriers, before validation."""
-    totals = courier_totals(deliveries, orders, timestamps)
+    return ledger_rows(courier_totals(deliveries, orders, timestamps), tiers)
+
+
+def ledger_rows(totals: DataFrame, tiers: tuple[PayTier, ...] = PAY_TIERS) -> DataFrame:
+    """Ledger rows from the sums per courier and month."""
     paid = totals.withColumn("pay", tiered_pay(F.col("rate_avg"), F.col("total"), tiers))
     return paid.select(
         F.col("courier_id").cast("string").alias("courier_id"),

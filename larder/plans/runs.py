@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import date
@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.documents import documents_with, moment
-from larder.plans import dimensions, facts, marts, staging, waiting
+from larder.operators import quality
+from larder.plans import dimensions, facts, rollups, staging, waiting
 from larder.plans.waiting import DOCUMENT_ID, Reference, Waiting, due
 from larder.schemas import ALL_TABLES, TABLES
 from larder.session import pin, scratch
@@ -48,6 +49,9 @@ class Load:
     should give some.  With ``waiting``, ``look_up`` joins documents with their
     parents and ``rows`` makes the batch of what was found; the documents read
     are those that changed or whose parent has come, see ``plans/waiting.py``.
+    ``roll_up`` gives the rows of groups that differ and the keys of rows to
+    remove, see ``plans/rollups.py``; a group that the rules refuse now loses
+    the row it had.
     """
 
     target: str
@@ -58,6 +62,7 @@ class Load:
     waiting: Waiting | None = None
     look_up: Callable[["View", DataFrame], DataFrame] | None = None
     rows: Callable[[DataFrame], DataFrame] | None = None
+    roll_up: Callable[["View"], tuple[DataFrame, DataFrame] | None] | None = None
 
 
 class View:
@@ -68,9 +73,11 @@ class View:
         self.settings = run.settings
         self.read: dict[str, Commit] = {}
         self.since: dict[str, int] = {}
+        self.own: tuple[str, ...] = ()
+        self.moments: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.run.store.read(name)
+        return self.run.store.read(name, self.read.get(name))
 
     def _workflow(self, name: str) -> str:
         return f"{self.target} from {name}"
@@ -79,7 +86,7 @@ class View:
         """Fix up to which commit tables are read, and find up to which they were read before."""
         names = [name for name in names if name not in self.read]
         if names:
-            self.read |= {name: self.run.store.last_commit(TABLES[name]) for name in names}
+            self.read |= {name: self.run.store.last_commit(ALL_TABLES[name]) for name in names}
             found = self.run.state.get_all([self._workflow(name) for name in names], ID)
             self.since |= {name: -1 if self.full else found[self._workflow(name)] for name in names}
 
@@ -88,6 +95,32 @@ class View:
         self.look(*names)
         return all(self.read[name].version == self.since[name] for name in names)
 
+    def carry_on(self, own: Sequence[str], sources: Sequence[str]) -> None:
+        """Go on from the tables the load itself has written, or start them anew.
+
+        They are as the load left them if their versions are those it kept
+        last; if not, a load broke off between two of them.  They start anew
+        too if a source did.
+        """
+        store = self.run.store
+        whole = all(store.exists(ALL_TABLES[name]) for name in own)
+        if whole:
+            self.look(*own, *sources)
+            whole = self.same(*own) and all(self.read[name].created <= self.since[name] for name in sources)
+        if not whole:
+            store.create(own)
+            self.full, self.read, self.since = True, {}, {}
+            self.look(*sources)
+        self.own = tuple(own)
+
+    def moment(self, what: str, now: str) -> str:
+        """The moment the last load of the target went by; the next one finds ``now``."""
+        workflow = f"{self.target} {what}"
+        before = self.run.state.get(workflow, TS)
+        if before != now:
+            self.moments[workflow] = now
+        return before
+
     def changed(self, name: str) -> DataFrame:
         """Rows that are new or different since the last load of the target."""
         self.look(name)
@@ -107,6 +140,10 @@ class View:
 
     def done(self) -> None:
         """Keep up to which versions the load has read."""
+        self.read |= {name: self.run.store.last_commit(ALL_TABLES[name]) for name in self.own}
+        self.since = {**dict.fromkeys(self.own, -1), **self.since}
+        if self.moments:
+            self.run.state.save_all(self.moments, TS)
         moved = {self._workflow(n): c.version for n, c in self.read.items() if c.version != self.since[n]}
         if moved:
             self.run.state.save_all(moved, ID)
@@ -244,6 +281,8 @@ class Run:
 
     def _load(self, load: Load, view: View) -> LoadResult:
         found = None
+        if load.roll_up:
+            return self._roll_up(load, view)
         if load.waiting:
             documents = view.due(load.waiting)
             if documents is None:
@@ -265,6 +304,21 @@ class Run:
         view.done()
         return result
 
+    def _roll_up(self, load: Load, view: View) -> LoadResult:
+        due, result = load.roll_up(view), LoadResult(load.target, 0, 0, 0, 0)
+        if due is not None:
+            rows, gone = pin(due[0]), due[1]
+            _, refused = quality.validate(rows, load.target, bounds=dict(self.settings.bounds))
+            if self.settings.on_fail == "abort":
+                quality.refuse(refused, load.target)
+            if not self.store.empty(load.target):
+                self.store.remove(load.target, gone.unionByName(refused.select(*gone.columns)))
+            result = self.store.upsert(
+                load.target, rows, on_fail=self.settings.on_fail, bounds=dict(self.settings.bounds), foreign=False
+            )
+        view.done()
+        return result
+
     def everything(self, full: bool = False) -> list[LoadResult]:
         """All loads, each after the tables it reads; row counts are kept in the store."""
         results = self.stage()
@@ -394,24 +448,8 @@ _LOADS = (
         ),
         rows=lambda found: found.drop("object_id", "staged_id", "delivery_source_id"),
     ),
-    Load(
-        "cdm.dm_settlement_report",
-        lambda run: marts.settlement_report(
-            run.table("dds.dm_orders"),
-            run.table("dds.fct_product_sales"),
-            run.table("dds.dm_timestamps"),
-            run.table("dds.dm_restaurants"),
-            run.settings.as_of,
-        ),
-    ),
-    Load(
-        "cdm.dm_courier_ledger",
-        lambda run: marts.courier_ledger(
-            run.table("dds.fct_deliveries"),
-            run.table("dds.dm_orders"),
-            run.table("dds.dm_timestamps"),
-        ),
-    ),
+    Load("cdm.dm_settlement_report", roll_up=rollups.settlement),
+    Load("cdm.dm_courier_ledger", roll_up=rollups.ledger),
 )
 
 LOADS = {load.target: load for load in _LOADS}

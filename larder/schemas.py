@@ -330,6 +330,16 @@ def _waiting(name: str) -> Table:
     )
 
 
+def _rolled_up(images: str, totals: str, key: str, group: dict[str, str], sums: dict[str, str], more: dict[str, str]) -> list[Table]:
+    """What a mart load has counted last and the sums per group, see ``operators/rollup.py``."""
+    return [
+        Table(images, {"id": "bigint", key: "bigint", **group, **sums, **more}, key=(key,)),
+        Table(totals, {"id": "bigint", **group, **sums}, key=tuple(group)),
+    ]
+
+
+_SUM = "decimal(29,5)"
+
 #: Tables of the loads themselves, made when a load first needs them.
 WORKING_TABLES = {
     table.name: table
@@ -338,6 +348,22 @@ WORKING_TABLES = {
         _waiting("wait.dm_orders"),
         _waiting("wait.dm_deliveries"),
         _waiting("wait.fct_deliveries"),
+        *_rolled_up(
+            "sum.settlement_orders",
+            "sum.settlement_days",
+            "order_id",
+            {"restaurant_id": "bigint", "date": "date"},
+            {"orders": "bigint", "with_sales": "bigint", "total": _SUM, "payment": _SUM, "granted": _SUM},
+            {"sale_buckets": "array<bigint>"},
+        ),
+        *_rolled_up(
+            "sum.courier_deliveries",
+            "sum.courier_months",
+            "delivery_id",
+            {"courier_id": "bigint", "year": "int", "month": "int"},
+            {"orders": "bigint", "rated": "bigint", "rate_sum": "bigint", "total": _SUM, "tips": _SUM},
+            {"order_id": "bigint"},
+        ),
     ]
 }
 

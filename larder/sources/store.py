@@ -192,9 +192,13 @@ class Store:
 
     # -- reading --------------------------------------------------------------
 
-    def read(self, name: str) -> DataFrame:
-        """The current rows of a table."""
-        return self._read(ALL_TABLES[name], self.last_commit(ALL_TABLES[name]))
+    def read(self, name: str, at: Commit | None = None, only: Iterable[int] | None = None) -> DataFrame:
+        """The current rows of a table, or those of a commit; ``only`` those of some buckets."""
+        return self._read(ALL_TABLES[name], at or self.last_commit(ALL_TABLES[name]), only)
+
+    def bucket(self, name: str, at: Commit | None = None) -> Column:
+        """The bucket of a row by its ``id``; it stays the same for as long as the table is there."""
+        return self._bucket(at or self.last_commit(ALL_TABLES[name]))
 
     def empty(self, name: str) -> bool:
         """Whether a table has no rows; its last commit tells."""
@@ -236,6 +240,12 @@ class Store:
         rows = self._read(table, commit, only=touched)  # the buckets of an increment are few
         return rows.join(ids.select(F.col("id").alias("_wanted")), F.col("id") == F.col("_wanted"), "left_semi")
 
+    def with_keys(self, name: str, keys: DataFrame, at: Commit | None = None) -> DataFrame:
+        """The rows of some keys, found through the index."""
+        table = ALL_TABLES[name]
+        commit = at or self.last_commit(table)
+        return self.with_ids(name, pin(self._entries(table, commit, pin(keys)).select("id")), commit)
+
     def _entries(self, table: Table, commit: Commit, keys: DataFrame) -> DataFrame:
         """The index entries of some keys."""
         key = list(table.key)
