@@ -175,7 +175,8 @@ def source_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     menus = offers.groupBy("s_suppkey").agg(F.sort_array(F.collect_list("item")).alias("menu"))
     suppliers = table(spark, sf_dir, "supplier")
-    return suppliers.join(menus, "s_suppkey", "left").select(
+    # All menus together are as large as the offers: they are merged, not broadcast.
+    return suppliers.join(menus.hint("merge"), "s_suppkey", "left").select(
         F.col("s_suppkey").alias("_id"),
         F.col("s_name").alias("name"),
         F.coalesce("menu", F.array().cast(menus.schema["menu"].dataType)).alias("menu"),

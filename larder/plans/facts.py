@@ -63,8 +63,8 @@ def product_sales(
         taken["order_restaurant"] = "restaurant_id"
         product_key["order_restaurant"] = "restaurant_id"
     # Orders first: sales of other orders are gone before products multiply rows.
-    sales = resolve(payments(events), closed, {"order_source_id": "order_key"}, taken)
-    sales = resolve(sales, dm_products, product_key, {"product_id": "id"})
+    sales = resolve(payments(events), closed, {"order_source_id": "order_key"}, taken, large=True)
+    sales = resolve(sales, dm_products, product_key, {"product_id": "id"}, large=True)
     return sales.select(
         "product_id",
         "order_id",
@@ -82,7 +82,7 @@ def sales_fanout(events: DataFrame, dm_products: DataFrame) -> DataFrame:
     Counted on both sides before the join, so no pair of rows is built.
     """
     lines = payments(events).groupBy("product_source_id").agg(F.count("*").alias("sale_lines"))
-    offers = dm_products.groupBy("product_id").agg(F.count("*").alias("offers"))
+    offers = dm_products.groupBy("product_id").agg(F.count("*").alias("offers")).hint("merge")
     both = lines.join(offers, lines["product_source_id"] == offers["product_id"])
     return both.select(
         "product_id", "sale_lines", "offers", (F.col("sale_lines") * F.col("offers")).alias("matches")

@@ -6,9 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from larder import demo
 from larder.operators import merge
 from larder.operators.lookup import resolve
-from larder.plans import dimensions, marts
+from larder.plans import dimensions, facts, marts
 
 # Limits scaled down to the size of the test rows.
 SMALL = {
@@ -110,3 +111,38 @@ def test_hot_conflict_is_reported_whole(spark, hot):
         assert hot_rows >= 20_000
         assert conflicts.filter("code = 0").count() == hot_rows
         assert good.count() + conflicts.count() == batch.count()
+
+
+def test_sales_and_large_dimensions_are_not_broadcast(spark):
+    events = spark.range(200).select(
+        F.col("id").cast("int").alias("id"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("event_ts"),
+        F.lit("bonus_transaction").alias("event_type"),
+        F.format_string(
+            '{"order_id": "o%d", "product_payments": [{"product_id": "p%d", "price": 2, "quantity": 3}]}',
+            F.col("id") % 10, F.col("id") % 4,
+        ).alias("event_value"),
+    )
+    orders = spark.range(10).select(
+        "id", F.format_string("o%d", "id").alias("order_key"), F.lit("CLOSED").alias("order_status"),
+        F.lit(1).cast("bigint").alias("restaurant_id"),
+    )
+    products = spark.range(4).select(
+        "id", F.format_string("p%d", "id").alias("product_id"), F.lit(1).cast("bigint").alias("restaurant_id")
+    )
+    for match in (False, True):
+        sales = facts.product_sales(events, products, orders, match)
+        assert "Broadcast" not in final_plan(sales)
+        assert sales.count() == 200
+    fanout = facts.sales_fanout(events, products)
+    assert "Broadcast" not in final_plan(fanout)
+    assert {(row["product_id"], row["matches"]) for row in fanout.collect()} == {(f"p{n}", 50) for n in range(4)}
+
+
+def test_menus_are_not_broadcast(spark, tmp_path):
+    spark.sql("SELECT bigint(0) AS s_suppkey, 'a' AS s_name UNION ALL SELECT 7, 'b'").write.parquet(f"{tmp_path}/supplier.parquet")
+    part = "SELECT bigint(2) AS p_partkey, 'x' AS p_name, 1.5D AS p_retailprice, 't' AS p_type"
+    spark.sql(part).write.parquet(f"{tmp_path}/part.parquet")
+    found = demo.source_restaurants(spark, str(tmp_path))
+    assert "Broadcast" not in final_plan(found)
+    assert {row["_id"]: len(row["menu"]) for row in found.collect()} == {0: 2, 7: 0}
