@@ -572,11 +572,10 @@ def pages_union(spark, sf_dir):
     row = F.struct(F.col("place"), F.col("p_partkey"), F.col("p_name"), F.col("page_no"))
     arrays = numbered.groupBy("page_no").agg(F.to_json(F.sort_array(F.collect_list(row))).alias("value"))
     folder = scratch_path(spark, "pages")
-    # a page is one file: as many partitions as pages
-    pages = arrays.repartition(arrays.count() or 1, "page_no").select("page_no", "value")
-    pages.write.partitionBy("page_no").text(folder)
+    # A page is one row and one file. The files lie in one folder: the tasks that write and list them do not grow with the pages.
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(folder)
     schema = "place bigint, p_partkey bigint, p_name string, page_no bigint"
-    found = readers.landed_pages(f"{folder}/*/*.txt", schema).load(spark)
+    found = readers.landed_pages(folder, schema).load(spark)
     return found.select("p_partkey", "p_name", "page_no", "place")
 
 

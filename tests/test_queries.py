@@ -1,11 +1,14 @@
 """Every registered query against its SQL on the smallest test tables."""
 
+import os
+
 import pytest
 from oracle import connect, differences
 from pyspark.sql import DataFrame
 
 import __spark_entry__ as entry_file
 from larder.catalog import CATALOG, staged_texts
+from larder.sources import readers
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = {name: entry.run for name, entry in CATALOG.items()}
@@ -47,3 +50,14 @@ def test_mart_scans_are_narrow_and_filtered(spark):
     text = QUERIES["settlement_report"](spark, FOLDER)._jdf.queryExecution().toString()
     assert "EqualTo(o_orderstatus,F)" in text
     assert "o_totalprice" not in text.split("== Physical Plan ==")[1]
+
+
+def test_pages_lie_in_one_folder(spark, tmp_path, monkeypatch):
+    """One file per page, and none of the folders and tasks that would grow with the pages."""
+    spark.range(320).selectExpr("id AS p_partkey", "concat('part ', id % 7) AS p_name").write.parquet(f"{tmp_path}/part.parquet")
+    landed, read = [], readers.landed_pages
+    monkeypatch.setattr(readers, "landed_pages", lambda path, schema: landed.append(path) or read(path, schema))
+    found = QUERIES["pages_union"](spark, str(tmp_path))
+    names = [name for name in os.listdir(landed[0]) if name[0] not in "._"]
+    assert len(names) == 7 and all(name.endswith(".txt") for name in names)
+    assert sorted((row["page_no"], row["place"]) for row in found.collect()) == [(n // 50, n % 50 + 1) for n in range(320)]
