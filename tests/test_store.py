@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larder.operators.quality import RejectedRows
 from larder.schemas import TABLES
+from larder.sources import store as store_module
 from larder.sources.state import ID, TS, LoadState
 from larder.sources.store import SecondWriter, Store
 from larder.streaming.increments import landed_page_stream, landing_stream, stream_upsert
@@ -283,3 +284,19 @@ def test_stream_of_landed_pages(spark, store, tmp_path):
     found = store.read("stg.deliverysystem_couriers")
     names = found.select(F.get_json_object("object_value", "$.name").alias("n"))
     assert rows(names) == [("B",), ("Иван",)]
+
+
+def test_rows_are_kept_once_on_their_way_and_hashes_not_at_all(spark, store, monkeypatch):
+    kept, pin = [], store_module.pin
+    monkeypatch.setattr(store_module, "pin", lambda df: kept.append(df.columns) or pin(df))
+    first = [(f"u{n}", f"name {n}") for n in range(50)]
+    store.upsert(USERS, users(spark, *first), order=["user_login"])
+    assert len(kept) == 1  # the rows with their reasons; numbering writes them in the order of their keys
+    second = [("u7", "other"), ("u8", "name 8"), ("u99", "new")]
+    result = store.upsert(USERS, users(spark, *second), order=["user_login"])
+    assert (result.loaded, result.changed) == (3, 2)
+    assert len(kept) == 3 and not any(store_module.HASH in columns for columns in kept)
+    found = {row["user_id"]: (row["id"], row["user_name"]) for row in store.read(USERS).collect()}
+    assert len(found) == 51 and found["u7"][1] == "other" and found["u8"][1] == "name 8" and found["u99"] == (51, "new")
+    assert sorted(id for id, _ in found.values()) == list(range(1, 52))
+    assert store.upsert(USERS, users(spark, *second), order=["user_login"]).changed == 0
