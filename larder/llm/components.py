@@ -7,6 +7,17 @@ from pyspark.sql import functions as F
 
 from larder.session import pin
 
+#: Rows of a pinned list of a few numbers each, at most, for it to be broadcast.
+BROADCAST_ROWS = 500_000
+
+#: Rows of a graph that a task of a round is meant for.
+TASK_ROWS = 1 << 18
+
+
+def listed(pinned: DataFrame) -> DataFrame:
+    """A pinned narrow list, to be broadcast in joins if its counted rows are few; a longer one is joined as the planner sees fit."""
+    return F.broadcast(pinned) if pinned.count() <= BROADCAST_ROWS else pinned
+
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component``, its smallest reachable node, for every node of the links ``a``, ``b``.
@@ -16,15 +27,21 @@ def components(links: DataFrame) -> DataFrame:
     logarithm of the longest path.  Labels are written after every round;
     only the number of changes reaches the driver.
     """
-    both = pin(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct())
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = pin(links.filter("a <> b").select(F.inline(ways)))
+    # as many tasks as the counted rows need; a round over few rows would take its time in starting tasks and writing files
+    tasks = max(both.sparkSession.sparkContext.defaultParallelism, -(-both.count() // TASK_ROWS))
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).coalesce(tasks)
     labels = pin(labels.select("node", F.least("node", "least").alias("component")))
+    if labels.isEmpty():
+        return labels
     while True:
-        seen = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("least"))
-        nearer = labels.join(seen, labels["node"] == seen["a"]).select(
+        held = listed(labels)
+        seen = both.join(held, both["b"] == held["node"]).groupBy("a").agg(F.min("component").alias("least")).coalesce(tasks)
+        nearer = seen.join(held, seen["a"] == held["node"]).select(
             "node", F.least("component", "least").alias("component"), F.col("component").alias("before")
         )
-        jump = labels.select(F.col("node").alias("_node"), F.col("component").alias("_next"))
+        jump = held.select(F.col("node").alias("_node"), F.col("component").alias("_next"))
         moved = nearer.join(jump, nearer["component"] == jump["_node"]).select(
             "node", F.least("component", "_next").alias("component"), "before"
         )

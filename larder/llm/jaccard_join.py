@@ -49,12 +49,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.session import pin
 
-from .components import components
+from .components import components, listed
 from .rows import REF, with_ref
 from .shared import gathered, share, shared, small_batches, tidy
 from .textbytes import MULTIPLIERS, SpanHashes, chunks, gram_hashes, lower_table, mix, word_spans
@@ -95,9 +95,6 @@ TOKEN_BITS = 52
 #: Partners that a set is compared with in one task.
 BLOCK = 512
 
-#: Documents that are wanted at most for their list to be broadcast.
-BROADCAST_ROWS = 500_000
-
 
 class Sets:
     """Token sets of texts."""
@@ -451,10 +448,7 @@ def _texts(refs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     A list of checked size is broadcast to the scan of the texts, a longer one is joined by a shuffle.
     """
-    wanted = pin(wanted)
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    return refs.join(wanted, refs[REF] == F.col("_to"))
+    return refs.join(listed(pin(wanted)), refs[REF] == F.col("_to"))
 
 
 def _with_pivots(percent: int):
@@ -515,6 +509,8 @@ def _verify(refs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     more than ``BLOCK`` of them is sent to several tasks.
     """
     pairs = pin(pairs)
+    if pairs.isEmpty():
+        return pairs.select("a", "b", F.lit(True).alias("linked"))
     large = pairs.groupBy(F.col("a").alias("_a")).count().filter(F.col("count") > BLOCK)
     parts = F.coalesce(F.ceil(F.col("count") / BLOCK), F.lit(1)).cast("int")
     dealt = pairs.join(large, pairs["a"] == F.col("_a"), "left").select("a", "b", F.pmod(F.hash("b"), parts).alias("part"))
@@ -554,21 +550,21 @@ def _verify(refs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     return pin(dealt_out.mapInArrow(tidy(compare), "a long, b long, linked boolean"))
 
 
-def _verified(refs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links among candidates ``a``, ``b`` that connect what is connected.
+def _rest_verified(refs: DataFrame, pairs: DataFrame, links: DataFrame, words: int, percent: int) -> DataFrame:
+    """Components (``node``, ``component``) of ``links`` and of what is linked among ``pairs``.
 
-    Every set is first compared with the one that it shares most with; pairs that
-    this has connected already need no comparison.
+    Pairs that the links have connected already need no comparison.
     """
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a")).select("a", "b")
-    links = _verify(refs, best, words, percent).filter("linked").select("a", "b")
     known = components(links)
+    held = listed(known)
     for side in ("a", "b"):
-        own = known.select(F.col("node").alias(f"_{side}"), F.col("component").alias(f"_in_{side}"))
+        own = held.select(F.col("node").alias(f"_{side}"), F.col("component").alias(f"_in_{side}"))
         pairs = pairs.join(own, F.col(side) == F.col(f"_{side}"), "left")
     apart = pairs.filter(F.coalesce("_in_a", "a") != F.coalesce("_in_b", "b")).select("a", "b")
-    rest = apart.join(best, ["a", "b"], "left_anti")
-    return links.unionByName(_verify(refs, rest, words, percent).filter("linked").select("a", "b"))
+    more = pin(_verify(refs, apart, words, percent).filter("linked").select("a", "b"))
+    if more.isEmpty():
+        return known
+    return components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
 
 def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -579,20 +575,13 @@ def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
     signatures = pin(_signatures(refs, words, percent, frequent))
     digest = ["n", "digest_a", "digest_b"]
     filled = signatures.filter("n > 0")
-    classes = filled.groupBy(*digest).agg(F.min(REF).alias("node"))
+    # a set's representative has a prefix; in every batch the first of equal sets has one
+    classes = filled.filter("size(prefix) > 0").groupBy(*digest).agg(F.min(REF).alias("node"))
     node_of = pin(
         signatures.select("doc_id", REF, *digest, (F.size("prefix") > 0).alias("indexed"))
         .join(classes, digest, "left")
         .select("doc_id", REF, "n", "indexed", F.coalesce("node", REF).alias("node"))
     )
-    real = node_of.select(F.col(REF).alias("_ref"), F.col("node").alias("_node"))
-
-    def of_classes(pairs: DataFrame) -> DataFrame:
-        """Pairs of documents as pairs of their sets' representatives, the smaller first."""
-        for side in ("a", "b"):
-            pairs = pairs.join(real, pairs[side] == real["_ref"]).withColumn(side, F.col("_node")).drop("_ref", "_node")
-        pairs = pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared")
-        return pairs.groupBy("a", "b").agg(F.max("shared").alias("shared"))
 
     # single tokens
     least = f"ceil({percent} * (a_n + b_n) / {100 + percent}.0)"
@@ -620,28 +609,31 @@ def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
         .sortWithinPartitions("key", "n", "node")
         .mapInArrow(tidy(_with_pivots(percent)), "key long, node long, n long, pivot long, chain long")
     )
-    links = _verified(refs, pin(of_classes(rare)), words, percent)
-    links = links.unionByName(_link_families(refs, by_part, real, words, percent))
-    found = components(links)
+    pairs = rare.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared")
+    # every set is first compared with the one that it shares most with
+    place = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("shared"), "a"))
+    pairs = pin(pairs.select("a", "b", place.alias("place")))
+    best = _verify(refs, pairs.filter("place = 1").select("a", "b"), words, percent).filter("linked").select("a", "b")
+    links, far = _link_families(refs, by_part, words, percent)
+    rest = pairs.filter("place > 1").select("a", "b").unionByName(far)
+    found = _rest_verified(refs, rest, links.unionByName(best), words, percent)
     return node_of.join(found.withColumnRenamed("node", "_found"), F.col("node") == F.col("_found"), "left").select(
         "doc_id", REF, "n", F.coalesce("component", "node").alias("component")
     )
 
 
-def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` between sets that share parts: enough of them for all components."""
+def _link_families(refs: DataFrame, by_part: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links ``a``, ``b`` between sets that share parts, and candidates to be verified: enough of both for all components."""
     # every set hangs on one pivot, and its other pivots on that one
-    pivots = by_part.groupBy("node").agg(F.collect_set("pivot").alias("pivots")).withColumn("first", F.array_min("pivots"))
-    hang = pivots.select(F.col("node").alias("a"), F.col("first").alias("b"))
-    hang = hang.union(pivots.filter("size(pivots) > 1").select("first", F.explode("pivots")).distinct())
-    hang = hang.union(by_part.filter("chain <> node").select("node", "chain").distinct()).filter("a <> b").distinct()
-    for side in ("a", "b"):
-        hang = hang.join(real, hang[side] == real["_ref"]).withColumn(side, F.col("_node")).drop("_ref", "_node")
-    families = components(hang.filter("a <> b").distinct()).withColumnRenamed("component", "family")
-    lengths = by_part.select(F.col("node").alias("_ref"), "n").distinct().join(real, "_ref").groupBy("_node").agg(F.max("n").alias("n"))
-    families = families.join(lengths, F.col("node") == F.col("_node")).drop("_node")
+    chain = F.when(F.col("chain") != F.col("node"), F.col("chain"))
+    pivots = by_part.groupBy("node").agg(F.collect_set("pivot").alias("pivots"), F.collect_set(chain).alias("chains"), F.max("n").alias("n"))
+    pivots = pin(pivots.withColumn("first", F.array_min("pivots")))
+    hang = pivots.select(F.col("node").alias("a"), F.explode(F.concat(F.array("first"), "chains")).alias("b"))
+    hang = hang.union(pivots.filter("size(pivots) > 1").select("first", F.explode("pivots"))).filter("a <> b").distinct()
+    own = listed(components(hang)).withColumnsRenamed({"node": "_node", "component": "family"})
+    families = pivots.select("node", "n").join(own, F.col("node") == F.col("_node")).select("node", "n", "family")
     tasks = F.greatest(F.ceil(F.count("*") / FAMILY), F.ceil(F.sum("n") / FAMILY_TOKENS)).cast("int").alias("tasks")
-    sizes = families.groupBy("family").agg(F.count("*").alias("size"), tasks)
+    sizes = listed(pin(families.groupBy("family").agg(F.count("*").alias("size"), tasks)))
     families = pin(families.join(sizes, "family"))
     small = families.filter(F.col("tasks") == 1).select(F.col("node").alias("_to"), "family")
     few = (
@@ -652,23 +644,22 @@ def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words:
         .mapInArrow(tidy(_compare_all(words, percent)), "a long, b long")
     )
     few = pin(few)
-    large = families.filter(F.col("tasks") > 1).drop("n")
+    large = pin(families.filter(F.col("tasks") > 1).drop("n"))
     if large.isEmpty():
-        return few
+        return few, few.limit(0)
     # the centre of a large family shares its parts with most sets
-    kept = by_part.join(real, F.col("node") == F.col("_ref")).select("key", F.col("_node").alias("node")).distinct()
-    holders = kept.groupBy("key").agg(F.count("*").alias("holders"))
-    shares = kept.join(holders, "key").groupBy("node").agg(F.sum("holders").alias("parts"))
-    centres = large.join(shares, "node").groupBy("family").agg(
+    holders = by_part.groupBy("key").agg(F.count("*").alias("holders"))
+    shares = by_part.select("key", "node").join(holders, "key").groupBy("node").agg(F.sum("holders").alias("parts"))
+    centres = shares.join(listed(large), "node").groupBy("family").agg(
         F.max_by("node", F.struct("parts", -F.col("node"))).alias("centre"), F.max("tasks").alias("tasks")
     )
-    centres = pin(centres)
-    goals = large.select("node", "family").join(centres.select("family", "centre", "tasks"), "family")
-    members = goals.select(F.col("node").alias("_to"), "family", F.pmod(F.hash("node"), "tasks").alias("task"), F.lit(1).alias("member"))
-    every = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task")
-    middles = centres.select(F.col("centre").alias("_to"), "family", every, F.lit(0).alias("member"))
-    goal = F.struct("family", "task", "member").alias("goal")
-    goals = members.unionByName(middles).groupBy("_to").agg(F.collect_list(goal).alias("goals"))
+    centres = listed(pin(centres))
+    # a set goes to a task of its family, a centre to all of them as well
+    goals = large.select("node", "family").join(centres, "family")
+    member = F.struct("family", F.pmod(F.hash("node"), "tasks").alias("task"), F.lit(1).alias("member"))
+    every = F.transform(F.sequence(F.lit(0), F.col("tasks") - 1), lambda task: F.struct("family", task.alias("task"), F.lit(0).alias("member")))
+    both = F.when(F.col("node") == F.col("centre"), F.concat(F.array(member), every)).otherwise(F.array(member))
+    goals = goals.select(F.col("node").alias("_to"), both.alias("goals"))
     sent = _texts(refs, goals).select(F.explode("goals").alias("goal"), F.col(REF).alias("node"), "text")
     sent = sent.select("goal.family", "goal.task", "goal.member", "node", "text")
     away = pin(
@@ -683,18 +674,21 @@ def _link_families(refs: DataFrame, by_part: DataFrame, real: DataFrame, words:
     some = F.count_if(is_near) * SPLIT_DENSE >= F.count("*")
     split = pin(away.groupBy("family").agg(enough.alias("split"), some.alias("some")).filter("split OR some"))
     pairs, split = _far_pairs(away, split, percent)
-    far = away.filter(f"size(tokens) > {limit}").join(split, "family").select(F.col("node").alias("_far"))
-    links = few.unionByName(near)
-    links = links.unionByName(_verify(refs, pairs, words, percent).filter("linked").select("a", "b"))
+    links, pairs = few.unionByName(near), pin(pairs)
+    far = pin(away.filter(f"size(tokens) > {limit}").join(listed(pin(split)), "family").select(F.col("node").alias("_far")))
+    if far.isEmpty():
+        return links, pairs
     # the far sets among themselves; every round leaves out what the centres link
-    held = by_part.join(real, F.col("node") == F.col("_ref")).select("key", F.col("_node").alias("node"), "n").distinct()
-    held = held.join(far, F.col("node") == F.col("_far"), "left_semi")
+    held = by_part.select("key", "node", "n").join(listed(far), F.col("node") == F.col("_far"), "left_semi")
     held = pin(
         held.repartition("key")
         .sortWithinPartitions("key", "n", "node")
         .mapInArrow(tidy(_with_pivots(percent)), "key long, node long, n long, pivot long, chain long")
     )
-    return links if held.isEmpty() else links.unionByName(_link_families(refs, held, real, words, percent))
+    if held.isEmpty():
+        return links, pairs
+    more, later = _link_families(refs, held, words, percent)
+    return links.unionByName(more), pairs.unionByName(later)
 
 
 def _compare_all(words: int, percent: int):

@@ -455,6 +455,45 @@ def test_keep_one_passes_rows_on(spark):
     assert result.count() == 4
 
 
+def test_equal_sets_in_any_order_of_ids(spark):
+    """The representative of equal sets is indexed, whatever the order of ids in a batch."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(7, " ".join(base)), (3, " ".join(base)), (5, " ".join([*base[:-1], "other"]))]
+    found = jaccard_join.join_components(spark.createDataFrame(rows, DOCS).coalesce(1)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {3: 3, 5: 3, 7: 3}
+
+
+def test_few_rounds_of_verification(spark, monkeypatch):
+    """Candidates of all levels of families are verified together, and only those that the links have not connected."""
+    for name, value in (("FAMILY", 3), ("RARE", 2), ("BLOCK", 2), ("FREQUENT", 6), ("LOCAL", 2)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    calls, verify = [], jaccard_join._verify
+    monkeypatch.setattr(jaccard_join, "_verify", lambda *a: calls.append(1) or verify(*a))
+    texts = near_copies(1)
+    result = jaccard_join.join_components(spark.createDataFrame(texts, DOCS))
+    have = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in result.collect()}
+    assert have == brute_components(texts, 3, 90) and len(calls) == 2
+
+
+def test_rounds_take_as_many_tasks_as_their_rows_need(spark):
+    """Many shuffle partitions do not make many tasks and files of a small graph."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    links = spark.createDataFrame([(k, k + 1) for k in range(0, 400, 2)], "a long, b long")
+    try:
+        for k, value in zip(kept, ("50", "false"), strict=True):
+            spark.conf.set(k, value)
+        found = components(links)
+    finally:
+        for k, value in kept.items():
+            spark.conf.set(k, value)
+    assert {r["node"]: r["component"] for r in found.collect()} == {k: k // 2 * 2 for k in range(400)}
+    assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+
+
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([(7, 7)], "a long, b long")).collect() == []
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 99), (7, 7)], "a long, b long")
     found = {r["node"]: r["component"] for r in components(links).collect()}
