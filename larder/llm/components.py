@@ -4,19 +4,51 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from larder.session import pin
 
-#: Rows of a pinned list of a few numbers each, at most, for it to be broadcast.
-BROADCAST_ROWS = 500_000
+#: Rows of a pinned list of a few numbers each, at most, for it to be broadcast; entries of arrays count as rows.
+BROADCAST_ROWS = 250_000
+
+#: Bits of the sieve for longer lists, 64 in a row.
+SIEVE_BITS = 1 << 24
 
 #: Rows of a graph that a task of a round is meant for.
 TASK_ROWS = 1 << 18
 
 
+def few(pinned: DataFrame) -> bool:
+    """Whether a pinned narrow list is short enough to be broadcast."""
+    rows = F.lit(1)
+    for column in pinned.schema:
+        if isinstance(column.dataType, ArrayType):
+            rows = rows + F.coalesce(F.size(column.name), F.lit(0))
+    return (pinned.agg(F.sum(rows).alias("rows")).first()["rows"] or 0) <= BROADCAST_ROWS
+
+
 def listed(pinned: DataFrame) -> DataFrame:
-    """A pinned narrow list, to be broadcast in joins if its counted rows are few; a longer one is joined as the planner sees fit."""
-    return F.broadcast(pinned) if pinned.count() <= BROADCAST_ROWS else pinned
+    """A pinned narrow list, to be broadcast in joins if its counted rows are few; a longer one is merged, whatever its size on disk."""
+    return F.broadcast(pinned) if few(pinned) else pinned.hint("merge")
+
+
+def sifted(rows: DataFrame, column: str, pinned: DataFrame, number: str) -> DataFrame:
+    """``rows`` with ``_maybe``: false only where ``column`` is not among the ``number`` of a pinned list, true for few of the others.
+
+    The list is broadcast as bits of a fixed size, whatever its length, so that
+    rows that it surely does not hold need no shuffle.
+    """
+
+    def bit(name: str):
+        place = F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(SIEVE_BITS))
+        return F.shiftrightunsigned(place, 6), place.bitwiseAND(F.lit(63)).cast("int")
+
+    word, at = bit(number)
+    kept = pinned.select(word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), at).alias("_bits"))
+    kept = pin(kept.groupBy("_word").agg(F.bit_or("_bits").alias("_bits")))
+    word, at = bit(column)
+    found = rows.join(F.broadcast(kept), word == F.col("_word"), "left")
+    return found.withColumn("_maybe", F.coalesce(F.getbit("_bits", at) == 1, F.lit(False))).drop("_word", "_bits")
 
 
 def components(links: DataFrame) -> DataFrame:
