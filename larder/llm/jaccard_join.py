@@ -33,6 +33,10 @@ the triangle inequality says that they must share many of their differences
 from the centre, so the differences, which are rare tokens, are indexed with
 prefixes of their own.  So no group that a centre holds together is expanded
 into all its pairs, and no link between different components is lost.
+A family that would make many pairs even so, as one of sets that all lie just
+below the limit, is compared in blocks: two blocks of sets meet in one task,
+which counts what all their sets have in common at once.  This is still
+quadratic in the family, but a set travels once per block, not once per pair.
 Candidates that cannot reach the overlap are dropped, all others are verified
 on whole sets.
 
@@ -54,7 +58,7 @@ from pyspark.sql import functions as F
 
 from larder.session import pin
 
-from .components import components, listed
+from .components import components, few, listed, sifted
 from .rows import REF, with_ref
 from .shared import gathered, share, shared, small_batches, tidy
 from .textbytes import MULTIPLIERS, SpanHashes, chunks, gram_hashes, lower_table, mix, word_spans
@@ -89,6 +93,18 @@ SPLIT_DENSE = 64
 #: Pairs of far sets that are compared directly, per set of a family.
 PAIRS = 64
 
+#: Sets and tokens of a block, about; two blocks are compared in one task.
+BLOCK_SETS, BLOCK_TOKENS = 1024, 1 << 20
+
+#: Pairs that take as long as comparing one set with a block.
+BLOCK_PAIRS = 32
+
+#: A token that one in so many pairs of two blocks share is counted by a product of matrices, so many columns at a time.
+DENSE, COLUMNS = 512, 1024
+
+#: Pairs of two blocks that are counted together.
+COUNTED = 1 << 20
+
 #: Bits of a token; the others number the texts that are sorted together.
 TOKEN_BITS = 52
 
@@ -168,7 +184,7 @@ def frequent_tokens(docs: DataFrame, words: int) -> np.ndarray:
         if total > FREQUENT_TOKENS:
             least = row["level"] + 1
             break
-    often = counted.filter(F.col("level") >= least).toArrow()  # at most FREQUENT_TOKENS
+    often = counted.filter(F.col("level") >= least).select("token", "n").toArrow()  # at most FREQUENT_TOKENS
     tokens, n = often.column("token").to_numpy().view(np.uint64), often.column("n").to_numpy()
     return tokens[np.lexsort((tokens, n))]
 
@@ -357,17 +373,17 @@ def _index(refs: DataFrame, arrays: DataFrame, words: int, percent: int, frequen
     for step in range(ROUNDS + 1):
         if crowded.isEmpty():
             break
-        found = pin(entries.filter("rare").join(crowded.select("key", "held"), "key").select("node", "key", "held"))
+        found = pin(entries.filter("rare").join(listed(crowded.select("key", "held")), "key").select("node", "key", "held"))
         if step == ROUNDS:
             stale = pin(found.select("node").distinct())
-            return entries.join(stale, "node", "left_anti").unionByName(_whole_sets(refs, stale, words))
+            return entries.join(listed(stale), "node", "left_anti").unionByName(_whole_sets(refs, stale, words))
         ranked = crowded if ranked is None else pin(ranked.unionByName(crowded.filter("new").drop("new")))
         hits = found if hits is None else pin(hits.unionByName(found))
         nodes = found.select("node").distinct()
         lists = hits.join(nodes, "node", "left_semi").groupBy("node").agg(F.collect_list(F.struct("key", "held")).alias("tokens"))
         fresh = pin(_rebuilt(refs, lists, words, percent, frequent))
         rebuilt = fresh if rebuilt is None else pin(rebuilt.join(fresh.select("node"), "node", "left_anti").unionByName(fresh))
-        done = pin(rebuilt.select("node"))  # a narrow list, so that its size lets the planner broadcast it
+        done = listed(pin(rebuilt.select("node")))
         entries = _entries(arrays.join(done, "node", "left_anti")).unionByName(_entries(rebuilt))
         # the counts change by what the new prefixes have and the old ones had; a token that is not among those of several sets had one
         old = counted(_entries(arrays.join(done, "node", "left_semi")), "gone")
@@ -446,9 +462,13 @@ def _parts(refs: DataFrame, marked: DataFrame, words: int, percent: int) -> Data
 def _texts(refs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows of ``refs`` whose number is in ``_to``, with the other columns of ``wanted``.
 
-    A list of checked size is broadcast to the scan of the texts, a longer one is joined by a shuffle.
+    A list of checked size is broadcast to the scan of the texts; for a longer one, the texts that it may hold are merged with it.
     """
-    return refs.join(listed(pin(wanted)), refs[REF] == F.col("_to"))
+    wanted = pin(wanted)
+    if few(wanted):
+        return refs.join(F.broadcast(wanted), refs[REF] == F.col("_to"))
+    some = sifted(refs, REF, wanted, "_to").filter("_maybe").drop("_maybe")
+    return some.join(wanted.hint("merge"), some[REF] == F.col("_to"))
 
 
 def _with_pivots(percent: int):
@@ -587,7 +607,7 @@ def _members(refs: DataFrame, words: int, percent: int) -> DataFrame:
     least = f"ceil({percent} * (a_n + b_n) / {100 + percent}.0)"
     copies = node_of.filter(F.col("indexed") & (F.col("node") != F.col(REF))).select(F.col(REF).alias("node"))
     arrays = filled.select(F.col(REF).alias("node"), "n", "n_rare", "prefix")
-    arrays = pin(arrays.join(pin(copies), "node", "left_anti"))
+    arrays = pin(arrays.join(listed(pin(copies)), "node", "left_anti"))
     by_token = pin(
         _index(refs, arrays, words, percent, frequent)
         .select("key", "node", "n", "place")
@@ -636,17 +656,17 @@ def _link_families(refs: DataFrame, by_part: DataFrame, words: int, percent: int
     sizes = listed(pin(families.groupBy("family").agg(F.count("*").alias("size"), tasks)))
     families = pin(families.join(sizes, "family"))
     small = families.filter(F.col("tasks") == 1).select(F.col("node").alias("_to"), "family")
-    few = (
+    linked = (
         _texts(refs, small)
         .select("family", F.col(REF).alias("node"), "text")
         .repartition("family")
         .sortWithinPartitions("family")
         .mapInArrow(tidy(_compare_all(words, percent)), "a long, b long")
     )
-    few = pin(few)
+    linked = pin(linked)
     large = pin(families.filter(F.col("tasks") > 1).drop("n"))
     if large.isEmpty():
-        return few, few.limit(0)
+        return linked, linked.limit(0)
     # the centre of a large family shares its parts with most sets
     holders = by_part.groupBy("key").agg(F.count("*").alias("holders"))
     shares = by_part.select("key", "node").join(holders, "key").groupBy("node").agg(F.sum("holders").alias("parts"))
@@ -673,8 +693,10 @@ def _link_families(refs: DataFrame, by_part: DataFrame, words: int, percent: int
     enough = (F.count_if(is_near) >= FAMILY) | (F.count_if(is_near) * SPLIT >= F.count("*"))
     some = F.count_if(is_near) * SPLIT_DENSE >= F.count("*")
     split = pin(away.groupBy("family").agg(enough.alias("split"), some.alias("some")).filter("split OR some"))
-    pairs, split = _far_pairs(away, split, percent)
-    links, pairs = few.unionByName(near), pin(pairs)
+    pairs, split, crossed = _far_pairs(away, split, percent)
+    links, pairs = linked.unionByName(near), pin(pairs)
+    if not crossed.isEmpty():
+        links = links.unionByName(_cross(refs, away.select("family", "node", "n", F.expr(f"size(tokens) > {limit}").alias("far")), crossed, words, percent))
     far = pin(away.filter(f"size(tokens) > {limit}").join(listed(pin(split)), "family").select(F.col("node").alias("_far")))
     if far.isEmpty():
         return links, pairs
@@ -772,12 +794,138 @@ def _differences(words: int):
     return run
 
 
-def _far_pairs(away: DataFrame, centres: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens every set on the left has in common with every set on the right."""
+    shape = len(left), len(right)
+    common = np.zeros(shape, np.float32)  # exact up to 2**24 tokens
+    tokens = np.concatenate([*left, *right, np.zeros(0, np.uint64)])
+    owner = np.concatenate([np.repeat(np.arange(len(side)), [len(s) for s in side]) for side in (left, right)])
+    cut = sum(map(len, left))
+    _, token = np.unique(tokens, return_inverse=True)
+    held = [np.bincount(part, minlength=len(tokens)) for part in (token[:cut], token[cut:])]
+    pairs = held[0] * held[1]
+    dense = pairs * DENSE > shape[0] * shape[1]
+    column = np.cumsum(dense) - 1
+    for first in range(0, int(dense.sum()), COLUMNS):
+        sides = []
+        for n, part in zip(shape, (slice(0, cut), slice(cut, None)), strict=True):
+            own = dense[token[part]] & (column[token[part]] >= first) & (column[token[part]] < first + COLUMNS)
+            sides.append(np.zeros((n, COLUMNS), np.float32))
+            sides[-1][owner[part][own], column[token[part]][own] - first] = 1
+        common += sides[0] @ sides[1].T
+    # the others pair by pair
+    seldom = (pairs > 0) & ~dense
+    x, y = (np.flatnonzero(seldom[token[part]]) + part.start for part in (slice(0, cut), slice(cut, len(token))))
+    y = y[np.argsort(token[y], kind="stable")]
+    begin = np.searchsorted(token[y], token[x])
+    times = held[1][token[x]]
+    ends = np.cumsum(times)
+    start, flat = 0, common.reshape(-1)
+    while start < len(x):
+        end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + COUNTED, side="right")))
+        n = times[start:end]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        other = y[np.repeat(begin[start:end], n) + step]
+        np.add.at(flat, np.repeat(owner[x[start:end]], n) * shape[1] + owner[other], np.float32(1))
+        start = end
+    return common
+
+
+def _forest(linked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (row and column) that connect what the links of the matrix connect, without circles."""
+    rows, columns = linked.any(axis=1), linked.any(axis=0)
+    while rows.any():
+        now = np.array([np.argmax(rows)])
+        rows[now] = False
+        while len(now):
+            seen = linked[now]
+            fresh = np.flatnonzero(seen.any(axis=0) & columns)
+            if not len(fresh):
+                break
+            yield now[seen[:, fresh].argmax(axis=0)], fresh
+            columns[fresh] = False
+            seen = linked[:, fresh]
+            now = np.flatnonzero(seen.any(axis=1) & rows)
+            yield now, fresh[seen[now].argmax(axis=1)]
+            rows[now] = False
+
+
+def _compare_blocks(words: int, percent: int):
+    """Rows in order of (family, block, other, side): links that connect what is connected between the two sides, or within one."""
+
+    def links(nodes: list[list[int]], sets: list[list[np.ndarray]]) -> pa.RecordBatch:
+        found: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+        other = 1 if nodes[1] else 0  # a block by itself has one side
+        if nodes[0]:
+            n = [np.array([len(s) for s in side], np.float64) for side in (sets[0], sets[other])]
+            common = _common(sets[0], sets[other])
+            linked = 100 * common >= percent * (n[0][:, None] + n[1] - common)
+            linked &= common > 0
+            if not other:
+                np.fill_diagonal(linked, False)
+            for x, y in _forest(linked):
+                found[0].append(np.array(nodes[0], np.int64)[x])
+                found[1].append(np.array(nodes[other], np.int64)[y])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(f)) for f in found], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, now, nodes, sets = Sets(words), None, ([], []), ([], [])
+        for batch in batches:
+            goals = list(zip(*(batch.column(c).to_pylist() for c in ("family", "block", "other")), strict=True))
+            side, own = batch.column("side").to_pylist(), batch.column("node").to_pylist()
+            for row, end, data, offsets in chunks(batch.column("text")):
+                tokens, bounds = hasher.of(data, offsets)
+                for k in range(row, end):
+                    if goals[k] != now:
+                        yield links(nodes, sets)
+                        now, nodes, sets = goals[k], ([], []), ([], [])
+                    nodes[side[k]].append(own[k])
+                    sets[side[k]].append(tokens[bounds[k - row] : bounds[k - row + 1]].copy())
+        yield links(nodes, sets)
+
+    return run
+
+
+def _cross(refs: DataFrame, members: DataFrame, crossed: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links within the families of ``crossed`` that connect what is connected: far sets with each other, or with near ones, or both.
+
+    Far and near sets (``members``) are dealt to blocks of their own, and a set
+    goes to one task for every block that its block is compared with.
+    """
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("int")
+    members = members.join(listed(crossed), "family")
+    sizes = members.groupBy("family", "far").agg(blocks.alias("blocks"))
+    some, none = F.max(F.when(F.col("far"), F.col("blocks"))), F.max(F.when(~F.col("far"), F.col("blocks")))
+    sizes = sizes.groupBy("family").agg(F.coalesce(some, F.lit(0)).alias("fars"), F.coalesce(none, F.lit(0)).alias("nears"))
+    members = members.filter("far OR with_near").join(sizes, "family")
+    members = members.withColumn("own", F.pmod(F.hash("node"), F.when(F.col("far"), F.col("fars")).otherwise(F.col("nears"))))
+    sent = _texts(refs, members.select(F.col("node").alias("_to"), "family", "far", "with_far", "with_near", "fars", "nears", "own"))
+
+    def goals(count: str, goal, wanted: str):
+        return F.when(F.expr(f"{wanted} AND {count} > 0"), F.transform(F.sequence(F.lit(0), F.expr(f"{count} - 1")), goal)).otherwise(F.array())
+
+    def goal(block, other, side):
+        return F.struct(block.alias("block"), other.alias("other"), side.cast("int").alias("side"))
+
+    own, fars = F.col("own"), F.col("fars")
+    far = goals("fars", lambda k: goal(F.least(k, own), F.greatest(k, own), k < own), "far AND with_far")
+    far_near = goals("nears", lambda k: goal(own, fars + k, F.lit(0)), "far AND with_near")
+    near_far = goals("fars", lambda k: goal(k, fars + own, F.lit(1)), "NOT far AND with_near")
+    sent = sent.select("family", F.explode(F.concat(far, far_near, near_far)).alias("goal"), F.col(REF).alias("node"), "text")
+    sent = sent.select("family", "goal.block", "goal.other", "goal.side", "node", "text")
+    order = ["family", "block", "other"]
+    return pin(sent.repartition(*order).sortWithinPartitions(*order, "side").mapInArrow(tidy(_compare_blocks(words, percent)), "a long, b long"))
+
+
+def _far_pairs(away: DataFrame, centres: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Candidates ``a``, ``b`` within large families of which one at least is not linked with the centre.
 
     In the families of ``centres`` that are to be ``split`` only one is not; their
     far sets are compared by themselves.  So are those of the others there, if
     they have more than ``PAIRS`` pairs a set.  All such families are returned too.
+    What would still make many pairs is left to blocks: the families are returned
+    last, ``with_far`` if their far sets are to be compared with each other and
+    ``with_near`` if with the near ones.
 
     Let d be the number of differences from the centre and D(x, y) how many
     differences linked x and y may have.  Linked x and y share at least
@@ -810,16 +958,27 @@ def _far_pairs(away: DataFrame, centres: DataFrame, percent: int) -> tuple[DataF
 
     near_size = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     split = centres.filter("split").select("family")
-    whole = index("far", "half", "a").join(split, "family", "left_anti")
-    loads = whole.groupBy("family", "token").agg(F.count("*").alias("held"))
-    loads = loads.groupBy("family").agg(F.sum(F.expr("held * (held - 1) div 2")).alias("load"))
     sizes = ranked.groupBy("family").agg(F.count("*").alias("size"))
-    dense = loads.join(sizes, "family").filter(F.col("load") > PAIRS * F.col("size")).select("family")
-    dense = pin(dense.join(centres, "family", "left_semi"))
-    whole, split = whole.join(dense, "family", "left_anti"), split.union(dense)
+    most = F.greatest(F.lit(PAIRS), F.col("size") * BLOCK_PAIRS / BLOCK_SETS) * F.col("size")
+
+    def held(entries: DataFrame, name: str) -> DataFrame:
+        return entries.groupBy("family", "token").agg(F.count("*").alias(name))
+
+    whole = index("far", "half", "a").join(split, "family", "left_anti")
+    loads = held(whole, "held").groupBy("family").agg(F.sum(F.expr("held * (held - 1) div 2")).alias("load"))
+    loads = pin(loads.join(sizes, "family").join(centres.select("family", F.lit(True).alias("known")), "family", "left"))
+    dense = loads.filter((F.col("load") > PAIRS * F.col("size")) & F.col("known")).select("family")
+    far_far = loads.filter((F.col("load") > most) & F.col("known").isNull()).select("family")
+    near, long = index("NOT far", "half", "a"), index("far", "long", "b")
+    mixed = held(near, "near").join(held(long, "far"), ["family", "token"]).groupBy("family").agg(F.sum(F.expr("near * far")).alias("load"))
+    mixed = pin(mixed.join(sizes, "family").filter(F.col("load") > most).select("family"))
+    crossed = far_far.select("family", F.lit(True).alias("f"), F.lit(False).alias("n"))
+    crossed = crossed.unionByName(mixed.select("family", F.lit(False).alias("f"), F.lit(True).alias("n")))
+    crossed = pin(crossed.groupBy("family").agg(F.max("f").alias("with_far"), F.max("n").alias("with_near")))
+    whole, split = whole.join(dense.union(far_far), "family", "left_anti"), split.union(dense)
     both_far = whole.join(index("far", "half", "b"), ["family", "token"]).filter(f"a < b AND {near_size}")
-    one_far = index("NOT far", "half", "a").join(index("far", "long", "b"), ["family", "token"]).filter(near_size)
-    return both_far.select("a", "b").union(one_far.select("a", "b")).distinct(), split
+    one_far = near.join(mixed, "family", "left_anti").join(long, ["family", "token"]).filter(near_size)
+    return both_far.select("a", "b").union(one_far.select("a", "b")).distinct(), split, crossed
 
 
 def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -834,10 +993,17 @@ def join_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its columns; rows without id come last."""
     rows = with_ref(docs)
-    members = _members(rows, words, percent)
+    members = pin(_members(rows, words, percent).select(REF, "doc_id", "component"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", REF)).alias("first")
-    kept = members.groupBy("component").agg(first).select(F.col(f"first.{REF}").alias("_kept"))
-    return rows.join(kept, rows[REF] == F.col("_kept"), "left_semi").select(*docs.columns)
+    several = members.groupBy(F.col("component").alias("_component")).agg(first, F.count("*").alias("docs")).filter("docs > 1")
+    # those that go are fewer than those that stay, as a rule, and no text travels if their list is short
+    gone = members.join(several, F.col("component") == F.col("_component")).filter(F.col(REF) != F.col(f"first.{REF}"))
+    gone = pin(gone.select(F.col(REF).alias("_gone")))
+    if few(gone):
+        return rows.join(F.broadcast(gone), rows[REF] == F.col("_gone"), "left_anti").select(*docs.columns)
+    rows = sifted(rows, REF, gone, "_gone")
+    some = rows.filter("_maybe").join(gone.hint("merge"), F.col(REF) == F.col("_gone"), "left_anti")
+    return rows.filter("NOT _maybe").select(*docs.columns).unionByName(some.select(*docs.columns))
 
 
 def oracle(words: int = WORDS, percent: int = PERCENT) -> str:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from larder.llm import ann, chat_format, decontaminate, html_text, jaccard_join, license_scan, line_dedup, quality
 from larder.llm import sentencepieces, suffix_dedup
+from larder.llm import components as components_module
 from larder.llm.components import components
 from larder.llm.textbytes import CHUNK_BYTES, chunks, word_hash
+from larder.session import pin
 
 DOCS = "doc_id long, text string"
 
@@ -412,6 +414,88 @@ def test_two_clusters_in_a_large_family(spark, monkeypatch):
     assert sum(verified) < 640 * 20
 
 
+def below_the_limit(sets, least, most, seed=11):
+    """Copies of one text with so many words exchanged, and copies of these with one more: few of them link with each other at 90 percent."""
+    random.seed(seed)
+    base, copies = [f"w{i}" for i in range(100)], []
+    for k in range(sets):
+        own = list(base if k < sets * 9 // 10 else random.choice(copies))
+        for at in random.sample(range(100), random.randint(least, most) if k < sets * 9 // 10 else 1):
+            own[at] = f"x{random.randint(0, 40)}"
+        copies.append(own)
+    return [(k, " ".join(own)) for k, own in enumerate(copies)]
+
+
+def test_family_below_the_limit_is_compared_in_blocks(spark, monkeypatch):
+    """A large group in which few sets link does not become a text for every pair."""
+    monkeypatch.setattr(jaccard_join, "FAMILY", 32)
+    texts = below_the_limit(300, 5, 5)
+    verified, verify = [], jaccard_join._verify
+
+    def counted(refs, pairs, words, percent):
+        verified.append(pairs.count())
+        return verify(refs, pairs, words, percent)
+
+    monkeypatch.setattr(jaccard_join, "_verify", counted)
+    result = jaccard_join.join_components(spark.createDataFrame(texts, DOCS), 1, 90)
+    have = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in result.collect()}
+    assert have == brute_components(texts, 1, 90) and 1 < len({c for _, c in have.values()}) < 300
+    assert sum(verified) < 300 * 8
+
+
+@pytest.mark.parametrize(("least", "most"), [(5, 5), (0, 6)])
+def test_small_blocks_against_brute_force(spark, monkeypatch, least, most):
+    """Far sets with each other and with near ones, in several blocks."""
+    for name, value in (("FAMILY", 4), ("RARE", 2), ("PAIRS", 0), ("BLOCK_PAIRS", 0), ("BLOCK_SETS", 7), ("COLUMNS", 16), ("COUNTED", 50)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    crossed, cross = [], jaccard_join._cross
+    monkeypatch.setattr(jaccard_join, "_cross", lambda *a: crossed.append(a) or cross(*a))
+    texts = below_the_limit(60, least, most)
+    result = jaccard_join.join_components(spark.createDataFrame(texts, DOCS), 1, 90)
+    have = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in result.collect()}
+    assert have == brute_components(texts, 1, 90) and crossed
+
+
+@pytest.mark.parametrize("dense", [1, 4, 10**9])
+def test_common_tokens_of_two_blocks(monkeypatch, dense):
+    for name, value in (("DENSE", dense), ("COLUMNS", 8), ("COUNTED", 20)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = np.random.default_rng(dense % 97)
+    left, right = ([np.unique(rng.integers(0, 60, rng.integers(0, 30)).astype(np.uint64)) for _ in range(n)] for n in (13, 9))
+    have = jaccard_join._common(left, right)
+    assert have.tolist() == [[len(np.intersect1d(x, y)) for y in right] for x in left]
+    linked = have > 8
+    graph = [(("row", int(x)), ("column", int(y))) for a, b in jaccard_join._forest(linked) for x, y in zip(a, b, strict=True)]
+    low: dict = {}
+
+    def find(k):
+        while low.setdefault(k, k) != k:
+            k = low[k]
+        return k
+
+    for a, b in graph:
+        assert find(a) != find(b)
+        low[find(b)] = find(a)
+    assert all(find(("row", int(x))) == find(("column", int(y))) for x, y in zip(*np.nonzero(linked), strict=True))
+
+
+def test_lists_of_any_length(spark, monkeypatch):
+    """Entries of arrays count as rows of a list; texts are sifted before they are merged with a long one."""
+    narrow = pin(spark.range(30).select(F.col("id").alias("_to"), F.array_repeat("id", 20).alias("goals")))
+    monkeypatch.setattr(components_module, "BROADCAST_ROWS", 100)
+    assert not components_module.few(narrow) and components_module.few(narrow.select("_to"))
+    rows = spark.range(-5, 3000).select(F.when(F.col("id") != 7, F.col("id")).alias("number"))
+    sifted = components_module.sifted(rows, "number", narrow, "_to")
+    assert sifted.count() == 3005 and sifted.filter("_maybe").count() < 40
+    assert sifted.filter("_maybe").join(narrow, F.col("number") == F.col("_to")).count() == 29
+    monkeypatch.setattr(components_module, "BROADCAST_ROWS", 0)
+    texts = near_copies(1)
+    docs = spark.createDataFrame(texts, DOCS)
+    have = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join_components(docs, 3, 90).collect()}
+    assert have == brute_components(texts, 3, 90)
+    assert {r["doc_id"] for r in jaccard_join.keep_one(docs, 3, 90).collect()} == {c for _, c in have.values()}
+
+
 def test_long_sets_make_a_large_family(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "FAMILY_TOKENS", 300)
     monkeypatch.setattr(jaccard_join, "RARE", 2)
