@@ -300,3 +300,73 @@ def test_rows_are_kept_once_on_their_way_and_hashes_not_at_all(spark, store, mon
     assert len(found) == 51 and found["u7"][1] == "other" and found["u8"][1] == "name 8" and found["u99"] == (51, "new")
     assert sorted(id for id, _ in found.values()) == list(range(1, 52))
     assert store.upsert(USERS, users(spark, *second), order=["user_login"]).changed == 0
+
+
+def _shuffle_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+
+def _many(spark, n, name):
+    return spark.range(n).select(F.format_string("u%06d", "id").alias("user_id"), name.alias("user_name"), F.sha2(F.col("id").cast("string"), 256).alias("user_login"))
+
+
+def test_an_upsert_leaves_no_shuffle_files_and_lets_go_of_what_it_has_read(spark, tmp_path, monkeypatch):
+    import os
+
+    from larder import session
+
+    store = Store(spark, str(tmp_path), span=1000, parts=2)
+    store.create([USERS])
+    on_disk, laid_out = [], Store._laid_out
+
+    def watch(self, *args, **kwargs):
+        on_disk.append(len(os.listdir(session._scratch.get())))
+        return laid_out(self, *args, **kwargs)
+
+    monkeypatch.setattr(Store, "_laid_out", watch)
+    before = _shuffle_bytes(spark)
+    store.upsert(USERS, _many(spark, 3000, F.lit("a")), order=["user_login"])
+    third = F.when(F.col("id") % 3 == 0, F.lit("b")).otherwise(F.lit("a"))
+    result = store.upsert(USERS, _many(spark, 4000, third), order=["user_login"])
+    assert (result.loaded, result.changed) == (4000, 2000)
+    assert on_disk == [1, 2]  # the numbered rows; the new and changed rows, and the new ones with numbers
+    assert _shuffle_bytes(spark) - before < 50_000  # counts per bucket; the rows themselves take 100,000 and more at a time
+
+
+def test_large_merges_in_several_passes_give_the_same_table(spark, tmp_path, monkeypatch):
+    def change(row):
+        return F.when(F.col("id") % 4 == row, F.lit("b")).otherwise(F.lit("a"))
+
+    found = []
+    for size in (store_module.PASS_BYTES, 1):
+        monkeypatch.setattr(store_module, "PASS_BYTES", size)
+        read, plain = [], Store._read
+
+        def watch(self, table, commit, only=None, kind="buckets"):
+            if table.name == USERS and only is not None:
+                read.append((kind, len(set(only))))
+            return plain(self, table, commit, only, kind)
+
+        store = Store(spark, str(tmp_path / str(size)), span=10, parts=4)
+        store.create([USERS])
+        store.upsert(USERS, _many(spark, 45, F.lit("a")))
+        with monkeypatch.context() as patch:
+            patch.setattr(Store, "_read", watch)
+            result = store.upsert(USERS, _many(spark, 60, change(1)))
+        assert (result.loaded, result.changed) == (60, 26)
+        assert {n for _, n in read} == ({1} if size == 1 else {4, 6, 7} & {n for _, n in read})
+        assert store.upsert(USERS, _many(spark, 60, change(1))).changed == 0
+        assert store.remove(USERS, _many(spark, 60, change(1)).filter("user_name = 'b'").select("user_id")) == 15
+        found.append((rows(store.read(USERS)), rows(store.with_keys(USERS, _many(spark, 60, F.lit("a"))), "id", "user_id"), store.last_commit(TABLES[USERS]).max_id))
+    assert found[0] == found[1] and len(found[0][0]) == len(found[0][1]) == 45
+
+
+def test_tables_with_longer_hashes_take_equal_rows_as_equal(spark, store, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(store_module, "HASH_BYTES", 32)
+        store.upsert(USERS, users(spark, ("a", "1"), ("b", "1")))
+    result = store.upsert(USERS, users(spark, ("a", "1"), ("b", "2")))
+    assert (result.loaded, result.changed) == (2, 1)
+    index = store._read(TABLES[USERS], store.last_commit(TABLES[USERS]), kind="keys")
+    assert [len(row["row_hash"]) for row in index.orderBy("user_id").collect()][1] == 16
