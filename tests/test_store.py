@@ -370,3 +370,15 @@ def test_tables_with_longer_hashes_take_equal_rows_as_equal(spark, store, monkey
     assert (result.loaded, result.changed) == (2, 1)
     index = store._read(TABLES[USERS], store.last_commit(TABLES[USERS]), kind="keys")
     assert [len(row["row_hash"]) for row in index.orderBy("user_id").collect()][1] == 16
+
+
+def test_lanes_that_remove_shuffle_files_leave_the_setting_as_it_was(spark):
+    from larder.session import CLEANUP_SETTING, shuffles_removed
+
+    before = spark.conf.get(CLEANUP_SETTING, None)
+    first, second = shuffles_removed(spark), shuffles_removed(spark)
+    first.__enter__(), second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(CLEANUP_SETTING) == "true"  # the second lane is still inside
+    second.__exit__(None, None, None)
+    assert spark.conf.get(CLEANUP_SETTING, None) == before
